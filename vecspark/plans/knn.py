@@ -97,40 +97,46 @@ def scan_candidates(
     return rows.select(*needed).mapInArrow(run, schema)
 
 
-def grid_candidates(
-    rows: DataFrame, queries: DataFrame, *, vec: str, qid: str, qvec: str, score: str, codec: Codec,
-    spec: Spec, cell: str | None = None, query_cells: str | None = None,
-) -> DataFrame:
-    """Block grid for query sets too large to broadcast.
-
-    Rows are dealt round-robin (so no key, cell or group of copies decides a block's size), a cell
-    with many rows is spread over as many blocks as its row count asks for, and queries are cut into
-    blocks the same way.  With ``cell`` only rows and queries of the same cell meet.
+def grid(
+    rows: DataFrame, queries: DataFrame, *, vec: str, qvec: str, cell: str | None = None,
+    query_cells: str | None = None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides cut into bounded blocks, and the columns on which the blocks meet.
+
+    Rows are dealt round-robin, so no key, cell or group of copies decides a block's size, and dealing
+    is repeatable, so a lost task recomputes the same blocks.  With ``cell`` only rows and queries of
+    one cell meet; a cell is spread over as many blocks as its row count asks for.
     """
-    kept = kept_columns(spec)
-    schema = _output_schema(rows, queries, qid, score, kept)
-    names = schema.names
     block_rows, query_rows = GRID_ROWS, GRID_QUERIES
-    wanted = list(dict.fromkeys([*kept, vec, *([cell] if cell else [])]))
-    base = rows.where(F.col(vec).isNotNull()).select(*wanted)
+    base = rows.where(F.col(vec).isNotNull())
     row_blocks = max(1, -(-base.count() // block_rows))
-    asked = queries.where(F.col(qvec).isNotNull()).select(qid, qvec, *([query_cells] if query_cells else []))
+    asked = queries.where(F.col(qvec).isNotNull())
     q_blocks = max(1, -(-asked.count() // query_rows))
-    # round-robin dealing is repeatable, so a lost task recomputes the same blocks
     dealt = base.repartition(row_blocks).withColumn("_rb", F.spark_partition_id())
     asked = asked.repartition(q_blocks).withColumn("_qb", F.spark_partition_id())
-    on = ["_qb", "_rb"]
+    on, blocks = ["_qb", "_rb"], F.lit(row_blocks)
     if cell:
         on = [cell, *on]
         sizes = base.groupBy(cell).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
         dealt = dealt.join(sizes, cell).withColumn("_rb", F.pmod("_rb", "_blocks")).drop("_blocks")
         asked = asked.withColumn(cell, F.explode(query_cells)).drop(query_cells).join(sizes, cell)
         blocks = F.col("_blocks")
-    else:
-        blocks = F.lit(row_blocks)
     dealt = dealt.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
     asked = asked.withColumn("_rb", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("_blocks")
+    return dealt, asked, on
 
+
+def grid_candidates(
+    rows: DataFrame, queries: DataFrame, *, vec: str, qid: str, qvec: str, score: str, codec: Codec,
+    spec: Spec, cell: str | None = None, query_cells: str | None = None,
+) -> DataFrame:
+    """Block grid for query sets too large to broadcast."""
+    kept = kept_columns(spec)
+    schema = _output_schema(rows, queries, qid, score, kept)
+    names = schema.names
+    rows = rows.select(*dict.fromkeys([*kept, vec, *([cell] if cell else [])]))
+    queries = queries.select(qid, qvec, *([query_cells] if query_cells else []))
+    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells)
     nothing = to_arrow_schema(schema).empty_table()
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:

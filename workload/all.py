@@ -1,3 +1,4 @@
 """Importing this module fills the registry."""
 
 import workload.search  # noqa: F401
+import workload.encodings  # noqa: F401
