@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vecspark.functions.predicates import a_get, field, has_field, j_ne, j_num
 from vecspark.operators.search import search
 from workload.fixtures import (CENTROIDS_SQL, COS_SQL, IP_SQL, L2_SQL, SELF_SQL, centroids, embeddings,
                                rounded, self_queries)
@@ -89,3 +90,62 @@ def search_group_by(spark, sf):
 @query("search_group_by_paged", GROUP_SQL.format(q=CENTROIDS_SQL, score=COS_SQL, d="DESC", o=4, k=4))
 def search_group_by_paged(spark, sf):
     return dense(spark, sf, "COSINE", k=4, offset=4, group_by="label")
+
+
+# ---------------------------------------------------------------- filtered by JSON, dynamic and array fields
+
+EVENT_VEC_SQL = """v AS (SELECT event_id, event_type, regexp_extract(props, '[0-9]+')::int AS k,
+  [value, regexp_extract(props, '[0-9]+')::double, user_id::double] AS vec FROM events),
+q AS (SELECT event_type AS qid, [round(avg(value), 4), round(avg(vec[2]), 4), round(avg(vec[3]), 4)] AS qvec
+  FROM (SELECT event_type, vec, vec[1] AS value FROM v) GROUP BY 1)"""
+
+
+def event_vectors(spark, sf):
+    """Events as points (value, k, user) with their JSON part; the queries are the mean of each type."""
+    from workload.registry import table
+
+    k = F.get_json_object("props", "$.k").cast("double")
+    rows = table(spark, sf, "events").select(
+        "event_id", "event_type", F.parse_json("props").alias("$meta"), F.array("value", k, F.col("user_id").cast("double")).alias("vec"))
+    mean = lambda i: F.round(F.avg(F.get("vec", F.lit(i))), 4)
+    queries = rows.groupBy(F.col("event_type").alias("qid")).agg(F.array(mean(0), mean(1), mean(2)).alias("qvec"))
+    return rows, queries
+
+
+def event_sql(where):
+    return f"""WITH {EVENT_VEC_SQL},
+s AS (SELECT q.qid, v.event_id, list_sum(list_transform(list_zip(q.qvec, v.vec), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS score
+  FROM q, v WHERE {where}),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, event_id) AS rank FROM s)
+SELECT qid, rank::bigint AS rank, event_id, round(score, 4) AS score FROM r WHERE rank <= 10"""
+
+
+def event_search(spark, sf, predicate, **kw):
+    rows, queries = event_vectors(spark, sf)
+    return rounded(search(rows, queries, 10, metric="L2", vec="vec", pk="event_id", where=predicate(rows), **kw))
+
+
+@query("knn_json_filtered", event_sql("v.k < 20 AND v.k <> 7"))
+def knn_json_filtered(spark, sf):
+    return event_search(spark, sf, lambda r: (j_num("$meta", "k") < 20) & j_ne("$meta", 7, "k"))
+
+
+@query("knn_dynamic_filtered", event_sql("v.k IN (3, 5, 8)"))
+def knn_dynamic_filtered(spark, sf):
+    return event_search(spark, sf, lambda r: field(r, "k").isin(3.0, 5.0, 8.0))
+
+
+@query("knn_array_filtered", event_sql("v.vec[1] > 25 AND v.vec[3] < 100"))
+def knn_array_filtered(spark, sf):
+    return event_search(spark, sf, lambda r: (a_get("vec", 0) > 25) & (a_get("vec", 2) < 100))
+
+
+@query("knn_no_hits", "SELECT DISTINCT event_type AS qid, NULL::bigint AS event_id FROM events")
+def knn_no_hits(spark, sf):
+    """A predicate without matches still gives one (empty) group per query."""
+    return event_search(spark, sf, lambda r: has_field(r, "missing"), keep_empty=True).select("qid", "event_id")
+
+
+@query("knn_join_fields", topk_sql(L2_SQL, cols=", label"))
+def knn_join_fields(spark, sf):
+    return dense(spark, sf, "L2", fields=["label"], fetch="join")
