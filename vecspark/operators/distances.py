@@ -85,3 +85,10 @@ def calc_distance(
 
     return dealt.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(meet, schema)
 
+
+def score_all(
+    rows: DataFrame, queries: DataFrame, metric: str, *, pk: str, vec: str, qid: str, qvec: str, score: str,
+) -> DataFrame:
+    """(query, row, score) for every pair that has a score."""
+    pairs = calc_distance(rows, queries, metric, left=(pk, vec), right=(qid, qvec))
+    return pairs.select(qid, pk, pairs["distance"].cast("double").alias(score))
