@@ -33,6 +33,11 @@ class Codec:
     dims: np.ndarray | None = None  # sparse: the sorted dimensions the queries use
 
 
+def code_type(books: np.ndarray) -> str:
+    """Storage type of product-quantisation codes."""
+    return "<u1" if books.shape[1] <= 256 else "<u2"
+
+
 def _flat(arr: pa.Array) -> tuple[pa.Array, int]:
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
@@ -82,7 +87,7 @@ def decode(arr, codec: Codec) -> np.ndarray:
     if codec.kind == "sq8":
         return codec.lo + _byte_block(arr, np.uint8).astype(np.float64) * codec.step
     if codec.kind == "pq":
-        codes = _byte_block(arr, "<u2")
+        codes = _byte_block(arr, code_type(codec.books))
         m = codec.books.shape[0]
         return np.concatenate([codec.books[s][codes[:, s]] for s in range(m)], axis=1)
     raise ValueError(f"unknown vector encoding {codec.kind}")
