@@ -110,8 +110,8 @@ def ivf_build(
     kind = vector_kind(rows.schema[vec])
     if kind in ("sparse", "fp16", "bf16") or (kind == "bits" and coding):
         raise ValueError("cells need plain float or uncoded binary vectors")
+    train = bounded_sample(rows.select(vec), nlist * TRAIN_PER_CELL).where(F.col(vec).isNotNull())
     base = rows.where(F.col(vec).isNotNull()).select(*dict.fromkeys([pk, vec, *fields]))
-    train = bounded_sample(base.select(vec), nlist * TRAIN_PER_CELL)
     points = train.select(array_to_vector(_dense(vec, kind)).alias("features"))
     model = KMeans(k=nlist, seed=SEED, maxIter=max_iter, initMode="random").fit(points)
     centers = np.array(model.clusterCenters())
@@ -284,11 +284,11 @@ def ivf_search(
     carried = [f for f in fields if f != index.pk]
     spec = Spec(metric, k + offset, index.pk, index.pk, carried, lower, upper)
     opts = dict(vec=target, qid=qid, qvec=qvec, score=score, codec=index.codec(), spec=spec, cell=CELL)
-    table = knn.fetch_bounded(queries, qid, qvec)
+    table = knn.fetch_bounded(queries, qid, qvec, index.kind, spec.k)
     if table is not None:
-        block, _ = knn.query_block(table, qid, qvec, index.codec())
-        _check_dim(block.matrix.shape[1], index)
-        cells = _nearest_cells(block.matrix.astype(np.float64), index.centers, metric, nprobe)
+        block = kernel.Queries(table, qid, qvec, index.codec()).block.matrix
+        _check_dim(block.shape[1], index)
+        cells = _nearest_cells(block.astype(np.float64), index.centers, metric, nprobe)
         flat, asker = cells.ravel(), np.repeat(np.arange(len(cells)), cells.shape[1])
         order = np.argsort(flat, kind="stable")
         found, heads = np.unique(flat[order], return_index=True)

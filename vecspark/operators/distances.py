@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecspark.operators.search import check_metric, vector_kind
 from vecspark.plans import kernel, knn
@@ -39,48 +38,36 @@ def calc_distance(
         T.StructField("distance", T.LongType() if whole else T.DoubleType())])
     codec = Codec(kind)
 
-    def pairs(rows: pa.Table, block: kernel.QueryBlock, own: Codec):
+    def pairs(rows: pa.Table, other: kernel.Queries):
         rows = rows.filter(rows[lvec].is_valid())
-        nq = len(block.matrix)
-        width = max(1, kernel.CELLS // max(1, nq * 4))
-        for start in range(0, rows.num_rows, width):
-            piece = rows.slice(start, width).combine_chunks()
-            column = piece[lvec].combine_chunks()
-            seen = None
-            if own.kind == "sparse":
-                v, seen = kernel.sparse_block(column, own.dims)
-            else:
-                v = kernel.decode(column, own)
-            if v.shape[1] != block.matrix.shape[1]:
-                raise ValueError("vector dimension does not match the other side")
-            score = kernel.block_scores(v, np.einsum("ij,ij->i", v, v), block, metric)
-            at_left, at_right = np.divmod(np.arange(score.size), nq)
-            flat = score.reshape(-1)
-            known = ~np.isnan(flat)
-            if seen is not None:
-                known &= (seen @ block.seen.T > 0).reshape(-1)
-            yield pa.RecordBatch.from_arrays([
-                piece[lid].combine_chunks().take(pa.array(at_left[known])),
-                block.ids.take(pa.array(at_right[known])),
-                pa.array(flat[known].astype(np.int64) if whole else flat[known].astype(np.float64))], names=schema.names)
-
-    table = knn.fetch_bounded(right_rows, rid, rvec)
+        for block, at, own in other.parts():
+            width = max(1, kernel.CELLS // max(1, max(len(at) * 4, block.matrix.shape[1])))
+            for start in range(0, rows.num_rows, width):
+                piece = rows.slice(start, width)
+                v, seen = kernel.decode_rows(piece[lvec].combine_chunks(), own)
+                if v.shape[1] != block.matrix.shape[1]:
+                    raise ValueError("vector dimension does not match the other side")
+                score = kernel.block_scores(v, np.einsum("ij,ij->i", v, v), block, metric)
+                known = ~np.isnan(score) if seen is None else (seen @ block.seen.T > 0)
+                i, j = np.nonzero(known)
+                found = score[i, j].astype(np.int64 if whole else np.float64)
+                yield pa.RecordBatch.from_arrays([
+                    piece[lid].combine_chunks().take(pa.array(i)), other.ids.take(pa.array(at[j])), pa.array(found)],
+                    names=schema.names)
+
+    table = knn.fetch_bounded(right_rows, rid, rvec, kind)
     if table is not None:
-        block, own = knn.query_block(table, rid, rvec, codec)
-
         def run(batches):
+            other = kernel.Queries(table, rid, rvec, codec)
             for batch in batches:
-                yield from pairs(pa.Table.from_batches([batch]), block, own)
+                yield from pairs(pa.Table.from_batches([batch]), other)
 
         return left_rows.select(lid, lvec).mapInArrow(run, schema)
-    dealt, asked, on = knn.grid(left_rows.select(lid, lvec), right_rows.select(rid, rvec), vec=lvec, qvec=rvec)
-    empty = knn.to_arrow_schema(schema).empty_table()
+    dealt, asked, on = knn.grid(left_rows.select(lid, lvec), right_rows.select(rid, rvec), vec=lvec, qvec=rvec, kind=kind)
+    empty = to_arrow_schema(schema).empty_table()
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return empty
-        block, own = knn.query_block(b, rid, rvec, replace(codec, dims=None))
-        found = list(pairs(a, block, own))
+        found = list(pairs(a, kernel.Queries(b, rid, rvec, codec))) if a.num_rows and b.num_rows else []
         return pa.Table.from_batches(found) if found else empty
 
     return dealt.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(meet, schema)

@@ -116,13 +116,13 @@ def search(
     spec = Spec(metric, k + offset, pk, group_by or pk, carried, lower, upper)
     opts = dict(vec=vec, qid=qid, qvec=qvec, score=score, codec=codec or Codec(kind), spec=spec)
 
-    table = knn.fetch_bounded(queries, qid, qvec)
+    table = knn.fetch_bounded(queries, qid, qvec, kind, spec.k)
     if table is not None:
         candidates = knn.scan_candidates(source, queries, table, **opts)
         per_query = session.estimated_tasks(source) * spec.k
     else:
         candidates = knn.grid_candidates(source, queries, **opts)
-        per_query = max(1, session.estimated_bytes(source) // (knn.GRID_ROWS * 64)) * spec.k
+        per_query = max(1, session.estimated_bytes(source) * 4 // knn.BLOCK_BYTES) * spec.k
     hits = knn.rank_best(
         candidates, qid=qid, score=score, pk=pk, key=spec.key, k=k, offset=offset,
         similarity=metric in SIMILARITIES, per_query=per_query,

@@ -120,9 +120,8 @@ def sparse_block(arr, dims: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class QueryBlock:
-    """The query side of one kernel call."""
+    """Decoded query vectors."""
 
-    ids: pa.Array
     matrix: np.ndarray
     seen: np.ndarray | None = None  # sparse presence flags
     sq: np.ndarray = field(init=False)
@@ -131,7 +130,51 @@ class QueryBlock:
         self.sq = np.einsum("ij,ij->i", self.matrix, self.matrix)
 
     def take(self, at: np.ndarray) -> "QueryBlock":
-        return QueryBlock(self.ids, self.matrix[at], None if self.seen is None else self.seen[at])
+        return QueryBlock(self.matrix[at], None if self.seen is None else self.seen[at])
+
+
+class Queries:
+    """A bounded query table inside a task, decoded in parts of bounded size.
+
+    Dense queries form one part.  Sparse queries are cut so that queries x distinct dimensions of a
+    part stays within one block; each part only looks at its own dimensions.
+    """
+
+    def __init__(self, table: pa.Table, qid: str, qvec: str, codec: Codec):
+        self.ids = table[qid].combine_chunks()
+        self.codec = codec
+        column = table[qvec].combine_chunks()
+        self.column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+        self.count = len(self.column)
+        self.block = None if codec.kind == "sparse" else QueryBlock(self._dense())
+
+    def _dense(self) -> np.ndarray:
+        # queries of coded fields arrive as plain values, those of half-precision fields as either
+        kind = self.codec.kind if self.codec.kind in ("bits", "fp16", "bf16") else "dense"
+        if kind != "bits" and not pa.types.is_binary(self.column.type):
+            kind = "dense"
+        return decode(self.column, Codec(kind))
+
+    def parts(self):
+        """(query block, positions, codec that decodes rows for it)."""
+        if self.block is not None:
+            yield self.block, np.arange(self.count), self.codec
+            return
+        lengths = self.column.value_lengths().to_numpy(zero_copy_only=False)
+        start = 0
+        while start < self.count:
+            total, end = int(lengths[start]), start + 1
+            while end < self.count and (end + 1 - start) * (total + int(lengths[end])) <= CELLS:
+                total, end = total + int(lengths[end]), end + 1
+            some = self.column.slice(start, end - start)
+            dims = np.unique(sparse_entries(some)[1])
+            yield QueryBlock(*sparse_block(some, dims)), np.arange(start, end), Codec("sparse", dims=dims)
+            start = end
+
+
+def decode_rows(column, codec: Codec) -> tuple[np.ndarray, np.ndarray | None]:
+    """Dense row block, and presence flags for sparse rows."""
+    return sparse_block(column, codec.dims) if codec.kind == "sparse" else (decode(column, codec), None)
 
 
 def _binary_scores(both, nv, nq, metric):
@@ -253,7 +296,7 @@ class Best:
 
 
 def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None) -> None:
-    """Offer one block of rows to the queries ``at`` (positions in the full query set)."""
+    """Offer one block of rows to the queries of ``q``; ``at`` are their positions in the full query set."""
     spec = best.spec
     codes = _codes(rows[spec.key])
     order = np.argsort(codes, kind="stable")
@@ -305,33 +348,30 @@ def _pairs(v, q, i, j, metric):
     return out
 
 
-def _row_slices(table: pa.Table, dim: int):
+def row_slices(table: pa.Table, dim: int):
     width = max(64, CELLS // max(1, dim))
     for start in range(0, table.num_rows, width):
         yield table.slice(start, width)
 
 
-def offer(best: Best, table: pa.Table, vec: str, codec: Codec, q: QueryBlock, probes=None, cell=None) -> None:
+def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None, cell=None) -> None:
     """Offer a batch of rows to all queries, or with ``probes`` only to those probing the row's cell."""
     table = table.filter(table[vec].is_valid())
     kept = list(dict.fromkeys([best.spec.pk, best.spec.key, *best.spec.carry]))
-    for piece in _row_slices(table, q.matrix.shape[1]):
-        column = piece[vec].combine_chunks()
-        if codec.kind == "sparse":
-            v, seen = sparse_block(column, codec.dims)
-        else:
-            v, seen = decode(column, codec), None
-        if not len(v):
-            continue
-        if v.shape[1] != q.matrix.shape[1]:
-            raise ValueError("vector dimension does not match the field")
-        rows = piece.select(kept)
-        if probes is None:
-            scan_block(best, rows, v, q, np.arange(len(q.matrix)), seen)
-            continue
-        cells = piece[cell].to_numpy()
-        for c in np.unique(cells):
-            at = probes.get(int(c))
-            if at is not None:
-                mine = np.flatnonzero(cells == c)
-                scan_block(best, rows.take(pa.array(mine)), v[mine], q.take(at), at)
+    for part, at, codec in queries.parts():
+        for piece in row_slices(table, part.matrix.shape[1]):
+            v, seen = decode_rows(piece[vec].combine_chunks(), codec)
+            if not len(v):
+                continue
+            if v.shape[1] != part.matrix.shape[1]:
+                raise ValueError("vector dimension does not match the field")
+            rows = piece.select(kept)
+            if probes is None:
+                scan_block(best, rows, v, part, at, seen)
+                continue
+            cells = piece[cell].to_numpy()
+            for c in np.unique(cells):
+                asking = probes.get(int(c))
+                if asking is not None:
+                    mine = np.flatnonzero(cells == c)
+                    scan_block(best, rows.take(pa.array(mine)), v[mine], part.take(asking), asking)

@@ -9,61 +9,61 @@ one cogroup task that again emits only its k best rows per query.  Both give the
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecspark import session
 from vecspark.plans import kernel
-from vecspark.plans.kernel import Codec, QueryBlock, Spec
+from vecspark.plans.kernel import Codec, Queries, Spec
 
 GRID_QUERIES = 2048  # rows of one query block
 GRID_ROWS = 1 << 16  # rows of one row block
+BLOCK_BYTES = 64 << 20  # stored bytes of one row block
+STATE_ROWS = 4 << 20  # best-list entries one task may hold
 SALTS = 64
 SALT_ABOVE = 1 << 20  # candidates per query that make a pre-ranking step worthwhile
 
 
 # ---------------------------------------------------------------- query side
 
-def query_block(table: pa.Table, qid: str, qvec: str, codec: Codec) -> tuple[QueryBlock, Codec]:
-    """Decode a bounded query table; for sparse vectors this also fixes the dimensions that matter."""
-    column = table[qvec].combine_chunks() if table.num_rows else table[qvec]
-    ids = table[qid].combine_chunks() if isinstance(table[qid], pa.ChunkedArray) else table[qid]
-    if codec.kind == "sparse":
-        if codec.dims is None:
-            codec = replace(codec, dims=np.unique(kernel.sparse_entries(column)[1]))
-        matrix, seen = kernel.sparse_block(column, codec.dims)
-        return QueryBlock(ids, matrix, seen), codec
-    # query vectors of quantised fields arrive as plain values
-    kind = codec.kind if codec.kind in ("bits", "fp16", "bf16") else "dense"
-    if kind in ("fp16", "bf16") and not pa.types.is_binary(column.type):
-        kind = "dense"
-    return QueryBlock(ids, kernel.decode(column, Codec(kind))), codec
-
-
-def fetch_bounded(queries: DataFrame, qid: str, qvec: str) -> pa.Table | None:
-    """The query table if it is small enough to travel with every task, else None."""
+def _unpacked(kind: str) -> int:
+    """How much a query grows when decoded in a task."""
+    return {"bits": 32, "fp16": 4, "bf16": 4, "sparse": 1}.get(kind, 2)
+
+
+def fetch_bounded(queries: DataFrame, qid: str, qvec: str, kind: str = "dense", k: int = 1) -> pa.Table | None:
+    """The query table if it, decoded, and its running best lists fit in every task; else None."""
     narrow = queries.select(qid, qvec).where(F.col(qvec).isNotNull())
     table = narrow.limit(session.PROBE_ROWS + 1).toArrow()
     if table.num_rows == 0:
         raise ValueError("at least one query vector is needed")
+    grown = table.nbytes * _unpacked(kind)
+    if grown > session.BROADCAST_BYTES or table.num_rows * k > STATE_ROWS:
+        return None
     if table.num_rows <= session.PROBE_ROWS:
-        return table if table.nbytes * 2 <= session.BROADCAST_BYTES else None
-    per_row = table.nbytes / table.num_rows
-    widest = F.max(F.length(qvec) if _is_binary(queries, qvec) else F.size(qvec) * 8)
-    count, width = narrow.agg(F.count("*"), widest).first()
-    if count * max(per_row * 2, width + 32) > session.BROADCAST_BYTES:
+        return table
+    count, width = narrow.agg(F.count("*"), F.max(_width(queries, qvec))).first()
+    if count * (width * 8 + 32) * _unpacked(kind) > session.BROADCAST_BYTES or count * k > STATE_ROWS:
         return None
     return narrow.limit(count).toArrow()
 
 
-def _is_binary(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.BinaryType)
+def _width(df: DataFrame, name: str) -> Column:
+    """Stored entries of a vector."""
+    return F.length(name) if isinstance(df.schema[name].dataType, T.BinaryType) else F.size(name)
+
+
+def block_sizes(queries: DataFrame, qvec: str, kind: str, k: int = 1) -> tuple[int, int]:
+    """(rows, queries) per grid block such that decoded blocks and best lists stay bounded."""
+    entries = max(1, queries.agg(F.max(_width(queries, qvec))).first()[0] or 1)
+    decoded = entries * (64 if kind == "bits" else 1)
+    rows = min(GRID_ROWS, BLOCK_BYTES // (entries * 8))
+    asked = min(GRID_QUERIES, STATE_ROWS // k, 2 * kernel.CELLS // decoded)
+    return max(1, rows), max(1, asked)
 
 
 # ---------------------------------------------------------------- candidate generation
@@ -82,16 +82,16 @@ def scan_candidates(
     codec: Codec, spec: Spec, probes: dict[int, np.ndarray] | None = None, cell: str | None = None,
 ) -> DataFrame:
     """Broadcast scan: each task emits its k best rows per query."""
-    block, codec = query_block(table, qid, qvec, codec)
     kept = kept_columns(spec)
     schema = _output_schema(rows, queries, qid, score, kept)
     names = schema.names
 
     def run(batches):
-        best = kernel.Best(spec, len(block.matrix))
+        asked = Queries(table, qid, qvec, codec)
+        best = kernel.Best(spec, asked.count)
         for batch in batches:
-            kernel.offer(best, pa.Table.from_batches([batch]), vec, codec, block, probes, cell)
-        yield from best.batches(block.ids, names)
+            kernel.offer(best, pa.Table.from_batches([batch]), vec, asked, probes, cell)
+        yield from best.batches(asked.ids, names)
 
     needed = list(dict.fromkeys([*kept, vec, *([cell] if cell else [])]))
     return rows.select(*needed).mapInArrow(run, schema)
@@ -99,7 +99,7 @@ def scan_candidates(
 
 def grid(
     rows: DataFrame, queries: DataFrame, *, vec: str, qvec: str, cell: str | None = None,
-    query_cells: str | None = None,
+    query_cells: str | None = None, kind: str = "dense", k: int = 1,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides cut into bounded blocks, and the columns on which the blocks meet.
 
@@ -107,7 +107,7 @@ def grid(
     is repeatable, so a lost task recomputes the same blocks.  With ``cell`` only rows and queries of
     one cell meet; a cell is spread over as many blocks as its row count asks for.
     """
-    block_rows, query_rows = GRID_ROWS, GRID_QUERIES
+    block_rows, query_rows = block_sizes(queries, qvec, kind, k)
     base = rows.where(F.col(vec).isNotNull())
     row_blocks = max(1, -(-base.count() // block_rows))
     asked = queries.where(F.col(qvec).isNotNull())
@@ -136,16 +136,16 @@ def grid_candidates(
     names = schema.names
     rows = rows.select(*dict.fromkeys([*kept, vec, *([cell] if cell else [])]))
     queries = queries.select(qid, qvec, *([query_cells] if query_cells else []))
-    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells)
+    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k)
     nothing = to_arrow_schema(schema).empty_table()
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return nothing
-        block, own = query_block(right, qid, qvec, codec)
-        best = kernel.Best(spec, len(block.matrix))
-        kernel.offer(best, left, vec, own, block)
-        out = list(best.batches(block.ids, names))
+        asked = Queries(right, qid, qvec, codec)
+        best = kernel.Best(spec, asked.count)
+        kernel.offer(best, left, vec, asked)
+        out = list(best.batches(asked.ids, names))
         return pa.Table.from_batches(out) if out else nothing
 
     return dealt.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(meet, schema)

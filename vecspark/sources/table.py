@@ -12,12 +12,13 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark import schema as S
 from vecspark.schema import DEFAULT_PARTITION, MAX_PARTITIONS
+from vecspark.session import materialize
 
 PARTITION = "_partition"
 SEGMENT = "_seg"
@@ -135,8 +136,12 @@ class VectorTable:
         where = F.lit(partition or DEFAULT_PARTITION) if not isinstance(partition, Column) else partition
         return df.withColumn(PARTITION, where)
 
-    def _write(self, placed: DataFrame, sealed: bool) -> list[tuple[str, str, bool]]:
-        """Write rows as one new segment, balanced: large partitions split, small ones merged."""
+    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False) -> list[tuple[str, str, bool]]:
+        """Write rows as one new segment.
+
+        ``balance`` shuffles rows to their partitions first (large ones split, small ones merged); rows
+        of one known partition are written where they are.
+        """
         seg = uuid.uuid4().hex
         path = f"{self.path}/data/{SEGMENT}={seg}"
         clustering = S.flagged(self.schema, "clustering_key")
@@ -144,7 +149,7 @@ class VectorTable:
         out = placed.select(*[F.col(f"`{c}`") for c in columns])
         if clustering:
             out = out.repartitionByRange(PARTITION, *clustering).sortWithinPartitions(PARTITION, *clustering)
-        else:
+        elif balance:
             out = out.hint("rebalance", F.col(PARTITION))
         out.write.partitionBy(PARTITION).parquet(path)
         root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -157,13 +162,16 @@ class VectorTable:
         entries = self.entries()
         if isinstance(partition, str) and partition:
             self._check_known([partition], entries)
-        new = self._write(self._placed(df, partition), sealed)
+        new = self._write(self._placed(df, partition), sealed, self._spreads(partition))
         known = {e.part for e in entries}
         named = [] if self.partition_key else [("", p, True) for p in {p for _, p, _ in new} - known]
         if len(known) + len(named) > MAX_PARTITIONS:
             raise ValueError(f"a table has at most {MAX_PARTITIONS} partitions")
         self._commit([*entries, *named, *new])
 
+    def _spreads(self, partition: str | Column | None) -> bool:
+        return self.partition_key is not None or isinstance(partition, Column)
+
     def create_partition(self, name: str) -> None:
         if self.partition_key:
             raise ValueError("partitions cannot be named on a table with a partition key")
@@ -179,34 +187,30 @@ class VectorTable:
         found = matches.select(SEGMENT, PARTITION).distinct().collect()
         return {(r[0], r[1]) for r in found}
 
-    def _replace(self, entries: Sequence, touched: set[tuple[str, str]], keep, added: DataFrame | None) -> None:
-        """Commit: touched folders rewritten through ``keep``, the rest as they are, plus new rows."""
-        stay = [e for e in entries if (e.seg, e.part) not in touched]
+    def _rewrite(self, entries: Sequence, touched: set[tuple[str, str]], keep) -> list:
+        """The version's folders after passing the touched ones through ``keep``."""
         hit = [e for e in entries if (e.seg, e.part) in touched]
-        new: list = []
-        columns = [*self.schema.names, PARTITION]
-        if hit:
-            survivors = keep(self._read_entries(hit, located=True)).select(*[F.col(f"`{c}`") for c in columns])
-            if added is not None:
-                survivors = survivors.unionByName(added.select(*[F.col(f"`{c}`") for c in columns]))
-            new = self._write(survivors, sealed=False)
-        elif added is not None:
-            new = self._write(added, sealed=False)
-        self._commit([*stay, *new])
+        stay = [e for e in entries if (e.seg, e.part) not in touched]
+        return [*stay, *(self._write(keep(self._read_entries(hit, located=True)), sealed=False) if hit else [])]
 
     def upsert(self, batch: DataFrame, partition: str | None = None, *, seq: str | None = None) -> None:
         """Replace whole rows by primary key, else insert; the last row of a key in the batch wins.
 
         Keys are unique within the named partition, or across a table with a partition key (there a
-        changed partition key moves the row).
+        changed partition key moves the row).  The batch is computed once, as the new segment; its
+        keys are then read back to find and rewrite the old folders that hold them.
         """
-        placed = self._placed(last_per_key(batch, self.pk, self.schema.names, seq), partition)
         entries = self.entries()
+        if partition:
+            self._check_known([partition], entries)
+        placed = self._placed(last_per_key(batch, self.pk, self.schema.names, seq), partition)
+        new = [Row(seg=s, part=p, sealed=x) for s, p, x in self._write(placed, False, self._spreads(partition))]
+        if not new:
+            return
+        keys = self._read_entries(new, located=True).select(self.pk)
         scope = entries if self.partition_key else [e for e in entries if e.part == (partition or DEFAULT_PARTITION)]
-        keys = placed.select(self.pk)
-        located = self._read_entries(scope, located=True)
-        touched = self._holding(located.join(keys, self.pk, "left_semi"))
-        self._replace(entries, touched, lambda old: old.join(keys, self.pk, "left_anti"), placed)
+        touched = self._holding(self._read_entries(scope, located=True).join(keys, self.pk, "left_semi"))
+        self._commit([*self._rewrite(entries, touched, lambda old: old.join(keys, self.pk, "left_anti")), *new])
 
     def delete_by_pk(self, keys: DataFrame, partition: str | None = None) -> None:
         """Delete the listed primary keys; duplicates are fine, an empty list is an error."""
@@ -214,11 +218,12 @@ class VectorTable:
             raise ValueError(f"deletion takes the primary key column {self.pk} only")
         if keys.isEmpty():
             raise ValueError("no keys given")
+        keys = materialize(keys.distinct(), "keys")
         entries = self.entries()
         scope = self._scope(entries, partition)
         touched = self._holding(self._read_entries(scope, located=True).join(keys, self.pk, "left_semi"))
         if touched:
-            self._replace(entries, touched, lambda old: old.join(keys, self.pk, "left_anti"), None)
+            self._commit(self._rewrite(entries, touched, lambda old: old.join(keys, self.pk, "left_anti")))
 
     def delete_by_filter(self, predicate: Column | str, partition: str | None = None) -> None:
         """Delete the rows for which the predicate is true (not null); an empty predicate is refused."""
@@ -229,7 +234,7 @@ class VectorTable:
         scope = self._scope(entries, partition)
         touched = self._holding(self._read_entries(scope, located=True).where(hit))
         if touched:
-            self._replace(entries, touched, lambda old: old.where(~F.coalesce(hit, F.lit(False))), None)
+            self._commit(self._rewrite(entries, touched, lambda old: old.where(~F.coalesce(hit, F.lit(False)))))
 
     def _scope(self, entries: Sequence, partition: str | None) -> list:
         if not partition:
@@ -255,7 +260,7 @@ class VectorTable:
         entries = self.entries()
         if any(e.seg for e in entries):
             names = [e for e in entries if not e.seg]
-            self._commit([*names, *self._write(self._read_entries(entries, located=True), sealed=True)])
+            self._commit([*names, *self._write(self._read_entries(entries, located=True), True, True)])
 
     def compact_plan(self, target_bytes: int) -> DataFrame:
         """(partition, target, sources): which files would be merged into files of the target size."""
