@@ -11,6 +11,7 @@ from vecspark.operators.search import search
 from vecspark.session import scratch_path
 from vecspark.sources.table import VectorTable
 from vecspark.streaming import streams
+from workload.encodings import CLOSE_SQL, close_to_exact
 from workload.fixtures import (COS_SQL, HAM_SQL, L2_SQL, SELF_SQL, binary_queries, binary_rows, centroids, embeddings, rounded,
                                self_queries)
 from workload.registry import query, table
@@ -53,9 +54,10 @@ def ivf_binary(spark, sf):
     return rounded(ann.ivf_search(index, binary_queries(spark, sf), 10, metric="HAMMING", nprobe=NLIST))
 
 
-@query("ivf_sq8")
+@query("ivf_sq8", CLOSE_SQL)
 def ivf_sq8(spark, sf):
-    return rounded(ann.ivf_search(build(spark, sf, "sq8"), centroids(spark, sf), 10, metric="L2", nprobe=NLIST), 2)
+    hits = ann.ivf_search(build(spark, sf, "sq8"), centroids(spark, sf), 10, metric="L2", nprobe=NLIST)
+    return close_to_exact(hits, spark, sf, 0.05)
 
 
 @query("ivf_pq")

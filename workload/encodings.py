@@ -191,18 +191,28 @@ def range_search_binary(spark, sf):
     return bits_search(spark, sf, "HAMMING", k=50, radius=24, range_filter=10)
 
 
+CLOSE_SQL = "SELECT q.label AS qid, r.rank::bigint AS rank, true AS close FROM (SELECT DISTINCT label FROM embeddings) q, range(1, 11) r(rank)"
+
+
+def close_to_exact(hits, spark, sf, within):
+    """(qid, rank, close): whether the score at every rank is that of the exact list up to ``within``."""
+    exact = search(embeddings(spark, sf), centroids(spark, sf), 10, metric="L2", vec="embedding", pk="vec_id")
+    both = hits.select("qid", "rank", "score").join(exact.select("qid", "rank", F.col("score").alias("exact")), ["qid", "rank"])
+    return both.select("qid", "rank", (F.abs(F.col("score") - F.col("exact")) < within).alias("close"))
+
+
 def _half_search(spark, sf, pack, encoding):
     rows = embeddings(spark, sf).select("vec_id", pack("embedding").alias("half"))
     hits = search(rows, centroids(spark, sf), 10, metric="L2", vec="half", pk="vec_id", encoding=encoding)
-    return rounded(hits, 2)
+    return close_to_exact(hits, spark, sf, 0.02)
 
 
-@query("knn_fp16")
+@query("knn_fp16", CLOSE_SQL)
 def knn_fp16(spark, sf):
     return _half_search(spark, sf, packing.pack_fp16, "fp16")
 
 
-@query("knn_bf16")
+@query("knn_bf16", CLOSE_SQL)
 def knn_bf16(spark, sf):
     return _half_search(spark, sf, packing.pack_bf16, "bf16")
 

@@ -370,13 +370,14 @@ def compact(spark, sf):
     return t.read().select(*SHOWN, F.lit(folders).cast("bigint").alias("folders"))
 
 
-@query("compact_plan")
+@query("compact_plan", "SELECT '_default' AS _partition, 0::bigint AS target, true AS complete FROM orders LIMIT 1")
 def compact_plan(spark, sf):
     t = new_table(spark, order_schema())
     for status in ("F", "O", "P"):
         t.insert(orders(spark, sf).where(c("o_orderstatus") == status).select(*PLAIN))
     plan = t.compact_plan(1 << 30)
-    return plan.select("_partition", "target", F.size("sources").alias("files"))
+    files_per_partition = t.file_stats().groupBy("_partition").agg(F.count("*").alias("files"))
+    return plan.join(files_per_partition, "_partition").select("_partition", "target", (F.size("sources") == c("files")).alias("complete"))
 
 
 @query("expire_ttl", "SELECT event_id, value FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 864000 SECOND")
