@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPARSE_TYPE = "array<struct<i:bigint,v:float>>"
+SPARSE = T.ArrayType(T.StructType([T.StructField("i", T.LongType()), T.StructField("v", T.FloatType())]))
 MAX_SPARSE_INDEX = 2**32 - 1
 
 
@@ -94,7 +94,7 @@ def pack_sparse(positions: Column | str, values: Column | str) -> Column:
     pairs = F.zip_with(p, v, lambda i, x: F.struct(i.cast("bigint").alias("i"), x.cast("float").alias("v")))
     same = F.size(p) == F.size(v)
     return F.when(same, F.sort_array(pairs)).otherwise(
-        F.raise_error(F.lit("sparse vector: positions and values differ in number")).cast(SPARSE_TYPE))
+        F.raise_error(F.lit("sparse vector: positions and values differ in number")).cast(SPARSE))
 
 
 def sparse_dim(vec: Column | str) -> Column:
@@ -106,16 +106,28 @@ def drop_smallest(vec: Column | str, ratio: float) -> Column:
     """Drop the floor(ratio * entries) entries of smallest magnitude (ties: highest position first)."""
     if not 0 <= ratio < 1:
         raise ValueError("drop ratio must be in [0, 1)")
-    v = _c(vec)
     if ratio == 0:
-        return v
-    keyed = F.sort_array(F.transform(v, lambda e: F.struct(-F.abs(e["v"]), e["i"], e["v"].alias("v"))))
-    keep = F.size(v) - F.floor(F.size(v) * F.lit(float(ratio))).cast("int")
-    kept = F.slice(keyed, F.lit(1), keep)
-    return F.sort_array(F.transform(kept, lambda e: F.struct(e["i"].alias("i"), e["v"].alias("v"))))
-
-
-@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("i", T.LongType()), T.StructField("v", T.FloatType())])))
+        return _c(vec)
+
+    @F.arrow_udf(SPARSE)
+    def drop(rows: pa.Array) -> pa.Array:
+        count = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(rows)), count)
+        entries = rows.flatten()
+        size = np.abs(entries.field(1).to_numpy(zero_copy_only=False))
+        order = np.lexsort((entries.field(0).to_numpy(zero_copy_only=False), -size, row))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        keep = np.zeros(len(row), bool)
+        keep[order] = place < (count - np.floor(count * ratio))[row]
+        left = np.bincount(row[keep], minlength=len(rows))
+        ends = np.concatenate([[0], np.cumsum(left)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), entries.filter(pa.array(keep)),
+                                        mask=rows.is_null() if rows.null_count else None)
+
+    return drop(vec)
+
+
+@F.arrow_udf(SPARSE)
 def term_vector(text: pa.Array) -> pa.Array:
     """Term counts of a text as a sparse row.
 

@@ -127,13 +127,33 @@ def ivf_build(
         out = out.withColumn(CODE, _pq_encoder(index.books)(vec))
     if coding and not keep_raw:
         out = out.drop(vec)
-    # cell first, then a hash: a cell with many rows spreads over several tasks and files
-    spread = F.xxhash64(F.col(pk), F.col(vec)) if vec in out.columns else F.xxhash64(F.col(pk), F.col(CODE))
-    out.repartitionByRange(F.col(CELL), spread).sortWithinPartitions(CELL).write.parquet(f"{path}/rows")
+    _lay_out(index, out, [int(n) for n in model.summary.clusterSizes]).write.parquet(f"{path}/rows")
     _save(index)
     return index
 
 
+def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int]) -> DataFrame:
+    """Rows sorted by cell in files of even size, with one shuffle and no extra pass.
+
+    The unit interval is divided among the cells by their share of the training sample and cut into
+    equal file slots; a row's place is its cell's start plus a hash.  Small cells share a slot, and a
+    cell holding a third of all rows takes a third of the slots.
+    """
+    spark = index.spark
+    total = float(sum(sampled) + len(sampled))
+    shares, start = [], 0.0
+    for cell, n in enumerate(sampled):
+        shares.append((cell, start, (n + 1) / total))
+        start += (n + 1) / total
+    slots = max(min(index.nlist, spark.sparkContext.defaultParallelism), session.estimated_tasks(rows))
+    placed = rows.join(spark.createDataFrame(shares, f"{CELL} int, _start double, _share double"), CELL)
+    content = CODE if index.coding else index.vec
+    even = F.pmod(F.xxhash64(F.col(index.pk), F.col(content)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    slot = F.floor((F.col("_start") + even * F.col("_share")) * F.lit(slots)).cast("int")
+    return placed.withColumn("_slot", slot).repartitionById(slots, F.col("_slot")).sortWithinPartitions(CELL).drop(
+        "_slot", "_start", "_share")
+
+
 def _save(index: IvfIndex) -> None:
     spark = index.spark
     cells = [(i, c.tolist()) for i, c in enumerate(index.centers)]

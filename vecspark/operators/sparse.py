@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vecspark.functions.packing import drop_smallest
 from vecspark.operators.search import search
+from vecspark.session import materialize
 
 FILTER_DIMS = 10000  # up to this many query dimensions the postings scan gets an IN filter
 
@@ -20,8 +21,9 @@ def postings(rows: DataFrame, *, pk: str, vec: str, drop_ratio: float = 0.0) ->
 
 def write_postings(rows: DataFrame, path: str, *, pk: str, vec: str, drop_ratio: float = 0.0) -> None:
     """Postings laid out by (dim, pk): range partitions split a frequent dimension over several files,
-    and a search reads only the row groups of its own dimensions."""
-    entries = postings(rows, pk=pk, vec=vec, drop_ratio=drop_ratio)
+    and a search reads only the row groups of its own dimensions.  The entries are written once
+    before, because choosing the ranges reads them a second time."""
+    entries = materialize(postings(rows, pk=pk, vec=vec, drop_ratio=drop_ratio), "entries")
     entries.repartitionByRange("dim", pk).sortWithinPartitions("dim", pk).write.parquet(path)
 
 

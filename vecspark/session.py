@@ -55,6 +55,16 @@ def estimated_tasks(df: DataFrame) -> int:
     return max(1, estimated_bytes(df) // max(1, _to_bytes(split)))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input too small to occupy the cluster over all cores.
+
+    For row-wise work that costs more than moving the row.  Inputs with at least one scan task per
+    core are returned as they are, so at most cores x split size is ever moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_tasks(df) < cores else df
+
+
 def _to_bytes(text: str) -> int:
     units = {"k": 10, "m": 20, "g": 30, "t": 40}
     t = text.strip().lower()

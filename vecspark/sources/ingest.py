@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,12 +124,23 @@ def prepare(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def ingest(table, df: DataFrame, partition: str | None = None) -> None:
-    """Validated append: a batch with any broken row is refused as a whole."""
+    """Validated append: a batch with any broken row is refused as a whole.
+
+    The rules are counted while the rows are written, so the batch is read once; the new files only
+    become part of the table when every count is zero.
+    """
     ready = prepare(df, table.schema)
-    broken = violations(ready, table.schema).groupBy("rule").count().collect()  # one row per rule
-    if broken:
-        raise ValueError("; ".join(f"{r['rule']} ({r['count']} rows)" for r in sorted(broken)))
-    table.insert(ready, partition)
+    checks = rules(table.schema)
+    seen = Observation()
+    watched = ready.observe(seen, F.count("*").alias("rows"), *[
+        F.count_if(F.coalesce(bad, F.lit(False))).alias(f"r{i}") for i, (_, bad) in enumerate(checks)])
+
+    def accept() -> None:
+        broken = [f"{name} ({seen.get[f'r{i}']} rows)" for i, (name, _) in enumerate(checks) if seen.get[f"r{i}"]]
+        if broken:
+            raise ValueError("; ".join(sorted(broken)))
+
+    table.insert(watched, partition, accept=accept)
 
 
 # ---------------------------------------------------------------- generated keys

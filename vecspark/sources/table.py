@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ class VectorTable:
         self.schema = T.StructType.fromJson(saved["schema"])
         self.key_partitions = saved["key_partitions"]
         self.pk = S.primary_key(self.schema)
+        self._known: dict[int, list] = {}
         keys = S.flagged(self.schema, "partition_key")
         self.partition_key = keys[0] if keys else None
 
@@ -61,7 +62,9 @@ class VectorTable:
         """(segment, partition, sealed) folders of a version, and one row without a segment per named
         partition; at most writes x partitions rows."""
         at = self.versions()[-1] if version is None else version
-        return self.spark.read.schema(ENTRY).json(f"{self.path}/_versions/{at}").collect()
+        if at not in self._known:  # a version never changes once committed
+            self._known[at] = self.spark.read.schema(ENTRY).json(f"{self.path}/_versions/{at}").collect()
+        return list(self._known[at])
 
     def _commit(self, entries: Sequence[tuple[str, str, bool]]) -> None:
         past = self.versions()
@@ -157,12 +160,28 @@ class VectorTable:
         names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
         return [(seg, n.split("=", 1)[1], sealed) for n in names if n.startswith(f"{PARTITION}=")]
 
-    def insert(self, df: DataFrame, partition: str | Column | None = None, *, sealed: bool = False) -> None:
-        """Append rows; existing folders are untouched.  Uniqueness of keys is not checked."""
+    def _discard(self, written: Sequence[tuple[str, str, bool]]) -> None:
+        """Remove a segment that was written but will not be committed."""
+        for seg in {seg for seg, _, _ in written}:
+            root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{SEGMENT}={seg}")
+            root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+
+    def insert(self, df: DataFrame, partition: str | Column | None = None, *, sealed: bool = False,
+               accept: Callable[[], None] | None = None) -> None:
+        """Append rows; existing folders are untouched.  Uniqueness of keys is not checked.
+
+        ``accept`` is called after the write and before the commit; if it raises, nothing is added.
+        """
         entries = self.entries()
         if isinstance(partition, str) and partition:
             self._check_known([partition], entries)
         new = self._write(self._placed(df, partition), sealed, self._spreads(partition))
+        if accept is not None:
+            try:
+                accept()
+            except Exception:
+                self._discard(new)
+                raise
         known = {e.part for e in entries}
         named = [] if self.partition_key else [("", p, True) for p in {p for _, p, _ in new} - known]
         if len(known) + len(named) > MAX_PARTITIONS:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecspark.functions.packing import pack_bits, term_vector
+from vecspark.session import spread
 from workload.registry import table
 
 # Query set A: the mean vector of every label, rounded so that both engines hold the same values.
@@ -72,7 +73,7 @@ def binary_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumn("terms", term_vector("text"))
+    return spread(table(spark, sf_dir, "documents")).withColumn("terms", term_vector("text"))
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
