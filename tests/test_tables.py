@@ -74,6 +74,34 @@ def test_repeated_keys_in_a_batch(spark, folder):
     assert sorted((r.id, r.n) for r in t.read().collect()) == [(0, 996), (1, 997), (2, 998)]
 
 
+def test_partition_names_with_special_characters(spark, folder):
+    t = make(spark, folder)
+    for name in ("a/b=c", "100% ü"):
+        t.create_partition(name)
+        t.insert(points(spark, 0, 10), name)
+        t.upsert(points(spark, 5, 15, n=-1), name)
+        assert t.read([name]).count() == 15
+    t.compact()
+    assert sorted((r[0], r[1]) for r in t.list_partitions().collect()) == [("100% ü", 15), ("a/b=c", 15)]
+
+
+def test_second_writer_of_a_version_fails(spark, folder):
+    t = make(spark, folder)
+    t.versions = lambda: [0]
+    t.insert(points(spark, 0, 10))
+    with pytest.raises(FileExistsError):
+        t.insert(points(spark, 0, 10))
+
+
+def test_refused_batch_leaves_nothing(spark, folder):
+    import os
+
+    t = make(spark, folder)
+    with pytest.raises(ValueError):
+        ingest.ingest(t, points(spark, 0, 9).withColumn("n", F.when(F.col("id") != 4, F.col("id"))))
+    assert t.versions() == [0] and os.listdir(f"{folder}/t/data") == []
+
+
 def test_delete_rules(spark, folder):
     t = make(spark, folder)
     t.create_partition("p")

@@ -141,12 +141,10 @@ def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int]) -> DataFrame:
     """
     spark = index.spark
     total = float(sum(sampled) + len(sampled))
-    shares, start = [], 0.0
-    for cell, n in enumerate(sampled):
-        shares.append((cell, start, (n + 1) / total))
-        start += (n + 1) / total
+    share = (np.array(sampled, np.float64) + 1) / total
+    places = pa.table({CELL: pa.array(range(len(share)), pa.int32()), "_start": np.cumsum(share) - share, "_share": share})
     slots = max(min(index.nlist, spark.sparkContext.defaultParallelism), session.estimated_tasks(rows))
-    placed = rows.join(spark.createDataFrame(shares, f"{CELL} int, _start double, _share double"), CELL)
+    placed = rows.join(spark.createDataFrame(places), CELL)
     content = CODE if index.coding else index.vec
     even = F.pmod(F.xxhash64(F.col(index.pk), F.col(content)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     slot = F.floor((F.col("_start") + even * F.col("_share")) * F.lit(slots)).cast("int")
@@ -156,18 +154,18 @@ def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int]) -> DataFrame:
 
 def _save(index: IvfIndex) -> None:
     spark = index.spark
-    cells = [(i, c.tolist()) for i, c in enumerate(index.centers)]
-    spark.createDataFrame(cells, "cell int, center array<double>").write.parquet(f"{index.path}/centers")
+    centers = pa.table({"cell": pa.array(range(index.nlist), pa.int32()), "center": pa.array(index.centers.tolist())})
+    spark.createDataFrame(centers).write.parquet(f"{index.path}/centers")
     meta = {"pk": index.pk, "vec": index.vec, "kind": index.kind, "coding": index.coding, "fields": index.fields,
             "lo": None if index.lo is None else index.lo.tolist(), "step": None if index.step is None else index.step.tolist()}
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{index.path}/meta")
     if index.books is not None:
         books = [(s, c, v.tolist()) for s, book in enumerate(index.books) for c, v in enumerate(book)]
         spark.createDataFrame(books, "sub int, code int, center array<double>").write.parquet(f"{index.path}/books")
+    session.put_text(spark, f"{index.path}/meta.json", json.dumps(meta))  # last: an index without it is unfinished
 
 
 def ivf_load(spark: SparkSession, path: str) -> IvfIndex:
-    meta = json.loads(spark.read.text(f"{path}/meta", wholetext=True).first()[0])
+    meta = json.loads(session.get_text(spark, f"{path}/meta.json"))
     centers = np.array([r.center for r in spark.read.parquet(f"{path}/centers").orderBy("cell").collect()])
     books = None
     if meta["coding"] == "pq":

@@ -14,9 +14,10 @@ FILTER_DIMS = 10000  # up to this many query dimensions the postings scan gets a
 
 def postings(rows: DataFrame, *, pk: str, vec: str, drop_ratio: float = 0.0) -> DataFrame:
     """(dim, pk, value) entries, each row's smallest values dropped first."""
-    kept = rows.where(F.col(vec).isNotNull()).select(pk, drop_smallest(vec, drop_ratio).alias("_v"))
-    return kept.select(pk, F.explode("_v").alias("_e")).select(
-        F.col("_e.i").alias("dim"), pk, F.col("_e.v").alias("value"))
+    kept = rows.select(pk, drop_smallest(vec, drop_ratio).alias("_v"))
+    # the outer form adds no filter on the vector, which would compute a derived vector twice
+    entries = kept.select(pk, F.inline_outer("_v").alias("dim", "value")).where(F.col("dim").isNotNull())
+    return entries.select("dim", pk, "value")
 
 
 def write_postings(rows: DataFrame, path: str, *, pk: str, vec: str, drop_ratio: float = 0.0) -> None:
@@ -37,7 +38,7 @@ def search_postings(
     entry per query dimension) and scored block-wise, so no (query, row) pairs are shuffled.
     """
     asked = queries.withColumn(qvec, drop_smallest(qvec, drop_ratio))
-    dims = asked.select(F.explode(qvec).alias("_e")).select(F.col("_e.i").alias("dim")).distinct()
+    dims = asked.select(F.inline_outer(qvec).alias("dim", "_value")).select("dim").where("dim IS NOT NULL").distinct()
     some = [r.dim for r in dims.limit(FILTER_DIMS + 1).collect()]
     if len(some) <= FILTER_DIMS:
         wanted = index.where(F.col("dim").isin(some))

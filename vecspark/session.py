@@ -42,6 +42,33 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Publish a small text file; it appears whole, and an existing one is never replaced."""
+    fs, final = filesystem(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, at = filesystem(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Optimizer size estimate of a plan (an upper bound for scans, filters and projections)."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

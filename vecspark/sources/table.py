@@ -1,9 +1,9 @@
 """Versioned vector tables on parquet.
 
 Data lives in write-once folders ``data/_seg=<id>/_partition=<name>/``; a version is a small list of
-those folders, committed by the success marker of its own write.  A change rewrites only the folders
-that hold matching rows; everything else is carried over by name.  One writer at a time is assumed: a
-second writer of the same version fails on the existing folder.
+those folders, published as a whole by one rename.  A change rewrites only the folders that hold
+matching rows; everything else is carried over by name.  One writer at a time is assumed: a second
+writer of the same version fails on the existing file.
 """
 
 from __future__ import annotations
@@ -11,24 +11,34 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark import schema as S
 from vecspark.schema import DEFAULT_PARTITION, MAX_PARTITIONS
-from vecspark.session import materialize
+from vecspark.session import filesystem, get_text, materialize, put_text
 
 PARTITION = "_partition"
 SEGMENT = "_seg"
-ENTRY = "seg string, part string, sealed boolean"
+
+
+class Entry(NamedTuple):
+    """One folder of a version; without a segment it only names a partition."""
+
+    seg: str
+    part: str
+    sealed: bool
+    folder: str = ""  # the partition's folder name, special characters escaped
 
 
 class VectorTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        saved = json.loads(spark.read.text(f"{self.path}/_schema", wholetext=True).first()[0])
+        saved = json.loads(get_text(spark, f"{self.path}/_schema"))
         self.schema = T.StructType.fromJson(saved["schema"])
         self.key_partitions = saved["key_partitions"]
         self.pk = S.primary_key(self.schema)
@@ -42,35 +52,30 @@ class VectorTable:
         if not 1 <= key_partitions <= MAX_PARTITIONS:
             raise ValueError(f"partitions must be in [1, {MAX_PARTITIONS}]")
         saved = json.dumps({"schema": schema.jsonValue(), "key_partitions": key_partitions})
-        spark.createDataFrame([(saved,)], "value string").coalesce(1).write.text(f"{path}/_schema")
+        put_text(spark, f"{path}/_schema", saved)
         table = cls(spark, path)
-        table._commit([] if table.partition_key else [("", DEFAULT_PARTITION, True)])
+        table._commit([] if table.partition_key else [Entry("", DEFAULT_PARTITION, True)])
         return table
 
     # ------------------------------------------------------------ versions
 
     def versions(self) -> list[int]:
         """Committed versions, oldest first."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions/*/_SUCCESS"))
-        return sorted(int(s.getPath().getParent().getName()) for s in found)
+        fs, pattern = filesystem(self.spark, f"{self.path}/_versions/*.json")
+        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.globStatus(pattern) or [])
 
     def entries(self, version: int | None = None) -> list:
         """(segment, partition, sealed) folders of a version, and one row without a segment per named
         partition; at most writes x partitions rows."""
         at = self.versions()[-1] if version is None else version
         if at not in self._known:  # a version never changes once committed
-            self._known[at] = self.spark.read.schema(ENTRY).json(f"{self.path}/_versions/{at}").collect()
+            self._known[at] = [Entry(*e) for e in json.loads(get_text(self.spark, f"{self.path}/_versions/{at}.json"))]
         return list(self._known[at])
 
-    def _commit(self, entries: Sequence[tuple[str, str, bool]]) -> None:
+    def _commit(self, entries: Sequence[Entry]) -> None:
         past = self.versions()
         number = past[-1] + 1 if past else 0
-        rows = self.spark.createDataFrame([tuple(e) for e in entries], ENTRY).coalesce(1)
-        rows.write.json(f"{self.path}/_versions/{number}")
+        put_text(self.spark, f"{self.path}/_versions/{number}.json", json.dumps(list(entries)))
 
     # ------------------------------------------------------------ reading
 
@@ -105,7 +110,7 @@ class VectorTable:
         if not entries:
             df = self.spark.createDataFrame([], full)
         else:
-            paths = [f"{self.path}/data/{SEGMENT}={e.seg}/{PARTITION}={e.part}" for e in entries]
+            paths = [f"{self.path}/data/{SEGMENT}={e.seg}/{e.folder}" for e in entries]
             df = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*paths)
         return df if located else df.select(*[self._declared(f) for f in self.schema.fields])
 
@@ -139,7 +144,7 @@ class VectorTable:
         where = F.lit(partition or DEFAULT_PARTITION) if not isinstance(partition, Column) else partition
         return df.withColumn(PARTITION, where)
 
-    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False) -> list[tuple[str, str, bool]]:
+    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False) -> list[Entry]:
         """Write rows as one new segment.
 
         ``balance`` shuffles rows to their partitions first (large ones split, small ones merged); rows
@@ -155,16 +160,15 @@ class VectorTable:
         elif balance:
             out = out.hint("rebalance", F.col(PARTITION))
         out.write.partitionBy(PARTITION).parquet(path)
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, root = filesystem(self.spark, path)
         names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-        return [(seg, n.split("=", 1)[1], sealed) for n in names if n.startswith(f"{PARTITION}=")]
+        return [Entry(seg, unquote(n.split("=", 1)[1]), sealed, n) for n in names if n.startswith(f"{PARTITION}=")]
 
-    def _discard(self, written: Sequence[tuple[str, str, bool]]) -> None:
+    def _discard(self, written: Sequence[Entry]) -> None:
         """Remove a segment that was written but will not be committed."""
-        for seg in {seg for seg, _, _ in written}:
-            root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/{SEGMENT}={seg}")
-            root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+        for seg in {e.seg for e in written}:
+            fs, root = filesystem(self.spark, f"{self.path}/data/{SEGMENT}={seg}")
+            fs.delete(root, True)
 
     def insert(self, df: DataFrame, partition: str | Column | None = None, *, sealed: bool = False,
                accept: Callable[[], None] | None = None) -> None:
@@ -183,7 +187,7 @@ class VectorTable:
                 self._discard(new)
                 raise
         known = {e.part for e in entries}
-        named = [] if self.partition_key else [("", p, True) for p in {p for _, p, _ in new} - known]
+        named = [] if self.partition_key else [Entry("", p, True) for p in {e.part for e in new} - known]
         if len(known) + len(named) > MAX_PARTITIONS:
             raise ValueError(f"a table has at most {MAX_PARTITIONS} partitions")
         self._commit([*entries, *named, *new])
@@ -199,7 +203,7 @@ class VectorTable:
         if len(known) >= MAX_PARTITIONS:
             raise ValueError(f"a table has at most {MAX_PARTITIONS} partitions")
         if name not in known:
-            self._commit([*entries, ("", name, True)])
+            self._commit([*entries, Entry("", name, True)])
 
     def _holding(self, matches: DataFrame) -> set[tuple[str, str]]:
         """Folders with at least one of the given located rows."""
@@ -223,7 +227,7 @@ class VectorTable:
         if partition:
             self._check_known([partition], entries)
         placed = self._placed(last_per_key(batch, self.pk, self.schema.names, seq), partition)
-        new = [Row(seg=s, part=p, sealed=x) for s, p, x in self._write(placed, False, self._spreads(partition))]
+        new = self._write(placed, False, self._spreads(partition))
         if not new:
             return
         keys = self._read_entries(new, located=True).select(self.pk)
