@@ -37,20 +37,48 @@ def test_count_chain(spark, folder):
     assert t.read(version=1).count() == 3000  # older versions stay readable
 
 
-def test_changes_rewrite_only_touched_folders(spark, folder):
+def test_changes_leave_other_folders_alone(spark, folder):
     t = make(spark, folder)
     t.insert(points(spark, 0, 100))
     t.insert(points(spark, 100, 200))
     first, second = [e.seg for e in t.entries() if e.seg]
     t.upsert(points(spark, 150, 160, n=-1))
-    after = {e.seg for e in t.entries()}
-    assert first in after and second not in after
+    replaced = {e.seg: list(e.replaced) for e in t.entries()}
+    assert replaced[first] == [] and replaced[second]
     assert t.read().count() == 200
     untouched = t.versions()
     t.delete_by_pk(spark.range(5000, 5010).toDF("id"))  # no match: no new version
     assert t.versions() == untouched
 
 
+def test_changes_rewrite_only_touched_files(spark, folder):
+    t = make(spark, folder)
+    t.insert(points(spark, 0, 1000).repartitionByRange(10, "id"), sealed=True)
+    files = lambda: {r.file for r in t.file_stats().collect()}
+    before = files()
+    t.upsert(points(spark, 150, 160, n=-1))
+    t.delete_by_filter("id BETWEEN 320 AND 330")
+    after = files()
+    assert len(before) == 10 and len(before & after) == 8
+    assert t.read().count() == 989 and t.read().where("n = -1").count() == 10
+    assert t.read(ignore_growing=True).count() == 979  # survivors of sealed files stay sealed
+    t.delete_by_pk(spark.range(0, 1000).toDF("id"))
+    assert t.read().count() == 0
+    t.insert(points(spark, 0, 10))
+    assert t.read().count() == 10
+
+
+def test_many_touched_files_rewrite_folders(spark, folder, monkeypatch):
+    from vecspark.sources import table
+
+    monkeypatch.setattr(table, "MAX_FILES", 2)
+    t = make(spark, folder)
+    t.insert(points(spark, 0, 1000).repartitionByRange(10, "id"))
+    t.delete_by_filter("id % 100 = 0")
+    t.upsert(points(spark, 0, 1000, n=-1))
+    assert t.read().count() == 1000 and t.read().where("n <> -1").count() == 0
+
+
 def test_upsert_scopes(spark, folder):
     t = make(spark, folder)
     t.create_partition("p")

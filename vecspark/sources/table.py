@@ -1,9 +1,9 @@
 """Versioned vector tables on parquet.
 
 Data lives in write-once folders ``data/_seg=<id>/_partition=<name>/``; a version is a small list of
-those folders, published as a whole by one rename.  A change rewrites only the folders that hold
-matching rows; everything else is carried over by name.  One writer at a time is assumed: a second
-writer of the same version fails on the existing file.
+those folders, published as a whole by one rename.  A change rewrites only the files that hold
+matching rows and notes their names as replaced; everything else is carried over.  One writer at a
+time is assumed: a second writer of the same version fails on the existing file.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from vecspark.session import filesystem, get_text, materialize, put_text
 
 PARTITION = "_partition"
 SEGMENT = "_seg"
+FILE = "_file"
+MAX_FILES = 10000  # a change that touches more files than this rewrites whole folders
 
 
 class Entry(NamedTuple):
@@ -33,6 +35,7 @@ class Entry(NamedTuple):
     part: str
     sealed: bool
     folder: str = ""  # the partition's folder name, special characters escaped
+    replaced: Sequence[str] = ()  # files of the folder whose rows now live elsewhere
 
 
 class VectorTable:
@@ -108,10 +111,15 @@ class VectorTable:
         folders = [T.StructField(SEGMENT, T.StringType()), T.StructField(PARTITION, T.StringType())]
         full = T.StructType([*self.schema.fields, *folders])
         if not entries:
-            df = self.spark.createDataFrame([], full)
+            df = self.spark.createDataFrame([], full).withColumn(FILE, F.lit(None).cast("string"))
         else:
             paths = [f"{self.path}/data/{SEGMENT}={e.seg}/{e.folder}" for e in entries]
             df = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*paths)
+            # a predicate on file metadata alone is settled when files are listed
+            name = F.substring_index("_metadata.file_path", "/data/", -1)
+            replaced = [f for e in entries for f in e.replaced]
+            df = df.where(~name.isin(replaced)) if replaced else df
+            df = df.withColumn(FILE, name) if located else df
         return df if located else df.select(*[self._declared(f) for f in self.schema.fields])
 
     @staticmethod
@@ -144,9 +152,11 @@ class VectorTable:
         where = F.lit(partition or DEFAULT_PARTITION) if not isinstance(partition, Column) else partition
         return df.withColumn(PARTITION, where)
 
-    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False) -> list[Entry]:
+    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False, ordered: bool = False) -> list[Entry]:
         """Write rows as one new segment.
 
+        ``ordered`` (and a clustering key) sorts rows into files of disjoint key ranges.
+
         ``balance`` shuffles rows to their partitions first (large ones split, small ones merged); rows
         of one known partition are written where they are.
         """
@@ -155,8 +165,10 @@ class VectorTable:
         clustering = S.flagged(self.schema, "clustering_key")
         columns = [*self.schema.names, PARTITION]
         out = placed.select(*[F.col(f"`{c}`") for c in columns])
-        if clustering:
-            out = out.repartitionByRange(PARTITION, *clustering).sortWithinPartitions(PARTITION, *clustering)
+        if clustering or ordered:
+            order = [PARTITION, *(clustering or [self.pk])]
+            spread = F.xxhash64(*[f.name for f in S.declared(self.schema) if not isinstance(f.dataType, T.VariantType)])
+            out = out.repartitionByRange(*order, spread).sortWithinPartitions(*order)
         elif balance:
             out = out.hint("rebalance", F.col(PARTITION))
         out.write.partitionBy(PARTITION).parquet(path)
@@ -205,23 +217,53 @@ class VectorTable:
         if name not in known:
             self._commit([*entries, Entry("", name, True)])
 
-    def _holding(self, matches: DataFrame) -> set[tuple[str, str]]:
-        """Folders with at least one of the given located rows."""
-        found = matches.select(SEGMENT, PARTITION).distinct().collect()
-        return {(r[0], r[1]) for r in found}
-
-    def _rewrite(self, entries: Sequence, touched: set[tuple[str, str]], keep) -> list:
-        """The version's folders after passing the touched ones through ``keep``."""
+    def _touched(self, scope: Sequence[Entry], matching: Callable[[DataFrame], DataFrame]) -> dict[tuple[str, str], list[str]]:
+        """Files with at least one matching row, by folder; an empty list stands for the whole folder."""
+        matches = matching(self._read_entries(scope, located=True))
+        files = matches.select(SEGMENT, PARTITION, FILE).distinct().limit(MAX_FILES + 1).collect()
+        if len(files) > MAX_FILES:
+            return {(r[0], r[1]): [] for r in matches.select(SEGMENT, PARTITION).distinct().collect()}
+        found: dict[tuple[str, str], list[str]] = {}
+        for seg, part, name in files:
+            found.setdefault((seg, part), []).append(name)
+        return found
+
+    def _rewrite(self, entries: Sequence[Entry], touched: dict[tuple[str, str], list[str]],
+                 keep: Callable[[DataFrame], DataFrame]) -> list[Entry]:
+        """The version's folders after passing the rows of touched files through ``keep``; rows of
+        sealed folders stay sealed."""
+        out = [e for e in entries if (e.seg, e.part) not in touched]
         hit = [e for e in entries if (e.seg, e.part) in touched]
-        stay = [e for e in entries if (e.seg, e.part) not in touched]
-        return [*stay, *(self._write(keep(self._read_entries(hit, located=True)), sealed=False) if hit else [])]
+        for sealed in (True, False):
+            part = [e for e in hit if e.sealed == sealed]
+            if not part:
+                continue
+            rows = self._read_entries(part, located=True)
+            names = [n for e in part for n in touched[(e.seg, e.part)]]
+            if names:
+                rows = rows.where(F.col(FILE).isin(names))
+                gone = [e._replace(replaced=[*e.replaced, *touched[(e.seg, e.part)]]) for e in part]
+                out += [e for e in gone if len(e.replaced) < self._files_in(e)]
+            out += self._write(keep(rows), sealed)
+        return out
+
+    def _files_in(self, entry: Entry) -> int:
+        fs, root = filesystem(self.spark, f"{self.path}/data/{SEGMENT}={entry.seg}/{entry.folder}")
+        return sum(1 for s in fs.listStatus(root) if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
+
+    def _by_keys(self, keys: DataFrame) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]:
+        """(rows with one of the keys, rows without); the search for files skips row groups outside
+        the range of the keys."""
+        low, high = keys.agg(F.min(self.pk), F.max(self.pk)).first()
+        near = lambda rows: rows.where(F.col(self.pk).between(low, high))
+        return (lambda rows: near(rows).join(keys, self.pk, "left_semi"), lambda rows: rows.join(keys, self.pk, "left_anti"))
 
     def upsert(self, batch: DataFrame, partition: str | None = None, *, seq: str | None = None) -> None:
         """Replace whole rows by primary key, else insert; the last row of a key in the batch wins.
 
         Keys are unique within the named partition, or across a table with a partition key (there a
         changed partition key moves the row).  The batch is computed once, as the new segment; its
-        keys are then read back to find and rewrite the old folders that hold them.
+        keys are then read back to find and rewrite the old files that hold them.
         """
         entries = self.entries()
         if partition:
@@ -232,8 +274,9 @@ class VectorTable:
             return
         keys = self._read_entries(new, located=True).select(self.pk)
         scope = entries if self.partition_key else [e for e in entries if e.part == (partition or DEFAULT_PARTITION)]
-        touched = self._holding(self._read_entries(scope, located=True).join(keys, self.pk, "left_semi"))
-        self._commit([*self._rewrite(entries, touched, lambda old: old.join(keys, self.pk, "left_anti")), *new])
+        having, lacking = self._by_keys(keys)
+        touched = self._touched(scope, having)
+        self._commit([*self._rewrite(entries, touched, lacking), *new])
 
     def delete_by_pk(self, keys: DataFrame, partition: str | None = None) -> None:
         """Delete the listed primary keys; duplicates are fine, an empty list is an error."""
@@ -244,9 +287,10 @@ class VectorTable:
         keys = materialize(keys.distinct(), "keys")
         entries = self.entries()
         scope = self._scope(entries, partition)
-        touched = self._holding(self._read_entries(scope, located=True).join(keys, self.pk, "left_semi"))
+        having, lacking = self._by_keys(keys)
+        touched = self._touched(scope, having)
         if touched:
-            self._commit(self._rewrite(entries, touched, lambda old: old.join(keys, self.pk, "left_anti")))
+            self._commit(self._rewrite(entries, touched, lacking))
 
     def delete_by_filter(self, predicate: Column | str, partition: str | None = None) -> None:
         """Delete the rows for which the predicate is true (not null); an empty predicate is refused."""
@@ -255,7 +299,7 @@ class VectorTable:
         hit = F.expr(predicate) if isinstance(predicate, str) else predicate
         entries = self.entries()
         scope = self._scope(entries, partition)
-        touched = self._holding(self._read_entries(scope, located=True).where(hit))
+        touched = self._touched(scope, lambda rows: rows.where(hit))
         if touched:
             self._commit(self._rewrite(entries, touched, lambda old: old.where(~F.coalesce(hit, F.lit(False)))))
 
@@ -279,11 +323,14 @@ class VectorTable:
     # ------------------------------------------------------------ maintenance and statistics
 
     def compact(self) -> None:
-        """Merge every partition's folders into one sealed folder; the row set stays the same."""
+        """Merge every partition's folders into one sealed folder in key order; the row set stays the same.
+
+        Files then hold disjoint key ranges, so later changes and lookups touch few of them.
+        """
         entries = self.entries()
         if any(e.seg for e in entries):
             names = [e for e in entries if not e.seg]
-            self._commit([*names, *self._write(self._read_entries(entries, located=True), True, True)])
+            self._commit([*names, *self._write(self._read_entries(entries, located=True), True, ordered=True)])
 
     def compact_plan(self, target_bytes: int) -> DataFrame:
         """(partition, target, sources): which files would be merged into files of the target size."""

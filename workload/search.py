@@ -64,14 +64,14 @@ def knn_output_fields(spark, sf):
     return hits.select("qid", "rank", "vec_id", "label", first.alias("e0"), "score")
 
 
-@query("range_search", topk_sql(L2_SQL, having="score >= 0.8 AND score < 1.0", k=100))
+@query("range_search", topk_sql(L2_SQL, having="score >= 1.0 AND score < 1.5", k=50, queries=SELF_SQL))
 def range_search(spark, sf):
-    return dense(spark, sf, "L2", k=100, radius=1.0, range_filter=0.8)
+    return dense(spark, sf, "L2", k=50, radius=1.5, range_filter=1.0, queries=self_queries)
 
 
-@query("range_search_ip", topk_sql(IP_SQL, desc=True, having="score >= 0.05 AND score < 0.1", k=100))
+@query("range_search_ip", topk_sql(IP_SQL, desc=True, having="score >= 0.25 AND score < 0.9", k=50, queries=SELF_SQL))
 def range_search_ip(spark, sf):
-    return dense(spark, sf, "IP", k=100, radius=0.05, range_filter=0.1)
+    return dense(spark, sf, "IP", k=50, radius=0.25, range_filter=0.9, queries=self_queries)
 
 
 GROUP_SQL = """WITH {q},

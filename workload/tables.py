@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from vecspark import schema as S
 from vecspark.functions import predicates as p
 from vecspark.operators import export, scans
+from vecspark.operators.distances import calc_distance, stored_vectors
+from vecspark.operators.search import search
 from vecspark.session import scratch_path
 from vecspark.sources import files, ingest
 from vecspark.sources.table import VectorTable
@@ -485,6 +487,30 @@ def scalar_layout(spark, sf):
     return spark.read.parquet(path).where("l_extendedprice > 90000")
 
 
+@query("knn_partitions", f"""WITH {CENTROIDS_SQL},
+s AS (SELECT q.qid, e.vec_id, {L2_SQL} AS score FROM q, embeddings e WHERE e.label IN (1, 4, 6)),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, vec_id) AS rank FROM s)
+SELECT qid, rank::bigint AS rank, vec_id, round(score, 4) AS score FROM r WHERE rank <= 10""")
+def knn_partitions(spark, sf):
+    """Vectors stored in one partition per label, searched in three of them."""
+    t = new_table(spark, S.table_schema([S.field("vec_id", L, pk=True), S.vector("embedding", "dense", 64)]))
+    t.insert(embeddings(spark, sf), F.concat(F.lit("label "), c("label").cast("string")))
+    hits = search(t.read(["label 1", "label 4", "label 6"]), centroids(spark, sf), 10, metric="L2", pk="vec_id")
+    return hits.withColumn("score", F.round("score", 4))
+
+
+@query("calc_distance_ids", f"""WITH {CENTROIDS_SQL}
+SELECT e.vec_id AS vec_id, q.qid AS right_id, round({L2_SQL}, 5) AS distance FROM embeddings e, q
+WHERE e.vec_id IN (SELECT doc_id FROM labels)""")
+def calc_distance_ids(spark, sf):
+    """The left side is given as ids: the stored vectors of all labelled numbers."""
+    ids = table(spark, sf, "labels").select(c("doc_id").alias("vec_id"))
+    left = stored_vectors(ids, embeddings(spark, sf), "vec_id", "embedding")
+    right = centroids(spark, sf).withColumnRenamed("qid", "right_id")
+    pairs = calc_distance(left, right, "L2", left=("vec_id", "embedding"), right=("right_id", "qvec"))
+    return pairs.withColumn("distance", F.round("distance", 5))
+
+
 # ---------------------------------------------------------------- exports
 
 @query("export_batches", """SELECT o_orderkey, row_no, ((row_no - 1) // 1000)::bigint AS batch_no FROM (
