@@ -30,6 +30,7 @@ CELL = "cell"
 CODE = "code"
 MAX_LIST = 65536  # fixed limit of cells and probes
 INDEX_BYTES = 256 << 20  # bound of centroids or code books shipped to every task
+FILE_BYTES = 128 << 20  # aimed size of one index file
 TRAIN_PER_CELL = 256
 SEED = 42
 
@@ -76,9 +77,8 @@ def _dense(vec: Column | str, kind: str, dim: int | None = None) -> Column:
     return F.flatten(F.transform(v, word))
 
 
-def bounded_sample(rows: DataFrame, size: int) -> DataFrame:
-    """About ``size`` rows for training; all rows when there are fewer."""
-    n = rows.count()
+def bounded_sample(rows: DataFrame, size: int, n: int) -> DataFrame:
+    """About ``size`` of ``n`` rows for training; all rows when there are fewer."""
     return rows if n <= size else rows.sample(min(1.0, 1.1 * size / n), seed=SEED)
 
 
@@ -110,7 +110,8 @@ def ivf_build(
     kind = vector_kind(rows.schema[vec])
     if kind in ("sparse", "fp16", "bf16") or (kind == "bits" and coding):
         raise ValueError("cells need plain float or uncoded binary vectors")
-    train = bounded_sample(rows.select(vec), nlist * TRAIN_PER_CELL).where(F.col(vec).isNotNull())
+    n = rows.count()
+    train = bounded_sample(rows.select(vec), nlist * TRAIN_PER_CELL, n).where(F.col(vec).isNotNull())
     base = rows.where(F.col(vec).isNotNull()).select(*dict.fromkeys([pk, vec, *fields]))
     points = train.select(array_to_vector(_dense(vec, kind)).alias("features"))
     model = KMeans(k=nlist, seed=SEED, maxIter=max_iter, initMode="random").fit(points)
@@ -127,12 +128,12 @@ def ivf_build(
         out = out.withColumn(CODE, _pq_encoder(index.books)(vec))
     if coding and not keep_raw:
         out = out.drop(vec)
-    _lay_out(index, out, [int(n) for n in model.summary.clusterSizes]).write.parquet(f"{path}/rows")
+    _lay_out(index, out, [int(c) for c in model.summary.clusterSizes], n).write.parquet(f"{path}/rows")
     _save(index)
     return index
 
 
-def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int]) -> DataFrame:
+def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int], n: int) -> DataFrame:
     """Rows sorted by cell in files of even size, with one shuffle and no extra pass.
 
     The unit interval is divided among the cells by their share of the training sample and cut into
@@ -143,7 +144,8 @@ def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int]) -> DataFrame:
     total = float(sum(sampled) + len(sampled))
     share = (np.array(sampled, np.float64) + 1) / total
     places = pa.table({CELL: pa.array(range(len(share)), pa.int32()), "_start": np.cumsum(share) - share, "_share": share})
-    slots = max(min(index.nlist, spark.sparkContext.defaultParallelism), session.estimated_tasks(rows))
+    stored = n * (index.centers.shape[1] * 4 + 256)
+    slots = max(min(index.nlist, spark.sparkContext.defaultParallelism), -(-stored // FILE_BYTES))
     placed = rows.join(spark.createDataFrame(places), CELL)
     content = CODE if index.coding else index.vec
     even = F.pmod(F.xxhash64(F.col(index.pk), F.col(content)), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -219,7 +221,7 @@ def _train_books(train: DataFrame, vec: str, dim: int, m: int, nbits: int) -> np
     codes, width = 1 << nbits, dim // m
     if codes * dim * 8 > INDEX_BYTES:
         raise ValueError("code books exceed the size every task can hold; use fewer bits")
-    sample = bounded_sample(train, max(codes * 64, TRAIN_PER_CELL))
+    sample = bounded_sample(train, max(codes * 64, TRAIN_PER_CELL), train.count())
     parts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda s: F.struct(
         s.alias("sub"), F.slice(vec, s * width + 1, F.lit(width)).alias("part")))
     pieces = sample.select(F.explode(parts).alias("p")).select("p.sub", "p.part")

@@ -122,7 +122,7 @@ def search(
         per_query = session.estimated_tasks(source) * spec.k
     else:
         candidates = knn.grid_candidates(source, queries, **opts)
-        per_query = max(1, session.estimated_bytes(source) * 4 // knn.BLOCK_BYTES) * spec.k
+        per_query = session.estimated_tasks(source) * 8 * spec.k  # stored files unpack into several blocks
     hits = knn.rank_best(
         candidates, qid=qid, score=score, pk=pk, key=spec.key, k=k, offset=offset,
         similarity=metric in SIMILARITIES, per_query=per_query,

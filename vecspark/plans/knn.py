@@ -24,8 +24,7 @@ GRID_QUERIES = 2048  # rows of one query block
 GRID_ROWS = 1 << 16  # rows of one row block
 BLOCK_BYTES = 64 << 20  # stored bytes of one row block
 STATE_ROWS = 4 << 20  # best-list entries one task may hold
-SALTS = 64
-SALT_ABOVE = 1 << 20  # candidates per query that make a pre-ranking step worthwhile
+SALT_ABOVE = 1 << 20  # candidates of one query that one task ranks
 
 
 # ---------------------------------------------------------------- query side
@@ -160,7 +159,7 @@ def rank_best(
     """Best row per (query, key), then positions offset+1 .. offset+k per query.
 
     One shuffle on the query id serves both windows.  When a query collects very many candidates they
-    are first ranked in ``SALTS`` slices, so no single task sorts them all.
+    are first ranked in slices of about ``SALT_ABOVE`` rows, so no single task sorts them all.
     """
     direction = F.col(score).desc() if similarity else F.col(score).asc()
     need = offset + k
@@ -171,10 +170,12 @@ def rank_best(
         df = df.withColumn("_first", F.row_number().over(per_key)).where("_first = 1").drop("_first")
         return df.withColumn("rank", F.row_number().over(per_qid)).where(F.col("rank") <= need)
 
-    if per_query > SALT_ABOVE:
+    while per_query > SALT_ABOVE and need * 2 <= SALT_ABOVE:
         # slice by key so that every candidate of one key is judged in one slice
-        salted = candidates.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)))
+        slices = -(-per_query // SALT_ABOVE)
+        salted = candidates.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(slices)))
         candidates = best(salted.repartition(F.col(qid), F.col("_salt")), [qid, "_salt"]).drop("_salt", "rank")
+        per_query = slices * need
     ranked = best(candidates.repartition(F.col(qid)), [qid])
     ranked = ranked.where(F.col("rank") > offset) if offset else ranked
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))

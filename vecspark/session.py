@@ -12,6 +12,8 @@ BROADCAST_BYTES = 64 << 20
 # A query set up to this many rows is fetched without a counting job first; with the
 # 32768-dimension limit that is at most 128 MB of f32 values.
 PROBE_ROWS = 1024
+# Size estimates above this stand for "unknown".
+UNKNOWN_BYTES = 1 << 60
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -76,10 +78,16 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def estimated_tasks(df: DataFrame) -> int:
-    """How many scan tasks the plan will need at the session's split size."""
+    """How many scan tasks the plan will need at the session's split size.
+
+    Inputs whose size the optimizer does not know count as a few tasks per core.
+    """
     spark = df.sparkSession
+    size = estimated_bytes(df)
+    if size > UNKNOWN_BYTES:
+        return 4 * spark.sparkContext.defaultParallelism
     split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728b")
-    return max(1, estimated_bytes(df) // max(1, _to_bytes(split)))
+    return max(1, size // max(1, _to_bytes(split)))
 
 
 def spread(df: DataFrame) -> DataFrame:
