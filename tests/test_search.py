@@ -256,3 +256,13 @@ def test_bool_and_int_group_keys(spark):
     q = spark.createDataFrame([(1, [0.0, 0.0])], "qid int, qvec array<float>")
     hits = search(rows, q, 5, metric="L2", vec="vec", pk="id", group_by="b").orderBy("rank").collect()
     assert [(r.id, r.b) for r in hits] == [(1, True), (3, False), (4, None)]
+
+
+def test_wanted_ranges_cover_and_prune(spark):
+    from vecspark.plans.pruning import is_wanted, wanted_ranges
+
+    assert wanted_ranges([5, 1, 2, 3, 9, 10, 40], 3) == [(1, 5), (9, 10), (40, 40)]
+    assert wanted_ranges([1, 2, 3]) == [(1, 3)] and wanted_ranges([7, 9], 1) == [(7, 9)]
+    values = [int(x) for x in RNG.integers(0, 10**9, 500)]
+    df = spark.range(10).select(F.explode(F.array(*[F.lit(x) for x in values[:200]], F.lit(-1))).alias("dim"))
+    assert df.where(is_wanted("dim", values)).count() == 2000 and df.where(is_wanted("dim", [])).count() == 0

@@ -25,6 +25,7 @@ from vecspark.functions import distance
 from vecspark.operators.search import check_metric, check_paging, check_range, vector_kind
 from vecspark.plans import kernel, knn
 from vecspark.plans.kernel import SIMILARITIES, Codec, Spec
+from vecspark.plans.pruning import is_wanted
 
 CELL = "cell"
 CODE = "code"
@@ -314,7 +315,7 @@ def ivf_search(
         found, heads = np.unique(flat[order], return_index=True)
         probes = {int(c): a for c, a in zip(found, np.split(asker[order], heads[1:]))}
         if len(found) < index.nlist:
-            source = source.where(F.col(CELL).isin([int(c) for c in found]))
+            source = source.where(is_wanted(CELL, found.tolist()))
         candidates = knn.scan_candidates(source, queries, table, probes=probes, **opts)
     else:
         asked = queries.withColumn("_cells", _prober(index, metric, nprobe)(qvec))

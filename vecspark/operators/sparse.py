@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vecspark.functions.packing import drop_smallest
 from vecspark.operators.search import search
+from vecspark.plans.pruning import is_wanted
 from vecspark.session import materialize
 
 FILTER_DIMS = 10000  # up to this many query dimensions the postings scan gets an IN filter
@@ -41,7 +42,7 @@ def search_postings(
     dims = asked.select(F.inline_outer(qvec).alias("dim", "_value")).select("dim").where("dim IS NOT NULL").distinct()
     some = [r.dim for r in dims.limit(FILTER_DIMS + 1).collect()]
     if len(some) <= FILTER_DIMS:
-        wanted = index.where(F.col("dim").isin(some))
+        wanted = index.where(is_wanted("dim", some))
     else:
         wanted = index.join(dims, "dim", "left_semi")
     entry = F.struct(F.col("dim").alias("i"), F.col("value").alias("v"))

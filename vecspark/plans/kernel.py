@@ -269,13 +269,24 @@ class Best:
         self.q = np.zeros(0, np.int64)
         self.cost = np.zeros(0)
         self.rows: pa.Table | None = None
+        self.waiting: list[tuple[pa.Table, np.ndarray, np.ndarray]] = []
+        self.waiting_rows = 0
 
     def add(self, rows: pa.Table, q: np.ndarray, cost: np.ndarray) -> None:
-        if not len(q):
+        """Take candidates; they are merged once they outnumber the lists, so merging stays linear."""
+        if len(q):
+            self.waiting.append((rows, q, cost))
+            self.waiting_rows += len(q)
+            if self.waiting_rows >= max(4096, len(self.q)):
+                self.merge()
+
+    def merge(self) -> None:
+        if not self.waiting:
             return
-        if self.rows is not None:
-            rows = pa.concat_tables([self.rows, rows])
-            q, cost = np.concatenate([self.q, q]), np.concatenate([self.cost, cost])
+        parts = self.waiting if self.rows is None else [(self.rows, self.q, self.cost), *self.waiting]
+        self.waiting, self.waiting_rows = [], 0
+        rows = pa.concat_tables([p[0] for p in parts])
+        q, cost = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
         order = np.lexsort((_order_of(rows[self.spec.pk]), cost, q))
         key = _codes(rows[self.spec.key])[order].astype(np.int64)
         first = np.unique(q[order] * (key.max() + 1) + key, return_index=True)[1]
@@ -288,6 +299,7 @@ class Best:
         self.limit[q[last]] = cost[last]
 
     def batches(self, ids: pa.Array, names: list[str]):
+        self.merge()
         if self.rows is None:
             return
         cols = [ids.take(pa.array(self.q)), pa.array(self.cost * self.spec.sign)]

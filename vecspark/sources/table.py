@@ -25,6 +25,7 @@ from vecspark.session import filesystem, get_text, materialize, put_text
 PARTITION = "_partition"
 SEGMENT = "_seg"
 FILE = "_file"
+FILE_NAME = "substring_index(_metadata.file_path, '/data/', -1)"  # the same wherever the table lies
 MAX_FILES = 10000  # a change that touches more files than this rewrites whole folders
 
 
@@ -116,10 +117,9 @@ class VectorTable:
             paths = [f"{self.path}/data/{SEGMENT}={e.seg}/{e.folder}" for e in entries]
             df = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*paths)
             # a predicate on file metadata alone is settled when files are listed
-            name = F.substring_index("_metadata.file_path", "/data/", -1)
             replaced = [f for e in entries for f in e.replaced]
-            df = df.where(~name.isin(replaced)) if replaced else df
-            df = df.withColumn(FILE, name) if located else df
+            df = df.where(f"NOT {_one_of(FILE_NAME, replaced)}") if replaced else df
+            df = df.withColumn(FILE, F.expr(FILE_NAME)) if located else df
         return df if located else df.select(*[self._declared(f) for f in self.schema.fields])
 
     @staticmethod
@@ -241,7 +241,7 @@ class VectorTable:
             rows = self._read_entries(part, located=True)
             names = [n for e in part for n in touched[(e.seg, e.part)]]
             if names:
-                rows = rows.where(F.col(FILE).isin(names))
+                rows = rows.where(_one_of(FILE, names))
                 gone = [e._replace(replaced=[*e.replaced, *touched[(e.seg, e.part)]]) for e in part]
                 out += [e for e in gone if len(e.replaced) < self._files_in(e)]
             out += self._write(keep(rows), sealed)
@@ -351,6 +351,11 @@ class VectorTable:
             F.count("*").alias("rows"))
 
 
+def _one_of(expression: str, names: Sequence[str]) -> str:
+    quoted = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in names)
+    return f"({expression} IN ({quoted}))"
+
+
 def last_per_key(batch: DataFrame, pk: str, columns: Sequence[str], seq: str | None = None) -> DataFrame:
     """One row per key: the one with the highest ``seq``, or the last in the batch's row order."""
     if seq is None:

@@ -8,7 +8,8 @@ from vecspark.functions.predicates import a_get, field, has_field, j_ne, j_num
 from vecspark.operators.search import search
 from workload.fixtures import (CENTROIDS_SQL, COS_SQL, IP_SQL, L2_SQL, SELF_SQL, centroids, embeddings,
                                rounded, self_queries)
-from workload.registry import query
+from vecspark.session import materialize
+from workload.registry import query, table
 
 
 def topk_sql(score: str, desc: bool = False, where: str = "true", having: str = "true", k: int = 10,
@@ -102,11 +103,9 @@ q AS (SELECT event_type AS qid, [round(avg(value), 4), round(avg(vec[2]), 4), ro
 
 def event_vectors(spark, sf):
     """Events as points (value, k, user) with their JSON part; the queries are the mean of each type."""
-    from workload.registry import table
-
     k = F.get_json_object("props", "$.k").cast("double")
-    rows = table(spark, sf, "events").select(
-        "event_id", "event_type", F.parse_json("props").alias("$meta"), F.array("value", k, F.col("user_id").cast("double")).alias("vec"))
+    rows = materialize(table(spark, sf, "events").select(
+        "event_id", "event_type", F.parse_json("props").alias("$meta"), F.array("value", k, F.col("user_id").cast("double")).alias("vec")), "events")
     mean = lambda i: F.round(F.avg(F.get("vec", F.lit(i))), 4)
     queries = rows.groupBy(F.col("event_type").alias("qid")).agg(F.array(mean(0), mean(1), mean(2)).alias("qvec"))
     return rows, queries
