@@ -48,9 +48,9 @@ def calc_distance(
                 if v.shape[1] != block.matrix.shape[1]:
                     raise ValueError("vector dimension does not match the other side")
                 score = kernel.block_scores(v, np.einsum("ij,ij->i", v, v), block, metric)
-                known = ~np.isnan(score) if seen is None else (seen @ block.seen.T > 0)
-                i, j = np.nonzero(known)
-                found = score[i, j].astype(np.int64 if whole else np.float64)
+                known = ~np.isnan(score) if seen is None else (block.seen @ seen.T > 0)
+                i, j = np.nonzero(known.T)  # pairs of one row together
+                found = score[j, i].astype(np.int64 if whole else np.float64)
                 yield pa.RecordBatch.from_arrays([
                     piece[lid].combine_chunks().take(pa.array(i)), other.ids.take(pa.array(at[j])), pa.array(found)],
                     names=schema.names)

@@ -13,7 +13,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-CELLS = 4 << 20  # elements of one score block
+CELLS = 4 << 20  # elements of one decoded block
+TILE = 1 << 20  # scores computed at once
+ROWS = 8192  # rows of one block
 
 DISTANCES = ("L2", "HAMMING", "JACCARD", "TANIMOTO", "SUBSTRUCTURE", "SUPERSTRUCTURE")
 SIMILARITIES = ("IP", "COSINE")
@@ -191,16 +193,19 @@ def _binary_scores(both, nv, nq, metric):
 
 
 def block_scores(v, vsq, q: QueryBlock, metric: str) -> np.ndarray:
-    """Scores of every row (axis 0) against every query (axis 1) by matrix product."""
-    prod = v @ q.matrix.T
+    """Scores of every query (axis 0) against every row (axis 1) by matrix product."""
+    score = q.matrix @ v.T
     if metric in BINARY:
-        return _binary_scores(prod, vsq[:, None], q.sq[None, :], metric)
+        return _binary_scores(score, vsq[None, :], q.sq[:, None], metric)
     if metric == "L2":
-        return np.maximum(vsq[:, None] + q.sq[None, :] - 2.0 * prod, 0.0)
-    if metric == "COSINE":
+        score *= -2.0
+        score += vsq
+        score += q.sq[:, None]
+    elif metric == "COSINE":
         with np.errstate(divide="ignore", invalid="ignore"):
-            return prod / (np.sqrt(vsq)[:, None] * np.sqrt(q.sq)[None, :])
-    return prod
+            score /= np.sqrt(vsq)
+            score /= np.sqrt(q.sq)[:, None]
+    return score
 
 
 def pair_scores(v, q, metric: str) -> np.ndarray:
@@ -310,45 +315,93 @@ class Best:
 def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None) -> None:
     """Offer one block of rows to the queries of ``q``; ``at`` are their positions in the full query set."""
     spec = best.spec
-    codes = _codes(rows[spec.key])
-    order = np.argsort(codes, kind="stable")
-    heads = np.flatnonzero(np.r_[True, np.diff(codes[order]) != 0])
-    unique = len(heads) == len(codes)
+    keys = _KeyGroups(_codes(rows[spec.key]))
     vsq = np.einsum("ij,ij->i", v, v)
-    width = max(1, CELLS // max(1, len(v)))
+    width = max(1, TILE // max(1, len(v)))
     rough = spec.metric not in BINARY
     for start in range(0, len(at), width):
-        pick = slice(start, start + width)
-        part = q.take(np.arange(len(at))[pick])
+        pick = np.arange(start, min(start + width, len(at)))
+        part = q.take(pick) if len(pick) < len(at) else q
         score = block_scores(v, vsq, part, spec.metric)
         if seen is not None:
-            score = np.where(seen @ part.seen.T > 0, score, np.nan)
-        slack = _slack(vsq, part, spec.metric)
-        for bound in (spec.lower, spec.upper):
-            if bound is not None and rough:
-                # scores too close to a bound to call: settle them with the pair score
-                i, j = np.nonzero(np.abs(score - bound) <= slack[None, :])
-                score[i, j] = _pairs(v, part.matrix, i, j, spec.metric)
-        if spec.lower is not None:
-            score[~(score >= spec.lower)] = np.nan
-        if spec.upper is not None:
-            score[~(score < spec.upper)] = np.nan
-        cost = score * spec.sign
-        cost[np.isnan(cost)] = np.inf
-        limit = best.limit[at[pick]]
-        per_key = cost if unique else np.minimum.reduceat(cost[order], heads, axis=0)
-        if len(per_key) > spec.k:
-            limit = np.minimum(limit, np.partition(per_key, spec.k - 1, axis=0)[spec.k - 1])
-        keep = (cost <= (limit + 2 * slack)[None, :]) & np.isfinite(cost)
-        if not unique:
-            near = np.empty(len(codes), np.int64)
-            near[order] = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(codes)]))
-            keep &= cost <= per_key[near] + 2 * slack[None, :]
-        i, j = np.nonzero(keep)
-        if not len(i):
-            continue
-        exact = _pairs(v, part.matrix, i, j, spec.metric) * spec.sign if rough else cost[i, j]
-        best.add(rows.take(pa.array(i)), at[pick][j], exact)
+            score[(part.seen @ seen.T) <= 0] = np.nan
+        slack = 2 * _slack(vsq, part, spec.metric)
+        _keep_range(score, v, part, slack, spec)
+        cost = np.negative(score, out=score) if spec.sign < 0 else score
+        limit = np.minimum(best.limit[at[pick]] + slack, np.finfo(np.float64).max)
+        keep = cost <= limit[:, None]  # never true for NaN
+        crowded = np.flatnonzero(keep.sum(axis=1) > spec.k)
+        if len(crowded):
+            keep[crowded] &= keys.nearest(cost[crowded], spec.k, slack[crowded])
+        j, i = np.nonzero(keep)
+        if len(i):
+            exact = _pairs(v, part.matrix, i, j, spec.metric) * spec.sign if rough else cost[j, i]
+            best.add(rows.take(pa.array(i)), at[pick][j], exact)
+
+
+def _keep_range(score, v, q: QueryBlock, slack, spec: Spec) -> None:
+    """Blank scores outside the range; those too close to a bound to call are settled pair by pair."""
+    for bound in (spec.lower, spec.upper):
+        if bound is not None and spec.metric not in BINARY:
+            j, i = np.nonzero(np.abs(score - bound) <= slack[:, None])
+            score[j, i] = _pairs(v, q.matrix, i, j, spec.metric)
+    if spec.lower is not None:
+        score[~(score >= spec.lower)] = np.nan
+    if spec.upper is not None:
+        score[~(score < spec.upper)] = np.nan
+
+
+class _KeyGroups:
+    """The rows of a block grouped by key."""
+
+    def __init__(self, codes: np.ndarray):
+        self.order = np.argsort(codes, kind="stable")
+        self.heads = np.flatnonzero(np.r_[True, np.diff(codes[self.order]) != 0])
+        self.unique = len(self.heads) == len(codes)
+
+    def nearest(self, cost, k: int, slack) -> np.ndarray:
+        """Rows that can be among the best k keys of their query: near their key's best row, and that
+        row near the k-th best key."""
+        cost = np.where(np.isnan(cost), np.inf, cost)
+        per_key = cost if self.unique else np.minimum.reduceat(cost[:, self.order], self.heads, axis=1)
+        keep = np.ones(cost.shape, bool)
+        if per_key.shape[1] > k:
+            keep = cost <= (np.partition(per_key, k - 1, axis=1)[:, k - 1] + slack)[:, None]
+        if not self.unique:
+            group = np.empty(cost.shape[1], np.int64)
+            group[self.order] = np.repeat(np.arange(len(self.heads)), np.diff(np.r_[self.heads, cost.shape[1]]))
+            keep &= cost <= per_key[:, group] + slack[:, None]
+        return keep
+
+
+def without_surplus_copies(rows: pa.Table, v, seen, spec: Spec) -> np.ndarray | None:
+    """Row positions to keep when a block holds more copies of one vector than can be hits.
+
+    Copies score the same for every query, so of one vector only the k keys with the smallest primary
+    keys matter.  None if no vector has more than k copies.
+    """
+    bits = np.ascontiguousarray(v).view(np.uint64 if v.itemsize == 8 else np.uint32).astype(np.uint64, copy=False)
+    mix = np.random.default_rng(1).integers(1, 2**63, bits.shape[1], dtype=np.uint64) | np.uint64(1)
+    mark = (bits * mix).sum(axis=1, dtype=np.uint64)
+    if seen is not None:
+        mark = mark * np.uint64(31) + (seen.astype(np.uint64) * mix[::-1]).sum(axis=1, dtype=np.uint64)
+    group, first, size = np.unique(mark, return_index=True, return_counts=True)
+    if size.max() <= spec.k:
+        return None
+    of = np.searchsorted(group, mark)
+    same = (v == v[first[of]]).all(axis=1)  # a row that merely shares the mark is kept as it is
+    if seen is not None:
+        same &= (seen == seen[first[of]]).all(axis=1)
+    copies = np.flatnonzero(same & (size[of] > spec.k))
+    keys, ranks = _codes(rows[spec.key])[copies].astype(np.int64), _order_of(rows[spec.pk])[copies]
+    order = np.lexsort((ranks, of[copies]))
+    by_key = of[copies][order] * (keys.max(initial=0) + 1) + keys[order]
+    order = order[np.sort(np.unique(by_key, return_index=True)[1])]
+    groups = of[copies][order]
+    kept = copies[order[np.arange(len(order)) - np.searchsorted(groups, groups, side="left") < spec.k]]
+    others = np.ones(len(v), bool)
+    others[copies] = False
+    return np.sort(np.concatenate([np.flatnonzero(others), kept]))
 
 
 def _pairs(v, q, i, j, metric):
@@ -361,7 +414,7 @@ def _pairs(v, q, i, j, metric):
 
 
 def row_slices(table: pa.Table, dim: int):
-    width = max(64, CELLS // max(1, dim))
+    width = min(ROWS, max(64, CELLS // max(1, dim)))
     for start in range(0, table.num_rows, width):
         yield table.slice(start, width)
 
@@ -378,10 +431,14 @@ def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None,
             if v.shape[1] != part.matrix.shape[1]:
                 raise ValueError("vector dimension does not match the field")
             rows = piece.select(kept)
+            cells = None if probes is None else piece[cell].to_numpy()
+            few = without_surplus_copies(rows, v, seen, best.spec)
+            if few is not None:
+                rows, v, seen = rows.take(pa.array(few)), v[few], None if seen is None else seen[few]
+                cells = None if cells is None else cells[few]
             if probes is None:
                 scan_block(best, rows, v, part, at, seen)
                 continue
-            cells = piece[cell].to_numpy()
             for c in np.unique(cells):
                 asking = probes.get(int(c))
                 if asking is not None:
