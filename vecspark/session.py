@@ -12,6 +12,7 @@ BROADCAST_BYTES = 64 << 20
 # A query set up to this many rows is fetched without a counting job first; with the
 # 32768-dimension limit that is at most 128 MB of f32 values.
 PROBE_ROWS = 1024
+_LOCAL_FOLDERS: dict[str, str] = {}  # per application, local masters only
 # Size estimates above this stand for "unknown".
 UNKNOWN_BYTES = 1 << 60
 
@@ -23,9 +24,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="vecspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="vecspark-")
+    return _LOCAL_FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
