@@ -152,9 +152,13 @@ class VectorTable:
         where = F.lit(partition or DEFAULT_PARTITION) if not isinstance(partition, Column) else partition
         return df.withColumn(PARTITION, where)
 
-    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False, ordered: bool = False) -> list[Entry]:
+    def _write(self, placed: DataFrame, sealed: bool, balance: bool = False, ordered: bool = False,
+               only: str | None = None) -> list[Entry]:
         """Write rows as one new segment.
 
+        ``only`` names the partition all rows belong to: they go straight into its folder, without the
+        sort that writing to several folders needs.
+
         ``ordered`` (and a clustering key) sorts rows into files of disjoint key ranges.
 
         ``balance`` shuffles rows to their partitions first (large ones split, small ones merged); rows
@@ -171,6 +175,11 @@ class VectorTable:
             out = out.repartitionByRange(*order, spread).sortWithinPartitions(*order)
         elif balance:
             out = out.hint("rebalance", F.col(PARTITION))
+        if only is not None:
+            escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            folder = f"{PARTITION}={escape(only)}"
+            out.drop(PARTITION).write.parquet(f"{path}/{folder}")
+            return [Entry(seg, only, sealed, folder)]
         out.write.partitionBy(PARTITION).parquet(path)
         fs, root = filesystem(self.spark, path)
         names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
@@ -191,7 +200,7 @@ class VectorTable:
         entries = self.entries()
         if isinstance(partition, str) and partition:
             self._check_known([partition], entries)
-        new = self._write(self._placed(df, partition), sealed, self._spreads(partition))
+        new = self._write(self._placed(df, partition), sealed, self._spreads(partition), only=self._single(partition))
         if accept is not None:
             try:
                 accept()
@@ -207,6 +216,10 @@ class VectorTable:
     def _spreads(self, partition: str | Column | None) -> bool:
         return self.partition_key is not None or isinstance(partition, Column)
 
+    def _single(self, partition: str | Column | None) -> str | None:
+        """The one partition a write goes to, if it is known."""
+        return None if self._spreads(partition) else (partition or DEFAULT_PARTITION)
+
     def create_partition(self, name: str) -> None:
         if self.partition_key:
             raise ValueError("partitions cannot be named on a table with a partition key")
@@ -244,7 +257,8 @@ class VectorTable:
                 rows = rows.where(_one_of(FILE, names))
                 gone = [e._replace(replaced=[*e.replaced, *touched[(e.seg, e.part)]]) for e in part]
                 out += [e for e in gone if len(e.replaced) < self._files_in(e)]
-            out += self._write(keep(rows), sealed)
+            parts = {e.part for e in part}
+            out += self._write(keep(rows), sealed, only=parts.pop() if len(parts) == 1 else None)
         return out
 
     def _files_in(self, entry: Entry) -> int:
@@ -269,9 +283,7 @@ class VectorTable:
         if partition:
             self._check_known([partition], entries)
         placed = self._placed(last_per_key(batch, self.pk, self.schema.names, seq), partition)
-        new = self._write(placed, False, self._spreads(partition))
-        if not new:
-            return
+        new = self._write(placed, False, self._spreads(partition), only=self._single(partition))
         keys = self._read_entries(new, located=True).select(self.pk)
         scope = entries if self.partition_key else [e for e in entries if e.part == (partition or DEFAULT_PARTITION)]
         having, lacking = self._by_keys(keys)
