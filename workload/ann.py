@@ -48,6 +48,12 @@ def ivf_search_probed(spark, sf):
     return rounded(ann.ivf_search(build(spark, sf), self_queries(spark, sf), 10, metric="L2", nprobe=4))
 
 
+@query("ivf_self_hit", "SELECT vec_id AS qid, 1::bigint AS rank, vec_id, 0.0::double AS score FROM embeddings")
+def ivf_self_hit(spark, sf):
+    """Even with one probed cell every stored vector finds itself first."""
+    return ann.ivf_search(build(spark, sf), self_queries(spark, sf), 1, metric="L2", nprobe=1)
+
+
 @query("ivf_binary", topk_sql(HAM_SQL))
 def ivf_binary(spark, sf):
     index = ann.ivf_build(binary_rows(spark, sf), scratch_path(spark, "ivf"), pk="vec_id", vec="bits", nlist=NLIST)
