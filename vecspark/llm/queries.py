@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup
+from vecspark.llm import exact_dedup, line_runs
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP4_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -19,3 +21,20 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_s
 @query("op4_exact_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = f"""
+WITH l AS (SELECT doc_id, generate_subscripts(p, 1) AS pos, unnest(p) AS line
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents)),
+k AS (SELECT doc_id, pos, line, {LOWER_SQL.format(f"trim(line, {BLANK_SQL})")} AS key FROM l),
+c AS (SELECT key, count(DISTINCT doc_id) AS n, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROUP BY key),
+m AS (SELECT k.*, coalesce(c.n >= 5 AND k.doc_id <> c.holder, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
+@query("op10_line_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_runs.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
