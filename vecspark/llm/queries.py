@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, line_runs, pseudonyms
+from vecspark.llm import exact_dedup, line_runs, pseudonyms, url_lists
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -44,3 +44,71 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, "fixed key of the registered query")
+
+
+# Dated lists and fetch times derived from `pages`: seconds drawn from MD5, within the year from EPOCH_0.
+EPOCH_0 = 1_672_531_200  # 2023-01-01
+DAY = 86_400
+EVENTS = {  # list: (keys, salt, [(action, days after the key's first day)])
+    "takedown": ("page", "t", [("block", 0), ("remove", 45), ("block", 120)]),
+    "hosts": ("host", "h", [("block", 0), ("allow", 60), ("remove", 140), ("block", 200)]),
+    "domains": ("domain", "d", [("block", 0), ("remove", 90)]),
+    "partners": ("host", "p", [("allow", 0), ("remove", 100)]),
+}
+
+
+def draw(text, modulus: int):
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long"), F.lit(modulus))
+
+
+def draw_sql(text: str, modulus: int) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 7))::bigint % {modulus})"
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    host = url_lists.host_of(F.col("url"))
+    keys = {"page": url_lists.normalised_url(F.col("url")), "host": host, "domain": F.element_at(url_lists.parent_domains(host), 1)}
+    out = None
+    for name, (kind, salt, steps) in EVENTS.items():
+        own = pages.select(keys[kind].alias("key")).filter("key <> ''").distinct()
+        first = draw(F.concat("key", F.lit(salt)), 365 * DAY) - 100 * DAY + EPOCH_0
+        rows = own.select(F.lit(name).alias("list"), "key", first.alias("s"), F.explode(F.array(
+            *[F.struct(F.lit(a).alias("action"), F.lit(d * DAY).alias("after")) for a, d in steps])).alias("e"))
+        rows = rows.select("list", "key", F.col("e.action").alias("action"), F.timestamp_seconds(F.col("s") + F.col("e.after")).alias("at"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _events_sql() -> str:
+    parts = []
+    for name, (kind, salt, steps) in EVENTS.items():
+        for i, (action, days) in enumerate(steps):
+            if action == "remove":
+                continue
+            until = f"{steps[i + 1][1] * DAY}" if i + 1 < len(steps) else "NULL"
+            first = f"{draw_sql(f"{kind} || '{salt}'", 365 * DAY)} - {100 * DAY} + {EPOCH_0}"
+            parts.append(f"SELECT DISTINCT '{name}' AS list, {kind} AS key, '{action}' AS action, {first} + {days * DAY} AS since, "
+                         f"{first} + {until} AS until FROM p WHERE {kind} <> ''")
+    return " UNION ALL ".join(parts)
+
+
+OP6_SQL = rf"""
+WITH raw AS (SELECT page_id, coalesce(url, '') AS u FROM pages),
+h AS (SELECT page_id, {draw_sql("page_id::varchar || 'f'", 365 * DAY)} + {EPOCH_0} AS t,
+        regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS host,
+        rtrim(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path FROM raw),
+p AS (SELECT *, host || path AS page, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM h),
+e AS ({_events_sql()}),
+k AS (SELECT DISTINCT page_id, t, unnest(list_concat([page], [host], list_transform(range(2, least(len(string_split(host, '.')), 8) + 1),
+        lambda n: array_to_string(string_split(host, '.')[-n:], '.')))) AS key FROM p WHERE host <> ''),
+m AS (SELECT page_id, key, action, list, length(key) AS n FROM k JOIN e USING (key) WHERE t >= since AND (until IS NULL OR t < until)),
+b AS (SELECT page_id, count(*) AS n_active, max({{'n': n, 'block': action = 'block', 'key': key, 'list': list}}) AS best FROM m GROUP BY page_id)
+SELECT page_id, CASE WHEN best.block THEN 'block' ELSE 'allow' END AS verdict, best.key AS deciding_key,
+       best.list AS deciding_list, coalesce(n_active, 0) AS n_active FROM p LEFT JOIN b USING (page_id)"""
+
+
+@query("op6_url_lists", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    fetched = F.timestamp_seconds(draw(F.concat(F.col("page_id").cast("string"), F.lit("f")), 365 * DAY) + EPOCH_0)
+    return url_lists.judge(pages.select("page_id", "url", fetched.alias("fetched_at")), list_events(pages))
