@@ -126,35 +126,28 @@ class RepeatFilter:
         return test(column)
 
 
-def slice_count(rows: int) -> int:
-    slices = 1
-    while rows * BITS_PER_ROW > MAX_BITS * slices:
-        slices *= 2
-    return slices
-
-
-def flag_repeats(df: DataFrame, key: str, flag: str, keys: DataFrame | None = None) -> DataFrame:
-    """``df`` with a boolean column: may another row hold the same ``key``?
-
-    ``keys``: the key column alone, if it can be had cheaper than from ``df``.  A clear flag is certain.
-    """
-    source = df if keys is None else keys
-    hashed = source.select(F.xxhash64(F.col(key)).alias("h"))
-    rows = hashed.count()
-    slices = slice_count(rows)
-    if slices == 1:
-        return df.withColumn(flag, RepeatFilter(hashed, rows).maybe_repeated(F.xxhash64(F.col(key))))
-    parts = []
-    for s in range(slices):
-        mine = F.pmod(F.shiftrightunsigned(F.col("h"), 40), F.lit(slices)) == s
-        rows_here = hashed.filter(mine)
-        bits = RepeatFilter(rows_here, -(-rows // slices))
-        here = df.filter(F.pmod(F.shiftrightunsigned(F.xxhash64(F.col(key)), 40), F.lit(slices)) == s)
-        parts.append(here.withColumn(flag, bits.maybe_repeated(F.xxhash64(F.col(key)))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+class Repeats:
+    """The filters of all slices of the hash range, built from the keys of a table."""
+
+    def __init__(self, keys: DataFrame, key: str):
+        """``keys`` is read once or more per slice, so it should be a written table."""
+        hashed = keys.select(F.xxhash64(F.col(key)).alias("h"))
+        rows = hashed.count()
+        self.slices = 1
+        while rows * BITS_PER_ROW > MAX_BITS * self.slices:
+            self.slices *= 2
+        self.filters = [RepeatFilter(self._part(hashed, F.col("h"), s), -(-rows // self.slices)) for s in range(self.slices)]
+
+    def _part(self, df: DataFrame, hashed: Column, s: int) -> DataFrame:
+        return df if self.slices == 1 else df.filter(F.pmod(F.shiftrightunsigned(hashed, 40), F.lit(self.slices)) == s)
+
+    def flag(self, df: DataFrame, key: str, flag: str) -> DataFrame:
+        """``df`` with a boolean column: may another row hold the same ``key``?  A clear flag is certain."""
+        hashed, out = F.xxhash64(F.col(key)), None
+        for s, bits in enumerate(self.filters):
+            part = self._part(df, hashed, s).withColumn(flag, bits.maybe_repeated(hashed))
+            out = part if out is None else out.unionByName(part)
+        return out
 
 
 def with_groups(members: DataFrame, groups: DataFrame, key: str, size: str, rows: int) -> DataFrame:
@@ -173,7 +166,7 @@ def exact_groups(digests: DataFrame, id_col: str = "doc_id", key: str = "text_sh
     ``digests`` is read several times, so it should be a written table.
     """
     rows = digests.count()
-    flagged = flag_repeats(digests.select(id_col, key), key, "maybe")
+    flagged = Repeats(digests, key).flag(digests.select(id_col, key), key, "maybe")
     single = flagged.filter(~F.col("maybe")).select(
         id_col, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), key)
     suspects = materialize(flagged.filter("maybe").groupBy(key, id_col).agg(F.count(F.lit(1)).alias("times")), "suspects")
@@ -196,7 +189,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """``docs`` without the rows that ``find_copies`` does not keep, all columns as they were."""
     key, flag = free_name(docs, "text_sha256"), free_name(docs, "maybe")
     digests = materialize(docs.select(text_digest(text).alias(key)), "digests")
-    flagged = flag_repeats(docs.withColumn(key, text_digest(text)), key, flag, keys=digests)
+    flagged = Repeats(digests, key).flag(docs.withColumn(key, text_digest(text)), key, flag)
     suspects = flagged.filter(flag)
     keep = suspects.groupBy(F.col(key).alias("_key")).agg(F.min(id_col).alias("_id"))
     first = F.col(key).eqNullSafe(F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, line_runs, pseudonyms, url_lists
+from vecspark.llm import exact_dedup, line_runs, pseudonyms, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -112,3 +112,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     fetched = F.timestamp_seconds(draw(F.concat(F.col("page_id").cast("string"), F.lit("f")), 365 * DAY) + EPOCH_0)
     return url_lists.judge(pages.select("page_id", "url", fetched.alias("fetched_at")), list_events(pages))
+
+
+OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+d AS (SELECT page_id, octet_length(encode(b))::bigint AS payload_bytes, sha1(b) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS last FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN coalesce(page_id <> last, false) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)"""
+
+
+@query("op9_warc", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
