@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, line_runs, pseudonyms, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -128,3 +128,26 @@ FROM d LEFT JOIN g USING (payload_digest)"""
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")), with_payload=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP8_WORDS = r"list_filter(regexp_split_to_array({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, {OP8_WORDS.format(LOWER_SQL.format("coalesce(text, '')"))} AS w FROM documents),
+b AS (SELECT item_id, {OP8_WORDS.format(LOWER_SQL.format("coalesce(text, '')"))} AS w FROM benchmark),
+n AS (SELECT DISTINCT item_id, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g, least(10, len(w)) AS k
+      FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+o AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM n) WHERE len(w) >= k)),
+m AS (SELECT o.doc_id, o.i, o.k, n.item_id FROM o JOIN n USING (g, k)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::varchar, ',' ORDER BY item_id::varchar) AS s
+      FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+@query("op8_decontamination", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
