@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, token_counts, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, sentence_pieces, token_counts, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -157,3 +157,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op2_sentence_pieces")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
