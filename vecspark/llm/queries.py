@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, sentence_pieces, token_counts, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -163,3 +163,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentence_pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def held_out(doc_id):
+    """Rows that labels are never learned from."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, labels.filter(~F.coalesce(held_out("doc_id"), F.lit(True))))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
