@@ -90,42 +90,57 @@ def _mark_tasks(bits: int):
     return run
 
 
-def _merge_page(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    count = np.zeros(PAGE_BITS, np.uint8)
-    for once, again in zip(pdf["once"], pdf["again"]):
-        at = np.frombuffer(once, "<u2")
-        count[at] = np.minimum(count[at] + 1, 2)
-        count[np.frombuffer(again, "<u2")] = 2
-    return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(count == 2, bitorder="little").tobytes()]})
+def _merge_pages(times: int):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        count = np.zeros(PAGE_BITS, np.uint8)
+        for once, again in zip(pdf["once"], pdf["again"]):
+            at = np.frombuffer(once, "<u2")
+            count[at] = np.minimum(count[at] + 1, 2)
+            count[np.frombuffer(again, "<u2")] = 2
+        return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(count >= times, bitorder="little").tobytes()]})
+
+    return run
 
 
-class RepeatFilter:
-    """Says of a hash whether it may occur more than once among the rows it was built from."""
+class Bloom:
+    """Filter of the hashes that were seen ``times`` (1 or 2) times; a negative answer is certain.
+
+    It has at most MAX_BITS bits; with more rows than they are meant for, more answers are false alarms.
+    """
 
-    def __init__(self, hashes: DataFrame, rows: int):
+    def __init__(self, hashes: DataFrame, rows: int, times: int):
         """``hashes``: one non-null long column; ``rows``: how many rows it has."""
         bits = PAGE_BITS
         while bits < min(MAX_BITS, rows * BITS_PER_ROW):
             bits *= 2
         marks = hashes.mapInArrow(_mark_tasks(bits), "page long, once binary, again binary")
-        pages = marks.groupBy("page").applyInPandas(_merge_page, "page long, bits binary").toArrow()  # bits / 8 bytes
+        pages = marks.groupBy("page").applyInPandas(_merge_pages(times), "page long, bits binary").toArrow()  # bits / 8 bytes
         table = np.zeros(bits // 8, np.uint8)
         for page, packed in zip(pages["page"].to_pylist(), pages["bits"].to_pylist()):
             table[page * PAGE_BITS // 8:(page + 1) * PAGE_BITS // 8] = np.frombuffer(packed, np.uint8)
-        self.bits = bits
-        self.shared = hashes.sparkSession.sparkContext.broadcast(table)
+        self.probe = BloomProbe(hashes.sparkSession.sparkContext.broadcast(table), bits)
 
-    def maybe_repeated(self, column: Column) -> Column:
-        shared, bits = self.shared, self.bits
+    def maybe(self, column: Column) -> Column:
+        probe = self.probe
 
         @F.pandas_udf("boolean")
         def test(h: pd.Series) -> pd.Series:
-            at = probe_positions(h.to_numpy(), bits)
-            return pd.Series(((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1))
+            return pd.Series(probe.test(h.to_numpy()))
 
         return test(column)
 
 
+class BloomProbe:
+    """The part of a filter that tasks hold."""
+
+    def __init__(self, shared, bits: int):
+        self.shared, self.bits = shared, bits
+
+    def test(self, hashes: np.ndarray) -> np.ndarray:
+        at = probe_positions(hashes, self.bits)
+        return ((self.shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+
+
 class Repeats:
     """The filters of all slices of the hash range, built from the keys of a table."""
 
@@ -136,7 +151,7 @@ class Repeats:
         self.slices = 1
         while rows * BITS_PER_ROW > MAX_BITS * self.slices:
             self.slices *= 2
-        self.filters = [RepeatFilter(self._part(hashed, F.col("h"), s), -(-rows // self.slices)) for s in range(self.slices)]
+        self.filters = [Bloom(self._part(hashed, F.col("h"), s), -(-rows // self.slices), 2) for s in range(self.slices)]
 
     def _part(self, df: DataFrame, hashed: Column, s: int) -> DataFrame:
         return df if self.slices == 1 else df.filter(F.pmod(F.shiftrightunsigned(hashed, 40), F.lit(self.slices)) == s)
@@ -145,7 +160,7 @@ class Repeats:
         """``df`` with a boolean column: may another row hold the same ``key``?  A clear flag is certain."""
         hashed, out = F.xxhash64(F.col(key)), None
         for s, bits in enumerate(self.filters):
-            part = self._part(df, hashed, s).withColumn(flag, bits.maybe_repeated(hashed))
+            part = self._part(df, hashed, s).withColumn(flag, bits.maybe(hashed))
             out = part if out is None else out.unionByName(part)
         return out
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, line_runs, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, line_runs, near_dup, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -180,3 +180,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query("op5_near_dup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find_near_copies(table(spark, sf_dir, "documents"))
