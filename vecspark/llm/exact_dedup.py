@@ -165,6 +165,17 @@ class Repeats:
         return out
 
 
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is in ``gone`` (one column).  Rows that a Bloom filter of ``gone`` clears
+    pass straight through; only the others shuffle."""
+    flag = free_name(docs, "maybe_gone")
+    gone = materialize(gone.select(F.col(gone.columns[0]).alias("_gone")).distinct(), "gone")
+    probe = Bloom(gone.select(F.xxhash64("_gone").alias("h")), gone.count(), 1)
+    flagged = docs.withColumn(flag, probe.maybe(F.xxhash64(F.col(id_col))))
+    stay = flagged.filter(flag).join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return flagged.filter(~F.col(flag)).unionByName(stay).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def with_groups(members: DataFrame, groups: DataFrame, key: str, size: str, rows: int) -> DataFrame:
     """Inner join on ``key``: rows of large groups meet their group by broadcast, the others by shuffle.
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecspark.llm.registry import free_name
+from vecspark.llm.exact_dedup import drop_rows
 from vecspark.llm.words import PLAIN_BYTES, flat_text, groups_of, word_hashes, word_spans
 
 WINDOW = 10
@@ -336,5 +336,4 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col:
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a phrase, all columns as they were."""
     id_col = options.get("id_col", "doc_id")
-    leaks = find_leaks(docs, items, **options).filter("n_hit > 0").select(F.col(id_col).alias("_leak"))
-    return docs.join(leaks, F.col(id_col).eqNullSafe(F.col("_leak")), "left_anti")
+    return drop_rows(docs, find_leaks(docs, items, **options).filter("n_hit > 0").select(id_col), id_col)

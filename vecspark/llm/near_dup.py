@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.components import components
-from vecspark.llm.exact_dedup import Bloom, with_groups
+from vecspark.llm.exact_dedup import Bloom, drop_rows, with_groups
 from vecspark.llm.words import BLANK_BYTES, flat_text, groups_of, mix, word_hashes, word_spans
 from vecspark.session import materialize
 
@@ -303,5 +303,4 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that ``find_near_copies`` does not keep, all columns as they were."""
-    gone = find_near_copies(docs, id_col, text).filter("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return drop_rows(docs, find_near_copies(docs, id_col, text).filter("not kept").select(id_col), id_col)

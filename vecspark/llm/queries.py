@@ -177,7 +177,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scores = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    scores = toxicity.score(docs.select("doc_id", "text"), toxicity_model(docs, table(spark, sf_dir, "labels")))
     return scores.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 

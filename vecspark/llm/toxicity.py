@@ -22,12 +22,15 @@ table gives an empty table.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vecspark.llm.registry import free_name
+
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 DIMENSIONS = 12
@@ -217,26 +220,37 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str,
     return rows["_t"].to_pylist(), rows["_y"].to_pylist()
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", name: str = "score") -> DataFrame:
-    """(id, score) of every row."""
+def _score_all(scorer: Scorer, texts: list[str | None]) -> np.ndarray:
+    """Scores of a batch, a bounded group of texts at a time."""
+    texts, out, lo = ["" if t is None else t for t in texts], [np.zeros(0)], 0
+    while lo < len(texts):
+        hi, held = lo, 0
+        while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= GROUP_CHARS):
+            held += len(texts[hi])
+            hi += 1
+        out.append(scorer.score(texts[lo:hi]))
+        lo = hi
+    return np.concatenate(out)
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with the score of every row; only the texts visit Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            lo = 0
-            while lo < len(texts):
-                hi, held = lo, 0
-                while hi < len(texts) and (hi == lo or held + len(texts[hi]) <= GROUP_CHARS):
-                    held += len(texts[hi])
-                    hi += 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(scorer.score(texts[lo:hi]), pa.float64())],
-                                                 ["key", "score"])
-                lo = hi
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text)).mapInArrow(run, f"`{id_col}` {kind}, `{name}` double")
+            yield pd.Series(_score_all(scorer, batch.tolist()))
+
+    return docs.withColumn(name, scores(F.col(f"`{text}`")))
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """``docs`` without the rows that score ``threshold`` or more, all columns as they were."""
+    name = free_name(docs, "score")
+    kept = score(docs, model, text, name).filter(F.col(name) < threshold)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
