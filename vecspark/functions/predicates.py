@@ -25,12 +25,17 @@ def path_of(*keys: str | int) -> str:
             raise ValueError("a JSON path takes names and positions")
         if isinstance(key, int) and key < 0:
             raise ValueError("negative positions are not supported")
-        out += f"[{key}]" if isinstance(key, int) else f"['{key}']"
+        quote = '"' if "'" in str(key) else "'"
+        out += f"[{key}]" if isinstance(key, int) else f"[{quote}{key}{quote}]"
     return out
 
 
 def _value(v: Column | str, keys: Sequence[str | int]) -> Column:
     col = F.col(v) if isinstance(v, str) else v
+    for at, key in enumerate(keys):
+        if isinstance(key, str) and "'" in key and '"' in key:  # no path can name such a key
+            outer = F.try_variant_get(_value(col, keys[:at]), "$", "map<string,variant>")
+            return _value(F.try_element_at(outer, F.lit(key)), keys[at + 1:])
     return F.try_variant_get(col, path_of(*keys), "variant") if keys else col
 
 
@@ -150,6 +155,9 @@ def dynamic_typed(df: DataFrame, key: str, as_type: str, strict: bool = False) -
         raise ValueError(f"unsupported dynamic type {as_type}")
     reader, spark_type = readers[as_type]
     value = reader(meta, key).cast(spark_type)
+    if as_type == "int":  # fractions are cut off towards zero
+        whole = F.schema_of_variant(_value(meta, [key])) == F.lit("BIGINT")
+        value = F.when(whole, value).otherwise(j_num(meta, key).try_cast("bigint"))
     if not strict:
         return value
     wrong = j_exists(meta, key) & value.isNull()

@@ -1,6 +1,6 @@
 """Approximate search: an inverted-file index whose cells bound what a search reads.
 
-Building trains centroids on a bounded sample, assigns every row to its cell and lays the rows out by
+Building trains centroids on all rows, assigns every row to its cell and lays the rows out by
 cell, so a search reads only the row groups of the cells it probes.  Rows may also hold compact codes
 (8-bit scalar or product quantisation), which are searched instead of the vectors.
 """
@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -29,10 +28,10 @@ from vecspark.plans.pruning import is_wanted
 
 CELL = "cell"
 CODE = "code"
+CELL_METRICS = ("HAMMING", "JACCARD")  # metrics whose answer nearby cells of binary vectors can give
 MAX_LIST = 65536  # fixed limit of cells and probes
 INDEX_BYTES = 256 << 20  # bound of centroids or code books shipped to every task
 FILE_BYTES = 128 << 20  # aimed size of one index file
-TRAIN_PER_CELL = 256
 SEED = 42
 
 
@@ -78,11 +77,6 @@ def _dense(vec: Column | str, kind: str, dim: int | None = None) -> Column:
     return F.flatten(F.transform(v, word))
 
 
-def bounded_sample(rows: DataFrame, size: int, n: int) -> DataFrame:
-    """About ``size`` of ``n`` rows for training; all rows when there are fewer."""
-    return rows if n <= size else rows.sample(min(1.0, 1.1 * size / n), seed=SEED)
-
-
 def _assigner(centers: np.ndarray, kind: str):
     half = (centers ** 2).sum(axis=1) / 2
 
@@ -98,6 +92,11 @@ def _assigner(centers: np.ndarray, kind: str):
     return assign
 
 
+def _first_dim(train: DataFrame, vec: str, kind: str) -> int:
+    first = train.select(F.size(_dense(vec, kind)).alias("n")).first()
+    return first.n if first else 0
+
+
 def ivf_build(
     rows: DataFrame, path: str, *, pk: str, vec: str, nlist: int, fields: Sequence[str] = (),
     coding: str | None = None, m: int = 8, nbits: int = 8, max_iter: int = 10, keep_raw: bool = True,
@@ -112,13 +111,14 @@ def ivf_build(
     if kind in ("sparse", "fp16", "bf16") or (kind == "bits" and coding):
         raise ValueError("cells need plain float or uncoded binary vectors")
     n = rows.count()
-    train = bounded_sample(rows.select(vec), nlist * TRAIN_PER_CELL, n).where(F.col(vec).isNotNull())
+    train = rows.select(vec).where(F.col(vec).isNotNull())
+    width = rows.schema[vec].metadata.get("dim") or _first_dim(train, vec, kind)
+    if nlist * width * 8 > INDEX_BYTES:
+        raise ValueError("centroids exceed the size every task can hold; use fewer cells")
     base = rows.where(F.col(vec).isNotNull()).select(*dict.fromkeys([pk, vec, *fields]))
     points = train.select(array_to_vector(_dense(vec, kind)).alias("features"))
     model = KMeans(k=nlist, seed=SEED, maxIter=max_iter, initMode="random").fit(points)
     centers = np.array(model.clusterCenters())
-    if centers.nbytes > INDEX_BYTES:
-        raise ValueError("centroids exceed the size every task can hold; use fewer cells")
     index = IvfIndex(spark, path, pk, vec, kind, centers, coding, fields=list(fields))
     out = base.withColumn(CELL, _assigner(centers, kind)(vec))
     if coding == "sq8":
@@ -137,7 +137,7 @@ def ivf_build(
 def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int], n: int) -> DataFrame:
     """Rows sorted by cell in files of even size, with one shuffle and no extra pass.
 
-    The unit interval is divided among the cells by their share of the training sample and cut into
+    The unit interval is divided among the cells by their share of the trained rows and cut into
     equal file slots; a row's place is its cell's start plus a hash.  Small cells share a slot, and a
     cell holding a third of all rows takes a third of the slots.
     """
@@ -213,8 +213,12 @@ def _sq8_encoder(lo: np.ndarray, step: np.ndarray):
     return encode
 
 
-def _train_books(train: DataFrame, vec: str, dim: int, m: int, nbits: int) -> np.ndarray:
-    """Code books (m, codes, dim / m): one group per sub-space, each the size of the training sample."""
+def _train_books(train: DataFrame, vec: str, dim: int, m: int, nbits: int, rounds: int = 8) -> np.ndarray:
+    """Code books (m, codes, dim / m): k-means in every sub-space at once, over all rows.
+
+    Each round is one read of the vectors; a task sends one row of sums per used code, so what meets in
+    the driver is as large as the books.  Codes start from the rows with the smallest hashes.
+    """
     if m < 1 or dim % m:
         raise ValueError("m must divide the dimension")
     if not 1 <= nbits <= 16:
@@ -222,32 +226,44 @@ def _train_books(train: DataFrame, vec: str, dim: int, m: int, nbits: int) -> np
     codes, width = 1 << nbits, dim // m
     if codes * dim * 8 > INDEX_BYTES:
         raise ValueError("code books exceed the size every task can hold; use fewer bits")
-    sample = bounded_sample(train, max(codes * 64, TRAIN_PER_CELL), train.count())
-    parts = F.transform(F.sequence(F.lit(0), F.lit(m - 1)), lambda s: F.struct(
-        s.alias("sub"), F.slice(vec, s * width + 1, F.lit(width)).alias("part")))
-    pieces = sample.select(F.explode(parts).alias("p")).select("p.sub", "p.part")
+    plain = train.select(F.col(vec).cast("array<double>").alias("v"))
+    seeds = np.array([r.v for r in plain.distinct().orderBy(F.xxhash64("v"), "v").limit(codes).collect()])
+    seeds = np.resize(seeds, (codes, dim))  # fewer rows than codes: they repeat
+    books = seeds.reshape(codes, m, width).transpose(1, 0, 2).copy()
+    for _ in range(rounds):
+        sums = train.select(vec).mapInArrow(_book_sums(books), "sub int, code int, n long, total array<double>")
+        each = sums.select("sub", "code", "n", F.posexplode("total").alias("at", "x"))
+        mean = each.groupBy("sub", "code", "at").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
+        books[mean["sub"], mean["code"], mean["at"]] = mean["x"]
+    return books
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["part"].tolist(), np.float64)
-        x = x[np.lexsort(x.T[::-1])]  # arrival order must not matter
-        book = lloyd(x, codes)
-        return pd.DataFrame({"sub": pdf["sub"].iloc[0], "code": np.arange(codes), "center": book.tolist()})
 
-    rows = pieces.groupBy("sub").applyInPandas(fit, "sub int, code int, center array<double>").orderBy("sub", "code").collect()
-    return np.array([r.center for r in rows]).reshape(m, codes, width)
+def _near_codes(block: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """The nearest code of every row, in slices of bounded size."""
+    out, half, step = np.empty(len(block), np.int64), (book ** 2).sum(axis=1) / 2, max(1, kernel.CELLS // len(book))
+    for a in range(0, len(block), step):
+        out[a:a + step] = (half - block[a:a + step] @ book.T).argmin(axis=1)
+    return out
 
 
-def lloyd(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
-    """Plain k-means on a bounded sample; surplus centres repeat sample points."""
-    rng = np.random.default_rng(SEED)
-    book = x[rng.choice(len(x), k, replace=len(x) < k)]
-    for _ in range(rounds):
-        near = ((book ** 2).sum(axis=1) / 2 - x @ book.T).argmin(axis=1)
-        size = np.bincount(near, minlength=k)
-        total = np.zeros_like(book)
-        np.add.at(total, near, x)
-        book = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], book)
-    return book
+def _book_sums(books: np.ndarray):
+    m, codes, width = books.shape
+
+    def run(batches):
+        count, total = np.zeros((m, codes), np.int64), np.zeros((m, codes, width))
+        for batch in batches:
+            block = kernel.decode(batch.column(0), Codec("dense")).astype(np.float64)
+            for s in range(m if len(block) else 0):
+                part = block[:, s * width:(s + 1) * width]
+                near = _near_codes(part, books[s])
+                count[s] += np.bincount(near, minlength=codes)
+                np.add.at(total[s], near, part)
+        s, c = np.nonzero(count)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(s, pa.int32()), pa.array(c, pa.int32()), pa.array(count[s, c]),
+             pa.array(list(total[s, c]), pa.list_(pa.float64()))], names=["sub", "code", "n", "total"])
+
+    return run
 
 
 def _pq_encoder(books: np.ndarray):
@@ -256,14 +272,10 @@ def _pq_encoder(books: np.ndarray):
     @F.arrow_udf(T.BinaryType())
     def encode(vec: pa.Array) -> pa.Array:
         block = kernel.decode(vec, Codec("dense"))
-        m, codes, width = books.shape
+        m, _, width = books.shape
         out = np.empty((len(block), m), dtype)
-        rows = max(1, kernel.CELLS // codes)
         for s in range(m):
-            book, half = books[s], (books[s] ** 2).sum(axis=1) / 2
-            for a in range(0, len(block), rows):
-                part = block[a:a + rows, s * width:(s + 1) * width]
-                out[a:a + rows, s] = (half - part @ book.T).argmin(axis=1)
+            out[:, s] = _near_codes(block[:, s * width:(s + 1) * width], books[s])
         return _bytes_rows(out)
 
     return encode
@@ -298,6 +310,8 @@ def ivf_search(
     if not 1 <= nprobe <= MAX_LIST:
         raise ValueError(f"nprobe must be in [1, {MAX_LIST}]")
     check_metric(index.kind, metric)
+    if index.kind == "bits" and metric not in CELL_METRICS:
+        raise ValueError(f"cells of binary vectors cannot answer {metric}; use one of {', '.join(CELL_METRICS)}")
     check_paging(k, offset)
     lower, upper = check_range(metric, radius, range_filter)
     target = CODE if index.coding else index.vec
@@ -363,9 +377,9 @@ def scann_search(
 ) -> DataFrame:
     """``reorder_k`` coded candidates per query, re-ranked exactly to ``k``; ``raw`` supplies the
     vectors of an index built without them."""
-    if reorder_k < 1:
-        raise ValueError("reorder_k must be at least 1")
-    rough = ivf_search(index, queries, max(k, reorder_k), metric=metric, nprobe=nprobe, qid=qid, qvec=qvec)
+    if reorder_k < k:
+        raise ValueError("reorder_k must be at least k")
+    rough = ivf_search(index, queries, reorder_k, metric=metric, nprobe=nprobe, qid=qid, qvec=qvec)
     source = raw if raw is not None else index.rows()
     return rerank(rough, source, queries, k, metric=metric, pk=index.pk, vec=index.vec, qid=qid, qvec=qvec)
 

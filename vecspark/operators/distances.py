@@ -50,7 +50,8 @@ def calc_distance(
                 score = kernel.block_scores(v, np.einsum("ij,ij->i", v, v), block, metric)
                 known = ~np.isnan(score) if seen is None else (block.seen @ seen.T > 0)
                 i, j = np.nonzero(known.T)  # pairs of one row together
-                found = score[j, i].astype(np.int64 if whole else np.float64)
+                exact = score[j, i] if metric in kernel.BINARY else kernel.settled_scores(v, block.matrix, i, j, metric)
+                found = exact.astype(np.int64 if whole else np.float64)
                 yield pa.RecordBatch.from_arrays([
                     piece[lid].combine_chunks().take(pa.array(i)), other.ids.take(pa.array(at[j])), pa.array(found)],
                     names=schema.names)

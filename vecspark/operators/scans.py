@@ -66,8 +66,12 @@ def load_columns(df: DataFrame, fields: Sequence[str], *, skip_dynamic: bool = T
 
 
 def write_scalar_layout(df: DataFrame, path: str, by: str, bloom: Sequence[str] = ()) -> None:
-    """Files sorted by a field, so min/max statistics skip row groups; bloom filters for point lookups."""
-    writer = df.repartitionByRange(by).sortWithinPartitions(by).write
+    """Files sorted by a field, so min/max statistics skip row groups; bloom filters for point lookups.
+
+    A hash of the row's plain columns behind the field lets a frequent value spread over several files.
+    """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+    writer = df.repartitionByRange(by, F.xxhash64(*[F.col(f"`{c}`") for c in plain])).sortWithinPartitions(by).write
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     writer.parquet(path)

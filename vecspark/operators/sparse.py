@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.functions.packing import drop_smallest
@@ -10,30 +12,36 @@ from vecspark.operators.search import search
 from vecspark.plans.pruning import is_wanted
 from vecspark.session import materialize
 
+ROW = "_row"
 FILTER_DIMS = 10000  # up to this many query dimensions the postings scan gets an IN filter
 
 
-def postings(rows: DataFrame, *, pk: str, vec: str, drop_ratio: float = 0.0) -> DataFrame:
-    """(dim, pk, value) entries, each row's smallest values dropped first."""
-    kept = rows.select(pk, drop_smallest(vec, drop_ratio).alias("_v"))
+def postings(rows: DataFrame, *, pk: str, vec: str, drop_ratio: float = 0.0, fields: Sequence[str] = ()) -> DataFrame:
+    """(dim, pk, row, value, fields) entries, each row's smallest values dropped first.
+
+    ``row`` tells rows apart that share a key; it holds for one evaluation, so the entries of an index are written.
+    """
+    carried = [f for f in fields if f != pk]
+    kept = rows.select(pk, F.monotonically_increasing_id().alias(ROW), drop_smallest(vec, drop_ratio).alias("_v"), *carried)
     # the outer form adds no filter on the vector, which would compute a derived vector twice
-    entries = kept.select(pk, F.inline_outer("_v").alias("dim", "value")).where(F.col("dim").isNotNull())
-    return entries.select("dim", pk, "value")
+    entries = kept.select(pk, ROW, F.inline_outer("_v").alias("dim", "value"), *carried).where(F.col("dim").isNotNull())
+    return entries.select("dim", pk, ROW, "value", *carried)
 
 
-def write_postings(rows: DataFrame, path: str, *, pk: str, vec: str, drop_ratio: float = 0.0) -> None:
+def write_postings(rows: DataFrame, path: str, *, pk: str, vec: str, drop_ratio: float = 0.0, fields: Sequence[str] = ()) -> None:
     """Postings laid out by (dim, pk): range partitions split a frequent dimension over several files,
     and a search reads only the row groups of its own dimensions.  The entries are written once
     before, because choosing the ranges reads them a second time."""
-    entries = materialize(postings(rows, pk=pk, vec=vec, drop_ratio=drop_ratio), "entries")
+    entries = materialize(postings(rows, pk=pk, vec=vec, drop_ratio=drop_ratio, fields=fields), "entries")
     entries.repartitionByRange("dim", pk).sortWithinPartitions("dim", pk).write.parquet(path)
 
 
 def search_postings(
     index: DataFrame, queries: DataFrame, k: int, *, pk: str, qid: str = "qid", qvec: str = "qvec",
-    drop_ratio: float = 0.0, **options,
+    drop_ratio: float = 0.0, where: Column | str | None = None, **options,
 ) -> DataFrame:
-    """Top-k by inner product from a postings table.
+    """Top-k by inner product from a postings table; ``where``, ``fields`` and ``group_by`` may name the
+    fields stored with the postings.
 
     Only the postings of the queries' dimensions are read; they are regrouped by row (at most one
     entry per query dimension) and scored block-wise, so no (query, row) pairs are shuffled.
@@ -45,7 +53,10 @@ def search_postings(
         wanted = index.where(is_wanted("dim", some))
     else:
         wanted = index.join(dims, "dim", "left_semi")
+    if where is not None:
+        wanted = wanted.where(where)
+    carried = [c for c in index.columns if c not in ("dim", "value", pk, ROW)]
     entry = F.struct(F.col("dim").alias("i"), F.col("value").alias("v"))
-    rows = wanted.groupBy(pk).agg(F.collect_set(entry).alias("_vec"))
+    rows = wanted.groupBy(pk, ROW).agg(F.collect_set(entry).alias("_vec"), *[F.first(c).alias(c) for c in carried])
     return search(rows, asked, k, metric="IP", vec="_vec", pk=pk, qid=qid, qvec=qvec, **options)
 

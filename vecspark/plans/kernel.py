@@ -335,7 +335,7 @@ def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, see
             keep[crowded] &= keys.nearest(cost[crowded], spec.k, slack[crowded])
         j, i = np.nonzero(keep)
         if len(i):
-            exact = _pairs(v, part.matrix, i, j, spec.metric) * spec.sign if rough else cost[j, i]
+            exact = settled_scores(v, part.matrix, i, j, spec.metric) * spec.sign if rough else cost[j, i]
             best.add(rows.take(pa.array(i)), at[pick][j], exact)
 
 
@@ -344,7 +344,7 @@ def _keep_range(score, v, q: QueryBlock, slack, spec: Spec) -> None:
     for bound in (spec.lower, spec.upper):
         if bound is not None and spec.metric not in BINARY:
             j, i = np.nonzero(np.abs(score - bound) <= slack[:, None])
-            score[j, i] = _pairs(v, q.matrix, i, j, spec.metric)
+            score[j, i] = settled_scores(v, q.matrix, i, j, spec.metric)
     if spec.lower is not None:
         score[~(score >= spec.lower)] = np.nan
     if spec.upper is not None:
@@ -404,7 +404,8 @@ def without_surplus_copies(rows: pa.Table, v, seen, spec: Spec) -> np.ndarray |
     return np.sort(np.concatenate([np.flatnonzero(others), kept]))
 
 
-def _pairs(v, q, i, j, metric):
+def settled_scores(v, q, i, j, metric):
+    """Scores of single pairs, summed in a fixed order: copies score alike, a vector is at distance 0 from itself."""
     out = np.empty(len(i))
     width = max(1, CELLS // max(1, v.shape[1]))
     for s in range(0, len(i), width):
@@ -432,15 +433,19 @@ def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None,
                 raise ValueError("vector dimension does not match the field")
             rows = piece.select(kept)
             cells = None if probes is None else piece[cell].to_numpy()
-            few = without_surplus_copies(rows, v, seen, best.spec)
-            if few is not None:
-                rows, v, seen = rows.take(pa.array(few)), v[few], None if seen is None else seen[few]
-                cells = None if cells is None else cells[few]
             if probes is None:
-                scan_block(best, rows, v, part, at, seen)
+                _scan_distinct(best, rows, v, part, at, seen)
                 continue
             for c in np.unique(cells):
                 asking = probes.get(int(c))
                 if asking is not None:
                     mine = np.flatnonzero(cells == c)
-                    scan_block(best, rows.take(pa.array(mine)), v[mine], part.take(asking), asking)
+                    _scan_distinct(best, rows.take(pa.array(mine)), v[mine], part.take(asking), asking)
+
+
+def _scan_distinct(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None) -> None:
+    """``scan_block`` of rows that all meet the same queries, surplus copies of a vector left out."""
+    few = without_surplus_copies(rows, v, seen, best.spec)
+    if few is not None:
+        rows, v, seen = rows.take(pa.array(few)), v[few], None if seen is None else seen[few]
+    scan_block(best, rows, v, q, at, seen)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ def check_columns(df: DataFrame, schema: T.StructType) -> None:
     """Raise for duplicate, unknown, mistyped or missing columns."""
     twice = [c for c, n in Counter(df.columns).items() if n > 1]
     if twice:
-        raise ValueError(f"duplicated column {twice[0]}")
+        raise ValueError(f"the batch names column {twice[0]} more than once")
     names = {f.name: f for f in S.declared(schema)}
     extras = [c for c in df.columns if c not in names and c != META]
     if META in df.columns:
@@ -37,7 +37,7 @@ def check_columns(df: DataFrame, schema: T.StructType) -> None:
         if extras:
             raise ValueError("dynamic columns and an explicit dynamic part cannot be combined")
     elif extras and not S.is_dynamic(schema):
-        raise ValueError(f"field {extras[0]} does not exist")
+        raise ValueError(f"the table declares no field {extras[0]}")
     for c in df.columns:
         if c in names and not _same_type(df.schema[c].dataType, names[c].dataType):
             raise ValueError(f"column {c} is {df.schema[c].dataType.simpleString()}, "
@@ -45,7 +45,7 @@ def check_columns(df: DataFrame, schema: T.StructType) -> None:
     for f in names.values():
         optional = f.nullable or "default" in f.metadata or f.metadata.get("auto_id")
         if f.name not in df.columns and not optional:
-            raise ValueError(f"field {f.name} not passed")
+            raise ValueError(f"the batch lacks the required field {f.name}")
 
 
 def fill_defaults(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -129,10 +129,14 @@ def ingest(table, df: DataFrame, partition: str | None = None) -> None:
     The rules are counted while the rows are written, so the batch is read once; the new files only
     become part of the table when every count is zero.
     """
-    ready = prepare(df, table.schema)
-    checks = rules(table.schema)
-    seen = Observation()
-    watched = ready.observe(seen, F.count("*").alias("rows"), *[
+    watched, accept = checked(df, table.schema)
+    table.insert(watched, partition, accept=accept)
+
+
+def checked(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Callable[[], None]]:
+    """The prepared batch, and what raises if the rows written from it broke a rule."""
+    checks, seen = rules(schema), Observation()
+    watched = prepare(df, schema).observe(seen, F.count("*").alias("rows"), *[
         F.count_if(F.coalesce(bad, F.lit(False))).alias(f"r{i}") for i, (_, bad) in enumerate(checks)])
 
     def accept() -> None:
@@ -140,7 +144,7 @@ def ingest(table, df: DataFrame, partition: str | None = None) -> None:
         if broken:
             raise ValueError("; ".join(sorted(broken)))
 
-    table.insert(watched, partition, accept=accept)
+    return watched, accept
 
 
 # ---------------------------------------------------------------- generated keys

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from vecspark import schema as S
 from vecspark.schema import DEFAULT_PARTITION, MAX_PARTITIONS
 from vecspark.session import filesystem, get_text, materialize, put_text
+from vecspark.sources.ingest import checked
 
 PARTITION = "_partition"
 SEGMENT = "_seg"
@@ -191,6 +192,13 @@ class VectorTable:
             fs, root = filesystem(self.spark, f"{self.path}/data/{SEGMENT}={seg}")
             fs.delete(root, True)
 
+    def _accept(self, written: Sequence[Entry], accept: Callable[[], None]) -> None:
+        try:
+            accept()
+        except Exception:
+            self._discard(written)
+            raise
+
     def insert(self, df: DataFrame, partition: str | Column | None = None, *, sealed: bool = False,
                accept: Callable[[], None] | None = None) -> None:
         """Append rows; existing folders are untouched.  Uniqueness of keys is not checked.
@@ -202,11 +210,7 @@ class VectorTable:
             self._check_known([partition], entries)
         new = self._write(self._placed(df, partition), sealed, self._spreads(partition), only=self._single(partition))
         if accept is not None:
-            try:
-                accept()
-            except Exception:
-                self._discard(new)
-                raise
+            self._accept(new, accept)
         known = {e.part for e in entries}
         named = [] if self.partition_key else [Entry("", p, True) for p in {e.part for e in new} - known]
         if len(known) + len(named) > MAX_PARTITIONS:
@@ -276,14 +280,19 @@ class VectorTable:
         """Replace whole rows by primary key, else insert; the last row of a key in the batch wins.
 
         Keys are unique within the named partition, or across a table with a partition key (there a
-        changed partition key moves the row).  The batch is computed once, as the new segment; its
-        keys are then read back to find and rewrite the old files that hold them.
+        changed partition key moves the row).  The batch is checked as in an ingest and refused as a whole
+        if a row breaks a rule.  It is computed once, as the new segment; its keys are then read back to
+        find and rewrite the old files that hold them.
         """
         entries = self.entries()
         if partition:
             self._check_known([partition], entries)
-        placed = self._placed(last_per_key(batch, self.pk, self.schema.names, seq), partition)
-        new = self._write(placed, False, self._spreads(partition), only=self._single(partition))
+        if self.pk not in batch.columns:
+            raise ValueError(f"the batch lacks the primary key {self.pk}")
+        last = last_per_key(batch, self.pk, batch.columns, seq)
+        ready, accept = checked(last if seq is None or seq in self.schema.names else last.drop(seq), self.schema)
+        new = self._write(self._placed(ready, partition), False, self._spreads(partition), only=self._single(partition))
+        self._accept(new, accept)
         keys = self._read_entries(new, located=True).select(self.pk)
         scope = entries if self.partition_key else [e for e in entries if e.part == (partition or DEFAULT_PARTITION)]
         having, lacking = self._by_keys(keys)
@@ -369,9 +378,16 @@ def _one_of(expression: str, names: Sequence[str]) -> str:
 
 
 def last_per_key(batch: DataFrame, pk: str, columns: Sequence[str], seq: str | None = None) -> DataFrame:
-    """One row per key: the one with the highest ``seq``, or the last in the batch's row order."""
+    """One row per key: the one with the highest ``seq``, or the last in the batch's row order.
+
+    Rows with equal ``seq`` are told apart by a hash of their plain columns, so the choice is the same in every run.
+    """
     if seq is None:
-        batch, seq = batch.withColumn("_order", F.monotonically_increasing_id()), "_order"
+        order = F.monotonically_increasing_id()
+    else:
+        plain = [f.name for f in batch.schema.fields if not isinstance(f.dataType, (T.VariantType, T.MapType))]
+        order = F.struct(F.col(f"`{seq}`"), F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     whole = F.struct(*[F.col(f"`{c}`").alias(c) for c in columns])
-    best = batch.groupBy(F.col(pk).alias("_key")).agg(F.max_by(whole, F.col(seq)).alias("_row"))
+    keyed = batch.select(F.col(f"`{pk}`").alias("_key"), whole.alias("_whole"), order.alias("_order"))
+    best = keyed.groupBy("_key").agg(F.max_by("_whole", "_order").alias("_row"))
     return best.select(*[F.col("_row").getField(c).alias(c) for c in columns])

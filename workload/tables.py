@@ -289,7 +289,7 @@ def upsert_last_wins(spark, sf):
     """All events as one batch keyed by user: the latest row per key stays."""
     schema = S.table_schema([S.field("user_id", L, pk=True), S.field("event_id", L), S.field("event_type", STR), S.vector("vec", "dense", 2)])
     t = new_table(spark, schema)
-    batch = table(spark, sf, "events").withColumn("vec", point("value", "user_id"))
+    batch = table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts", point("value", "user_id").alias("vec"))
     t.upsert(batch, seq="ts")
     return t.read().select("user_id", "event_id", "event_type")
 
@@ -300,7 +300,7 @@ def upsert_dynamic(spark, sf):
     """The dynamic part is replaced as a whole: keys absent from the new row vanish."""
     t = dynamic_orders(spark, sf)
     batch = orders(spark, sf).where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice", "vec", F.lit("seen").alias("note"))
-    t.upsert(ingest.prepare(batch, t.schema))
+    t.upsert(batch)
     r = t.read()
     return r.select("o_orderkey", p.dynamic_typed(r, "o_orderpriority", "string").alias("o_orderpriority"), p.dynamic_typed(r, "note", "string").alias("note"))
 
