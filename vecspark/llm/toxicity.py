@@ -47,13 +47,21 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str], chunk: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all n-grams of all words, offsets by word)."""
+    parts = [_subwords(words[lo:lo + chunk]) for lo in range(0, len(words), chunk)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
+
+
+def _subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, how many each word has)."""
     marked = [f"<{w}>" for w in words]
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(m) for m in marked], np.int64)
     ends = np.cumsum(sizes)
-    word = np.repeat(np.arange(len(words)), sizes)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
     left = ends[word] - np.arange(len(points))  # characters up to the end of the word
     rolled, owner, value = np.zeros(len(points), np.uint64), [], []
     for n in range(1, max(GRAMS) + 1):
@@ -62,18 +70,17 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             whole = np.flatnonzero(left[:len(rolled)] >= n)
             owner.append(word[whole])
             value.append(_bucket(rolled[whole] + np.uint64(n)))
-    powers = np.cumprod(np.full(int(sizes.max()), 6364136223846793005, np.uint64)) if len(words) else np.zeros(1, np.uint64)
+    powers = np.cumprod(np.full(int(sizes.max()), 6364136223846793005, np.uint64))
     at = np.arange(len(points)) - np.repeat(ends - sizes, sizes)
-    owner.append(np.arange(len(words)))
-    value.append(_bucket(np.add.reduceat(points * powers[at], ends - sizes)) if len(words) else np.zeros(0, np.int64))
+    owner.append(np.arange(len(words), dtype=np.int32))
+    value.append(_bucket(np.add.reduceat(points * powers[at], ends - sizes)))
     owner, value = np.concatenate(owner), np.concatenate(value)
-    order = np.argsort(owner, kind="stable")
-    return value[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))])
+    return value[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 def _bucket(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * _MULTIPLIER
-    return ((x ^ (x >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return ((x ^ (x >> np.uint64(32))) & np.uint64(BUCKETS - 1)).astype(np.int32)
 
 
 def segment_means(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -131,12 +138,13 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         share = (y.sum() + 0.5) / (len(y) + 1.0)
         return Model(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
     numbers: dict[str, int] = {}
-    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int64) for t in texts]
-    features, bounds = subwords(list(numbers))
+    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int32) for t in texts]
     counts, flat = np.array([len(d) for d in docs], np.int64), np.concatenate(docs)
+    features, bounds = subwords(list(numbers))
+    del docs, numbers
     counted = first_mentions(flat, counts)
     start, end, first = passages(counts)
-    passage_text = np.repeat(np.arange(len(docs)), np.diff(first))
+    passage_text = np.repeat(np.arange(len(counts), dtype=np.int32), np.diff(first))
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
@@ -151,11 +159,11 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 
     for _ in range(EPOCHS):
         # The most toxic passage of every text under the current model.
-        by_word = segment_means((table @ (weights[:, 1] - weights[:, 0]))[features], bounds)
+        by_word = segment_means((table @ (weights[:, 1] - weights[:, 0]))[features], bounds).astype(np.float32)
         scores = _passage_scores(by_word[flat] * counted, start, end)
         top = np.flatnonzero(scores == np.maximum.reduceat(scores, first[:-1])[passage_text])
-        best = top[np.searchsorted(passage_text[top], np.arange(len(docs)))]
-        order = rng.permutation(len(docs))
+        best = top[np.searchsorted(passage_text[top], np.arange(len(counts)))]
+        order = rng.permutation(len(counts))
         for lo in range(0, len(order), BATCH):
             pick = order[lo:lo + BATCH]
             s, size = start[best[pick]], (end - start)[best[pick]]
