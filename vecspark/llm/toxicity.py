@@ -9,7 +9,8 @@ unseen spellings are scored by the n-grams they share with known ones.
 
 Training runs on the driver over a bounded sample: at most ``toxic`` texts with the label and ``other`` without
 it, of at most ``sample_chars`` characters each, those with the smallest hashes of their ids.  Every text contributes its
-currently most toxic passage; embeddings and softmax are updated together (Adam).  For scoring, the table
+currently most toxic passage, at first by the log odds of its subwords; embeddings and softmax are updated
+together (Adam).  For scoring, the table
 is multiplied with the softmax weights once, so a task needs one number per bucket, and words met before are
 looked up.  Every text is scored whole.
 
@@ -35,7 +36,7 @@ GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
 DIMENSIONS = 12
 WINDOW, STRIDE = 16, 8
-EPOCHS, BATCH, RATE, DECAY = 20, 256, 0.05, 1e-6
+EPOCHS, BATCH, RATE, DECAY, START = 18, 256, 0.05, 1e-6, 2.0
 SAMPLE_TOXIC, SAMPLE_OTHER, SAMPLE_CHARS = 2000, 8000, 20_000
 CACHED_WORDS = 1 << 20
 GROUP_CHARS = 4 << 20
@@ -132,6 +133,18 @@ class Model:
         self.buckets, self.bias = buckets.astype(np.float32), float(bias)
 
 
+def _log_odds(words: np.ndarray, y: np.ndarray, text: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where training starts from: how much more often the words of a bucket are in labelled texts, shrunk for rare words."""
+    n_words, once = len(bounds) - 1, np.unique(text.astype(np.int64) * (len(bounds) - 1) + words, return_index=True)[1]
+    toxic = np.bincount(words[once], y[once], minlength=n_words)
+    other = np.bincount(words[once], 1 - y[once], minlength=n_words)
+    odds = np.log((toxic + 0.5) / (toxic.sum() + 1)) - np.log((other + 0.5) / (other.sum() + 1))
+    uses = toxic + other
+    weight = np.repeat(uses, np.diff(bounds))
+    total = np.bincount(features, weight, minlength=BUCKETS)
+    return np.bincount(features, np.repeat(odds * uses / (uses + 5.0), np.diff(bounds)) * weight, minlength=BUCKETS) / np.maximum(1, total)
+
+
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
@@ -149,6 +162,8 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.log([1 - y.mean(), y.mean()])
+    table[:, 0] = _log_odds(flat, np.repeat(y, counts), np.repeat(np.arange(len(counts)), counts), features, bounds)
+    weights[0] = [-START, START]
     values, moments = [table, weights, bias], [(np.zeros_like(v), np.zeros_like(v)) for v in (table, weights, bias)]
 
     def adam(which: int, grad: np.ndarray, rows=slice(None)) -> None:
