@@ -122,3 +122,17 @@ def test_a_frequent_value_spreads_over_files(spark, folder):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = spark.read.parquet(f"{folder}/s").groupBy(F.input_file_name()).count().toPandas()["count"]
     assert sizes.max() < 8000
+
+
+def test_compaction_leaves_settled_partitions_alone(spark, folder):
+    table = small_table(spark, folder)
+    kind = "id long, name string, vec array<float>"
+    for i in range(3):
+        table.upsert(spark.createDataFrame([(i, "a", [0.0, 1.0]), (9, str(i), [1.0, 1.0])], kind))
+    table.compact()
+    settled = table.entries()
+    table.compact()
+    assert table.entries() == settled
+    table.upsert(spark.createDataFrame([(1, "new", [2.0, 2.0])], kind))
+    table.compact()
+    assert sorted((r["id"], r["name"]) for r in table.read().collect()) == [(0, "a"), (1, "new"), (2, "a"), (9, "2")]

@@ -344,14 +344,21 @@ class VectorTable:
     # ------------------------------------------------------------ maintenance and statistics
 
     def compact(self) -> None:
-        """Merge every partition's folders into one sealed folder in key order; the row set stays the same.
+        """Merge the folders of every changed partition into one sealed folder in key order; the row set stays the same.
 
-        Files then hold disjoint key ranges, so later changes and lookups touch few of them.
+        Files then hold disjoint key ranges, so later changes and lookups touch few of them.  A partition
+        that already is one sealed folder without replaced files is left as it is.
         """
         entries = self.entries()
-        if any(e.seg for e in entries):
+        by_part: dict[str, list] = {}
+        for e in entries:
+            if e.seg:
+                by_part.setdefault(e.part, []).append(e)
+        settled = [p[0] for p in by_part.values() if len(p) == 1 and p[0].sealed and not p[0].replaced]
+        changed = [e for p in by_part.values() for e in p if e not in settled]
+        if changed:
             names = [e for e in entries if not e.seg]
-            self._commit([*names, *self._write(self._read_entries(entries, located=True), True, ordered=True)])
+            self._commit([*names, *settled, *self._write(self._read_entries(changed, located=True), True, ordered=True)])
 
     def compact_plan(self, target_bytes: int) -> DataFrame:
         """(partition, target, sources): which files would be merged into files of the target size."""
