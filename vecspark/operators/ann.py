@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from vecspark import session
 from vecspark.functions import distance
-from vecspark.operators.search import check_metric, check_paging, check_range, vector_kind
+from vecspark.operators.search import check_group, check_metric, check_paging, check_range, vector_kind
 from vecspark.plans import kernel, knn
 from vecspark.plans.kernel import SIMILARITIES, Codec, Spec
 from vecspark.plans.pruning import is_wanted
@@ -299,9 +299,9 @@ def _nearest_cells(block: np.ndarray, centers: np.ndarray, metric: str, nprobe:
 def ivf_search(
     index: IvfIndex, queries: DataFrame, k: int, *, metric: str, nprobe: int, qid: str = "qid", qvec: str = "qvec",
     where: Column | str | None = None, fields: Sequence[str] = (), offset: int = 0, radius: float | None = None,
-    range_filter: float | None = None, score: str = "score",
+    range_filter: float | None = None, group_by: str | None = None, score: str = "score",
 ) -> DataFrame:
-    """Top-k among the rows of the ``nprobe`` nearest cells of each query.
+    """Top-k among the rows of the ``nprobe`` nearest cells of each query, with ``group_by`` the best row per group.
 
     A bounded query set travels with the scan, which reads only probed cells; a larger one meets the
     rows in block-sized (cell, query block, row block) groups, so a crowded cell is never one task.
@@ -316,8 +316,11 @@ def ivf_search(
     lower, upper = check_range(metric, radius, range_filter)
     target = CODE if index.coding else index.vec
     source = index.rows() if where is None else index.rows().where(where)
-    carried = [f for f in fields if f != index.pk]
-    spec = Spec(metric, k + offset, index.pk, index.pk, carried, lower, upper)
+    if group_by is not None:
+        check_group(source, group_by, index.kind, radius)
+    carried = [f for f in fields if f not in (index.pk, group_by)]
+    key = group_by or index.pk
+    spec = Spec(metric, k + offset, index.pk, key, carried, lower, upper)
     opts = dict(vec=target, qid=qid, qvec=qvec, score=score, codec=index.codec(), spec=spec, cell=CELL)
     table = knn.fetch_bounded(queries, qid, qvec, index.kind, spec.k)
     if table is not None:
@@ -334,9 +337,9 @@ def ivf_search(
     else:
         asked = queries.withColumn("_cells", _prober(index, metric, nprobe)(qvec))
         candidates = knn.grid_candidates(source, asked, query_cells="_cells", **opts)
-    hits = knn.rank_best(candidates, qid=qid, score=score, pk=index.pk, key=index.pk, k=k, offset=offset,
+    hits = knn.rank_best(candidates, qid=qid, score=score, pk=index.pk, key=key, k=k, offset=offset,
                          similarity=metric in SIMILARITIES, per_query=session.estimated_tasks(source) * spec.k)
-    return hits.select(qid, "rank", index.pk, score, *carried)
+    return hits.select(*dict.fromkeys([qid, "rank", index.pk, score, key, *carried]))
 
 
 def _check_dim(dim: int, index: IvfIndex) -> None:
@@ -360,28 +363,37 @@ def _prober(index: IvfIndex, metric: str, nprobe: int):
 
 def rerank(
     candidates: DataFrame, rows: DataFrame, queries: DataFrame, k: int, *, metric: str, pk: str, vec: str,
-    qid: str = "qid", qvec: str = "qvec", score: str = "score",
+    qid: str = "qid", qvec: str = "qvec", score: str = "score", fields: Sequence[str] = (), offset: int = 0,
+    radius: float | None = None, range_filter: float | None = None,
 ) -> DataFrame:
     """Exact top-k of approximate candidates: their stored vectors are joined by key and re-scored."""
     metric = metric.upper()
+    lower, upper = check_range(metric, radius, range_filter)
     pair = {"L2": distance.l2, "IP": distance.ip, "COSINE": distance.cosine}[metric]
-    best = candidates.select(qid, pk).join(rows.select(pk, vec), pk).join(queries.select(qid, qvec), qid)
-    scored = best.select(qid, pk, pair(qvec, vec).alias(score)).where(F.col(score).isNotNull())
-    hits = knn.rank_best(scored, qid=qid, score=score, pk=pk, key=pk, k=k, similarity=metric in SIMILARITIES)
-    return hits.select(qid, "rank", pk, score)
+    best = candidates.select(qid, pk).join(rows.select(pk, vec, *fields), pk).join(queries.select(qid, qvec), qid)
+    scored = best.select(qid, pk, pair(qvec, vec).alias(score), *fields).where(F.col(score).isNotNull())
+    if lower is not None:
+        scored = scored.where(F.col(score) >= lower)
+    if upper is not None:
+        scored = scored.where(F.col(score) < upper)
+    hits = knn.rank_best(scored, qid=qid, score=score, pk=pk, key=pk, k=k, offset=offset, similarity=metric in SIMILARITIES)
+    return hits.select(qid, "rank", pk, score, *fields)
 
 
 def scann_search(
     index: IvfIndex, queries: DataFrame, k: int, *, metric: str, nprobe: int, reorder_k: int, raw: DataFrame | None = None,
-    qid: str = "qid", qvec: str = "qvec",
+    qid: str = "qid", qvec: str = "qvec", where: Column | str | None = None, fields: Sequence[str] = (), offset: int = 0,
+    radius: float | None = None, range_filter: float | None = None,
 ) -> DataFrame:
-    """``reorder_k`` coded candidates per query, re-ranked exactly to ``k``; ``raw`` supplies the
-    vectors of an index built without them."""
-    if reorder_k < k:
-        raise ValueError("reorder_k must be at least k")
-    rough = ivf_search(index, queries, reorder_k, metric=metric, nprobe=nprobe, qid=qid, qvec=qvec)
+    """``reorder_k`` coded candidates per query that pass ``where``, re-ranked exactly to ``k``; ``raw``
+    supplies the vectors and fields of an index built without them.  A range holds for the exact scores."""
+    check_paging(k, offset)
+    if reorder_k < k + offset:
+        raise ValueError("reorder_k must be at least offset + k")
+    rough = ivf_search(index, queries, reorder_k, metric=metric, nprobe=nprobe, qid=qid, qvec=qvec, where=where)
     source = raw if raw is not None else index.rows()
-    return rerank(rough, source, queries, k, metric=metric, pk=index.pk, vec=index.vec, qid=qid, qvec=qvec)
+    return rerank(rough, source, queries, k, metric=metric, pk=index.pk, vec=index.vec, qid=qid, qvec=qvec, fields=fields,
+                  offset=offset, radius=radius, range_filter=range_filter)
 
 
 def recall(approximate: DataFrame, exact: DataFrame, *, pk: str, qid: str = "qid") -> DataFrame:

@@ -109,7 +109,7 @@ def search(
     check_paging(k, offset)
     lower, upper = check_range(metric, radius, range_filter)
     if group_by is not None:
-        _check_group(rows, group_by, kind, radius)
+        check_group(rows, group_by, kind, radius)
     fields = [f for f in fields if f not in (pk, group_by)]
     carried = fields if fetch == "carry" else []
     source = rows if where is None else rows.where(where)
@@ -142,7 +142,7 @@ def _only_vector(rows: DataFrame) -> str:
     return found[0]
 
 
-def _check_group(rows: DataFrame, group_by: str, kind: str, radius: float | None) -> None:
+def check_group(rows: DataFrame, group_by: str, kind: str, radius: float | None) -> None:
     if not isinstance(rows.schema[group_by].dataType, GROUP_TYPES):
         raise ValueError("group-by accepts integer, boolean and text fields")
     if kind == "bits":

@@ -78,6 +78,25 @@ def ivf_search_probed(spark, sf):
                    (F.avg(F.col("good_recall").cast("int")) >= 0.4).alias("good_recall"), F.count("*").alias("queries"))
 
 
+@query("ivf_search_group_by", f"""WITH {SELF_SQL},
+s AS (SELECT q.qid, e.vec_id, e.label, {L2_SQL} AS score FROM q, embeddings e),
+g AS (SELECT *, row_number() OVER (PARTITION BY qid, label ORDER BY score, vec_id) AS n FROM s),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, vec_id) AS rank FROM g WHERE n = 1)
+SELECT qid, rank::bigint AS rank, vec_id, round(score, 4) AS score, label FROM r WHERE rank <= 3""")
+def ivf_search_group_by(spark, sf):
+    """The best row per label from the index; exact when all cells are probed."""
+    return rounded(ann.ivf_search(build(spark, sf), self_queries(spark, sf), 3, metric="L2", nprobe=NLIST, group_by="label"))
+
+
+@query("scann_filtered", judged_sql("DISTINCT label", "embeddings", 5))
+def scann_filtered(spark, sf):
+    """Filter, fields and offset on re-ranked candidates."""
+    queries, rows = centroids(spark, sf), embeddings(spark, sf)
+    index = build(spark, sf, "pq", m=16, nbits=6)
+    hits = ann.scann_search(index, queries, 5, metric="L2", nprobe=NLIST, reorder_k=200, where="label < 7", fields=["label"], offset=2)
+    return judged(hits.where("label < 7").drop("label"), rows, queries, 5, floor=0.0, tolerance=1e-9)
+
+
 @query("ivf_self_hit", "SELECT vec_id AS qid, 1::bigint AS rank, vec_id, 0.0::double AS score FROM embeddings")
 def ivf_self_hit(spark, sf):
     """Even with one probed cell every stored vector finds itself first."""
