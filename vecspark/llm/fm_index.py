@@ -32,8 +32,8 @@ from vecspark.llm.words import PLAIN_BYTES, flat_text, groups_of, word_hashes, w
 
 WINDOW = 10
 SAMPLE = 16
-SHARD_WORDS = 1 << 20
-GROUP_BYTES = 8 << 20
+SHARD_WORDS = 1 << 19
+GROUP_BYTES = 2 << 20
 PHRASE_BYTES = 32 << 20
 VOCABULARY = 1 << 24
 END, SEPARATOR, FIRST_WORD = 0, 1, 2

@@ -44,7 +44,7 @@ K, MATCHES = 64, 40
 PERCENT = 85
 CROWDED = 64
 BLOCK = 1 << 17
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 COLUMNS = 4096
 
 _rng = np.random.default_rng(20240301)

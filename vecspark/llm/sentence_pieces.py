@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-GROUP_CHARS = 2 << 20
-CACHED_WORDS = 1 << 19
+GROUP_CHARS = 1 << 20
+CACHED_WORDS = 1 << 17
 LONG_WORD = 2048
 NO_PAIR = np.iinfo(np.int64).max
 SHIFT = np.int64(22)

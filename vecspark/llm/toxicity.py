@@ -38,8 +38,8 @@ DIMENSIONS = 12
 WINDOW, STRIDE = 16, 8
 EPOCHS, BATCH, RATE, DECAY, START = 18, 256, 0.05, 1e-6, 2.0
 SAMPLE_TOXIC, SAMPLE_OTHER, SAMPLE_CHARS = 2000, 8000, 20_000
-CACHED_WORDS = 1 << 20
-GROUP_CHARS = 4 << 20
+CACHED_WORDS = 1 << 17
+GROUP_CHARS = 1 << 20
 WORD = re.compile(r"\w+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
