@@ -38,6 +38,7 @@ DIMENSIONS = 12
 WINDOW, STRIDE = 16, 8
 EPOCHS, BATCH, RATE, DECAY, START = 18, 256, 0.05, 1e-6, 2.0
 SAMPLE_TOXIC, SAMPLE_OTHER, SAMPLE_CHARS = 2000, 8000, 20_000
+CHUNK = 1 << 14
 CACHED_WORDS = 1 << 17
 GROUP_CHARS = 1 << 20
 WORD = re.compile(r"\w+")
@@ -48,7 +49,7 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def subwords(words: list[str], chunk: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str], chunk: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all n-grams of all words, offsets by word)."""
     parts = [_subwords(words[lo:lo + chunk]) for lo in range(0, len(words), chunk)]
     if not parts:
@@ -133,16 +134,26 @@ class Model:
         self.buckets, self.bias = buckets.astype(np.float32), float(bias)
 
 
-def _log_odds(words: np.ndarray, y: np.ndarray, text: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def _log_odds(toxic: np.ndarray, other: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Where training starts from: how much more often the words of a bucket are in labelled texts, shrunk for rare words."""
-    n_words, once = len(bounds) - 1, np.unique(text.astype(np.int64) * (len(bounds) - 1) + words, return_index=True)[1]
-    toxic = np.bincount(words[once], y[once], minlength=n_words)
-    other = np.bincount(words[once], 1 - y[once], minlength=n_words)
     odds = np.log((toxic + 0.5) / (toxic.sum() + 1)) - np.log((other + 0.5) / (other.sum() + 1))
     uses = toxic + other
-    weight = np.repeat(uses, np.diff(bounds))
-    total = np.bincount(features, weight, minlength=BUCKETS)
-    return np.bincount(features, np.repeat(odds * uses / (uses + 5.0), np.diff(bounds)) * weight, minlength=BUCKETS) / np.maximum(1, total)
+    total, weighted = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for lo in range(0, len(uses), CHUNK):
+        hi = min(lo + CHUNK, len(uses))
+        own, size = features[bounds[lo]:bounds[hi]], np.diff(bounds[lo:hi + 1])
+        total += np.bincount(own, np.repeat(uses[lo:hi], size), minlength=BUCKETS)
+        weighted += np.bincount(own, np.repeat(odds[lo:hi] * uses[lo:hi] ** 2 / (uses[lo:hi] + 5.0), size), minlength=BUCKETS)
+    return weighted / np.maximum(1, total)
+
+
+def _word_scores(buckets: np.ndarray, features: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The mean bucket score of every word, a chunk of words at a time."""
+    out = np.empty(len(bounds) - 1, np.float32)
+    for lo in range(0, len(out), CHUNK):
+        hi = min(lo + CHUNK, len(out))
+        out[lo:hi] = segment_means(buckets[features[bounds[lo]:bounds[hi]]], bounds[lo:hi + 1] - bounds[lo])
+    return out
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
@@ -154,6 +165,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     docs = [np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], np.int32) for t in texts]
     counts, flat = np.array([len(d) for d in docs], np.int64), np.concatenate(docs)
     features, bounds = subwords(list(numbers))
+    toxic, other = np.zeros(len(numbers)), np.zeros(len(numbers))
+    for doc, label in zip(docs, y):
+        (toxic if label else other)[np.unique(doc)] += 1
     del docs, numbers
     counted = first_mentions(flat, counts)
     start, end, first = passages(counts)
@@ -162,7 +176,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.log([1 - y.mean(), y.mean()])
-    table[:, 0] = _log_odds(flat, np.repeat(y, counts), np.repeat(np.arange(len(counts)), counts), features, bounds)
+    table[:, 0] = _log_odds(toxic, other, features, bounds)
     weights[0] = [-START, START]
     values, moments = [table, weights, bias], [(np.zeros_like(v), np.zeros_like(v)) for v in (table, weights, bias)]
 
@@ -174,7 +188,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
 
     for _ in range(EPOCHS):
         # The most toxic passage of every text under the current model.
-        by_word = segment_means((table @ (weights[:, 1] - weights[:, 0]))[features], bounds).astype(np.float32)
+        by_word = _word_scores(table @ (weights[:, 1] - weights[:, 0]), features, bounds)
         scores = _passage_scores(by_word[flat] * counted, start, end)
         top = np.flatnonzero(scores == np.maximum.reduceat(scores, first[:-1])[passage_text])
         best = top[np.searchsorted(passage_text[top], np.arange(len(counts)))]
