@@ -158,6 +158,18 @@ def test_near_copies_drop(spark):
     assert near_dup.find_near_copies(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_shingles_of_one_short_text(n):
+    data = np.frombuffer(" ".join("abcdef"[:n]).encode(), np.uint8)
+    assert [len(s) for s in near_dup.shingle_sets(data, np.array([0, len(data)]))] == [max(min(n, 1), n - 4)]
+
+
+def test_near_copies_of_single_rows_of_three_words(spark):
+    rows = [(1, "one two three"), (2, "One  two three"), (3, "four five six")]
+    got = near_dup.find_near_copies(frame(spark, rows).repartition(3, "doc_id"))
+    assert as_set(got.collect()) == as_set(groups(rows))
+
+
 def test_block_links_span_what_all_pairs_link():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 100, dtype=np.int64).astype(np.uint64)

@@ -59,7 +59,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     hashes = word_hashes(data, starts, ends, BLANK_BYTES)
     rolled = np.zeros(max(0, len(hashes) - SHINGLE + 1), np.uint64)
     for j in range(SHINGLE):
-        rolled += hashes[j:len(hashes) - SHINGLE + 1 + j] * _PLACE[j]
+        rolled += hashes[j:j + len(rolled)] * _PLACE[j]
     rolled, out = mix(rolled), []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= SHINGLE:
