@@ -170,6 +170,22 @@ def test_near_copies_of_single_rows_of_three_words(spark):
     assert as_set(got.collect()) == as_set(groups(rows))
 
 
+@pytest.mark.parametrize("percent,left", [(80, [0]), (85, [0, 1])])
+def test_threshold_is_a_parameter(spark, percent, left):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(0, " ".join(words)), (1, " ".join("changed" if i in (20, 60) else w for i, w in enumerate(words)))]
+    a, b = (shingles(t) for _, t in rows)
+    assert 80 <= 100 * len(a & b) / len(a | b) < 85
+    assert sorted(r["doc_id"] for r in near_dup.drop_near_copies(frame(spark, rows), percent=percent).collect()) == left
+
+
+def test_matches_miss_few_pairs_at_the_threshold():
+    assert [near_dup.matches_for(p) for p in (80, 85, 100)] == [35, 40, 64]
+    for percent in (0, 5, 101):
+        with pytest.raises(ValueError):
+            near_dup.matches_for(percent)
+
+
 def test_block_links_span_what_all_pairs_link():
     rnd = np.random.default_rng(3)
     base = rnd.integers(0, 1 << 62, 100, dtype=np.int64).astype(np.uint64)

@@ -3,12 +3,12 @@
 1. Every document becomes the set of its five-word shingles (64-bit hashes), a signature of K minimum
    hashes and a fingerprint.  Documents with equal sets are one class from here on.
 2. Inverted join.  Classes are posted under (coordinate, value).  A pair of the wanted similarity agrees
-   in at least MATCHES of the K coordinates (all but a few in a million at the threshold, more above it), so each agreeing
-   value has two or more postings, and a class with fewer than MATCHES such values has no partner.  The
-   others post only a prefix: of their c shared values the c - MATCHES + 1 rarest, one of which any
+   in at least m = matches_for(percent) of the K coordinates (all but MISSED of the pairs at the threshold, more above it),
+   so each agreeing value has two or more postings, and a class with fewer than m such values has no partner.  The
+   others post only a prefix: of their c shared values the c - m + 1 rarest, one of which any
    partner must share.
 3. Merging.  Posting lists of up to CROWDED classes are merged into candidate pairs; pairs of compatible sizes
-   that agree in MATCHES coordinates are compared on their full sets.
+   that agree in m coordinates are compared on their full sets.
 4. Skipping.  Longer lists are not merged pair by pair.  Lists that share classes form a family.
    Classes of a family that steps before have already put into its largest component need no comparison with each
    other; the rest meet everything in the family in blocks of at most about BLOCK shingles.  A block task counts
@@ -28,6 +28,8 @@ table gives an empty table.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,8 +42,9 @@ from vecspark.llm.words import BLANK_BYTES, flat_text, groups_of, mix, word_hash
 from vecspark.session import materialize
 
 SHINGLE = 5
-K, MATCHES = 64, 40
+K = 64
 PERCENT = 85
+MISSED = 3e-6
 CROWDED = 64
 BLOCK = 1 << 17
 GROUP_BYTES = 2 << 20
@@ -53,6 +56,18 @@ _SCALE = _rng.integers(0, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint6
 _SHIFT = _rng.integers(0, 1 << 63, K, dtype=np.uint64)
 
 
+def matches_for(percent: int) -> int:
+    """The most coordinates in which all but MISSED of the pairs with a similarity of ``percent`` / 100 agree."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"a similarity of {percent} percent; 1 to 100 are possible")
+    t, missed, m = percent / 100, 0.0, 0
+    while m < K and (missed := missed + comb(K, m) * t**m * (1 - t)**(K - m)) <= MISSED:
+        m += 1
+    if not m:
+        raise ValueError(f"{K} coordinates are too few for a similarity of {percent} percent")
+    return m
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     starts, ends, first = word_spans(data, offsets, BLANK_BYTES)
@@ -134,31 +149,36 @@ def _set_tasks(wanted):
     return run
 
 
-def linked(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return 100 * common >= PERCENT * (left + right - common)
+def linked(common: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * common >= percent * (left + right - common)
 
 
-def _confirm_tasks(batches):
+def _confirm_tasks(percent: int):
     """(a, b) of the candidate pairs (a, b, signature_a, signature_b, set_a, set_b) that are links."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        sig = [batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(n, K) for i in (2, 3)]
-        agree = (sig[0] == sig[1]).sum(axis=1) >= MATCHES
-        keep = np.zeros(n, bool)
-        left, right = batch.column(4), batch.column(5)
-        for i in np.flatnonzero(agree).tolist():
-            a, b = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
-            if len(a) > len(b):
-                a, b = b, a
-            at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-            keep[i] = linked(np.count_nonzero(b[at] == a), len(a), len(b))
-        mask = pa.array(keep)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-
-def block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    matches = matches_for(percent)
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            sig = [batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(n, K) for i in (2, 3)]
+            agree = (sig[0] == sig[1]).sum(axis=1) >= matches
+            keep = np.zeros(n, bool)
+            left, right = batch.column(4), batch.column(5)
+            for i in np.flatnonzero(agree).tolist():
+                a, b = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
+                if len(a) > len(b):
+                    a, b = b, a
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                keep[i] = linked(np.count_nonzero(b[at] == a), len(a), len(b), percent)
+            mask = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return run
+
+
+def block_links(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     """Links between the two sides of one block pair (node, component, side, members), a spanning forest of them.
 
     ``side`` is 0 or 1; in a block that meets itself all rows have side 0.
@@ -182,7 +202,7 @@ def block_links(rows: pd.DataFrame) -> pd.DataFrame:
         part = np.zeros((len(sets), COLUMNS), np.float32)
         part[owner[a:b], column[a:b] - lo] = 1
         common += part[left] @ part[right].T  # counts below 2**24: exact
-    x, y = np.nonzero(linked(common.astype(np.int64), sizes[left][:, None], sizes[right][None, :]))
+    x, y = np.nonzero(linked(common.astype(np.int64), sizes[left][:, None], sizes[right][None, :], percent))
     x, y = left[x], right[y]
     component = pd.factorize(rows["component"])[0]
     root = list(range(int(component.max()) + 1))
@@ -204,15 +224,15 @@ def block_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": [nodes[i] for i, _ in out], "b": [nodes[j] for _, j in out]}, dtype=object)
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, matches: int) -> DataFrame:
     """(token, node) prefixes: the rarest shared values of every class that can have a partner."""
     tokens = classes.select("node", F.posexplode("signature")).select(
         "node", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2"), "shared-values")
     met = with_groups(tokens, shared, "token", "df", classes.count() * K)
     by_class = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
-    prefix = F.slice("s", F.lit(1), F.size("s") - (MATCHES - 1))
-    return materialize(by_class.filter(F.size("s") >= MATCHES).select("node", F.explode(prefix).alias("p"))
+    prefix = F.slice("s", F.lit(1), F.size("s") - (matches - 1))
+    return materialize(by_class.filter(F.size("s") >= matches).select("node", F.explode(prefix).alias("p"))
                        .select(F.col("p.token").alias("token"), "node"), "postings")
 
 
@@ -225,7 +245,8 @@ def _list_pairs(postings: DataFrame, lists: DataFrame) -> DataFrame:
     return merged.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame,
+                   percent: int) -> DataFrame:
     """Links between components inside the families of crowded lists."""
     rows = postings.count()
     crowded = materialize(with_groups(postings, materialize(lists.filter(F.col("m") > CROWDED), "crowded-lists"), "token", "m", rows)
@@ -255,19 +276,21 @@ def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, se
         "family", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "component",
         (F.col("block") > F.col("other")).cast("int").alias("side"), "members_")
     return placed.withColumnRenamed("members_", "members").groupBy("family", "x", "y").applyInPandas(
-        lambda rows: block_links(rows[["node", "component", "side", "members"]]), "a binary, b binary")
+        lambda rows: block_links(rows[["node", "component", "side", "members"]], percent), "a binary, b binary")
+
 
+def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (smallest id reachable), kept (is that document).
 
-def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id reachable), kept (is that document)."""
-    spark = docs.sparkSession
+    Documents are linked from a similarity of ``percent`` / 100 on.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
     profiles = materialize(docs.select(F.col(id_col), F.col(text)).mapInArrow(
         _profile_tasks, f"`{id_col}` {kind}, n_shingles long, node binary, signature array<int>"), "profiles")
     classes = materialize(profiles.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(id_col).alias("first"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature")), "classes")
-    postings = _postings(classes)
+    postings = _postings(classes, matches_for(percent))
     lists = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m >= 2"), "lists")
     posted = postings.select("node").distinct()
     posted = materialize(posted.mapInArrow(_node_hashes, "h long"), "posted")
@@ -279,14 +302,14 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     small, large = F.least("na", "nb"), F.greatest("na", "nb")
     weights = classes.select("node", "n_shingles")
     sized = pairs.join(weights.select(F.col("node").alias("a"), F.col("n_shingles").alias("na")), "a").join(
-        weights.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb")), "b").filter(100 * small >= PERCENT * large)
+        weights.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb")), "b").filter(100 * small >= percent * large)
     candidates = sized.select("a", "b").join(
         half.select(F.col("node").alias("a"), F.col("signature").alias("sa"), F.col("members_").alias("ma")), "a").join(
         half.select(F.col("node").alias("b"), F.col("signature").alias("sb"), F.col("members_").alias("mb")), "b")
-    links = materialize(candidates.select("a", "b", "sa", "sb", "ma", "mb").mapInArrow(_confirm_tasks, "a binary, b binary"), "links")
+    links = materialize(candidates.select("a", "b", "sa", "sb", "ma", "mb").mapInArrow(_confirm_tasks(percent), "a binary, b binary"), "links")
     labels = components(links)
     if lists.filter(F.col("m") > CROWDED).limit(1).count():
-        more = materialize(_crowded_links(postings, lists, classes, sets, labels), "crowded-links")
+        more = materialize(_crowded_links(postings, lists, classes, sets, labels, percent), "crowded-links")
         labels = components(links.unionByName(more))
     named = classes.join(labels, "node", "left").select("node", "first", "size", F.coalesce("label", "node").alias("label"))
     named = materialize(named, "named-classes")
@@ -301,6 +324,6 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
         "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that ``find_near_copies`` does not keep, all columns as they were."""
-    return drop_rows(docs, find_near_copies(docs, id_col, text).filter("not kept").select(id_col), id_col)
+    return drop_rows(docs, find_near_copies(docs, id_col, text, percent).filter("not kept").select(id_col), id_col)
