@@ -179,6 +179,14 @@ def test_threshold_is_a_parameter(spark, percent, left):
     assert sorted(r["doc_id"] for r in near_dup.drop_near_copies(frame(spark, rows), percent=percent).collect()) == left
 
 
+def test_near_copies_drop_rows_not_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    base, near = " ".join(words), " ".join([*words[:-1], "changed"])
+    rows = [(1, base), (2, near), (2, "clean text of a repeated id"), (2, None), (None, near), (None, "clean text without an id"), (None, "")]
+    got = near_dup.drop_near_copies(frame(spark, rows, extra=True))
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([rows[0], *rows[2:4], *rows[5:]])
+
+
 def test_matches_miss_few_pairs_at_the_threshold():
     assert [near_dup.matches_for(p) for p in (80, 85, 100)] == [35, 40, 64]
     for percent in (0, 5, 101):

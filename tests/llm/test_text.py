@@ -168,6 +168,14 @@ def test_drop_leaks_keeps_columns(spark):
     assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(r[0] for r in leaks(rows, items) if not r[2])
 
 
+def test_drop_leaks_drops_rows_not_ids(spark):
+    leak = "this passage of ten plain words is in the benchmark"
+    rows = [(1, f"x {leak} y"), (1, "clean text of a repeated id"), (1, None), (None, leak), (None, "clean text without an id"), (2, leak)]
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    got = fm_index.drop_leaks(frame(spark, rows, extra=True), items)
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {rows[1], rows[2], rows[4]} and got.count() == 3
+
+
 # ---------------------------------------------------------------- toxicity
 
 def labelled(spark, sf="sf0.1"):

@@ -165,14 +165,19 @@ class Repeats:
         return out
 
 
-def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` without the rows whose id is in ``gone`` (one column).  Rows that a Bloom filter of ``gone`` clears
+def row_key(id_col: str, text: str) -> Column:
+    """32 bytes that stand for id and raw text of a row.  Rows that agree in both have the same key; null texts are empty."""
+    return F.unhex(F.sha2(F.concat_ws(":", F.col(id_col).cast("string"), F.sha2(filled(F.col(text)), 256)), 256))
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone`` (one column).  Rows that a Bloom filter of ``gone`` clears
     pass straight through; only the others shuffle."""
     flag = free_name(docs, "maybe_gone")
     gone = materialize(gone.select(F.col(gone.columns[0]).alias("_gone")).distinct(), "gone")
     probe = Bloom(gone.select(F.xxhash64("_gone").alias("h")), gone.count(), 1)
-    flagged = docs.withColumn(flag, probe.maybe(F.xxhash64(F.col(id_col))))
-    stay = flagged.filter(flag).join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    flagged = docs.withColumn(flag, probe.maybe(F.xxhash64(F.col(key))))
+    stay = flagged.filter(flag).join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
     return flagged.filter(~F.col(flag)).unionByName(stay).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

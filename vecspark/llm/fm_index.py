@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecspark.llm.exact_dedup import drop_rows
+from vecspark.llm.exact_dedup import drop_rows, row_key
+from vecspark.llm.registry import free_name
 from vecspark.llm.words import PLAIN_BYTES, flat_text, groups_of, word_hashes, word_spans
 
 WINDOW = 10
@@ -334,6 +335,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col:
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a phrase, all columns as they were."""
-    id_col = options.get("id_col", "doc_id")
-    return drop_rows(docs, find_leaks(docs, items, **options).filter("n_hit > 0").select(id_col), id_col)
+    """``docs`` without the rows whose text holds a phrase, all columns as they were; ids decide nothing."""
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(options.get("id_col", "doc_id"), options.get("text", "text")))
+    gone = find_leaks(keyed, items, **{**options, "id_col": key}).filter("n_hit > 0").select(key)
+    return drop_rows(keyed, gone, key).select(*[F.col(f"`{c}`") for c in docs.columns])

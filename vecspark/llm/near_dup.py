@@ -22,7 +22,7 @@ of all rows.
 
 Defined cases: null or empty texts, and texts of white space, have an empty set and are linked with
 nothing; with one to four words the whole sequence is the only shingle; rows that repeat a doc_id are
-documents of their own that share the id's fate where their texts agree; a null doc_id counts as larger than any other; an empty
+documents of their own, judged each by id and text; a null doc_id counts as larger than any other; an empty
 table gives an empty table.
 """
 
@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.components import components
-from vecspark.llm.exact_dedup import Bloom, drop_rows, with_groups
+from vecspark.llm.exact_dedup import Bloom, drop_rows, row_key, with_groups
 from vecspark.llm.words import BLANK_BYTES, flat_text, groups_of, mix, word_hashes, word_spans
+from vecspark.llm.registry import free_name
 from vecspark.session import materialize
 
 SHINGLE = 5
@@ -117,11 +118,11 @@ def _profile_tasks(batches):
         for lo, hi in groups_of(offsets, GROUP_BYTES):
             sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
             flat = pa.array(signatures(sets).ravel())
+            own = [c.slice(lo, hi - lo) for i, c in enumerate(batch.columns) if i != 1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(fingerprints(sets), pa.binary()),
+                [*own, pa.array([len(s) for s in sets], pa.int64()), pa.array(fingerprints(sets), pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * K, pa.int32()), flat)],
-                ["key", "n_shingles", "node", "signature"])
+                [*[f"c{i}" for i in range(len(own))], "n_shingles", "node", "signature"])
 
 
 def _hash_of(nodes: list[bytes]) -> np.ndarray:
@@ -279,14 +280,16 @@ def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, se
         lambda rows: block_links(rows[["node", "component", "side", "members"]], percent), "a binary, b binary")
 
 
-def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT,
+                     carried: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable), kept (is that document).
 
-    Documents are linked from a similarity of ``percent`` / 100 on.
+    Documents are linked from a similarity of ``percent`` / 100 on.  The ``carried`` columns follow the id.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    profiles = materialize(docs.select(F.col(id_col), F.col(text)).mapInArrow(
-        _profile_tasks, f"`{id_col}` {kind}, n_shingles long, node binary, signature array<int>"), "profiles")
+    own = [id_col, *carried]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
+    profiles = materialize(docs.select(F.col(id_col), F.col(text), *carried).mapInArrow(
+        _profile_tasks, f"{kinds}, n_shingles long, node binary, signature array<int>"), "profiles")
     classes = materialize(profiles.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(id_col).alias("first"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature")), "classes")
@@ -318,12 +321,15 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     total = profiles.count()
     placed = with_groups(named, lowest, "label", "classes", total).select("node", "component_id", "size")
     placed = materialize(placed, "placed-classes")
-    some = with_groups(profiles.filter(F.col("node").isNotNull()).select(id_col, "n_shingles", "node"), placed, "node", "size", total)
-    alone = profiles.filter(F.col("node").isNull()).select(id_col, "n_shingles", F.col(id_col).alias("component_id"))
-    return some.select(id_col, "n_shingles", "component_id").unionByName(alone).withColumn(
+    some = with_groups(profiles.filter(F.col("node").isNotNull()).select(*own, "n_shingles", "node"), placed, "node", "size", total)
+    alone = profiles.filter(F.col("node").isNull()).select(*own, "n_shingles", F.col(id_col).alias("component_id"))
+    return some.select(*own, "n_shingles", "component_id").unionByName(alone).withColumn(
         "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that ``find_near_copies`` does not keep, all columns as they were."""
-    return drop_rows(docs, find_near_copies(docs, id_col, text, percent).filter("not kept").select(id_col), id_col)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, row_key(id_col, text))
+    found = find_near_copies(keyed, id_col, text, percent, carried=(key,))
+    return drop_rows(keyed, found.filter("not kept").select(key), key).select(*[F.col(f"`{c}`") for c in docs.columns])
