@@ -153,6 +153,19 @@ def test_lists_as_of_the_fetch_time(spark):
     assert url_lists.judge(c.filter("1 = 0"), e).count() == 0
 
 
+def test_parents_of_any_depth_decide(spark):
+    day = datetime(2024, 1, 1)
+    deep = ".".join(f"l{i}" for i in range(125)) + ".example.com"
+    parents = ["a.b.c.d.e.f.g.h.com", deep.split(".", 1)[1], "l60." + deep.split(".l60.", 1)[1]]
+    captures = [(1, "http://x.a.b.c.d.e.f.g.h.com/p", day), (2, f"http://{deep}/", day), (3, "http://y.b.c.d.e.f.g.h.com/", day)]
+    events = [("L", key, "block", day) for key in parents]
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp")
+    e = spark.createDataFrame(events, "list string, key string, action string, at timestamp")
+    got = {tuple(r) for r in url_lists.judge(c, e).collect()}
+    assert got == set(judged(captures, events))
+    assert {(r[0], r[1], r[4]) for r in got} == {(1, "block", 1), (2, "block", 2), (3, "allow", 0)}
+
+
 # ---------------------------------------------------------------- WARC
 
 def pages(n=60):

@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from vecspark.session import materialize
 
-MAX_LABELS = 8
 EPOCH_DAYS = 30
 SALTS = 16
 
@@ -49,10 +48,10 @@ def normalised_url(url: Column) -> Column:
 
 
 def parent_domains(host: Column) -> Column:
-    """The host and its parents, at least two labels long: the last MAX_LABELS labels of a longer host."""
+    """The host and all its parents that are at least two labels long, the shortest first."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    counts = F.when(n >= 2, F.sequence(F.lit(2), F.least(n, F.lit(MAX_LABELS)))).otherwise(F.array(F.lit(1)))
+    counts = F.when(n >= 2, F.sequence(F.lit(2), n)).otherwise(F.array(F.lit(1)))
     suffixes = F.transform(counts, lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, F.array(host))))
 
