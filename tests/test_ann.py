@@ -84,6 +84,20 @@ def test_codes_and_rerank(spark, data):
     assert rough > 0.5 and listed(fine) == listed(exact)
 
 
+@pytest.mark.parametrize("name,call,weak", [("ivf_search_probed", "ivf_search", {"nprobe": 4}), ("scann_filtered", "scann_search", {"reorder_k": 10}),
+                                            ("scann_rerank", "scann_search", {"reorder_k": 30})])
+def test_judged_queries_fail_with_a_low_recall(spark, monkeypatch, name, call, weak):
+    from workload import ann as registered
+    from workload.registry import QUERIES
+
+    whole = getattr(ann, call)
+    coarse = registered.build
+    monkeypatch.setattr(registered, "build", lambda spark, sf, coding=None, **kw: coarse(spark, sf, coding, **{**kw, **({"m": 8, "nbits": 4} if coding else {})}))
+    monkeypatch.setattr(ann, call, lambda *a, **kw: whole(*a, **{**kw, **weak}))
+    got = QUERIES[name](spark, "/root/testdata/sf0.01").select("good_recall").distinct().collect()
+    assert [r[0] for r in got] == [False]
+
+
 def test_refused_parameters(spark, data, index):
     rows, q = data
     build = lambda **kw: ann.ivf_build(rows, session.scratch_path(spark, "ivf"), pk="id", vec="vec", **{"nlist": 4, **kw})
