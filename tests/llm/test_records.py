@@ -92,6 +92,30 @@ def test_valid_formats_stay_valid_and_others_stay_as_they_are(spark):
     assert 0 < int(area) < 900 and area != "666" and int(group) and int(serial) and got[3]["n_ssn"] == 1
 
 
+def test_common_forms_are_replaced(spark):
+    forms = {"phone": ["+12125551234", "+1 2125551234", "2125551234", "12125551234", "(212)5551234", "+1 (212) 555-1234", "212-555-1234"],
+             "intl": ["+44 (0)20 7946 0958", "+44(0)20 7946 0958", "+44 20 7946 0958"],
+             "email": ["иван.петров@example.com", "王小明@example.com", "josé1@example.com", "ēī@example.com"],
+             "secret": ["token=ghp_a1B2" + "c3D4" * 20, "key: sk-abc-123_DEF", "key: " + "a1" * 60]}
+    rows = [(kind, v, f"see {v}, or {v}") for kind, vs in forms.items() for v in vs]
+    df = spark.createDataFrame(rows, "kind string, v string, text string")
+    for r in pseudonyms.pseudonymise(df, KEY).collect():
+        secret = r["v"].split("=")[-1].split(": ")[-1]
+        assert secret not in r["text"] and r[f"n_{r['kind']}"] == r["n_values"] == 2, r
+        assert len(r["text"]) == 9 + 2 * len(r["v"]), r
+        if r["kind"] == "intl":
+            assert ("(0)" in r["text"]) == ("(0)" in r["v"])
+    other = [(1, "id a2125551234 0.2125551234 2125551234.5 21255512345 1125551234 password: something else")]
+    got = pseudonyms.pseudonymise(frame(spark, other), KEY).first()
+    assert got["text"] == other[0][1] and got["n_values"] == 0
+
+
+def test_wide_letters_are_permuted_without_clashes(spark):
+    df = spark.range(32 * 32).select(F.col("id"), F.concat(*[F.substring(F.lit("абвгдежзийклмнопрстуфхцчшщъыьэюя"), (x + 1).cast("int"), F.lit(1))
+                                                             for x in (F.floor(F.col("id") / 32), F.col("id") % 32)]).alias("s"))
+    assert df.select(pseudonyms.permute_text(F.col("s"), KEY, "t", True).alias("p")).distinct().count() == 32 * 32
+
+
 def test_numbers_are_permuted(spark):
     df = spark.range(17 * 5).select("id", pseudonyms.permute_number(F.col("id"), 17, 5, KEY, "t").alias("p"))
     assert sorted(r["p"] for r in df.collect()) == list(range(85))

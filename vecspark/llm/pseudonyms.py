@@ -6,20 +6,22 @@ different pseudonyms, and whoever holds the key can turn a pseudonym back.  Ever
 stays as it is.
 
 kind      validated by                                   kept                permuted
-email     user@domain.tld, user at most 64 characters    domain, marks       ASCII letters and digits of the user
+email     user@domain.tld, user at most 64 characters    domain, marks       letters and digits of the user
 ip        four octets of 0 to 255                        dotted form         the 32-bit number
 date      the calendar, 1900 to 2099; Y-M-D, Y/M/D,      notation            the day among all days of 1900-2099
           D.M.Y, M/D/Y (D/M/Y where only that is a day)
 ssn       area, group and serial in use                  notation            the number among all valid ones
 iban      length and check digits (mod 97)               country, notation   letters and digits, check digits renewed
-phone     North American plan, with or without +1        notation            the number among all valid ones
-intl      + and 8 to 15 digits                           country code        the other digits
+phone     North American plan, with or without +1 and    notation            the number among all valid ones
+          separators; ten bare digits stand alone
+intl      + and 8 to 15 digits                           country code, (0)   the other digits
 card      13 to 19 digits with a Luhn check digit        first digit         the others, check digit renewed
-secret    8 to 64 letters and digits named token, key,   name, AKIA          letters and digits
-          secret or password; AKIA and 16 more
+secret    8 or more letters, digits, _ and - named       name, AKIA, marks   letters and digits
+          token, key, secret or password; AKIA and 16 more
 
 Both permutations are Feistel networks of eight rounds with HMAC-like round keys from SHA-256: one over
-the two halves of a string, shifting every character inside its class (digit, lower, upper case), one over
+the two halves of a string, shifting every character inside its class (digit, lower, upper case; beyond ASCII
+a run of neighbours of one Unicode category, or all characters of it that have none), one over
 numbers x * b + y with x below a and y below b, so a range of exactly a * b numbers is permuted without
 cycle walking.
 
@@ -31,6 +33,9 @@ take linear time.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +52,12 @@ PATTERNS = {
     "date": r"(?<![\d./-])(?:(?:19|20)\d\d(?:-\d\d-|/\d\d/)\d\d|\d\d\.\d\d\.(?:19|20)\d\d|\d\d/\d\d/(?:19|20)\d\d)(?![/-]?\d)",
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
-    "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\d)",
-    "intl": r"(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
+    "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d\d\) ?|[2-9]\d\d[ .-])[2-9]\d\d[ .-]\d{4}(?!\d)"
+             r"|(?<![\d+])\+1[ .-]?(?:\([2-9]\d\d\)|[2-9]\d\d)[ .-]?[2-9]\d\d[ .-]?\d{4}(?!\d)"
+             r"|(?<![\p{L}\p{N}+_])(?<!\d[.,/-])(?:1[ .-]?)?(?:\([2-9]\d\d\)|[2-9]\d\d)[ .-]?[2-9]\d\d[ .-]?\d{4}(?![\p{L}\p{N}_]|[.,/-]\d)",
+    "intl": r"(?<![\d+])\+[2-9]\d{0,2}(?:[ .-]?\(0\))?(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)",
-    "secret": r"(?<=[=: \"'])(?<=(?:token|key|secret|password) ?[=:] ?[\"']?)(?=[A-Za-z]{0,63}\d)[0-9A-Za-z]{8,64}(?![0-9A-Za-z])|(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
+    "secret": r"(?<=[=: \"'])(?<=(?:token|key|secret|password) ?[=:] ?[\"']?)(?=[A-Za-z_-]*+\d)[0-9A-Za-z_-]{8,}+|(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = r"[@\d]|AKIA"
@@ -68,29 +75,66 @@ def _pieces(s: Column) -> Column:
     return F.split(s, "")
 
 
-def _shift(s: Column, noise: Column) -> Column:
+def _classes() -> tuple[list[tuple[int, int]], list[str]]:
+    """Letters and digits beyond ASCII: (first, size) of the runs of one category, and the strings of those without neighbours."""
+    runs, single, first, kind = [], {}, 0, None
+    for c in range(128, sys.maxunicode + 2):
+        now = unicodedata.category(chr(c)) if c <= sys.maxunicode else None
+        if now != kind:
+            if kind and kind[0] in "LN":
+                if c - first > 1:
+                    runs.append((first, c - first))
+                else:
+                    single[kind] = single.get(kind, "") + chr(first)
+            first, kind = c, now
+    return runs, list(single.values())
+
+
+_RUNS, _SINGLES = _classes()
+
+
+def _shift_wide(c: Column, k: Column) -> Column:
+    """A character beyond ASCII, moved by ``k`` inside its class."""
+    code = F.ascii(c)
+    # one folded literal: first * 65536 + size
+    runs = F.split(F.lit(",".join(str(a << 16 | n) for a, n in _RUNS)), ",").cast("array<long>")
+    run = F.filter(runs, lambda r: (code >= F.shiftright(r, 16)) & (code < F.shiftright(r, 16) + r.bitwiseAND(F.lit(65535))))
+
+    def moved(r: Column) -> Column:
+        to = F.pmod(code - F.shiftright(r, 16) + k, r.bitwiseAND(F.lit(65535))) + F.shiftright(r, 16)
+        return F.decode(F.unhex(F.lpad(F.hex(to), 8, "0")), "UTF-32")
+
+    out = c
+    for chars in _SINGLES:
+        at = F.instr(F.lit(chars), c)
+        out = F.when(at > 0, F.substring(F.lit(chars), F.pmod(at - 1 + k, F.lit(len(chars))) + 1, F.lit(1))).otherwise(out)
+    return F.coalesce(F.get(F.transform(run, moved), F.lit(0)), out)
+
+
+def _shift(s: Column, noise: Column, beyond: bool) -> Column:
     def one(c: Column, j: Column) -> Column:
         at = F.pmod(j, F.lit(32)) * 2 + 1
         k = F.conv(F.substring(noise, at, F.lit(2)), 16, 10).cast("int")
+        wide = F.conv(F.substring(noise, F.pmod(j, F.lit(16)) * 4 + 1, F.lit(4)), 16, 10).cast("int")
         a = F.ascii(c)
 
         def turn(base: int, size: int) -> Column:
             return F.char(F.pmod(a - base + k, F.lit(size)) + base)
 
         return (F.when(a.between(48, 57), turn(48, 10)).when(a.between(65, 90), turn(65, 26))
-                .when(a.between(97, 122), turn(97, 26)).otherwise(c))
+                .when(a.between(97, 122), turn(97, 26)).when(a < 128, c).otherwise(_shift_wide(c, wide) if beyond else c))
 
     return F.array_join(F.transform(_pieces(s), one), "")
 
 
-def permute_text(s: Column, key: str, kind: str) -> Column:
-    """Keyed permutation of the strings with the same pattern of digits, lower and upper case letters."""
+def permute_text(s: Column, key: str, kind: str, beyond: bool = False) -> Column:
+    """Keyed permutation of the strings with the same pattern of digits, lower and upper case letters; ``beyond``: not of ASCII only."""
     half = F.floor(F.length(s) / 2).cast("int")
     start = F.struct(F.substring(s, F.lit(1), half).alias("l"), F.substring(s, half + 1, F.length(s)).alias("r"))
 
     def round_(acc: Column, i: Column) -> Column:
-        left = F.struct(_shift(acc["l"], _noise(key, kind, i, acc["r"])).alias("l"), acc["r"].alias("r"))
-        right = F.struct(acc["l"].alias("l"), _shift(acc["r"], _noise(key, kind, i, acc["l"])).alias("r"))
+        left = F.struct(_shift(acc["l"], _noise(key, kind, i, acc["r"]), beyond).alias("l"), acc["r"].alias("r"))
+        right = F.struct(acc["l"].alias("l"), _shift(acc["r"], _noise(key, kind, i, acc["l"]), beyond).alias("r"))
         return F.when(i % 2 == 0, left).otherwise(right)
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, round_, lambda acc: F.concat(acc["l"], acc["r"]))
@@ -147,7 +191,7 @@ def _mod97(chars: Column) -> Column:
 
 
 def _email(v: Column, key: str) -> Column:
-    return F.concat(permute_text(F.substring_index(v, "@", 1), key, "email"), F.lit("@"), F.substring_index(v, "@", -1))
+    return F.concat(permute_text(F.substring_index(v, "@", 1), key, "email", True), F.lit("@"), F.substring_index(v, "@", -1))
 
 
 def _ip(v: Column, key: str) -> Column:
@@ -217,7 +261,7 @@ def _phone(v: Column, key: str) -> Column:
 
 
 def _intl(v: Column, key: str) -> Column:
-    head = F.regexp_extract(v, r"^\+\d{1,3}(?=[ .-])", 0)
+    head = F.regexp_extract(v, r"^\+\d{1,3}(?:[ .-]?\(0\)|(?=[ .-]))", 0)
     head = F.when(head == "", F.substring(v, 1, 3)).otherwise(head)
     rest = F.substring(v, F.length(head) + 1, F.length(v))
     return F.when(F.length(_digits(v)).between(8, 15), F.concat(head, permute_text(rest, key, "intl")))
