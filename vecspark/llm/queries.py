@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, line_runs, near_dup, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, hard_negatives, line_runs, near_dup, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -185,3 +185,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find_near_copies(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.e, r.e)::bigint AS score
+      FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::int AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
