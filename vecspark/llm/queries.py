@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, hard_negatives, line_runs, near_dup, pseudonyms, sentence_pieces, token_counts, toxicity, url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, hard_negatives, line_runs, near_dup, pseudonyms, secret_novelty, sentence_pieces, token_counts, toxicity
+from vecspark.llm import url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -187,6 +188,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find_near_copies(table(spark, sf_dir, "documents"))
 
 
+@query("op11_secret_novelty")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_novelty.find_secrets(docs, secret_novelty.identifier_dictionary(docs))
+    base = secret_novelty.span_text(F.filter("spans", lambda s: s["novelty"].isNull()))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"),
+                        secret_novelty.span_text(F.col("spans")).alias("spans"), "n_novel")
+
+
 OP13_SQL = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::double)) AS e
