@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecspark.llm import exact_dedup, fm_index, hard_negatives, line_runs, near_dup, pseudonyms, secret_novelty, sentence_pieces, token_counts, toxicity
-from vecspark.llm import url_lists, warc
+from vecspark.llm import exact_dedup, fm_index, hard_negatives, line_runs, near_dup, pseudonyms, secret_novelty, sentence_pieces
+from vecspark.llm import token_alignment, token_counts, toxicity, url_lists, warc
 from vecspark.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 BLANK_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -197,6 +197,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_novelty.span_text(F.col("spans")).alias("spans"), "n_novel")
 
 
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                    public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 OP13_SQL = """
 WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: floor(256 * x::double)) AS e
