@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark import session
-from vecspark.plans import knn
+from vecspark.plans import knn, pivots
 from vecspark.plans.kernel import BINARY, SIMILARITIES, Codec, Spec
 
 # Fixed engine limits.
@@ -121,7 +121,7 @@ def search(
         candidates = knn.scan_candidates(source, queries, table, **opts)
         per_query = session.estimated_tasks(source) * spec.k
     else:
-        candidates = knn.grid_candidates(source, queries, **opts)
+        candidates = pivots.pivot_candidates(source, queries, **opts)
         per_query = session.estimated_tasks(source) * 8 * spec.k  # stored files unpack into several blocks
     hits = knn.rank_best(
         candidates, qid=qid, score=score, pk=pk, key=spec.key, k=k, offset=offset,

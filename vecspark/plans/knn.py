@@ -130,13 +130,19 @@ def grid_candidates(
     spec: Spec, cell: str | None = None, query_cells: str | None = None,
 ) -> DataFrame:
     """Block grid for query sets too large to broadcast."""
-    kept = kept_columns(spec)
-    schema = _output_schema(rows, queries, qid, score, kept)
-    names = schema.names
-    rows = rows.select(*dict.fromkeys([*kept, vec, *([cell] if cell else [])]))
+    rows = rows.select(*dict.fromkeys([*kept_columns(spec), vec, *([cell] if cell else [])]))
     queries = queries.select(qid, qvec, *([query_cells] if query_cells else []))
     dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k)
-    nothing = to_arrow_schema(schema).empty_table()
+    return met_blocks(dealt, asked, on, rows, queries, vec=vec, qid=qid, qvec=qvec, score=score, codec=codec, spec=spec)
+
+
+def met_blocks(
+    dealt: DataFrame, asked: DataFrame, on: list[str], rows: DataFrame, queries: DataFrame, *, vec: str, qid: str, qvec: str,
+    score: str, codec: Codec, spec: Spec,
+) -> DataFrame:
+    """Best lists of every pair of a row block and a query block; ``on`` names the columns that pair them."""
+    schema = _output_schema(rows, queries, qid, score, kept_columns(spec))
+    names, nothing = schema.names, to_arrow_schema(schema).empty_table()
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
