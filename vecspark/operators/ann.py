@@ -1,8 +1,10 @@
 """Approximate search: an inverted-file index whose cells bound what a search reads.
 
-Building trains centroids on all rows, assigns every row to its cell and lays the rows out by
-cell, so a search reads only the row groups of the cells it probes.  Rows may also hold compact codes
-(8-bit scalar or product quantisation), which are searched instead of the vectors.
+Building reads the vectors twice.  The first read surveys them: row count, dimension, range of every entry and
+a sample drawn by hash.  Centroids and code books are trained together on that sample, one pass over it
+a round.  The second read assigns every row to its cell and lays the rows out by cell, so a search reads only the
+row groups of the cells it probes.  Rows may also hold compact codes (8-bit scalar or product quantisation),
+which are searched instead of the vectors, product codes by lookup tables.
 """
 
 from __future__ import annotations
@@ -13,8 +15,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +32,10 @@ CELL_METRICS = ("HAMMING", "JACCARD")  # metrics whose answer nearby cells of bi
 MAX_LIST = 65536  # fixed limit of cells and probes
 INDEX_BYTES = 256 << 20  # bound of centroids or code books shipped to every task
 FILE_BYTES = 128 << 20  # aimed size of one index file
-SEED = 42
+TRAIN_ROWS = 1 << 16  # rows trained on, or TRAIN_PER_CODE per centroid or code if that is more
+TRAIN_PER_CODE = 64
+SURVEY_ROWS = 1 << 12  # sample rows of one survey task
+MERGED_CODES = 1 << 12  # sums of so many centroids or codes travel as one row
 
 
 @dataclass
@@ -66,15 +69,134 @@ class IvfIndex:
 
 # ---------------------------------------------------------------- build
 
-def _dense(vec: Column | str, kind: str, dim: int | None = None) -> Column:
-    """The vector as array<double>: bits become 0/1 entries."""
-    v = F.col(vec) if isinstance(vec, str) else vec
-    if kind != "bits":
-        return v.cast("array<double>")
-    one = F.lit(1).cast("bigint")
-    word = lambda w: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function(
-        "shiftrightunsigned", w, i).bitwiseAND(one).cast("double"))
-    return F.flatten(F.transform(v, word))
+def _survey_tasks(kind: str):
+    """Per task the SURVEY_ROWS rows with the smallest hashes, and one row of count, range and the largest hash kept."""
+    def run(batches):
+        kept, held, n, lo, hi = [], 0, 0, None, None
+
+        def smallest(parts):
+            hashes, block = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            pick = np.argsort(hashes, kind="stable")[:SURVEY_ROWS]
+            return hashes[pick], block[pick]
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for piece in kernel.row_slices(table.filter(table[1].is_valid()), 64):
+                block = kernel.decode(piece[1].combine_chunks(), Codec(kind)).astype(np.float64) if piece.num_rows else None
+                if block is None:
+                    continue
+                n += len(block)
+                ends = block.min(axis=0), block.max(axis=0)
+                if lo is not None and len(lo) != block.shape[1]:
+                    raise ValueError("vector dimension does not match the field")
+                lo, hi = ends if lo is None else (np.minimum(lo, ends[0]), np.maximum(hi, ends[1]))
+                kept.append((piece[0].to_numpy(), block))
+                held += len(block)
+                if held > 2 * SURVEY_ROWS:
+                    kept = [smallest(kept)]
+                    held = len(kept[0][0])
+        if not n:
+            return
+        hashes, block = smallest(kept)
+        names = ["h", "v", "n", "lo", "hi"]
+        nothing = pa.nulls(len(hashes), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(block)), pa.nulls(len(hashes), pa.int64()), nothing, nothing], names)
+        full = int(hashes[-1]) if n > len(hashes) else None  # beyond it this task has rows that it did not keep
+        yield pa.RecordBatch.from_arrays([pa.array([full], pa.int64()), pa.nulls(1, pa.list_(pa.float64())), pa.array([n]),
+                                          pa.array([lo.tolist()]), pa.array([hi.tolist()])], names)
+
+    return run
+
+
+@dataclass
+class Survey:
+    """What the first read of the vectors found."""
+
+    rows: int
+    lo: np.ndarray
+    hi: np.ndarray
+    sample: DataFrame  # (h, v): a uniform draw, by hash
+
+
+def survey(rows: DataFrame, pk: str, vec: str, kind: str, wanted: int) -> Survey:
+    found = rows.select(F.xxhash64(pk, vec).alias("h"), vec).mapInArrow(
+        _survey_tasks(kind), "h long, v array<double>, n long, lo array<double>, hi array<double>")
+    found = session.materialize(found, "survey")
+    tasks = found.where("n IS NOT NULL")
+    n, cut = tasks.agg(F.sum("n"), F.min("h")).first()
+    if not n:
+        return Survey(0, np.zeros(0), np.zeros(0), found.where("false").select("h", "v"))
+    zipped = tasks.select(F.posexplode(F.arrays_zip("lo", "hi")).alias("dim", "e"))
+    ends = zipped.groupBy("dim").agg(F.min("e.lo").alias("lo"), F.max("e.hi").alias("hi")).orderBy("dim").toArrow()
+    if len({r.d for r in tasks.select(F.size("lo").alias("d")).distinct().collect()}) > 1:
+        raise ValueError("vector dimension does not match the field")
+    # Up to the smallest hash at which some task stopped, every row of the table with such a hash is in the sample.
+    sample = found.where("n IS NULL").select("h", "v")
+    sample = sample if cut is None else sample.where(F.col("h") <= cut)
+    held = sample.count()
+    if held > 2 * wanted:  # hashes are even: a share of their range is that share of the rows
+        top = (1 << 63) - 1 if cut is None else cut
+        sample = sample.where(F.col("h") <= int(-(1 << 63) + (top + (1 << 63)) * wanted // held))
+    return Survey(n, ends["lo"].to_numpy(), ends["hi"].to_numpy(), sample)
+
+
+def _sums(centers: np.ndarray, books: np.ndarray | None):
+    """Per task the counts and sums of the rows nearest to every centroid, and to every code in its sub-space."""
+    parts = [centers] if books is None else [centers, *books]
+    cuts = np.cumsum([0, *([] if books is None else [b.shape[1] for b in books])])
+
+    def run(batches):
+        counts = [np.zeros(len(p), np.int64) for p in parts]
+        totals = [np.zeros(p.shape) for p in parts]
+        for batch in batches:
+            block = kernel.decode(batch.column(0), Codec("dense"))
+            for i, part in enumerate(parts if len(block) else []):
+                own = block if i == 0 else block[:, cuts[i - 1]:cuts[i]]
+                near = _near_codes(own, part)
+                counts[i] += np.bincount(near, minlength=len(part))
+                order = np.argsort(near, kind="stable")
+                heads = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
+                totals[i][near[order][heads]] += np.add.reduceat(own[order], heads, axis=0)
+        for i, (count, total) in enumerate(zip(counts, totals)):
+            for lo in range(0, len(count), MERGED_CODES):
+                some = slice(lo, lo + MERGED_CODES)
+                if count[some].any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([lo], pa.int32()), pa.array([count[some].tobytes()], pa.binary()),
+                         pa.array([total[some].tobytes()], pa.binary())], ["part", "first", "counts", "totals"])
+
+    return run
+
+
+def _merge_sums(rows: pa.Table) -> pa.Table:
+    counts = sum(np.frombuffer(b.as_buffer(), np.int64) for b in rows["counts"])
+    totals = sum(np.frombuffer(b.as_buffer(), np.float64) for b in rows["totals"])
+    return rows.slice(0, 1).select(["part", "first"]).append_column("counts", pa.array([counts.tobytes()], pa.binary())).append_column(
+        "totals", pa.array([totals.tobytes()], pa.binary()))
+
+
+def _train(sample: DataFrame, centers: np.ndarray, books: np.ndarray | None, rounds: int) -> np.ndarray:
+    """k-means of the cells and of every sub-space, all in the same passes over the sample; returns the cells' sizes.
+
+    Sums of the tasks are merged by Spark; what reaches the driver is as large as centroids and books.
+    """
+    shape, sizes = "part int, first int, counts binary, totals binary", np.zeros(len(centers), np.int64)
+    parts = [centers] if books is None else [centers, *books]
+    for _ in range(rounds):
+        merged = sample.select("v").mapInArrow(_sums(centers, books), shape).groupBy("part", "first").applyInArrow(_merge_sums, shape)
+        moved = 0.0
+        for row in merged.toArrow().to_pylist():
+            part, some = parts[row["part"]], slice(row["first"], row["first"] + MERGED_CODES)
+            count = np.frombuffer(row["counts"], np.int64)
+            mean = np.frombuffer(row["totals"], np.float64).reshape(len(count), -1) / np.maximum(1, count)[:, None]
+            old = part[some][count > 0]
+            moved = max(moved, float(np.abs(mean[count > 0] - old).max(initial=0.0)))
+            part[some][count > 0] = mean[count > 0]
+            if row["part"] == 0:
+                sizes[some] = count
+        if moved < 1e-9:
+            break
+    return sizes
 
 
 def _assigner(centers: np.ndarray, kind: str):
@@ -92,11 +214,6 @@ def _assigner(centers: np.ndarray, kind: str):
     return assign
 
 
-def _first_dim(train: DataFrame, vec: str, kind: str) -> int:
-    first = train.select(F.size(_dense(vec, kind)).alias("n")).first()
-    return first.n if first else 0
-
-
 def ivf_build(
     rows: DataFrame, path: str, *, pk: str, vec: str, nlist: int, fields: Sequence[str] = (),
     coding: str | None = None, m: int = 8, nbits: int = 8, max_iter: int = 10, keep_raw: bool = True,
@@ -108,28 +225,37 @@ def ivf_build(
         raise ValueError(f"unknown coding {coding}")
     spark = rows.sparkSession
     kind = vector_kind(rows.schema[vec])
-    if kind in ("sparse", "fp16", "bf16") or (kind == "bits" and coding):
-        raise ValueError("cells need plain float or uncoded binary vectors")
-    n = rows.count()
-    train = rows.select(vec).where(F.col(vec).isNotNull())
-    width = rows.schema[vec].metadata.get("dim") or _first_dim(train, vec, kind)
-    if nlist * width * 8 > INDEX_BYTES:
-        raise ValueError("centroids exceed the size every task can hold; use fewer cells")
+    if kind == "sparse" or (kind == "bits" and coding):
+        raise ValueError("cells need dense or uncoded binary vectors")
+    if coding == "pq" and not 1 <= nbits <= 16:
+        raise ValueError("nbits must be in [1, 16]")
+    codes = 1 << nbits if coding == "pq" else 1
     base = rows.where(F.col(vec).isNotNull()).select(*dict.fromkeys([pk, vec, *fields]))
-    points = train.select(array_to_vector(_dense(vec, kind)).alias("features"))
-    model = KMeans(k=nlist, seed=SEED, maxIter=max_iter, initMode="random").fit(points)
-    centers = np.array(model.clusterCenters())
-    index = IvfIndex(spark, path, pk, vec, kind, centers, coding, fields=list(fields))
+    seen = survey(base, pk, vec, kind, max(TRAIN_ROWS, TRAIN_PER_CODE * max(nlist, codes)))
+    dim = len(seen.lo)
+    if not seen.rows:
+        raise ValueError("an index needs at least one vector")
+    if nlist * dim * 8 > INDEX_BYTES:
+        raise ValueError("centroids exceed the size every task can hold; use fewer cells")
+    if coding == "pq" and (m < 1 or dim % m):
+        raise ValueError("m must divide the dimension")
+    if codes * dim * 8 > INDEX_BYTES:
+        raise ValueError("code books exceed the size every task can hold; use fewer bits")
+    seeds = seen.sample.orderBy("h", "v").limit(max(nlist, codes)).select("v").toArrow()["v"].combine_chunks()
+    seeds = kernel.decode(seeds.chunk(0) if isinstance(seeds, pa.ChunkedArray) else seeds, Codec("dense"))
+    centers = np.resize(seeds, (nlist, dim))  # fewer rows than cells or codes: they repeat
+    books = np.resize(seeds, (codes, dim)).reshape(codes, m, dim // m).transpose(1, 0, 2).copy() if coding == "pq" else None
+    sizes = _train(seen.sample, centers, books, max_iter)
+    index = IvfIndex(spark, path, pk, vec, kind, centers, coding, books=books, fields=list(fields))
     out = base.withColumn(CELL, _assigner(centers, kind)(vec))
     if coding == "sq8":
-        index.lo, index.step = _scalar_range(base, vec, centers.shape[1])
-        out = out.withColumn(CODE, _sq8_encoder(index.lo, index.step)(vec))
+        index.lo, index.step = seen.lo, np.where(seen.hi > seen.lo, (seen.hi - seen.lo) / 255.0, 1.0)
+        out = out.withColumn(CODE, _sq8_encoder(index.lo, index.step, kind)(vec))
     elif coding == "pq":
-        index.books = _train_books(train, vec, centers.shape[1], m, nbits)
-        out = out.withColumn(CODE, _pq_encoder(index.books)(vec))
+        out = out.withColumn(CODE, _pq_encoder(books, kind)(vec))
     if coding and not keep_raw:
         out = out.drop(vec)
-    _lay_out(index, out, [int(c) for c in model.summary.clusterSizes], n).write.parquet(f"{path}/rows")
+    _lay_out(index, out, sizes.tolist(), seen.rows).write.parquet(f"{path}/rows")
     _save(index)
     return index
 
@@ -151,7 +277,7 @@ def _lay_out(index: IvfIndex, rows: DataFrame, sampled: list[int], n: int) -> Da
     content = CODE if index.coding else index.vec
     even = F.pmod(F.xxhash64(F.col(index.pk), F.col(content)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     slot = F.floor((F.col("_start") + even * F.col("_share")) * F.lit(slots)).cast("int")
-    return placed.withColumn("_slot", slot).repartitionById(slots, F.col("_slot")).sortWithinPartitions(CELL).drop(
+    return placed.withColumn("_slot", slot).repartitionById(slots, F.col("_slot")).sortWithinPartitions(CELL, index.pk).drop(
         "_slot", "_start", "_share")
 
 
@@ -180,23 +306,6 @@ def ivf_load(spark: SparkSession, path: str) -> IvfIndex:
                     as_array(meta["lo"]), as_array(meta["step"]), books, meta["fields"])
 
 
-def _scalar_range(rows: DataFrame, vec: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per-dimension minimum and step of 255 levels; every task sends one row."""
-    def extremes(batches):
-        lo, hi = np.full(dim, np.inf), np.full(dim, -np.inf)
-        for batch in batches:
-            block = kernel.decode(batch.column(0), Codec("dense"))
-            if len(block):
-                lo, hi = np.minimum(lo, block.min(axis=0)), np.maximum(hi, block.max(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array([lo.tolist()]), pa.array([hi.tolist()])], names=["lo", "hi"])
-
-    ends = rows.select(vec).mapInArrow(extremes, "lo array<double>, hi array<double>")
-    zipped = ends.select(F.posexplode(F.arrays_zip("lo", "hi")).alias("dim", "e"))
-    found = zipped.groupBy("dim").agg(F.min("e.lo").alias("lo"), F.max("e.hi").alias("hi")).orderBy("dim").toPandas()
-    lo, hi = found["lo"].to_numpy(), found["hi"].to_numpy()
-    return lo, np.where(hi > lo, (hi - lo) / 255.0, 1.0)
-
-
 def _bytes_rows(block: np.ndarray) -> pa.Array:
     raw = np.ascontiguousarray(block)
     width = raw.shape[1] * raw.itemsize if raw.size else 0
@@ -204,40 +313,15 @@ def _bytes_rows(block: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())])
 
 
-def _sq8_encoder(lo: np.ndarray, step: np.ndarray):
+def _sq8_encoder(lo: np.ndarray, step: np.ndarray, kind: str):
     @F.arrow_udf(T.BinaryType())
     def encode(vec: pa.Array) -> pa.Array:
-        block = kernel.decode(vec, Codec("dense"))
+        block = kernel.decode(vec, Codec(kind))
         return _bytes_rows(np.clip(np.rint((block - lo) / step), 0, 255).astype(np.uint8))
 
     return encode
 
 
-def _train_books(train: DataFrame, vec: str, dim: int, m: int, nbits: int, rounds: int = 8) -> np.ndarray:
-    """Code books (m, codes, dim / m): k-means in every sub-space at once, over all rows.
-
-    Each round is one read of the vectors; a task sends one row of sums per used code, so what meets in
-    the driver is as large as the books.  Codes start from the rows with the smallest hashes.
-    """
-    if m < 1 or dim % m:
-        raise ValueError("m must divide the dimension")
-    if not 1 <= nbits <= 16:
-        raise ValueError("nbits must be in [1, 16]")
-    codes, width = 1 << nbits, dim // m
-    if codes * dim * 8 > INDEX_BYTES:
-        raise ValueError("code books exceed the size every task can hold; use fewer bits")
-    plain = train.select(F.col(vec).cast("array<double>").alias("v"))
-    seeds = np.array([r.v for r in plain.distinct().orderBy(F.xxhash64("v"), "v").limit(codes).collect()])
-    seeds = np.resize(seeds, (codes, dim))  # fewer rows than codes: they repeat
-    books = seeds.reshape(codes, m, width).transpose(1, 0, 2).copy()
-    for _ in range(rounds):
-        sums = train.select(vec).mapInArrow(_book_sums(books), "sub int, code int, n long, total array<double>")
-        each = sums.select("sub", "code", "n", F.posexplode("total").alias("at", "x"))
-        mean = each.groupBy("sub", "code", "at").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
-        books[mean["sub"], mean["code"], mean["at"]] = mean["x"]
-    return books
-
-
 def _near_codes(block: np.ndarray, book: np.ndarray) -> np.ndarray:
     """The nearest code of every row, in slices of bounded size."""
     out, half, step = np.empty(len(block), np.int64), (book ** 2).sum(axis=1) / 2, max(1, kernel.CELLS // len(book))
@@ -246,32 +330,12 @@ def _near_codes(block: np.ndarray, book: np.ndarray) -> np.ndarray:
     return out
 
 
-def _book_sums(books: np.ndarray):
-    m, codes, width = books.shape
-
-    def run(batches):
-        count, total = np.zeros((m, codes), np.int64), np.zeros((m, codes, width))
-        for batch in batches:
-            block = kernel.decode(batch.column(0), Codec("dense")).astype(np.float64)
-            for s in range(m if len(block) else 0):
-                part = block[:, s * width:(s + 1) * width]
-                near = _near_codes(part, books[s])
-                count[s] += np.bincount(near, minlength=codes)
-                np.add.at(total[s], near, part)
-        s, c = np.nonzero(count)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(s, pa.int32()), pa.array(c, pa.int32()), pa.array(count[s, c]),
-             pa.array(list(total[s, c]), pa.list_(pa.float64()))], names=["sub", "code", "n", "total"])
-
-    return run
-
-
-def _pq_encoder(books: np.ndarray):
+def _pq_encoder(books: np.ndarray, kind: str):
     dtype = kernel.code_type(books)
 
     @F.arrow_udf(T.BinaryType())
     def encode(vec: pa.Array) -> pa.Array:
-        block = kernel.decode(vec, Codec("dense"))
+        block = kernel.decode(vec, Codec(kind))
         m, _, width = books.shape
         out = np.empty((len(block), m), dtype)
         for s in range(m):
@@ -284,7 +348,10 @@ def _pq_encoder(books: np.ndarray):
 # ---------------------------------------------------------------- search
 
 def _nearest_cells(block: np.ndarray, centers: np.ndarray, metric: str, nprobe: int) -> np.ndarray:
-    """Cells to probe per query, best first."""
+    """Cells to probe per query, in tiles of bounded size."""
+    tile = max(1, kernel.CELLS // len(centers))
+    if len(block) > tile:
+        return np.concatenate([_nearest_cells(block[a:a + tile], centers, metric, nprobe) for a in range(0, len(block), tile)])
     score = block @ centers.T
     if metric == "COSINE":
         score = score / np.maximum(np.linalg.norm(centers, axis=1), 1e-300)
@@ -323,7 +390,7 @@ def ivf_search(
     spec = Spec(metric, k + offset, index.pk, key, carried, lower, upper)
     opts = dict(vec=target, qid=qid, qvec=qvec, score=score, codec=index.codec(), spec=spec, cell=CELL)
     table = knn.fetch_bounded(queries, qid, qvec, index.kind, spec.k)
-    if table is not None:
+    if table is not None and table.num_rows * min(nprobe, index.nlist) * 8 <= session.BROADCAST_BYTES:
         block = kernel.Queries(table, qid, qvec, index.codec()).block.matrix
         _check_dim(block.shape[1], index)
         cells = _nearest_cells(block.astype(np.float64), index.centers, metric, nprobe)
@@ -354,7 +421,8 @@ def _prober(index: IvfIndex, metric: str, nprobe: int):
     def probe(vec: pa.Array) -> pa.Array:
         if not len(vec):
             return pa.array([], pa.list_(pa.int32()))
-        cells = _nearest_cells(kernel.decode(vec, Codec(kind)).astype(np.float64), centers, metric, nprobe).astype(np.int32)
+        own = Codec(kind if kind == "bits" or pa.types.is_binary(vec.type) else "dense")
+        cells = _nearest_cells(kernel.decode(vec, own).astype(np.float64), centers, metric, nprobe).astype(np.int32)
         ends = (np.arange(len(cells) + 1) * cells.shape[1]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(cells.ravel()))
 
@@ -366,11 +434,12 @@ def rerank(
     qid: str = "qid", qvec: str = "qvec", score: str = "score", fields: Sequence[str] = (), offset: int = 0,
     radius: float | None = None, range_filter: float | None = None,
 ) -> DataFrame:
-    """Exact top-k of approximate candidates: their stored vectors are joined by key and re-scored."""
+    """Exact top-k of approximate candidates: their stored vectors are joined by key, or by (cell, key) if both sides
+    have cells, and re-scored."""
     metric = metric.upper()
     lower, upper = check_range(metric, radius, range_filter)
     pair = {"L2": distance.l2, "IP": distance.ip, "COSINE": distance.cosine}[metric]
-    best = candidates.select(qid, pk).join(rows.select(pk, vec, *fields), pk).join(queries.select(qid, qvec), qid)
+    best = _met(candidates, rows, pk, vec, qid, fields).join(queries.select(qid, qvec), qid)
     scored = best.select(qid, pk, pair(qvec, vec).alias(score), *fields).where(F.col(score).isNotNull())
     if lower is not None:
         scored = scored.where(F.col(score) >= lower)
@@ -380,6 +449,20 @@ def rerank(
     return hits.select(qid, "rank", pk, score, *fields)
 
 
+def _met(candidates: DataFrame, rows: DataFrame, pk: str, vec: str, qid: str, fields: Sequence[str]) -> DataFrame:
+    """The candidates with their stored vectors.  Only row groups of their cells are read, and as long as the candidates
+    are few enough to be broadcast the stored vectors stay where they are."""
+    on = [CELL, pk] if CELL in candidates.columns and CELL in rows.columns else [pk]
+    asked = session.materialize(candidates.select(qid, *on), "candidates")
+    if len(on) == 2:
+        cells = [r[0] for r in asked.select(CELL).distinct().collect()]  # at most MAX_LIST
+        rows = rows.where(is_wanted(CELL, cells))
+    width = 64 + (asked.agg(F.max(F.length(pk))).first()[0] or 0 if isinstance(asked.schema[pk].dataType, T.StringType) else 0)
+    if asked.count() * width <= session.BROADCAST_BYTES:
+        asked = F.broadcast(asked)
+    return rows.select(*dict.fromkeys([*on, vec, *fields])).join(asked, on)
+
+
 def scann_search(
     index: IvfIndex, queries: DataFrame, k: int, *, metric: str, nprobe: int, reorder_k: int, raw: DataFrame | None = None,
     qid: str = "qid", qvec: str = "qvec", where: Column | str | None = None, fields: Sequence[str] = (), offset: int = 0,
@@ -390,7 +473,7 @@ def scann_search(
     check_paging(k, offset)
     if reorder_k < k + offset:
         raise ValueError("reorder_k must be at least offset + k")
-    rough = ivf_search(index, queries, reorder_k, metric=metric, nprobe=nprobe, qid=qid, qvec=qvec, where=where)
+    rough = ivf_search(index, queries, reorder_k, metric=metric, nprobe=nprobe, qid=qid, qvec=qvec, where=where, fields=[CELL])
     source = raw if raw is not None else index.rows()
     return rerank(rough, source, queries, k, metric=metric, pk=index.pk, vec=index.vec, qid=qid, qvec=qvec, fields=fields,
                   offset=offset, radius=radius, range_filter=range_filter)

@@ -62,12 +62,15 @@ def _list_block(arr, dtype) -> np.ndarray:
 def _byte_block(arr, dtype) -> np.ndarray:
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    items = arr.to_pylist()
-    if not items:
+    n = len(arr)
+    if not n:
         return np.zeros((0, 0), dtype)
-    if len({len(b) for b in items}) != 1:
+    _, ends, data = arr.buffers()
+    at = np.frombuffer(ends, np.int64 if pa.types.is_large_binary(arr.type) else np.int32)[arr.offset:arr.offset + n + 1]
+    if arr.null_count or len(np.unique(np.diff(at))) != 1:
         raise ValueError("vector dimension does not match the field")
-    return np.frombuffer(b"".join(items), dtype=dtype).reshape(len(items), -1)
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(raw.tobytes(), dtype=dtype).reshape(n, -1)
 
 
 def bits_of(words: np.ndarray) -> np.ndarray:
@@ -88,10 +91,8 @@ def decode(arr, codec: Codec) -> np.ndarray:
         return wide.view(np.float32).astype(np.float64)
     if codec.kind == "sq8":
         return codec.lo + _byte_block(arr, np.uint8).astype(np.float64) * codec.step
-    if codec.kind == "pq":
-        codes = _byte_block(arr, code_type(codec.books))
-        m = codec.books.shape[0]
-        return np.concatenate([codec.books[s][codes[:, s]] for s in range(m)], axis=1)
+    if codec.kind == "pq":  # the codes themselves; scores are looked up, vectors never rebuilt
+        return _byte_block(arr, code_type(codec.books)).astype(np.uint32)
     raise ValueError(f"unknown vector encoding {codec.kind}")
 
 
@@ -208,6 +209,33 @@ def block_scores(v, vsq, q: QueryBlock, metric: str) -> np.ndarray:
     return score
 
 
+class Tables:
+    """What every code adds to a score: one table per query and sub-space, summed up over a row's codes."""
+
+    def __init__(self, books: np.ndarray, q: QueryBlock, metric: str):
+        m, codes, width = books.shape
+        own = q.matrix.reshape(len(q.matrix), m, width)
+        self.metric, self.lengths = metric, np.sqrt(q.sq)
+        dot = np.einsum("smw,qsw->smq", books, own)
+        self.squares = np.einsum("smw,smw->sm", books, books)
+        if metric == "L2":
+            dot = self.squares[:, :, None] - 2 * dot + np.einsum("qsw,qsw->sq", own, own)[:, None, :]
+        self.tables = np.ascontiguousarray(dot)  # (sub-space, code, query): a code is one contiguous row
+
+    def scores(self, codes: np.ndarray) -> np.ndarray:
+        """Queries x rows; always summed in the order of the sub-spaces, so equal codes score alike."""
+        total = self.tables[0][codes[:, 0]]
+        for s in range(1, len(self.tables)):
+            total += self.tables[s][codes[:, s]]
+        if self.metric == "COSINE":
+            square = self.squares[0][codes[:, 0]]
+            for s in range(1, len(self.tables)):
+                square = square + self.squares[s][codes[:, s]]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                total = total / np.sqrt(square)[:, None] / self.lengths[None, :]
+        return total.T
+
+
 def pair_scores(v, q, metric: str) -> np.ndarray:
     """Scores of aligned rows, summed in one fixed order."""
     if metric == "L2":
@@ -312,21 +340,24 @@ class Best:
         yield from pa.table(cols, names=names).to_batches(max_chunksize=65536)
 
 
-def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None) -> None:
-    """Offer one block of rows to the queries of ``q``; ``at`` are their positions in the full query set."""
+def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None, books=None) -> None:
+    """Offer one block of rows to the queries of ``q``; ``at`` are their positions in the full query set.
+
+    With ``books`` the block holds product codes.
+    """
     spec = best.spec
     keys = _KeyGroups(_codes(rows[spec.key]))
-    vsq = np.einsum("ij,ij->i", v, v)
+    vsq = np.einsum("ij,ij->i", v, v) if books is None else None
     width = max(1, TILE // max(1, len(v)))
-    rough = spec.metric not in BINARY
+    rough = spec.metric not in BINARY and books is None
     for start in range(0, len(at), width):
         pick = np.arange(start, min(start + width, len(at)))
         part = q.take(pick) if len(pick) < len(at) else q
-        score = block_scores(v, vsq, part, spec.metric)
+        score = block_scores(v, vsq, part, spec.metric) if books is None else Tables(books, part, spec.metric).scores(v)
         if seen is not None:
             score[(part.seen @ seen.T) <= 0] = np.nan
-        slack = 2 * _slack(vsq, part, spec.metric)
-        _keep_range(score, v, part, slack, spec)
+        slack = 2 * _slack(vsq, part, spec.metric) if rough else np.zeros(len(pick))
+        _keep_range(score, v if rough else None, part, slack, spec)
         cost = np.negative(score, out=score) if spec.sign < 0 else score
         limit = np.minimum(best.limit[at[pick]] + slack, np.finfo(np.float64).max)
         keep = cost <= limit[:, None]  # never true for NaN
@@ -342,7 +373,7 @@ def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, see
 def _keep_range(score, v, q: QueryBlock, slack, spec: Spec) -> None:
     """Blank scores outside the range; those too close to a bound to call are settled pair by pair."""
     for bound in (spec.lower, spec.upper):
-        if bound is not None and spec.metric not in BINARY:
+        if bound is not None and v is not None:
             j, i = np.nonzero(np.abs(score - bound) <= slack[:, None])
             score[j, i] = settled_scores(v, q.matrix, i, j, spec.metric)
     if spec.lower is not None:
@@ -429,23 +460,23 @@ def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None,
             v, seen = decode_rows(piece[vec].combine_chunks(), codec)
             if not len(v):
                 continue
-            if v.shape[1] != part.matrix.shape[1]:
+            if (v.shape[1] if codec.books is None else codec.books.shape[0] * codec.books.shape[2]) != part.matrix.shape[1]:
                 raise ValueError("vector dimension does not match the field")
             rows = piece.select(kept)
             cells = None if probes is None else piece[cell].to_numpy()
             if probes is None:
-                _scan_distinct(best, rows, v, part, at, seen)
+                _scan_distinct(best, rows, v, part, at, seen, codec.books)
                 continue
             for c in np.unique(cells):
                 asking = probes.get(int(c))
                 if asking is not None:
                     mine = np.flatnonzero(cells == c)
-                    _scan_distinct(best, rows.take(pa.array(mine)), v[mine], part.take(asking), asking)
+                    _scan_distinct(best, rows.take(pa.array(mine)), v[mine], part.take(asking), asking, books=codec.books)
 
 
-def _scan_distinct(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None) -> None:
+def _scan_distinct(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None, books=None) -> None:
     """``scan_block`` of rows that all meet the same queries, surplus copies of a vector left out."""
     few = without_surplus_copies(rows, v, seen, best.spec)
     if few is not None:
         rows, v, seen = rows.take(pa.array(few)), v[few], None if seen is None else seen[few]
-    scan_block(best, rows, v, q, at, seen)
+    scan_block(best, rows, v, q, at, seen, books)
