@@ -86,7 +86,7 @@ def test_huge_components_are_refused(spark):
         mined(spark, [(0, [40000.0], 1), (1, [1.0], 1)])
 
 
-def test_bounds_hold_and_shut_pairs_out():
+def test_bounds_hold_and_shut_pairs_out(monkeypatch):
     rng = np.random.default_rng(3)
     a, b = (np.repeat(rng.integers(-256, 256, (n, 16)), 4, axis=1) + rng.integers(-20, 20, (n, 64)) for n in (40, 50))
     left, right = (hard_negatives.cuts_of(*hard_negatives.summaries(x), 64) for x in (a, b))
@@ -96,5 +96,10 @@ def test_bounds_hold_and_shut_pairs_out():
         assert (lower <= exact).all() and (exact <= upper).all()
         widths.append((upper - lower).mean())
     assert len(widths) == 5 and widths == sorted(widths, reverse=True)
-    i, j = hard_negatives.survivors(left, right, np.ones(exact.shape, bool), lambda i, lo, up: up >= np.sort(exact, axis=None)[-5])
-    assert 5 <= len(i) < exact.size // 2 and (exact >= np.sort(exact, axis=None)[-5]).sum() == 5
+    least = np.sort(exact, axis=None)[-5]
+    for sparse in (1, 16, 1 << 30):  # by matrix products, by both, pair by pair
+        monkeypatch.setattr(hard_negatives, "SPARSE", sparse)
+        still = hard_negatives.survivors(left, right, np.ones(exact.shape, bool), lambda i, lower, upper: upper >= least)
+        assert 5 <= still.sum() < exact.size // 4 and still[exact >= least].all()
+        i, j, score = hard_negatives.exact(a, b, still)
+        assert (score == exact[i, j]).all() and len(i) == still.sum()

@@ -39,6 +39,7 @@ ROWS = 4096
 ANCHORS = 4096
 TILE = 512
 PAIRS = 1 << 16
+SPARSE = 16  # one open pair of so many is worth a matrix product
 N_POSITIVES = 5
 N_NEGATIVES = 3
 LOW, HIGH = 50, 95  # percent of the positive's score
@@ -101,26 +102,31 @@ def bounds(left, right) -> tuple[np.ndarray, np.ndarray]:
     return middle - reach, middle + reach
 
 
-def pair_bounds(left, right, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    middle, reach = inner(left[0], right[0], i, j), inner(left[1], right[1], i, j)
-    return middle - reach, middle + reach
-
-
-def survivors(left_cuts, right_cuts, allowed: np.ndarray, is_open) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ``allowed`` that stay open on every cut; ``is_open(i, lower, upper)`` judges bounds of anchors i.
+def survivors(left_cuts, right_cuts, allowed: np.ndarray, is_open) -> np.ndarray:
+    """Which pairs of ``allowed`` stay open on every cut; ``is_open(i, lower, upper)`` judges bounds of anchors i.
 
-    The first cut is judged for all pairs at once, finer ones for the pairs that are left.
+    While many pairs are open a cut is a matrix product; the few of later cuts are judged one by one.
     """
-    lower, upper = bounds(left_cuts[0], right_cuts[0])
-    i, j = np.nonzero(allowed)
-    keep = is_open(i, lower[i, j], upper[i, j])
-    i, j = i[keep], j[keep]
-    for left, right in zip(left_cuts[1:], right_cuts[1:]):
-        if not len(i):
-            break
-        keep = is_open(i, *pair_bounds(left, right, i, j))
-        i, j = i[keep], j[keep]
-    return i, j
+    still, every = allowed, np.arange(len(allowed))[:, None]
+    for left, right in zip(left_cuts, right_cuts):
+        if np.count_nonzero(still) * SPARSE > still.size:
+            still = still & is_open(every, *bounds(left, right))
+            continue
+        i, j = np.nonzero(still)
+        middle, reach = inner(left[0], right[0], i, j), inner(left[1], right[1], i, j)
+        shut = ~is_open(i, middle - reach, middle + reach)
+        still = still.copy()
+        still[i[shut], j[shut]] = False
+    return still
+
+
+def exact(left: np.ndarray, right: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) of the wanted pairs, in integers."""
+    i, j = np.nonzero(wanted)
+    largest = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * left.shape[1]
+    if len(i) * SPARSE > wanted.size and largest < 2**53:  # every sum is a whole number that a 64-bit float holds
+        return i, j, (left.astype(np.float64) @ right.astype(np.float64).T)[i, j].astype(np.int64)
+    return i, j, inner(left, right, i, j)
 
 
 class BestLists:
@@ -190,9 +196,9 @@ def positives_of(anchors: pa.Table, rows: pa.Table, n_positives: int = N_POSITIV
     for lo, right in _tiles(r.cuts(), len(r.id)):
         part = slice(lo, lo + TILE)
         allowed = (a.label[:, None] == r.label[None, part]) & (a.row[:, None] != r.row[None, part])
-        i, j = survivors(left, right, allowed, lambda i, lower, upper: upper >= best.last[i])
-        j = j + lo
-        best.add(i, inner(a.values, r.values, i, j), r.id[j], r.row[j])
+        still = survivors(left, right, allowed, lambda i, lower, upper: upper >= best.last[i])
+        i, j, score = exact(a.values, r.values[part], still)
+        best.add(i, score, r.id[j + lo], r.row[j + lo])
     return pa.table({"anchor": a.row[best.slot], "anchor_id": a.id[best.slot], "id": pa.array(best.id, mask=best.id == LAST),
                      "row": best.row, "score": best.score})
 
@@ -208,22 +214,19 @@ def negatives_of(anchors: pa.Table, rows: pa.Table, n_negatives: int = N_NEGATIV
     floor, ceiling = np.full((len(scores), many), LAST), np.full((len(scores), many), NO_SCORE)
     for i, s in enumerate(scores):
         floor[i, :len(s)], ceiling[i, :len(s)] = -(-low * s // 100), high * s // 100
-    best, left = BestLists(len(scores) * many, n_negatives), a.cuts()
-
-    def is_open(i, lower, upper):
-        out = np.zeros(len(i), bool)
-        for nth in range(many):
-            need = np.maximum(floor[:, nth], best.last[nth::many])
-            out |= (upper >= need[i]) & (lower <= ceiling[i, nth])
-        return out
-
+    ceiling[ceiling < floor] = NO_SCORE  # an empty window
+    best, left, most = BestLists(len(scores) * many, n_negatives), a.cuts(), ceiling.max(axis=1, initial=NO_SCORE)
     for lo, right in _tiles(r.cuts(), len(r.id)):
         part = slice(lo, lo + TILE)
-        i, j = survivors(left, right, a.label[:, None] != r.label[None, part], is_open)
-        j = j + lo
-        score = inner(a.values, r.values, i, j)
+        need = np.maximum(floor, best.last.reshape(len(scores), many))
+        least = need.min(axis=1, initial=LAST)
+        still = survivors(left, right, a.label[:, None] != r.label[None, part],
+                          lambda i, lower, upper: (upper >= least[i]) & (lower <= most[i]))
+        i, j, score = exact(a.values, r.values[part], still)
+        near = score >= least[i]
+        i, j, score = i[near], j[near] + lo, score[near]
         for nth in range(many):
-            fits = (score >= floor[i, nth]) & (score <= ceiling[i, nth])
+            fits = (score >= need[i, nth]) & (score <= ceiling[i, nth])
             best.add(i[fits] * many + nth, score[fits], r.id[j[fits]], r.row[j[fits]])
     slot = best.slot // max(many, 1)
     return pa.table({"anchor": a.row[slot], "nth": pa.array(best.slot - slot * many, pa.int32()),
