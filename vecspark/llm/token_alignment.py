@@ -4,8 +4,8 @@ A text is cut by a byte-level BPE (A, with a space in front) and by a SentencePi
 space itself).  Tokens become byte ranges; where a token of either side ends with one of the other, a group
 ends.  An A and a B token are linked where their byte ranges overlap.
 
-1. First pass.  Documents are aligned in blocks of BLOCK_CHARS; a block sends its distinct linked pairs with
-   the number of its documents that hold them.
+1. First pass.  Documents are encoded and aligned in blocks of BLOCK_CHARS; a block keeps its B ids (packed;
+   their bytes are the text) and its distinct linked pairs with the number of its documents that hold them.
 2. Distinct pairs of the corpus are dealt by hash into shards of about SHARD keys.  Each shard gets a minimal
    perfect hash in levels: keys alone in their slot of a bit array stay, the others go to the next level;
    a key's number is the rank of its bit.  The shard's keys stand in that order beside it.
@@ -13,7 +13,7 @@ ends.  An A and a B token are linked where their byte ranges overlap.
    16 times its own size); there they become one dense vector of counts indexed by the hash, and the vectors
    of a shard are summed in a tree of fan-in FAN.
 4. Second pass.  Every block's pairs meet the summed vectors in the same way, are looked up by their hash and
-   verified against the stored keys; the texts of the block are aligned again and read the counts.
+   verified against the stored keys; the documents of the block are aligned again from their B ids and read the counts.
 
 Only the highest count of every A id is broadcast: one number per vocabulary entry.  No task holds more than a
 block, a group of pairs, a shard or FAN vectors of one; the driver holds nothing of the corpus.
@@ -30,6 +30,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ from vecspark.llm.token_counts import byte_characters
 from vecspark.llm.words import mix
 from vecspark.session import materialize
 
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 1 << 21
 SHARD = 1 << 16
 GROUP_PAIRS = 1 << 20
 FAN = 64
@@ -121,6 +122,15 @@ class Tokens:
             b, b_at = _only(b, b_at, good)
         return a, a_at, b, b_at
 
+    def again(self, b: np.ndarray, b_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a, a offsets) of the texts whose pieces are ``b``."""
+        lengths, starts, joined = self.b_bytes
+        own = lengths[b]
+        total = np.concatenate([[0], np.cumsum(own)])
+        data = joined[np.arange(total[-1]) - np.repeat(total[:-1] - starts[b], own)].tobytes()
+        cuts = total[b_at].tolist()
+        return _flat(self._byte_ids([data[x:y].decode("utf-8") for x, y in zip(cuts, cuts[1:])]))
+
     @staticmethod
     def _same(ids: np.ndarray, offsets: np.ndarray, table, raw: list[bytes]) -> np.ndarray:
         lengths, starts, joined = table
@@ -156,9 +166,9 @@ def _only(ids: np.ndarray, offsets: np.ndarray, good: np.ndarray) -> tuple[np.nd
 class Alignment:
     """Groups and links of a block of texts."""
 
-    def __init__(self, tokens: Tokens, texts: list[str]):
+    def __init__(self, tokens: Tokens, a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray):
         self.tokens = tokens
-        self.a, self.a_at, self.b, self.b_at = tokens.ids(texts)
+        self.a, self.a_at, self.b, self.b_at = a, a_at, b, b_at
         a_end, b_end = np.cumsum(tokens.a_bytes[0][self.a]), np.cumsum(tokens.b_bytes[0][self.b])
         # Texts end on both sides, so positions in the joined bytes never link neighbours.
         self.a_meets = _found(a_end, b_end)
@@ -311,18 +321,6 @@ def _held_rows(batches):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _name_blocks(batches):
-    """The rows with a block number: (text, row's columns, block)."""
-    task, number = TaskContext.get().partitionId(), 0
-    for table in _held_rows(batches):
-        texts = _texts(table.column(0))
-        for lo, hi in _blocks(texts):
-            part = table.slice(lo, hi - lo).combine_chunks()
-            yield pa.RecordBatch.from_arrays([*[c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in part.columns],
-                                              pa.array(np.full(hi - lo, (task << 32) + number))], [*part.column_names, "block"])
-            number += 1
-
-
 def _pack(values: np.ndarray) -> bytes:
     return values.astype("<i8").tobytes()
 
@@ -331,31 +329,33 @@ def _unpack(raw) -> np.ndarray:
     return np.frombuffer(raw, "<i8")
 
 
-def _pair_tasks(shared):
-    """One row per block: its pairs and their text counts."""
+def _pack_ids(ids: np.ndarray, vocabulary: int) -> bytes:
+    return zstandard.compress(ids.astype("<u2" if vocabulary <= 1 << 16 else "<u4").tobytes(), 1)
 
-    def run(batches):
-        tokens, block, held = _tokens(shared), None, []
 
-        def flush():
-            pairs, counts = Alignment(tokens, held).distinct()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([len(pairs)], pa.int64()), pa.array([_pack(pairs)], pa.binary()),
-                 pa.array([_pack(counts)], pa.binary())], ["block", "n_pairs", "pairs", "counts"])
+def _unpack_ids(raw: bytes, vocabulary: int) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), "<u2" if vocabulary <= 1 << 16 else "<u4").astype(np.int64)
 
-        for batch in batches:
-            texts, blocks = _texts(batch.column(0)), batch.column(1).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo == hi:
-                    continue
-                if block is not None and blocks[lo] != block:
-                    yield flush()
-                    held = []
-                block = int(blocks[lo])
-                held += texts[lo:hi]
-        if block is not None:
-            yield flush()
+
+def _block_tasks(shared):
+    """One row per block: the ids of its documents, their distinct pairs and how many of them hold each."""
+
+    def run(batches):
+        tokens, task, number = _tokens(shared), TaskContext.get().partitionId(), 0
+        for table in _held_rows(batches):
+            texts = _texts(table.column(0))
+            for lo, hi in _blocks(texts):
+                a, a_at, b, b_at = tokens.ids(texts[lo:hi])
+                aligned = Alignment(tokens, a, a_at, b, b_at)
+                pairs, counts = aligned.distinct()
+                keys = table.column(1).slice(lo, hi - lo).combine_chunks()
+                keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(task << 32) + number]), pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), keys),
+                     pa.array([_pack(aligned.n_b)], pa.binary()), pa.array([_pack_ids(b, tokens.b_size)], pa.binary()),
+                     pa.array([len(pairs)], pa.int64()), pa.array([_pack(pairs)], pa.binary()), pa.array([_pack(counts)], pa.binary())],
+                    ["block", "keys", "n_b", "b", "n_pairs", "pairs", "counts"])
+                number += 1
 
     return run
 
@@ -442,10 +442,12 @@ def _highest(batches):
 
 
 def _finish(shared, best):
-    """Results of one block from its texts and its looked-up counts."""
+    """Results of one block from its ids and its looked-up counts."""
 
-    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        aligned = Alignment(_tokens(shared), _texts(texts["text"]))
+    def run(block: pa.Table, counts: pa.Table) -> pa.Table:
+        own, tokens = block.select(["n_b", "b"]).to_pylist()[0], _tokens(shared)
+        b, b_at = _unpack_ids(own["b"], tokens.b_size), np.concatenate([[0], np.cumsum(_unpack(own["n_b"]))])
+        aligned = Alignment(tokens, *tokens.again(b, b_at), b, b_at)
         keys = np.concatenate([np.zeros(0, np.int64), *[_unpack(x.as_buffer()) for x in counts["pairs"]]])
         values = np.concatenate([np.zeros(0, np.int64), *[_unpack(x.as_buffer()) for x in counts["counts"]]])
         order = np.argsort(keys)
@@ -456,8 +458,7 @@ def _finish(shared, best):
         own = values[np.searchsorted(keys, pairs)]
         is_best = own == best.value[pairs >> SHIFT]
         summed = np.concatenate([[0], np.cumsum(own)])
-        return pa.table({**{name: texts[name] for name in texts.column_names if name not in ("text", "block")},
-                         "n_a": aligned.n_a, "n_b": aligned.n_b, "n_groups": aligned.n_groups, "n_links": aligned.n_links,
+        return pa.table({"key": block["keys"].combine_chunks().flatten(), "n_a": aligned.n_a, "n_b": aligned.n_b, "n_groups": aligned.n_groups, "n_links": aligned.n_links,
                          "n_best": _per_text(is_best, aligned.link_at), "count_sum": np.diff(summed[aligned.link_at]),
                          "groups": pa.array(aligned.groups(), pa.string())})
 
@@ -541,14 +542,13 @@ def align(docs: DataFrame, byte_json: str, piece_model: str, pattern: str, id_co
     context = docs.sparkSession.sparkContext
     shared = context.broadcast({"spec": spec, "model": model, "pattern": pattern, "stable": np.packbits(stable_characters())})
     kind = docs.schema[id_col].dataType.simpleString()
-    named = materialize(docs.select(F.col(text).alias("text"), F.col(id_col).alias("key")).mapInArrow(
-        _name_blocks, f"text string, key {kind}, block long"), "text-blocks")
-    blocks = named.select("text", "block").mapInArrow(_pair_tasks(shared), "block long, n_pairs long, pairs binary, counts binary")
-    counts = LinkCounts(materialize(blocks, "block-pairs"))
+    blocks = materialize(docs.select(F.col(text).alias("text"), F.col(id_col).alias("key")).mapInArrow(
+        _block_tasks(shared), f"block long, keys array<{kind}>, n_b binary, b binary, n_pairs long, pairs binary, counts binary"), "token-blocks")
+    counts = LinkCounts(blocks.select("block", "n_pairs", "pairs", "counts"))
     best = np.zeros(len(json.loads(spec)["model"]["vocab"]), np.int64)
     for a, n in counts.highest().collect():  # a row per vocabulary entry
         best[a] = n
-    out = named.groupBy("block").cogroup(counts.looked_up().groupBy("block")).applyInArrow(
+    out = blocks.select("block", "keys", "n_b", "b").groupBy("block").cogroup(counts.looked_up().groupBy("block")).applyInArrow(
         _finish(shared, context.broadcast(best)),
         f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
     out = out.withColumnRenamed("key", id_col)
