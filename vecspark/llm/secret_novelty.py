@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.words import flat_text, groups_of
+from vecspark.session import materialize
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")  # of lower-cased bytes
@@ -183,7 +184,16 @@ def _name_tasks(batches):
 def identifier_dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY_BYTES) -> bytes:
     """The names that occur in most texts, least common first, at most ``size`` bytes."""
     counts = docs.select(F.col(text)).mapInArrow(_name_tasks, "name string, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    best = counts.filter("n > 1").orderBy(F.desc("n"), "name").limit(size // (MIN_NAME + 1)).select("name").collect()
+    counts = materialize(counts.filter("n > 1"), "names")
+    # From which power of two on the names fill the dictionary: only those are ranked, not the whole vocabulary.
+    power = F.floor(F.log2("n"))
+    bytes_by_power = counts.groupBy(power.alias("p")).agg(F.sum(F.length("name") + 1).alias("b")).orderBy(F.desc("p")).collect()
+    held, least = 0, 0
+    for p, b in bytes_by_power:
+        held, least = held + b, p
+        if held >= size:
+            break
+    best = counts.filter(power >= least).orderBy(F.desc("n"), "name").limit(size // (MIN_NAME + 1)).select("name").collect()
     out, held = [], 0
     for (name,) in best:
         if held + len(name) + 1 > size:
