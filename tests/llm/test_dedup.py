@@ -230,3 +230,32 @@ def test_components(spark):
                 want[a] = want[b] = min(want[a], want[b])
     assert got == want
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# ---------------------------------------------------------------- groups met without an anti join
+
+def test_large_groups_are_spread_over_salts(spark, monkeypatch):
+    from vecspark.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "HEAVY", 8)
+    rows = [(b"hot", i) for i in range(400)] + [(b"k%d" % (i % 50), i) for i in range(300)] + [(None, 1), (b"alone", 2)]
+    members = spark.createDataFrame(rows, "k binary, salt long")
+    groups = spark.createDataFrame([(b"hot", 400, "a")] + [(b"k%d" % i, 6, "b") for i in range(50)], "k binary, size long, name string")
+    met = exact_dedup.with_groups(members, groups, "k", "size", len(rows))
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and plan.count("Join Inner") == 1
+    want = sorted((k, i, 400 if k == b"hot" else 6, "a" if k == b"hot" else "b") for k, i in rows if k not in (None, b"alone"))
+    assert sorted((bytes(r["k"]), r["salt"], r["size"], r["name"]) for r in met.collect()) == want
+    assert sorted(met.columns) == ["k", "name", "salt", "size"]
+
+
+@pytest.mark.parametrize("percent", [55, 85])
+def test_crowded_families_of_short_templates(spark, monkeypatch, percent):
+    rows = [(i, f"order {i} has been shipped to the usual customer again today") for i in range(200)]
+    rows += [(1000, "order 7 has been shipped to the usual customer again today"), (1001, "order 7 has been shipped to the usual customer again now")]
+    want = {r["doc_id"]: r["component_id"] for r in near_dup.find_near_copies(frame(spark, rows), percent=percent).collect()}
+    for name, value in (("BLOCK_CLASSES", 32), ("CROWDED", 8)):
+        monkeypatch.setattr(near_dup, name, value)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.find_near_copies(frame(spark, rows), percent=percent).collect()}
+    assert got == want and want[1000] == want[7] and (len(set(want.values())) < 5) == (percent == 55)
+    assert max(want[i] for i in range(200)) == (0 if percent == 55 else 199)

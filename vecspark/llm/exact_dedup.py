@@ -8,8 +8,8 @@ rows that shuffle, and an exact comparison of their SHA-256 settles them.
 The filter holds BITS_PER_ROW bits a row in pages of 4 KB.  Tasks send the set positions of a page, not
 the page, so pass 1 moves about 8 bytes a row.  What travels to the executors is at most MAX_BITS / 8
 bytes; tables that need more are worked on in slices of the hash range, each with a filter of its own.
-Groups that hold more than 1 / HEAVY of all rows (fewer than HEAVY, so they may be broadcast) are settled
-without moving their rows to one task.
+Groups that hold more than 1 / HEAVY of all rows (fewer than HEAVY, so their keys may be listed) are spread over
+SALTS tasks.
 
 Defined cases: null text is empty text, and all empty texts are equal.  Of equal texts the row with the
 smallest doc_id stays; a null doc_id counts as larger than any other.  Rows that repeat text and doc_id
@@ -32,6 +32,7 @@ PROBES = 4
 MAX_BITS = 1 << 28
 PAGE_BITS = 1 << 15
 HEAVY = 1024
+SALTS = 64
 BLOCK_ROWS = 1 << 20
 
 
@@ -182,13 +183,20 @@ def drop_rows(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
 
 def with_groups(members: DataFrame, groups: DataFrame, key: str, size: str, rows: int) -> DataFrame:
-    """Inner join on ``key``: rows of large groups meet their group by broadcast, the others by shuffle.
+    """Inner join on ``key`` in which the members of a large group meet it in SALTS tasks.
 
-    ``groups`` has one row per key and is read more than once, so it should be a written table.
+    ``groups`` has one row per key and is read more than once, so it should be a written table.  A group is
+    large if it has more than 1 / HEAVY of all rows; sizes add up to rows, so fewer than HEAVY keys come to the driver.
     """
-    heavy = F.broadcast(groups.filter(F.col(size) * HEAVY > rows))  # sizes add up to rows: fewer than HEAVY
-    light = members.join(heavy.select(key), key, "left_anti").join(groups.filter(F.col(size) * HEAVY <= rows), key)
-    return members.join(heavy, key).select(*light.columns).unionByName(light)
+    large = [key_ for (key_,) in groups.filter(F.col(size) * HEAVY > rows).select(key).collect()]
+    if not large:
+        return members.join(groups, key)
+    salt = free_name(members, "salt")
+    spread = F.col(key).isin(large)
+    own = F.pmod(F.xxhash64(*[F.col(c) for c in members.columns if c != key]), F.lit(SALTS))
+    salted = members.withColumn(salt, F.when(spread, own).otherwise(F.lit(0)).cast("int"))
+    copies = F.when(spread, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(groups.withColumn(salt, F.explode(copies)), [key, salt]).drop(salt)
 
 
 def exact_groups(digests: DataFrame, id_col: str = "doc_id", key: str = "text_sha256") -> DataFrame:

@@ -11,14 +11,13 @@
    that agree in m coordinates are compared on their full sets.
 4. Skipping.  Longer lists are not merged pair by pair.  Lists that share classes form a family.
    Classes of a family that steps before have already put into its largest component need no comparison with each
-   other; the rest meet everything in the family in blocks of at most about BLOCK shingles.  A block task counts
+   other; the rest meet everything in the family in blocks of about BLOCK shingles and BLOCK_CLASSES classes at most.  A block task counts
    all intersections exactly and returns links between different components only, at most one less than
    its classes.
 5. Connected components of the links, then one row per document.
 
 No step emits the pairs of a large group, holds a large group in one task, or broadcasts more than a Bloom
-filter of the candidate classes (MAX_BITS / 8 bytes at most) and the groups that hold more than a thousandth
-of all rows.
+filter of the candidate classes (MAX_BITS / 8 bytes at most).
 
 Defined cases: null or empty texts, and texts of white space, have an empty set and are linked with
 nothing; with one to four words the whole sequence is the only shingle; rows that repeat a doc_id are
@@ -48,6 +47,7 @@ PERCENT = 85
 MISSED = 3e-6
 CROWDED = 64
 BLOCK = 1 << 17
+BLOCK_CLASSES = 1 << 11
 GROUP_BYTES = 2 << 20
 COLUMNS = 4096
 
@@ -262,10 +262,13 @@ def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, se
     parts = nodes.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("w"))
     largest = parts.groupBy("family").agg(F.max(F.struct("c", "component", "w")).alias("top"), F.sum("w").alias("w"),
                                           F.sum("c").alias("members"))
+    def blocks(shingles, classes):
+        return F.greatest(F.ceil(shingles / BLOCK), F.ceil(classes / BLOCK_CLASSES)).cast("int")
+
     plan = largest.select(
         "family", F.col("top.component").alias("settled"), "members",
-        F.ceil((F.col("w") - F.col("top.w")) / BLOCK).cast("int").alias("n_open"),
-        F.ceil(F.col("top.w") / BLOCK).cast("int").alias("n_settled"))
+        blocks(F.col("w") - F.col("top.w"), F.col("members") - F.col("top.c")).alias("n_open"),
+        blocks(F.col("top.w"), F.col("top.c")).alias("n_settled"))
     plan = materialize(plan.filter("n_open > 0"), "family-plan")
     met = with_groups(nodes, plan, "family", "members", nodes.count()).join(sets, "node")
     is_open = F.col("component") != F.col("settled")
