@@ -7,7 +7,7 @@ linear softmax turns the average into two classes.  The
 score of a text is that of its most toxic passage, so a few words count the same in long and short texts, and
 unseen spellings are scored by the n-grams they share with known ones.
 
-Training runs on the driver over a bounded sample: at most ``toxic`` texts with the label and ``other`` without
+Training runs in one task over a bounded sample, so that neither texts nor training state visit the driver: at most ``toxic`` texts with the label and ``other`` without
 it, of at most ``sample_chars`` characters each, those with the smallest hashes of their ids.  Every text contributes its
 currently most toxic passage, at first by the log odds of its subwords; embeddings and softmax are updated
 together (Adam).  For scoring, the table
@@ -27,10 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.registry import free_name
+from vecspark.session import materialize
 
 GRAMS = (3, 4, 5, 6)
 BUCKETS = 1 << 18
@@ -246,15 +248,27 @@ class Scorer:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, toxic: int, other: int,
-                    sample_chars: int) -> tuple[list[str], list[int]]:
-    """Texts and labels on the driver: at most ``toxic`` + ``other`` texts of at most ``sample_chars`` characters."""
+                    sample_chars: int) -> DataFrame:
+    """(_h, _t, _y) of at most ``toxic`` + ``other`` texts of at most ``sample_chars`` characters."""
     marks = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         (F.max(label) > 0).cast("int").alias("_y"))
     order = [F.xxhash64("_id"), F.col("_id")]
     chosen = marks.filter("_y = 1").orderBy(*order).limit(toxic).unionByName(marks.filter("_y = 0").orderBy(*order).limit(other))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).filter(F.length("_t").between(1, sample_chars))
-    rows = texts.join(F.broadcast(chosen), "_id").orderBy(*order, "_t").limit(toxic + other).toArrow()
-    return rows["_t"].to_pylist(), rows["_y"].to_pylist()
+    return texts.join(F.broadcast(chosen), "_id").orderBy(*order, "_t").limit(toxic + other).select(
+        F.xxhash64("_id").alias("_h"), "_t", "_y")
+
+
+def _train_task(batches):
+    """The logit differences of all buckets and of the bias, from all rows of the sample."""
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held).sort_by([("_h", "ascending"), ("_t", "ascending")])
+    labels, texts = table["_y"].to_pylist(), table["_t"].to_pylist()
+    del table, held
+    model = train(texts, labels)
+    yield pa.RecordBatch.from_arrays([pa.array([model.buckets.astype("<f4").tobytes()], pa.binary()), pa.array([model.bias])], ["buckets", "bias"])
 
 
 def _score_all(scorer: Scorer, texts: list[str | None]) -> np.ndarray:
@@ -272,11 +286,11 @@ def _score_all(scorer: Scorer, texts: list[str | None]) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the score of every row; only the texts visit Python."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.bias))  # plain values: workers need no package
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(Model(*shared.value))
         for batch in batches:
             yield pd.Series(_score_all(scorer, batch.tolist()))
 
@@ -292,4 +306,6 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text: str
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
         toxic: int = SAMPLE_TOXIC, other: int = SAMPLE_OTHER, sample_chars: int = SAMPLE_CHARS) -> Model:
-    return train(*training_sample(docs, labels, id_col, text, label, toxic, other, sample_chars))
+    sample = materialize(training_sample(docs, labels, id_col, text, label, toxic, other, sample_chars), "training-sample")
+    found = sample.coalesce(1).mapInArrow(_train_task, "buckets binary, bias double").first()
+    return train([], []) if found is None else Model(np.frombuffer(found["buckets"], "<f4"), found["bias"])
