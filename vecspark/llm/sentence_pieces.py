@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,7 @@ class Pieces:
 
 
 class Codec:
-    def __init__(self, pieces: Pieces):
+    def __init__(self, pieces: Pieces | SimpleNamespace):
         self.pieces = pieces
         size = len(pieces.text)
         self.size = size
@@ -329,13 +330,17 @@ def _characters(run: bytes) -> bytes:
     return out
 
 
-_CODECS: dict[str, Codec] = {}
+def _share(docs: DataFrame, model: str):
+    """The model's lists as plain values, so that workers need no package."""
+    return docs.sparkSession.sparkContext.broadcast({"pieces": vars(Pieces(model))})
 
 
-def _codec(name: str, shared) -> Codec:
-    if name not in _CODECS:
-        _CODECS[name] = Codec(shared.value)
-    return _CODECS[name]
+def _codec(shared) -> Codec:
+    """The codec of this worker, kept beside the broadcast value it is made from."""
+    box = shared.value
+    if "codec" not in box:
+        box["codec"] = Codec(SimpleNamespace(**box["pieces"]))
+    return box["codec"]
 
 
 def _groups(sizes: list[int]):
@@ -351,11 +356,11 @@ def _groups(sizes: list[int]):
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "text", round_trip: bool = True) -> DataFrame:
     """One row per document: id, n_tokens, ids, ids_sha256, and with ``round_trip`` decoded, decoded_sha256 from decoding ids."""
-    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model))
+    shared = _share(docs, model)
     names = ["key", "n_tokens", "ids", "ids_sha256"] + ["decoded", "decoded_sha256"] * round_trip
 
     def run(batches):
-        codec = _codec(model, shared)
+        codec = _codec(shared)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             for lo, hi in _groups([len(t) for t in texts]):
@@ -378,10 +383,10 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text: str = "tex
 
 def decode(rows: DataFrame, model: str, id_col: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(id, text) of id sequences."""
-    shared = rows.sparkSession.sparkContext.broadcast(Pieces(model))
+    shared = _share(rows, model)
 
     def run(batches):
-        codec = _codec(model, shared)
+        codec = _codec(shared)
         for batch in batches:
             lists = [x or [] for x in batch.column(1).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])

@@ -317,7 +317,12 @@ class Counter:
         return total
 
 
-_COUNTERS: dict[str, Counter] = {}
+def _counter(shared) -> Counter:
+    """The counter of this worker, kept beside the broadcast value it is made from."""
+    box = shared.value
+    if "counter" not in box:
+        box["counter"] = Counter(json.loads(box["spec"]), box["classes"])
+    return box["counter"]
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", limit: int = 512) -> DataFrame:
@@ -333,14 +338,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
     if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]) or spec["model"].get("ignore_merges"):
         raise ValueError("special tokens that strip their surroundings and whole-piece look-up are not supported")
     classes = character_classes(Tokenizer.from_str(raw).pre_tokenizer)
-    shared = docs.sparkSession.sparkContext.broadcast((raw, classes))
+    shared = docs.sparkSession.sparkContext.broadcast({"spec": raw, "classes": classes})
 
     def run(batches):
-        key = tokenizer
-        counter = _COUNTERS.get(key)
-        if counter is None:
-            own, table = shared.value
-            counter = _COUNTERS[key] = Counter(json.loads(own), table)
+        counter = _counter(shared)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             counts = counter.count(texts)
