@@ -284,3 +284,43 @@ def test_query_against_sql(spark, con, name):
 
 def test_all_ten_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+# ---------------------------------------------------------------- archives on disk
+
+def on_disk(made):
+    [path] = [r["path"] for r in made.collect()]
+    return path.removeprefix("file://").removeprefix("file:")
+
+
+def test_archives_on_disk_begin_with_the_dictionary_and_let_records_be_sought(spark):
+    rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * 40) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    with open(on_disk(warc.write_archives(df)), "rb") as file:
+        raw = file.read()
+    magic, size = struct.unpack("<II", raw[:8])
+    assert magic == warc.DICTIONARY_MAGIC == 0x184D2A5D
+    own = raw[8:8 + size]
+    own = zstandard.ZstdDecompressor().decompress(own, max_output_size=1 << 20) if own[:4] == b"\x28\xb5\x2f\xfd" else own
+    unpacker, at, begins = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(own)), 8 + size, []
+    while at < len(raw):
+        begins.append(at)
+        frame_ = unpacker.decompressobj()
+        frame_.decompress(raw[at:])
+        at = len(raw) - len(frame_.unused_data)
+    assert len(begins) == 60
+    headers, _ = warc.parse_record(unpacker.decompressobj().decompress(raw[begins[41]:]))  # one frame alone
+    assert headers["warc-type"] == "response" and headers["warc-target-uri"].startswith("http://h/")
+
+
+def test_a_file_built_by_hand_is_read_and_damage_on_disk_is_refused(spark, folder):
+    records = [warc.build_record(i, f"http://h/{i}", "2024-01-01T00:00:00Z", b"payload %d" % i) for i in range(500)]
+    with open(f"{folder}/own.warc.zst", "wb") as file:
+        file.write(archive(records))
+    got = warc.read_archives(warc.list_archives(spark, folder)).collect()
+    assert sorted((r["page_id"], bytes(r["payload"])) for r in got) == [(i, b"payload %d" % i) for i in range(500)]
+    raw = archive(records)
+    with open(f"{folder}/cut.warc.zst", "wb") as file:
+        file.write(raw[:-7])
+    with pytest.raises(Exception, match="ValueError"):
+        warc.read_archives(warc.list_archives(spark, folder)).collect()

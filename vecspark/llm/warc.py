@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from vecspark.llm.exact_dedup import Repeats, with_groups
 from vecspark.llm.registry import filled
-from vecspark.session import materialize, scratch_path
+from vecspark.session import filesystem, materialize, scratch_path
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -48,10 +48,16 @@ MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 ARCHIVE_BYTES = 32 << 20
 DICTIONARY_SAMPLE = 2 << 20
 DICTIONARY_BYTES = 64 << 10
-CHUNK = 1 << 20
+CHUNK = 1 << 16  # what is left of a chunk is copied after every frame
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme, so that tasks look where Spark does."""
+    system, at = filesystem(spark, folder)
+    return system.makeQualified(at).toString()
+
+
 def _open(path: str):
     if "://" not in path and not path.startswith("file:"):
         return arrow_fs.LocalFileSystem(), path
@@ -97,7 +103,7 @@ class ArchiveWriter:
 
     def __init__(self, path: str, sample_bytes: int = DICTIONARY_SAMPLE):
         system, inner = _open(path)
-        self.out, self.sample_bytes = system.open_output_stream(inner), sample_bytes
+        self.out, self.sample_bytes = system.open_output_stream(inner, compression=None), sample_bytes
         self.held: list[bytes] | None = []
         self.held_bytes = self.records = 0
         self.packer = None
@@ -255,7 +261,7 @@ def _read_tasks(with_payload: bool):
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 system, inner = _open(path)
                 rows, held, seen = [], 0, 0
-                with system.open_input_stream(inner) as stream:
+                with system.open_input_stream(inner, compression=None) as stream:
                     for record in read_frames(stream):
                         seen += 1
                         headers, block = parse_record(record)
@@ -297,7 +303,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, revisit_from: in
                    date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write every row as a record; returns the written table (path, records) of finished archives."""
     spark = pages.sparkSession
-    folder = folder or scratch_path(spark, "warc")
+    folder = qualified(spark, folder or scratch_path(spark, "warc"))
     system, inner = _open(folder)
     system.create_dir(inner, recursive=True)
     planned = plan_revisits(pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")),
