@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vecspark.functions import distance, packing
 from vecspark.operators.distances import calc_distance
 from vecspark.operators.search import search
-from vecspark.operators.sparse import postings, search_postings, write_postings
+from vecspark.operators.sparse import postings, search_blocks, search_postings, write_blocks, write_postings
 from vecspark.session import scratch_path
 from workload.fixtures import (AND_SQL, CENTROIDS_SQL, COS_SQL, DOC_TERMS_SQL, HAM_SQL, IP_SQL, ITEM_TERMS_SQL,
                                JAC_SQL, L2_SQL, OR_SQL, benchmark_queries, binary_queries,
@@ -275,10 +275,20 @@ def sparse_index_build(spark, sf):
     d=f"{DOC_TERMS_SQL.replace('d AS', 'd0 AS', 1)}, {KEPT_SQL.format(out='d', pk='doc_id', src='d0', ratio=0.2)}",
     b=f"{ITEM_TERMS_SQL.replace('b AS', 'b0 AS', 1)}, {KEPT_SQL.format(out='b', pk='item_id', src='b0', ratio=0.25)}"))
 def sparse_index_search(spark, sf):
+    """Blocks with maxima, of which those that cannot reach a query's tenth score are skipped."""
+    path = scratch_path(spark, "blocks")
+    write_blocks(document_terms(spark, sf), path, pk="doc_id", vec="terms", drop_ratio=0.2)
+    return search_blocks(spark.read.parquet(path), benchmark_queries(spark, sf), 10, pk="doc_id", drop_ratio=0.25)
+
+
+@query("sparse_postings_search", sparse_sql(
+    d=f"{DOC_TERMS_SQL.replace('d AS', 'd0 AS', 1)}, {KEPT_SQL.format(out='d', pk='doc_id', src='d0', ratio=0.2)}",
+    b=f"{ITEM_TERMS_SQL.replace('b AS', 'b0 AS', 1)}, {KEPT_SQL.format(out='b', pk='item_id', src='b0', ratio=0.25)}"))
+def sparse_postings_search(spark, sf):
+    """The same answer from postings laid out by dimension, all of the queries' dimensions scored in full."""
     path = scratch_path(spark, "postings")
     write_postings(document_terms(spark, sf), path, pk="doc_id", vec="terms", drop_ratio=0.2)
-    index = spark.read.parquet(path)
-    return search_postings(index, benchmark_queries(spark, sf), 10, pk="doc_id", drop_ratio=0.25)
+    return search_postings(spark.read.parquet(path), benchmark_queries(spark, sf), 10, pk="doc_id", drop_ratio=0.25)
 
 
 @query("sparse_index_filtered", f"""WITH {DOC_TERMS_SQL}, {ITEM_TERMS_SQL},
