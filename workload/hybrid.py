@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from vecspark.functions.packing import pack_bits
-from vecspark.operators.hybrid import Rrf, SubSearch, Weighted, hybrid_search
+from vecspark.operators.ann import ivf_build
+from vecspark.operators.hybrid import BlockIndex, Rrf, SubSearch, Weighted, hybrid_search
+from vecspark.operators.sparse import write_blocks
+from vecspark.session import scratch_path
 from workload.fixtures import (CENTROIDS_SQL, COS_SQL, DOC_TERMS_SQL, HAM_SQL, IP_SQL, ITEM_TERMS_SQL, L2_SQL,
                                benchmark_queries, binary_queries, centroids, document_terms, embeddings, rounded)
 from workload.registry import query
@@ -118,3 +121,27 @@ def hybrid_sparse_dense(spark, sf):
     branches = [SubSearch(embeddings(spark, sf), queries, 30, "L2", {"vec": "embedding"}),
                 SubSearch(document_terms(spark, sf), benchmark_queries(spark, sf), 20, "IP", {"vec": "terms", "pk": "doc_id"})]
     return fuse(branches, 10, Rrf())
+
+
+INDEXED_SQL = f"""WITH {CENTROIDS_SQL}, {DOC_TERMS_SQL}, {ITEM_TERMS_SQL}, {L2_30}, {HAM_20.replace('b1 AS', 'b2 AS', 1)},
+b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM (
+  SELECT b.item_id AS qid, d.doc_id AS id, sum(b.v * d.v) AS score FROM b JOIN d USING (i) GROUP BY 1, 2)) WHERE rank <= 20),
+f AS (SELECT qid, id, sum(term) AS score FROM (
+  SELECT qid::bigint AS qid, id, {RRF} AS term FROM b0 UNION ALL SELECT qid, id, {RRF} AS term FROM b1
+  UNION ALL SELECT qid::bigint AS qid, id, {RRF} AS term FROM b2) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM f)
+SELECT qid, rank::bigint AS rank, id AS vec_id, round(score, 6) AS score FROM r WHERE rank <= 10"""
+
+
+@query("hybrid_indexed", INDEXED_SQL)
+def hybrid_indexed(spark, sf):
+    """A cell index, sparse blocks and a scan as branches; with all cells probed the fused list is that of three scans."""
+    queries = centroids(spark, sf).withColumn("qid", F.col("qid").cast("bigint"))
+    index = ivf_build(embeddings(spark, sf), scratch_path(spark, "ivf"), pk="vec_id", vec="embedding", nlist=16)
+    path = scratch_path(spark, "blocks")
+    write_blocks(document_terms(spark, sf), path, pk="doc_id", vec="terms")
+    branches = [SubSearch(index, queries, 30, "L2", {"nprobe": 16}),
+                SubSearch(BlockIndex(spark.read.parquet(path)), benchmark_queries(spark, sf), 20, "IP", {"pk": "doc_id"}),
+                SubSearch(rows(spark, sf), binary_queries(spark, sf).withColumn("qid", F.col("qid").cast("bigint")), 20, "HAMMING",
+                          {"vec": "bits"})]
+    return fuse(branches, 10, Rrf())
