@@ -49,8 +49,17 @@ json_query("f_json_whole", "(event_type = 'purchase' AND k + CASE WHEN value < 2
            "(event_type = 'signup' AND value >= 20 AND (k = 3 OR k > 90))",
            lambda: (p.j_num("json") > 49.5) | p.j_str("json").like("2%") | p.j_eq("json", [3, 4]) | (p.j_num("json", 0) > 90))
 # no number equals a text: only the JSON texts themselves match
-json_query("f_json_type_strict", "event_type = 'signup' AND value < 20 AND k = 0",
-           lambda: p.j_eq("json", "0", "number") | p.j_eq("json", "0"))
+@query("f_json_type_strict", J_SQL.replace("SELECT event_id FROM j WHERE ", """SELECT event_type,
+count(*) FILTER (event_type = 'signup' AND value < 20 AND k < 10)::bigint AS matches FROM j GROUP BY event_type"""))
+def f_json_type_strict(spark, sf):
+    """Matches per event type, types without any included."""
+    texts = [str(k) for k in range(10)]
+    hit = p.j_in("json", texts, "number") | p.j_in("json", texts)
+    kinds = table(spark, sf, "events").select("event_id", "event_type")
+    marked = json_events(spark, sf).select("event_id", F.coalesce(hit, F.lit(False)).alias("hit"))
+    return kinds.join(marked, "event_id").groupBy("event_type").agg(F.count_if("hit").alias("matches"))
+
+
 json_query("f_json_exists", "event_type = 'click'", lambda: p.j_exists("json", "list"))
 json_query("f_json_contains", "event_type = 'click' AND (k = 2 OR k + 1 = 2)",
            lambda: p.j_contains("json", 2, "list") | p.j_contains("json", 0, "number"))
