@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vecspark.operators.ann import IvfIndex, ivf_search
 from vecspark.session import materialize
 from vecspark.sources.table import VectorTable, last_per_key
+from vecspark.streaming.changes import ChangeLog
 
 DELETED = "deleted"
 
@@ -57,6 +60,12 @@ def current_rows(table: VectorTable) -> DataFrame:
     return table.read().where(~F.col(DELETED))
 
 
+def stream_log_changes(stream: DataFrame, log: ChangeLog, checkpoint: str, *, op: str, delete: str,
+                       interval: str | None = None) -> StreamingQuery:
+    """Append every batch to the buckets of its keys; stored rows are not read."""
+    return run_batches(stream, checkpoint, lambda batch, _: log.apply(batch, op=op, delete=delete), interval)
+
+
 def stream_apply_changes(stream: DataFrame, table: VectorTable, checkpoint: str, *, interval: str | None = None,
                          **options) -> StreamingQuery:
     def apply(batch: DataFrame, _: int) -> None:
@@ -75,3 +84,54 @@ def stream_search(stream: DataFrame, index: IvfIndex, out: str, checkpoint: str,
             hits.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return run_batches(stream, checkpoint, apply, interval)
+
+
+EXPIRED = "expired_ts"
+
+
+def expiries(stream: DataFrame, *, pk: str, ts: str, seconds: int, delay: str = "0 seconds") -> DataFrame:
+    """(pk, expired_ts) of keys whose latest row the watermark has left more than ``seconds`` behind.
+
+    State holds the latest time per key and a timer.  A repeated or newer row sets the timer anew, an older one changes nothing, a
+    key that comes back after its expiry starts again.  Rows that arrive more than ``delay`` behind the stream's newest are not
+    followed, as the watermark drops them; rows within it that are expired on arrival are reported at once.
+    """
+    if seconds < 0:
+        raise ValueError("ttl must not be negative")
+    kind = stream.schema[pk].dataType.simpleString()
+
+    def follow(key, batches, state):
+        if state.hasTimedOut:
+            (last,) = state.get
+            state.remove()
+            yield pd.DataFrame({pk: [key[0]], EXPIRED: [pd.Timestamp(last, unit="us")]})
+            return
+        last = state.get[0] if state.exists else None
+        for batch in batches:
+            newest = int(batch["_us"].max())
+            last = newest if last is None else max(last, newest)
+        timer, now = last // 1000 + seconds * 1000, state.getCurrentWatermarkMs()
+        if timer < now:
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({pk: [key[0]], EXPIRED: [pd.Timestamp(last, unit="us")]})
+            return
+        state.update((last,))
+        state.setTimeoutTimestamp(max(timer, now + 1))
+
+    rows = stream.where(F.col(pk).isNotNull() & F.col(ts).isNotNull()).select(pk, ts, F.unix_micros(ts).alias("_us"))
+    return rows.withWatermark(ts, delay).groupBy(pk).applyInPandasWithState(
+        follow, f"`{pk}` {kind}, {EXPIRED} timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_expire(stream: DataFrame, table: VectorTable, checkpoint: str, *, ts: str, seconds: int, delay: str = "0 seconds",
+                  interval: str | None = None) -> StreamingQuery:
+    """Delete rows of the table as the event time of ``stream`` leaves them behind; a row newer than the expired one stays."""
+    def apply(batch: DataFrame, _: int) -> None:
+        gone = materialize(batch.groupBy(table.pk).agg(F.max(EXPIRED).alias(EXPIRED)), "expired")
+        old = table.read().select(F.col(table.pk), F.col(ts).alias("_ts")).join(gone, table.pk).where(F.col("_ts") <= F.col(EXPIRED))
+        keys = materialize(old.select(table.pk), "expired-keys")
+        if not keys.isEmpty():
+            table.delete_by_pk(keys)
+
+    return run_batches(expiries(stream, pk=table.pk, ts=ts, seconds=seconds, delay=delay), checkpoint, apply, interval)

@@ -12,6 +12,7 @@ from vecspark.operators.search import search
 from vecspark.session import materialize, scratch_path
 from vecspark.sources.table import VectorTable
 from vecspark.streaming import streams
+from vecspark.streaming.changes import ChangeLog
 from workload.encodings import CLOSE_SQL, close_to_exact
 from workload.fixtures import (COS_SQL, HAM_SQL, L2_SQL, SELF_SQL, binary_queries, binary_rows, centroids, embeddings, rounded,
                                self_queries)
@@ -154,13 +155,19 @@ def index_progress(spark, sf):
 
 # ---------------------------------------------------------------- streams
 
-def event_stream(spark, sf):
-    """All events as a stream of several files in time order."""
+def event_stream(spark, sf, in_order=False):
+    """All events as a stream of several files of one time range each."""
     path = scratch_path(spark, "stream")
     e = table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
         F.array(F.col("value").cast("float"), F.col("user_id").cast("float")).alias("vec"))
-    e.repartitionByRange(4, "ts").write.parquet(path)
+    if not in_order:
+        e.repartitionByRange(4, "ts").write.parquet(path)
+    else:  # one after the other: a file source takes files by their time
+        first, last = e.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+        part = F.floor((F.unix_micros("ts") - first) * 4 / (last - first + 1))
+        for n in range(4):
+            e.where(part == n).coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -187,13 +194,35 @@ def stream_upsert(spark, sf):
 
 @query("stream_apply_changes", f"SELECT user_id, event_id, value FROM ({LATEST}) WHERE n = 1 AND event_type <> 'error'")
 def stream_apply_changes(spark, sf):
-    """Events as a change log by user: an error deletes the user's row, anything else replaces it."""
+    """Events as a change log by user, clustered by key: an error deletes the user's row, anything else replaces it."""
+    stream = event_stream(spark, sf)
+    log = ChangeLog.create(spark, scratch_path(spark, "log"), stream.schema, pk="user_id", ts="ts")
+    streams.stream_log_changes(stream, log, scratch_path(spark, "ckpt"), op="event_type", delete="error").awaitTermination()
+    return log.current_rows().select("user_id", "event_id", "value")
+
+
+@query("stream_changes_table", f"SELECT user_id, event_id, value FROM ({LATEST}) WHERE n = 1 AND event_type <> 'error'")
+def stream_changes_table(spark, sf):
+    """The same into a versioned table, which every batch rewrites where its keys are."""
     t = user_table(spark, S.field("deleted", T.BooleanType()))
     streams.stream_apply_changes(event_stream(spark, sf), t, scratch_path(spark, "ckpt"), ts="ts", op="event_type",
                                  delete="error").awaitTermination()
     return streams.current_rows(t).select("user_id", "event_id", "value")
 
 
+TTL = 6 * 3_600
+
+
+@query("stream_expire", f"""WITH last AS (SELECT * FROM ({LATEST}) WHERE n = 1)
+SELECT user_id, event_id FROM last WHERE epoch_ms(ts) + {TTL}000 >= (SELECT max(epoch_ms(ts)) FROM events)""")
+def stream_expire(spark, sf):
+    """The latest event of every user, gone once the stream's event time is six hours past it."""
+    t, stream = user_table(spark), event_stream(spark, sf, in_order=True)
+    streams.stream_upsert(stream, t, scratch_path(spark, "ckpt"), seq="ts").awaitTermination()
+    streams.stream_expire(stream, t, scratch_path(spark, "ckpt"), ts="ts", seconds=TTL).awaitTermination()
+    return t.read().select("user_id", "event_id")
+
+
 @query("apply_changes_window", f"""SELECT user_id, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS n FROM events
   WHERE ts >= '2024-01-05' AND ts <= '2024-01-25') WHERE n = 1 AND event_type <> 'error'""")
