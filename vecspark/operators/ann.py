@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from vecspark import session
 from vecspark.functions import distance
-from vecspark.operators.search import check_group, check_metric, check_paging, check_range, vector_kind
+from vecspark.operators.search import check_group, check_metric, check_paging, check_range, search, vector_kind
 from vecspark.plans import kernel, knn
 from vecspark.plans.kernel import SIMILARITIES, Codec, Spec
 from vecspark.plans.pruning import is_wanted
@@ -439,7 +439,10 @@ def rerank(
     metric = metric.upper()
     lower, upper = check_range(metric, radius, range_filter)
     pair = {"L2": distance.l2, "IP": distance.ip, "COSINE": distance.cosine}[metric]
-    best = _met(candidates, rows, pk, vec, qid, fields).join(queries.select(qid, qvec), qid)
+    asked = queries.select(qid, qvec)
+    if knn.fetch_bounded(queries, qid, qvec) is not None:
+        asked = F.broadcast(asked)  # its decoded size has been checked
+    best = _met(candidates, rows, pk, vec, qid, fields).join(asked, qid)
     scored = best.select(qid, pk, pair(qvec, vec).alias(score), *fields).where(F.col(score).isNotNull())
     if lower is not None:
         scored = scored.where(F.col(score) >= lower)
@@ -486,6 +489,35 @@ def recall(approximate: DataFrame, exact: DataFrame, *, pk: str, qid: str = "qid
     return joined.groupBy(qid).agg((F.sum(F.coalesce("_hit", F.lit(0.0))) / F.count("*")).alias("recall"))
 
 
+def recall_estimate(
+    hits: DataFrame, rows: DataFrame, queries: DataFrame, k: int, *, metric: str, vec: str, pk: str, qid: str = "qid",
+    qvec: str = "qvec", one_in: int = 10, z: float = 1.96, **options,
+) -> DataFrame:
+    """(asked, sampled, recall, low, high): the mean recall of ``hits`` from the exact search of one in ``one_in`` queries.
+
+    Queries are drawn by the MD5 of their id, so the draw is the same in every run.  The interval is the mean plus or
+    minus z standard errors of a draw without replacement, from 0 to 1 where fewer than two queries were drawn.
+    ``options`` are those of the exact search (filters, ranges).
+    """
+    if one_in < 1:
+        raise ValueError("one_in must be at least 1")
+    known = queries.where(F.col(qvec).isNotNull())
+    draw = F.pmod(F.conv(F.substring(F.md5(F.col(qid).cast("string")), 1, 7), 16, 10).cast("bigint"), F.lit(one_in))
+    some = session.materialize(known.where(draw == 0), "drawn-queries")
+    total = known.select(qid).distinct().agg(F.count("*").alias("asked"))
+    if some.isEmpty():
+        return total.select("asked", F.lit(0).cast("bigint").alias("sampled"), F.lit(None).cast("double").alias("recall"),
+                            F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+    exact = session.materialize(search(rows, some, k, metric=metric, vec=vec, pk=pk, qid=qid, qvec=qvec, **options), "exact")
+    per = recall(hits.join(F.broadcast(some.select(qid).distinct()), qid, "left_semi") if some.count() * 64 <= session.BROADCAST_BYTES
+                 else hits.join(some.select(qid).distinct(), qid, "left_semi"), exact, pk=pk, qid=qid)
+    found = per.agg(F.count("*").alias("sampled"), F.avg("recall").alias("recall"), F.var_samp("recall").alias("_v"))
+    error = F.lit(z) * F.sqrt(F.col("_v") / F.col("sampled") * (1 - F.col("sampled") / F.col("asked")))
+    return total.crossJoin(found).select(  # one row each
+        "asked", "sampled", "recall", F.coalesce(F.greatest(F.lit(0.0), F.col("recall") - error), F.lit(0.0)).alias("low"),
+        F.coalesce(F.least(F.lit(1.0), F.col("recall") + error), F.lit(1.0)).alias("high"))
+
+
 def index_progress(index: IvfIndex, rows: DataFrame) -> DataFrame:
     """(total_rows, indexed_rows)."""
     total = rows.agg(F.count("*").alias("total_rows")).withColumn("_one", F.lit(1))
