@@ -5,7 +5,7 @@ space itself).  Tokens become byte ranges; where a token of either side ends wit
 ends.  An A and a B token are linked where their byte ranges overlap.
 
 1. First pass.  Documents are encoded and aligned in blocks of BLOCK_CHARS; a block keeps its B ids (packed;
-   their bytes are the text) and its distinct linked pairs with the number of its documents that hold them.
+   their bytes are the text), the lengths of its A tokens, and its distinct linked pairs with the number of its documents that hold them.
 2. Distinct pairs of the corpus are dealt by hash into shards of about SHARD keys.  Each shard gets a minimal
    perfect hash in levels: keys alone in their slot of a bit array stay, the others go to the next level;
    a key's number is the rank of its bit.  The shard's keys stand in that order beside it.
@@ -13,7 +13,7 @@ ends.  An A and a B token are linked where their byte ranges overlap.
    16 times its own size); there they become one dense vector of counts indexed by the hash, and the vectors
    of a shard are summed in a tree of fan-in FAN.
 4. Second pass.  Every block's pairs meet the summed vectors in the same way, are looked up by their hash and
-   verified against the stored keys; the documents of the block are aligned again from their B ids and read the counts.
+   verified against the stored keys; the documents of the block are aligned again from these and read the counts.
 
 Only the highest count of every A id is broadcast: one number per vocabulary entry.  No task holds more than a
 block, a group of pairs, a shard or FAN vectors of one; the driver holds nothing of the corpus.
@@ -29,6 +29,7 @@ import json
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -71,6 +72,7 @@ class Tokens:
         parsed = json.loads(spec)["model"]
         stand_in = byte_characters()
         ranks = {bytes(stand_in[c] for c in t): i for t, i in parsed["vocab"].items() if all(c in stand_in for c in t)}
+        self.ranks = ranks
         self.exact = Tokenizer.from_str(spec)
         self.exact.encode_special_tokens = True
         merged = [m if isinstance(m, str) else " ".join(m) for m in parsed["merges"]]
@@ -89,7 +91,7 @@ class Tokens:
             else:
                 shown.append(piece.replace(SPACE, " ").encode())
         self.b_bytes = self._table(shown)
-        self.a_size, self.b_size = len(self.a_bytes[0]), len(shown)
+        self.a_size, self.b_size, self.a_longest = len(self.a_bytes[0]), len(shown), int(self.a_bytes[0].max())
         # Ids as text with what stands behind them: within a side, between the sides, between groups.
         self.names = [f"{i}{mark}" for size, end in ((self.a_size, "|"), (self.b_size, ";")) for mark in ("," + end) for i in range(size)]
 
@@ -122,14 +124,14 @@ class Tokens:
             b, b_at = _only(b, b_at, good)
         return a, a_at, b, b_at
 
-    def again(self, b: np.ndarray, b_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(a, a offsets) of the texts whose pieces are ``b``."""
+    def again(self, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The A ids of the texts whose pieces are ``b``, from the lengths of their A tokens."""
         lengths, starts, joined = self.b_bytes
         own = lengths[b]
         total = np.concatenate([[0], np.cumsum(own)])
         data = joined[np.arange(total[-1]) - np.repeat(total[:-1] - starts[b], own)].tobytes()
-        cuts = total[b_at].tolist()
-        return _flat(self._byte_ids([data[x:y].decode("utf-8") for x, y in zip(cuts, cuts[1:])]))
+        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        return np.fromiter(map(self.ranks.__getitem__, map(data.__getitem__, map(slice, cuts, cuts[1:]))), np.int64, len(sizes))
 
     @staticmethod
     def _same(ids: np.ndarray, offsets: np.ndarray, table, raw: list[bytes]) -> np.ndarray:
@@ -186,9 +188,9 @@ class Alignment:
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """(pairs, how many texts hold each)."""
-        held, number = np.unique(self.pairs(), return_inverse=True)
+        number, held = pd.factorize(self.pairs())
         text = np.repeat(np.arange(len(self.n_links)), self.n_links)
-        once = np.unique(text * max(len(held), 1) + number) % max(len(held), 1)
+        once = pd.unique(text * max(len(held), 1) + number) % max(len(held), 1)
         return held, np.bincount(once, minlength=len(held)).astype(np.int64)
 
     def groups(self) -> list[str]:
@@ -329,12 +331,17 @@ def _unpack(raw) -> np.ndarray:
     return np.frombuffer(raw, "<i8")
 
 
-def _pack_ids(ids: np.ndarray, vocabulary: int) -> bytes:
-    return zstandard.compress(ids.astype("<u2" if vocabulary <= 1 << 16 else "<u4").tobytes(), 1)
+def _pack_small(values: np.ndarray, size: int) -> bytes:
+    """Numbers below ``size`` in as few bytes as that takes, compressed."""
+    return zstandard.compress(values.astype(_small(size)).tobytes(), 1)
 
 
-def _unpack_ids(raw: bytes, vocabulary: int) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(raw), "<u2" if vocabulary <= 1 << 16 else "<u4").astype(np.int64)
+def _unpack_small(raw: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), _small(size)).astype(np.int64)
+
+
+def _small(size: int) -> str:
+    return "<u1" if size <= 1 << 8 else "<u2" if size <= 1 << 16 else "<u4"
 
 
 def _block_tasks(shared):
@@ -352,9 +359,11 @@ def _block_tasks(shared):
                 keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([(task << 32) + number]), pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), keys),
-                     pa.array([_pack(aligned.n_b)], pa.binary()), pa.array([_pack_ids(b, tokens.b_size)], pa.binary()),
+                     pa.array([_pack(aligned.n_a)], pa.binary()), pa.array([_pack(aligned.n_b)], pa.binary()),
+                     pa.array([_pack_small(tokens.a_bytes[0][a], tokens.a_longest + 1)], pa.binary()),
+                     pa.array([_pack_small(b, tokens.b_size)], pa.binary()),
                      pa.array([len(pairs)], pa.int64()), pa.array([_pack(pairs)], pa.binary()), pa.array([_pack(counts)], pa.binary())],
-                    ["block", "keys", "n_b", "b", "n_pairs", "pairs", "counts"])
+                    ["block", "keys", "n_a", "n_b", "a_sizes", "b", "n_pairs", "pairs", "counts"])
                 number += 1
 
     return run
@@ -445,17 +454,17 @@ def _finish(shared, best):
     """Results of one block from its ids and its looked-up counts."""
 
     def run(block: pa.Table, counts: pa.Table) -> pa.Table:
-        own, tokens = block.select(["n_b", "b"]).to_pylist()[0], _tokens(shared)
-        b, b_at = _unpack_ids(own["b"], tokens.b_size), np.concatenate([[0], np.cumsum(_unpack(own["n_b"]))])
-        aligned = Alignment(tokens, *tokens.again(b, b_at), b, b_at)
+        own, tokens = block.select(["n_a", "n_b", "a_sizes", "b"]).to_pylist()[0], _tokens(shared)
+        a_at, b_at = (np.concatenate([[0], np.cumsum(_unpack(own[n]))]) for n in ("n_a", "n_b"))
+        b = _unpack_small(own["b"], tokens.b_size)
+        aligned = Alignment(tokens, tokens.again(b, _unpack_small(own["a_sizes"], tokens.a_longest + 1)), a_at, b, b_at)
         keys = np.concatenate([np.zeros(0, np.int64), *[_unpack(x.as_buffer()) for x in counts["pairs"]]])
         values = np.concatenate([np.zeros(0, np.int64), *[_unpack(x.as_buffer()) for x in counts["counts"]]])
-        order = np.argsort(keys)
-        keys, values = keys[order], values[order]
         pairs = aligned.pairs()
-        if not _found(pairs, keys).all():
+        at = pd.Index(keys).get_indexer(pairs)
+        if (at < 0).any():
             raise ValueError("a pair of the block was not looked up")
-        own = values[np.searchsorted(keys, pairs)]
+        own = values[at]
         is_best = own == best.value[pairs >> SHIFT]
         summed = np.concatenate([[0], np.cumsum(own)])
         return pa.table({"key": block["keys"].combine_chunks().flatten(), "n_a": aligned.n_a, "n_b": aligned.n_b, "n_groups": aligned.n_groups, "n_links": aligned.n_links,
@@ -543,12 +552,13 @@ def align(docs: DataFrame, byte_json: str, piece_model: str, pattern: str, id_co
     shared = context.broadcast({"spec": spec, "model": model, "pattern": pattern, "stable": np.packbits(stable_characters())})
     kind = docs.schema[id_col].dataType.simpleString()
     blocks = materialize(docs.select(F.col(text).alias("text"), F.col(id_col).alias("key")).mapInArrow(
-        _block_tasks(shared), f"block long, keys array<{kind}>, n_b binary, b binary, n_pairs long, pairs binary, counts binary"), "token-blocks")
+        _block_tasks(shared), f"block long, keys array<{kind}>, n_a binary, n_b binary, a_sizes binary, b binary, n_pairs long, pairs binary, "
+                              "counts binary"), "token-blocks")
     counts = LinkCounts(blocks.select("block", "n_pairs", "pairs", "counts"))
     best = np.zeros(len(json.loads(spec)["model"]["vocab"]), np.int64)
     for a, n in counts.highest().collect():  # a row per vocabulary entry
         best[a] = n
-    out = blocks.select("block", "keys", "n_b", "b").groupBy("block").cogroup(counts.looked_up().groupBy("block")).applyInArrow(
+    out = blocks.select("block", "keys", "n_a", "n_b", "a_sizes", "b").groupBy("block").cogroup(counts.looked_up().groupBy("block")).applyInArrow(
         _finish(shared, context.broadcast(best)),
         f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
     out = out.withColumnRenamed("key", id_col)
