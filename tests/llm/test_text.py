@@ -142,8 +142,9 @@ def leak_case():
     return base + [(500, "x " + items[0][1].upper() + " y"), (501, items[0][1][:40])], items
 
 
-@pytest.mark.parametrize("shard,phrase_bytes", [(1 << 20, 1 << 25), (64, 300)])
-def test_leaks(spark, monkeypatch, shard, phrase_bytes):
+@pytest.mark.parametrize("shard,phrase_bytes,vocabulary", [(1 << 20, 1 << 25, 1 << 24), (64, 300, 1 << 24), (64, 100, 30), (1 << 20, 100, 1)])
+def test_leaks(spark, monkeypatch, shard, phrase_bytes, vocabulary):
+    monkeypatch.setattr(fm_index, "VOCABULARY", vocabulary)
     monkeypatch.setattr(fm_index, "SHARD_WORDS", shard)
     monkeypatch.setattr(fm_index, "PHRASE_BYTES", phrase_bytes)
     rows, items = leak_case()
@@ -154,6 +155,18 @@ def test_leaks(spark, monkeypatch, shard, phrase_bytes):
         assert sum(s["end"] - s["start"] for s in r["spans"]) == r["n_hit"]
 
 
+@pytest.mark.parametrize("vocabulary", [1 << 24, 1])
+def test_leaks_of_items_with_text_ids(spark, monkeypatch, vocabulary):
+    monkeypatch.setattr(fm_index, "VOCABULARY", vocabulary)
+    monkeypatch.setattr(fm_index, "PHRASE_BYTES", 200)
+    rows, items = leak_case()
+    items = [(None if i is None else f"item {i}", t) for i, t in items]
+    found = fm_index.find_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert sorted(tuple(r)[:5] for r in found) == sorted(leaks(rows, items))
+    assert all(r["items"] == sorted(r["items"]) and len(r["items"]) == r["n_items"] for r in found)
+    assert any("item 12" in r["items"] for r in found)
+
+
 def test_leaks_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert fm_index.find_leaks(frame(spark, []), none).count() == 0

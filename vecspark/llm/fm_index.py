@@ -9,12 +9,13 @@ walking to a sampled position, and the hit words are merged into removal spans.
 
 Documents are never shuffled and never leave their task.  The phrases travel as broadcasts of at most
 PHRASE_BYTES of item text each; more items make more broadcasts, searched one after the other in the same
-index, and the vocabulary is refused beyond VOCABULARY words.  Work on a shard grows with its words,
+index.  Items whose vocabulary goes beyond VOCABULARY words are searched in several passes over the documents,
+with a vocabulary of their own each, and the spans of a document are merged; the driver holds one pass's words.  Work on a shard grows with its words,
 however often a phrase occurs in it.
 
 Defined cases: null or empty texts have no words and are clean; items without words match nothing; items
 that repeat an id are one item with the windows of all its rows, and a null item_id matches like any other but is
-not listed; repeated documents are judged each; empty tables give empty or clean results.  Words are
+not listed; item ids that are no whole numbers are listed as strings; repeated documents are judged each; empty tables give empty or clean results.  Words are
 compared by 64-bit hashes.
 """
 
@@ -26,10 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecspark.llm.exact_dedup import drop_rows, row_key
 from vecspark.llm.registry import free_name
 from vecspark.llm.words import PLAIN_BYTES, flat_text, groups_of, word_hashes, word_spans
+from vecspark.session import materialize
 
 WINDOW = 10
 SAMPLE = 16
@@ -253,7 +256,7 @@ def kept_stretches(numbers: np.ndarray, first: np.ndarray, shortest: int):
     return out, text[at], at - first[text[at]]
 
 
-SCHEMA = ("n_words long, n_hit long, n_items long, items_sha256 string, items array<long>, "
+SCHEMA = ("n_words long, n_hit long, n_items long, items_sha256 string, items array<{}>, "
           "spans array<struct<start:long,end:long>>")
 
 
@@ -265,7 +268,9 @@ def _spans(words: np.ndarray) -> list[dict[str, int]]:
             for a, b in zip(words[np.append(0, cut + 1)], words[np.append(cut, len(words) - 1)])]
 
 
-def _search_tasks(vocabulary, slices, ids, shortest: int):
+def _search_tasks(vocabulary, slices, ids, shortest: int, numeric: bool):
+    item_kind = pa.int64() if numeric else pa.string()
+
     def run(batches):
         known, symbols = vocabulary.value, len(vocabulary.value) + FIRST_WORD
         shard, keys, n_words = Shard(), [], []
@@ -283,7 +288,7 @@ def _search_tasks(vocabulary, slices, ids, shortest: int):
                 digest = hashlib.sha256(",".join(map(str, items)).encode()).hexdigest()
                 rows.append((len(hit), len(items), digest, items, _spans(hit)))
             cols = [pa.concat_arrays(keys), pa.array(np.concatenate(n_words), pa.int64())]
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()),
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(item_kind),
                      pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
             cols += [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             return pa.RecordBatch.from_arrays(cols, ["key", "n_words", "n_hit", "n_items", "items_sha256", "items", "spans"])
@@ -311,27 +316,70 @@ def _search_tasks(vocabulary, slices, ids, shortest: int):
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text: str = "text",
                item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items_sha256, items, spans (word ranges to remove)."""
-    spark = docs.sparkSession
-    items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    numeric = isinstance(items.schema[item_id].dataType, T.IntegralType)
+    own_id = F.col(item_id).cast("long" if numeric else "string")
+    passes = _passes(items.select(own_id.alias("i"), F.col(item_text).alias("t")))
+    held, more = next(passes), next(passes, None)
+    if more is None:
+        return _search(docs.select(F.col(id_col), F.col(text)), held, window, numeric)
+    numbered = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"), F.col(text).alias("t")), "texts")
+    parts = []
+    while held is not None:
+        parts.append(materialize(_search(numbered.select("_row", "t"), held, window, numeric), "leaks"))
+        held, more = more, next(passes, None)
+    return _merged(numbered.select("_row", F.col("id").alias(id_col)), parts, id_col, numeric)
+
+
+def _passes(items: DataFrame):
+    """Lists of (ids, words of every item), each list with at most VOCABULARY different words unless it is one slice."""
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = -(-size // PHRASE_BYTES) or 1
-    held = []
+    held, known = [], np.zeros(0, np.uint64)
     for p in range(parts):  # at most about PHRASE_BYTES at a time
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p).toArrow()
-        held.append((rows["i"].to_pylist(), item_words(rows["t"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))))
+        words = item_words(rows["t"].combine_chunks() if rows.num_rows else pa.array([], pa.string()))
+        both = np.unique(np.concatenate([known, *words]))
+        if held and len(both) > VOCABULARY:
+            yield held
+            held, both = [], np.unique(np.concatenate(words)) if words else known[:0]
+        held.append((rows["i"].to_pylist(), words))
+        known = both
+    yield held
+
+
+def _search(docs: DataFrame, held: list, window: int, numeric: bool) -> DataFrame:
+    """One pass: the rows of SCHEMA for every (key, text) of ``docs``."""
     own = [h for _, words in held for h in words]
     vocabulary = np.unique(np.concatenate(own)) if own else np.zeros(0, np.uint64)
-    if len(vocabulary) > VOCABULARY:
-        raise ValueError(f"{len(vocabulary)} different words in the items; at most {VOCABULARY} can be sent to the tasks")
-    sizes = [len(w) for w in own if len(w)]
-    shortest = min([window, *sizes])
-    share = spark.sparkContext.broadcast
+    shortest = min([window, *[len(w) for w in own if len(w)]])
+    share = docs.sparkSession.sparkContext.broadcast
     slices = [share(phrases_of(words, vocabulary, window)) for _, words in held]
-    ids = [i for i, _ in held]
-    kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(F.col(id_col), F.col(text)).mapInArrow(
-        _search_tasks(share(vocabulary), slices, ids, shortest), f"`{id_col}` {kind}, {SCHEMA}")
-    return found
+    key, kind = docs.columns[0], docs.schema[0].dataType.simpleString()
+    return docs.mapInArrow(_search_tasks(share(vocabulary), slices, [i for i, _ in held], shortest, numeric),
+                           f"`{key}` {kind}, {SCHEMA.format('long' if numeric else 'string')}")
+
+
+def _merged(ids: DataFrame, parts: list[DataFrame], id_col: str, numeric: bool) -> DataFrame:
+    """One row per document from the rows of all passes: spans that touch are one, items are listed once."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+
+    def grow(done, span):
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        return F.when(last["end"] >= span["start"], F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(span)))
+
+    hit = rows.filter("n_hit > 0").groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("i"))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    hit = hit.select("_row", F.aggregate(F.array_sort("s"), none, grow).alias("s"),
+                     F.array_sort(F.array_distinct(F.transform("i", lambda i: i.cast("string")))).alias("i"))
+    spans, names = F.coalesce("s", none), F.coalesce("i", F.array().cast("array<string>"))
+    n_hit = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    counted = ids.join(parts[0].select("_row", "n_words"), "_row").join(hit, "_row", "left")
+    return counted.select(id_col, "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"),
+                          F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
+                          names.cast(f"array<{'long' if numeric else 'string'}>").alias("items"), spans.alias("spans"))
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
