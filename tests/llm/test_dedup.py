@@ -95,6 +95,18 @@ def test_repeated_lines(spark, batches):
     assert as_set(got.select("doc_id", "n_lines", "n_dropped", "kept_text").collect()) == as_set(cleaned(rows))
 
 
+def test_repeated_lines_of_rows_with_text_ids_and_without_ids(spark):
+    rows = [(None if i % 3 == 0 else f"d{i}", t) for i, t in documents()]
+    rows += rows[:9]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = line_runs.drop_repeated_lines(df, batches=3).select("doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert as_set(got) == as_set(cleaned(rows))
+    assert sum(r["n_dropped"] for r in got if r["doc_id"] is None) > 0
+    alone = [(None, f"{line} {i}") for i in range(6) for line in ["This one line is longer than forty characters, for all of them.\n"]]
+    got = line_runs.drop_repeated_lines(spark.createDataFrame(alone, "doc_id string, text string"))
+    assert got.filter("n_dropped > 0").count() == 0  # every holder has a null id
+
+
 def test_repeated_lines_keep_clashing_columns(spark):
     df = frame(spark, extra=True)
     got = line_runs.drop_repeated_lines(df)
