@@ -101,7 +101,7 @@ h AS (SELECT page_id, {draw_sql("page_id::varchar || 'f'", 365 * DAY)} + {EPOCH_
         rtrim(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') AS path FROM raw),
 p AS (SELECT *, host || path AS page, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM h),
 e AS ({_events_sql()}),
-k AS (SELECT DISTINCT page_id, t, unnest(list_concat([page], [host], list_transform(range(2, least(len(string_split(host, '.')), 8) + 1),
+k AS (SELECT DISTINCT page_id, t, unnest(list_concat([page], [host], list_transform(range(2, len(string_split(host, '.')) + 1),
         lambda n: array_to_string(string_split(host, '.')[-n:], '.')))) AS key FROM p WHERE host <> ''),
 m AS (SELECT page_id, key, action, list, length(key) AS n FROM k JOIN e USING (key) WHERE t >= since AND (until IS NULL OR t < until)),
 b AS (SELECT page_id, count(*) AS n_active, max({{'n': n, 'block': action = 'block', 'key': key, 'list': list}}) AS best FROM m GROUP BY page_id)

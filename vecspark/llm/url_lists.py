@@ -9,9 +9,10 @@ Every capture (id, url, time) is judged by the entries that are active at its fe
 URL, its host or a parent domain.  The longest matching key decides (a URL over its host, a host over its
 domain); where lists disagree about that key, block wins.
 
-As-of join.  Captures probe with their keys.  Intervals are cut into epochs of EPOCH_DAYS, so the join is
-an equi-join on (key, epoch, salt) with an exact time test, and SALTS copies of each cut interval spread
-the captures of a host that holds a third of all rows.  Probes and intervals carry no page content.
+As-of join.  Captures probe with their keys.  Intervals are clipped to the time between the first and the
+last capture and cut into epochs of EPOCH_DAYS, so the join is an equi-join on (key, epoch, salt) with an
+exact time test.  A key that has more than 1 / HEAVY of all probes in an epoch is hot: its probes are spread
+over SALTS tasks, which get a copy of its cut intervals each.  Probes and intervals carry no page content.
 Intervals are formed in windows over one day of a key; a second window, over one row per key and day,
 links the days, so a key with very many events fills no single task.
 
@@ -29,6 +30,7 @@ from vecspark.session import materialize
 
 EPOCH_DAYS = 30
 SALTS = 16
+HEAVY = 1024
 
 
 def host_of(url: Column) -> Column:
@@ -79,21 +81,34 @@ def _epoch(t: Column) -> Column:
     return F.floor(F.unix_seconds(t) / (EPOCH_DAYS * 86400)).cast("long")
 
 
+def spread(probes: DataFrame, cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: any of SALTS for the probes of a hot (key, epoch), each of them for its intervals, else 0."""
+    total = probes.count()
+    hot = probes.groupBy("key", "epoch").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HEAVY > total)
+    hot = F.broadcast(materialize(hot.select("key", "epoch", F.lit(True).alias("hot")), "hot-keys"))  # fewer than HEAVY rows
+    any_salt, each = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    probes = probes.join(hot, ["key", "epoch"], "left").withColumn("salt", F.when(F.col("hot"), any_salt).otherwise(F.lit(0)))
+    cut = cut.join(hot, ["key", "epoch"], "left").withColumn(
+        "salt", F.explode(F.when(F.col("hot"), each).otherwise(F.array(F.lit(0)))))
+    return probes.drop("hot"), cut.drop("hot")
+
+
 def judge(captures: DataFrame, events: DataFrame, id_col: str = "page_id", url: str = "url", at: str = "fetched_at") -> DataFrame:
     """Every capture's id with verdict ('block' or 'allow'), deciding_key, deciding_list and n_active, the
     number of active entries that match it.  deciding_list is the last by name of the lists that decide."""
     seen = captures.select(F.col(id_col).alias("id"), F.col(at).alias("t"), host_of(F.col(url)).alias("host"),
                            normalised_url(F.col(url)).alias("page"), F.monotonically_increasing_id().alias("row"))
     seen = materialize(seen, "captures")
-    edge = seen.agg(F.max("t").alias("last")).first()["last"]
+    first, edge = seen.agg(F.min("t"), F.max("t")).first()
     own = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.array("page"))
     probes = seen.filter(F.col("t").isNotNull()).select(
-        "row", "t", _epoch(F.col("t")).alias("epoch"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"),
+        "row", "t", _epoch(F.col("t")).alias("epoch"),
         F.explode(F.array_distinct(F.concat(own, parent_domains(F.col("host"))))).alias("key"))
     last = F.least(F.coalesce("until", F.lit(edge)), F.lit(edge))
-    cut = intervals(events).filter(F.col("since") <= F.lit(edge)).select(
-        "*", F.explode(F.sequence(_epoch(F.col("since")), _epoch(last))).alias("epoch"))
-    cut = cut.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    met = (F.col("since") <= F.lit(edge)) & (F.col("until").isNull() | (F.col("until") > F.lit(first)))
+    cut = intervals(events).filter(met).select(
+        "*", F.explode(F.sequence(_epoch(F.greatest("since", F.lit(first))), _epoch(last))).alias("epoch"))
+    probes, cut = spread(probes, cut)
     active = (F.col("t") >= F.col("since")) & (F.col("until").isNull() | (F.col("t") < F.col("until")))
     hits = probes.join(cut, ["key", "epoch", "salt"]).filter(active)
     best = F.max(F.struct(F.length("key").alias("n"), (F.col("action") == "block").alias("block"), "key", "list"))
