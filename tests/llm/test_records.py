@@ -2,6 +2,7 @@ import base64
 import hashlib
 import io
 import random
+import re
 import struct
 from collections import Counter
 from datetime import datetime, timedelta, timezone
@@ -110,6 +111,20 @@ def test_common_forms_are_replaced(spark):
     assert got["text"] == other[0][1] and got["n_values"] == 0
 
 
+def test_international_numbers_stay_linked_across_notations(spark):
+    forms = [["+44 20 7946 0958", "+442079460958", "+44-20-7946-0958", "+44 (0)20 7946 0958", "+44.2079.460.958"],
+             ["+353 12 34 5678", "+35312345678"], ["+49 30 1234567", "+49301234567"], ["+7 495 123 45 67", "+74951234567"]]
+    rows = [(i, v) for i, own in enumerate(forms) for v in own]
+    made = pseudonyms.pseudonymise(frame(spark, rows), KEY).collect()
+    for i, own in enumerate(forms):
+        new = [r["text"] for r in made if r["doc_id"] == i]
+        assert [re.sub(r"\d", "0", v) for v in new] == [re.sub(r"\d", "0", v) for v in own]
+        flat = {re.sub(r"\D", "", v.replace("(0)", "")) for v in new}
+        assert len(flat) == 1 and flat != {re.sub(r"\D", "", own[0])}, new
+        code = {0: "44", 1: "353", 2: "49", 3: "7"}[i]
+        assert flat.pop() == code + permuted_text(re.sub(r"\D", "", own[0])[len(code):], "intl")
+
+
 def test_wide_letters_are_permuted_without_clashes(spark):
     df = spark.range(32 * 32).select(F.col("id"), F.concat(*[F.substring(F.lit("абвгдежзийклмнопрстуфхцчшщъыьэюя"), (x + 1).cast("int"), F.lit(1))
                                                              for x in (F.floor(F.col("id") / 32), F.col("id") % 32)]).alias("s"))
@@ -177,6 +192,26 @@ def test_lists_as_of_the_fetch_time(spark):
     assert url_lists.judge(c.filter("1 = 0"), e).count() == 0
 
 
+def test_hot_hosts_and_old_entries(spark, monkeypatch):
+    start = datetime(2024, 1, 1)
+    captures = [(i, "http://hot.example/" if i % 3 else f"http://h{i}.example/x", start + timedelta(hours=i)) for i in range(240)]
+    events = [("L", "hot.example", "block", datetime(1990, 1, 1)), ("L", "hot.example", "remove", start + timedelta(days=3)),
+              ("M", "hot.example", "allow", datetime(1980, 1, 1)), ("M", "hot.example", "remove", datetime(1990, 1, 1)),
+              ("M", "example", "block", datetime(1900, 1, 1)), ("M", "h3.example", "block", datetime(2100, 1, 1))]
+    c = spark.createDataFrame(captures, "page_id long, url string, fetched_at timestamp")
+    e = spark.createDataFrame(events, "list string, key string, action string, at timestamp")
+    cuts, spread = [], url_lists.spread
+
+    def watched(probes, cut):
+        cuts.append(cut.count())
+        return spread(probes, cut)
+
+    monkeypatch.setattr(url_lists, "spread", watched)
+    monkeypatch.setattr(url_lists, "HEAVY", 4)
+    assert Counter(tuple(r) for r in url_lists.judge(c, e).collect()) == Counter(judged(captures, events))
+    assert cuts == [2]  # two of the entries meet the captures, both in one epoch
+
+
 def test_parents_of_any_depth_decide(spark):
     day = datetime(2024, 1, 1)
     deep = ".".join(f"l{i}" for i in range(125)) + ".example.com"

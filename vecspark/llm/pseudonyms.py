@@ -59,6 +59,8 @@ PATTERNS = {
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)",
     "secret": r"(?<=[=: \"'])(?<=(?:token|key|secret|password) ?[=:] ?[\"']?)(?=[A-Za-z_-]*+\d)[0-9A-Za-z_-]{8,}+|(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
 }
+# Fixed value: country calling codes of one and two digits; all others have three.
+CALLING_CODE = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _HINT = r"[@\d]|AKIA"
 
@@ -261,10 +263,12 @@ def _phone(v: Column, key: str) -> Column:
 
 
 def _intl(v: Column, key: str) -> Column:
-    head = F.regexp_extract(v, r"^\+\d{1,3}(?:[ .-]?\(0\)|(?=[ .-]))", 0)
-    head = F.when(head == "", F.substring(v, 1, 3)).otherwise(head)
-    rest = F.substring(v, F.length(head) + 1, F.length(v))
-    return F.when(F.length(_digits(v)).between(8, 15), F.concat(head, permute_text(rest, key, "intl")))
+    marked = F.replace(v, F.lit("(0)"), F.lit("(o)"))  # the trunk zero stays where it is
+    bare = _digits(marked)
+    code = F.regexp_extract(bare, CALLING_CODE, 0)
+    body = F.substring(bare, F.length(code) + 1, F.length(bare))
+    moved = F.replace(_refill(marked, F.concat(code, permute_text(body, key, "intl"))), F.lit("(o)"), F.lit("(0)"))
+    return F.when(F.length(_digits(v)).between(8, 15), moved)
 
 
 def _card(v: Column, key: str) -> Column:
