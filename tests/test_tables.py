@@ -254,3 +254,93 @@ def test_numpy_files(spark, folder):
     np.save(f"{folder}/flat.npy", x[0])
     with pytest.raises(ValueError):
         files.load_npy(spark, f"{folder}/flat.npy")
+
+
+def _json_lines(spark, folder, *lines):
+    path = str(folder / "lines")
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(2).write.text(path)
+    return path
+
+
+def test_inferred_kinds_and_mixed_rows(spark, tmp_path):
+    path = _json_lines(
+        spark, tmp_path,
+        '{"id": 1, "d": [1, 2, 3], "w": [1, 2], "h": "AAAAPAAA", "s": [{"i": 3, "v": 1}], "n": 1, "x": 1, "t": null, "o": {"a": 1}, "e": [1]}',
+        '{"id": 2, "d": [1e-3, 2.5, 3], "w": [-1, 0], "h": "ADwAAAA8", "s": [], "n": 2.5, "x": "one", "t": null, "o": {"a": 2.5}, "e": []}',
+        "", '{"id": 3, "d": [0, 0, 0], "w": [5, 6], "h": "AAAAAAAA", "s": [{"i": 1, "v": 0.5}, {"i": 9, "v": 2e-9}], "n": null}')
+    found = ingest.infer_schema(spark, path, "id", vectors={"w": "bits", "h": "bf16"})
+    got = {f.name: (f.metadata.get("encoding"), f.metadata.get("dim")) for f in found.fields if f.metadata.get("encoding")}
+    assert got == {"d": ("dense", 3), "w": ("bits", 128), "h": ("bf16", 3), "s": ("sparse", None)}
+    plain = {f.name: f.dataType.simpleString() for f in found.fields if f.name not in got}
+    assert plain == {"id": "bigint", "n": "double", "t": "string", "o": "struct<a:double>", "e": "array<bigint>", "$meta": "variant"}
+    rows = ingest.rows_from_json(spark.read.text(path).filter("value <> ''"), found).orderBy("id").collect()
+    assert [bytes(r["h"]) for r in rows] == [b"\0\0\0<\0\0", b"\0<\0\0\0<", b"\0" * 6]
+    assert [(e["i"], e["v"]) for e in rows[2]["s"]] == [(1, 0.5), (9, pytest.approx(2e-9))] and rows[1]["w"] == [-1, 0]
+
+
+@pytest.mark.parametrize("lines,options,message", [
+    (['{"id": 1, "d": [1, 2]}', '{"id": 2, "d": [1, 2, 3]}'], {"vectors": {"d": "dense"}}, "no dense vectors"),
+    (['{"id": 1, "d": "???"}'], {"vectors": {"d": "fp16"}}, "no fp16 vectors"),
+    (['{"id": 1, "d": [0.5, 1]}', '{"id": "a", "d": [1, 2]}'], {}, "no common type"),
+    (['{"d": [0.5, 1]}'], {}, "no line has the key id"),
+    (['{"id": 1, "d": [0.5, 1]}'], {"max_fields": 1}, "more than 1"),
+    (['{"id": 1, "d": [0.5, 1]}'], {"vectors": {"d": "odd"}}, "unknown vector kind"),
+])
+def test_inference_refusals(spark, tmp_path, lines, options, message):
+    with pytest.raises(ValueError, match=message):
+        ingest.infer_schema(spark, _json_lines(spark, tmp_path, *lines), "id", **options)
+
+
+def test_inference_reads_the_lines_once(spark, tmp_path):
+    path = _json_lines(spark, tmp_path, *['{"id": %d, "d": [0.5, 1]}' % i for i in range(50)])
+    spark.sparkContext.setJobGroup("inference", "one read")
+    try:
+        ingest.infer_schema(spark, path, "id")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("inference")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    full = [s for s in stages if (i := spark.sparkContext.statusTracker().getStageInfo(s)) and i.numCompletedTasks]
+    assert len(full) <= 2  # the scan with partial merging, and the final merge
+
+
+def _scored_case(spark):
+    rows = [(i, [float(i % 7), float(i * i % 11)]) for i in range(200)] + [(900, [1e30, 0.0]), (901, None)]
+    queries = [(1, [1.0, 2.0]), (2, [0.0, 0.0]), (3, [-3.0, 5.0])]
+    return (spark.createDataFrame(rows, "id long, v array<float>").repartition(4),
+            spark.createDataFrame(queries, "qid long, qvec array<float>"))
+
+
+@pytest.mark.parametrize("metric", ["L2", "IP"])
+@pytest.mark.parametrize("first,last", [(0, 0), (0, 3), (4, 6), (19, 25), (30, 40), (0, 100)])
+def test_pages_of_a_search_are_those_of_the_full_list(spark, metric, first, last):
+    rows, queries = _scored_case(spark)
+    full = export.search_export(rows, queries, metric=metric, vec="v", pk="id", size=10)
+    page = export.search_export(rows, queries, metric=metric, vec="v", pk="id", size=10, batches=(first, last))
+    names = ["qid", "rank", "id", "score", "batch_no"]
+    want = sorted(tuple(r) for r in full.select(*names).collect() if first <= r["batch_no"] <= last)
+    assert sorted(tuple(r) for r in page.select(*names).collect()) == want
+
+
+def test_pages_score_every_pair_once_and_shuffle_their_part_only(spark, monkeypatch):
+    rows, queries = _scored_case(spark)
+    seen, ranked, rank = spark.sparkContext.accumulator(0), [], export.global_rank
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    def watched(df, *args, **options):
+        ranked.append(df.count())
+        return rank(df, *args, **options)
+
+    monkeypatch.setattr(export, "global_rank", watched)
+    page = export.search_export(rows, queries, metric="L2", vec="v", pk="id", size=10, batches=(0, 1), where=counted("id"))
+    assert page.count() == 60 and seen.value == 202
+    assert ranked[0] < 120  # a fifth of the pairs, ties of the last score included; the far row costs nothing
+    monkeypatch.setattr(export, "PARTS", 2)
+    coarse = export.search_export(rows, queries, metric="L2", vec="v", pk="id", size=10, batches=(0, 1))
+    assert sorted(map(tuple, coarse.collect())) == sorted(map(tuple, page.collect()))
+    with pytest.raises(ValueError, match="batch numbers"):
+        export.search_export(rows, queries, metric="L2", vec="v", pk="id", batches=(3, 2))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,23 +192,72 @@ def rows_from_json(lines: DataFrame, schema: T.StructType, value: str = "value")
     return fill_defaults(checked.select(*out), schema)
 
 
-def infer_schema(spark: SparkSession, path: str, pk: str, *, partition_key: str | None = None) -> T.StructType:
-    """Typed schema of JSON lines: fixed-length number arrays become vectors with their dimension.
+def infer_schema(
+    spark: SparkSession, path: str, pk: str, *, partition_key: str | None = None, vectors: dict[str, str] | None = None,
+    max_fields: int = 1024,
+) -> T.StructType:
+    """Typed schema of JSON lines, from one read of the whole dataset.
 
-    Types and lengths come from the whole dataset (two aggregating passes, no sample).
+    Every line is parsed once; types and lengths are merged per key before anything is shuffled.  Number arrays of one
+    length, at least 2, with a fraction somewhere are dense vectors, arrays of {i, v} objects are sparse ones.
+    ``vectors`` names the kind of fields whose JSON does not tell it: packed bits (64 to a number), half precision
+    (Base64 text) or dense vectors of whole numbers.  Whole numbers mixed with fractions are doubles.  Keys whose values have
+    no common type are not declared and make the table dynamic; a key that is always null is text.
     """
-    rows = spark.read.json(path)
-    numeric = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.ArrayType)
-               and isinstance(f.dataType.elementType, T.DoubleType)]
-    sizes = {}
-    if numeric:
-        found = rows.agg(*[F.struct(F.min(F.size(c)), F.max(F.size(c))).alias(c) for c in numeric]).first()
-        sizes = {c: found[c][0] for c in numeric if found[c][0] == found[c][1] and found[c][0] and found[c][0] >= 2}
-    fields = []
-    for f in rows.schema.fields:
-        if f.name in sizes:
-            fields.append(S.vector(f.name, "dense", sizes[f.name]))
+    kinds = vectors or {}
+    value, halves = F.col("value"), [n for n, kind in kinds.items() if kind in ("fp16", "bf16")]
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    entries = lines.select(F.explode(F.variant_get(F.parse_json("value"), "$", "map<string,variant>")).alias("key", "value"))
+    items, text = F.try_variant_get(value, "$", "array<variant>"), F.try_variant_get(value, "$", "string")
+    size = F.when(F.col("key").isin(halves), F.length(F.try_to_binary(text, F.lit("base64")))).when(items.isNotNull(), F.size(items))
+    filled = value.isNotNull() & ~F.is_variant_null(value)
+    found = entries.groupBy("key").agg(
+        F.schema_of_variant_agg(value).alias("type"), F.min(size).alias("least"), F.max(size).alias("most"),
+        F.count_if(filled & size.isNull()).alias("unsized"))
+    stats = found.orderBy("key").limit(max_fields + 1).collect()
+    if len(stats) > max_fields:
+        raise ValueError(f"more than {max_fields} different keys")
+    absent = sorted({pk, *kinds, *([partition_key] if partition_key else [])} - {r["key"] for r in stats})
+    if absent:
+        raise ValueError(f"no line has the key {absent[0]}")
+    fields, dynamic = [], False
+    for r in stats:
+        name, made = r["key"], _inferred(r, kinds.get(r["key"]))
+        if made is None:
+            if name in (pk, partition_key):
+                raise ValueError(f"the values of {name} have no common type")
+            dynamic = True
+        elif isinstance(made, T.StructField):
+            fields.append(made)
         else:
-            flags = {"pk": True if f.name == pk else None, "partition_key": True if f.name == partition_key else None}
-            fields.append(S.field(f.name, f.dataType, nullable=f.name != pk, **flags))
-    return S.table_schema(fields)
+            flags = {"pk": True if name == pk else None, "partition_key": True if name == partition_key else None}
+            fields.append(S.field(name, made, nullable=name != pk, **flags))
+    return S.table_schema(fields, dynamic)
+
+
+_SPARSE_ENTRY = re.compile(r"ARRAY<OBJECT<i: BIGINT, v: (?:BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\))>>")
+_FRACTION = re.compile(r"DECIMAL\(\d+, ?\d+\)|FLOAT")
+
+
+def _inferred(stats: Row, kind: str | None) -> T.StructField | T.DataType | None:
+    """The vector field or plain type of a key; None where its values have no common type."""
+    name, found = stats["key"], _FRACTION.sub("DOUBLE", stats["type"])
+    even = stats["least"] == stats["most"] and not stats["unsized"]
+    wanted = {"dense": ("ARRAY<DOUBLE>", "ARRAY<BIGINT>"), "bits": ("ARRAY<BIGINT>",), "fp16": ("STRING",), "bf16": ("STRING",)}
+    sparse = _SPARSE_ENTRY.fullmatch(stats["type"]) is not None
+    if kind is not None:
+        S.vector(name, kind, 8 if kind != "sparse" else None)  # refuses unknown kinds
+        if not (sparse if kind == "sparse" else even and found in wanted[kind]):
+            raise ValueError(f"{name} holds no {kind} vectors of one length")
+    elif found == "ARRAY<DOUBLE>" and even and stats["least"] >= 2:
+        kind = "dense"
+    elif sparse:
+        kind = "sparse"
+    if kind == "sparse":
+        return S.vector(name, kind)
+    if kind is not None:
+        entries = {"dense": stats["least"], "bits": 64 * stats["least"]}.get(kind, stats["least"] // 2)
+        return S.vector(name, kind, entries)
+    if found == "VOID":
+        return T.StringType()
+    return None if "VARIANT" in found or "VOID" in found else T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecspark import schema as S
+from vecspark.functions import packing
 from vecspark.functions import predicates as p
 from vecspark.operators import export, scans
 from vecspark.operators.distances import calc_distance, stored_vectors
@@ -160,6 +161,26 @@ def ingest_infer_schema(spark, sf):
     return spark.createDataFrame(rows, "field string, type string, dim int")
 
 
+@query("ingest_infer_schema_kinds", """WITH k AS (SELECT * FROM (VALUES ('bits', 'bits', 64), ('embedding', 'dense', 64),
+ ('half', 'fp16', 64), ('label', 'bigint', 0), ('mixed', 'double', 0), ('sparse', 'sparse', 0), ('vec_id', 'bigint', 0)) v(field, kind, dim))
+SELECT field, kind, dim, (SELECT count(*) FROM embeddings)::bigint AS rows FROM k WHERE EXISTS (SELECT 1 FROM embeddings)""")
+def ingest_infer_schema_kinds(spark, sf):
+    """All vector kinds as JSON lines: the schema is inferred and every line is read back with it."""
+    path = scratch_path(spark, "json")
+    sparse = F.filter(F.transform("embedding", lambda x, i: F.struct(i.cast("bigint").alias("i"), x.alias("v"))), lambda e: e["v"] > 0)
+    mixed = F.when(F.col("vec_id") % 2 == 0, "7").otherwise("7.5")
+    made = embeddings(spark, sf).select("vec_id", "label", "embedding", packing.pack_bits("embedding", 64).alias("bits"),
+                                        packing.pack_fp16("embedding").alias("half"), sparse.alias("sparse"), mixed.alias("mixed"))
+    line = F.regexp_replace(F.to_json(F.struct(*made.columns)), '"mixed":"([0-9.]+)"', '"mixed":$1')
+    made.select(line.alias("value")).write.text(path)
+    found = ingest.infer_schema(spark, path, "vec_id", vectors={"bits": "bits", "half": "fp16"})
+    rows = ingest.rows_from_json(spark.read.text(path), found)
+    broken = F.count_if(F.size(F.filter(F.array(*[bad for _, bad in ingest.rules(found)]), lambda b: b)) > 0)
+    kinds = [F.struct(F.lit(f.name).alias("field"), F.lit(f.metadata.get("encoding", f.dataType.simpleString())).alias("kind"),
+                      F.lit(f.metadata.get("dim", 0)).alias("dim")) for f in found.fields]
+    return rows.agg((F.count("*") - broken).alias("rows")).select(F.inline(F.array(*kinds)), "rows")
+
+
 # ---------------------------------------------------------------- bulk files
 
 def part_schema():
@@ -531,3 +552,13 @@ def search_export(spark, sf):
     return hits.select("qid", "rank", "vec_id", F.round("score", 4).alias("score"), "batch_no")
 
 
+@query("search_export_pages", f"""WITH {CENTROIDS_SQL},
+s AS (SELECT q.qid, e.vec_id, {L2_SQL} AS score FROM q, embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score, vec_id) AS rank FROM s)
+SELECT qid, rank, vec_id, round(score, 4) AS score, ((rank - 1) // 10)::bigint AS batch_no FROM r WHERE (rank - 1) // 10 BETWEEN 2 AND 4""")
+def search_export_pages(spark, sf):
+    """The third to fifth page of ten; rows far from their ranks are never shuffled."""
+    hits = export.search_export(embeddings(spark, sf), centroids(spark, sf), metric="L2", vec="embedding", pk="vec_id", size=10, batches=(2, 4))
+    return hits.select("qid", "rank", "vec_id", F.round("score", 4).alias("score"), "batch_no")
+
+
