@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from vecspark.functions import packing
 from vecspark.operators.search import search
 from vecspark.operators.sparse import search_blocks, write_blocks
 from vecspark.plans import blocks, knn
@@ -75,3 +77,29 @@ def test_an_empty_index(spark, folder):
     write_blocks(spark.createDataFrame([], f"id long, vec {SPARSE}"), f"{folder}/i", pk="id", vec="vec")
     asked = spark.createDataFrame([(1, [(1, 1.0)])], f"qid int, qvec {SPARSE}")
     assert search_blocks(spark.read.schema("rows array<struct<id:long>>, " + blocks.ENTRY_TYPES).parquet(f"{folder}/i"), asked, 3, pk="id").count() == 0
+
+
+def test_blocks_and_their_files_are_bounded(spark, folder, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_ENTRIES", 40)
+    rows = [(i, [(d, 1.0 + (i * d) % 7) for d in range(100 if i % 50 == 0 else 9)]) for i in range(600)] + [(1000, []), (1001, None)]
+    rows = spark.createDataFrame(rows, f"id long, vec {SPARSE}").coalesce(1)
+    asked = spark.createDataFrame([(1, [(3, 1.0)]), (2, [(5, 2.0), (8, 1.0)]), (3, [(99, 1.0)])], f"qid int, qvec {SPARSE}")
+    write_blocks(rows, f"{folder}/i", pk="id", vec="vec")
+    index = spark.read.parquet(f"{folder}/i")
+    sizes = index.selectExpr("size(at) AS n", "size(rows) AS r", "input_file_name() AS f").collect()
+    assert all(x.n <= 40 or x.r == 1 for x in sizes) and sum(x.n for x in sizes) == 12 * 100 + 588 * 9
+    held = [sum(x.f == f for x in sizes) for f in {x.f for x in sizes}]
+    assert len(held) > 1 and max(held) <= blocks.FILE_BLOCKS
+    assert index.select("block").distinct().count() == len(sizes)
+    assert lists(search_blocks(index, asked, 10, pk="id")) == lists(search(rows, asked, 10, metric="IP", vec="vec", pk="id"))
+
+
+def test_terms_and_entries_are_taken_in_groups(monkeypatch):
+    texts = pa.array(["a b a", None, "", "x" * 90 + " a", "b b c", "c"] * 3)
+    whole = packing.term_vector.func(texts)
+    seen, counted = [], packing._counted_terms
+    monkeypatch.setattr(packing, "GROUP_BYTES", 10)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 1)
+    monkeypatch.setattr(packing, "_counted_terms", lambda t, known: seen.append(sum(len(x or "") for x in t.to_pylist())) or counted(t, known))
+    assert packing.term_vector.func(texts).equals(whole) and packing.term_vector.func(texts[:0]).equals(whole[:0])
+    assert max(x for x in seen if x < 90) <= 10 and len(seen) > 6

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 SPARSE = T.ArrayType(T.StructType([T.StructField("i", T.LongType()), T.StructField("v", T.FloatType())]))
 MAX_SPARSE_INDEX = 2**32 - 1
+GROUP_BYTES = 2 << 20  # text whose terms are counted at once
+GROUP_ENTRIES = 1 << 18  # entries that are ranked at once
+KNOWN_WORDS = 1 << 16  # words whose dimension is kept between groups
 
 
 def _c(x: Column | str) -> Column:
@@ -109,8 +112,7 @@ def drop_smallest(vec: Column | str, ratio: float) -> Column:
     if ratio == 0:
         return _c(vec)
 
-    @F.arrow_udf(SPARSE)
-    def drop(rows: pa.Array) -> pa.Array:
+    def kept(rows: pa.Array) -> pa.Array:
         count = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         row = np.repeat(np.arange(len(rows)), count)
         entries = rows.flatten()
@@ -124,22 +126,52 @@ def drop_smallest(vec: Column | str, ratio: float) -> Column:
         return pa.ListArray.from_arrays(pa.array(ends), entries.filter(pa.array(keep)),
                                         mask=rows.is_null() if rows.null_count else None)
 
+    @F.arrow_udf(SPARSE)
+    def drop(rows: pa.Array) -> pa.Array:
+        sizes = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return _joined([kept(rows.slice(lo, hi - lo)) for lo, hi in row_groups(sizes, GROUP_ENTRIES)] or [kept(rows)])
+
     return drop(vec)
 
 
+def row_groups(sizes: np.ndarray, limit: int, most: int | None = None):
+    """Ranges of neighbouring rows whose sizes add up to at most ``limit``, or of one larger row; ``most`` bounds their number."""
+    ends, lo = np.cumsum(sizes, dtype=np.int64), 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        hi = hi if most is None else min(hi, lo + most)
+        yield lo, hi
+        lo = hi
+
+
+def _joined(parts: list[pa.Array]) -> pa.Array:
+    return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+
 @F.arrow_udf(SPARSE)
 def term_vector(text: pa.Array) -> pa.Array:
     """Term counts of a text as a sparse row.
 
     Terms are runs of a-z and 0-9 after lower-casing; a term's dimension is the first 32 bits of its
-    md5.  Only the distinct terms of a batch are hashed.
+    md5.  Only the distinct terms of a batch are hashed, and terms are taken from GROUP_BYTES of text at a time.
     """
+    known, sizes = {}, pa.compute.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False)
+    groups = list(row_groups(sizes, GROUP_BYTES)) or [(0, 0)]
+    return _joined([_counted_terms(text.slice(lo, hi - lo), known) for lo, hi in groups])
+
+
+def _counted_terms(text: pa.Array, known: dict[str, int]) -> pa.Array:
     pc = pa.compute
     terms = pc.split_pattern_regex(pc.utf8_lower(text), "[^a-z0-9]+")
     row = np.repeat(np.arange(len(text)), terms.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
     coded = terms.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
-    dims = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) for w in words], np.uint64)
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    for w in words:
+        if w not in known:
+            known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
+    dims = np.array([known[w] for w in words], np.uint64)
     code = coded.indices.to_numpy(zero_copy_only=False)
     real = np.array([w != "" for w in words], bool)[code] if len(code) else np.zeros(0, bool)
     pairs = (row[real].astype(np.uint64) << np.uint64(32)) | dims[code[real]]

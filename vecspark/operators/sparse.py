@@ -69,7 +69,7 @@ def write_blocks(rows: DataFrame, path: str, *, pk: str, vec: str, drop_ratio: f
     order of their files, so tables written by key make blocks of key ranges."""
     keys = [pk, *[f for f in fields if f != pk]]
     kept = rows.select(*keys, drop_smallest(vec, drop_ratio).alias(vec))
-    blocks.packed(kept, keys, vec).write.parquet(path)
+    blocks.write(blocks.packed(kept, keys, vec), path)
 
 
 def search_blocks(

@@ -1,7 +1,7 @@
 """Sparse rows in blocks with a maximum per dimension, and search that skips blocks.
 
-A block holds BLOCK_ROWS rows as small postings (dimension -> rows and values), the largest and smallest value of
-every dimension, and the rows' keys and fields.  No query can score a row of the block higher than the sum of
+A block holds BLOCK_ROWS rows, fewer if they have more than BLOCK_ENTRIES entries, as small postings (dimension -> rows and
+values), the largest and smallest value of every dimension, and the rows' keys and fields.  No query can score a row of the block higher than the sum of
 its weights times those values, so a block whose bound is below a query's running k-th score is skipped.  The
 first threshold of a query is the k-th score among its PROBED most promising blocks, chosen by the bounds alone.
 Postings are never shuffled: a task emits its best lists only.
@@ -11,26 +11,32 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vecspark.functions.packing import row_groups
 from vecspark.plans import kernel, knn
 from vecspark.plans.kernel import Best, Codec, Queries, QueryBlock, Spec
 
 BLOCK_ROWS = 256
+BLOCK_ENTRIES = 1 << 17
+SENT_BLOCKS = 4  # blocks that leave a task as one batch
+FILE_BLOCKS = 16  # scans decode thousands of rows of a file at once, and a block is a large row
 PROBED = 4
 BOUNDS = ["block", "dims", "top", "low"]
 ENTRY_TYPES = "block bigint, dims array<bigint>, top array<double>, low array<double>, starts array<int>, at array<int>, value array<double>"
 
 
 def _listed(values: list[np.ndarray], kind) -> pa.Array:
-    return pa.array([v.tolist() for v in values], pa.list_(kind))
+    ends = np.cumsum([0] + [len(v) for v in values])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values), kind))
 
 
 def _block(piece: pa.Table) -> list[np.ndarray]:
-    """(dims, top, low, starts, at, value) of up to BLOCK_ROWS rows; the vector is the last column."""
+    """(dims, top, low, starts, at, value) of the rows of a block; the vector is the last column."""
     column = piece.column(piece.num_columns - 1).combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
     rows, dims, values, _ = kernel.sparse_entries(column)
@@ -43,34 +49,39 @@ def _block(piece: pa.Table) -> list[np.ndarray]:
 
 
 def _pack(batches):
-    held, size, made_before, task = [], 0, 0, TaskContext.get().partitionId()
-
-    def blocks(table: pa.Table):
-        pieces = [table.slice(lo, BLOCK_ROWS) for lo in range(0, table.num_rows, BLOCK_ROWS)]
-        made = [_block(p) for p in pieces]
-        kinds = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.float64()]
-        keys = table.select(table.column_names[:-1]).to_struct_array()
-        keys = keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys
-        ends = np.minimum(np.arange(len(pieces) + 1) * BLOCK_ROWS, table.num_rows)
-        nonlocal made_before
-        numbers = (task << 32) + made_before + np.arange(len(pieces))
-        made_before += len(pieces)
-        yield pa.RecordBatch.from_arrays(
-            [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys), pa.array(numbers),
-             *[_listed([m[i] for m in made], k) for i, k in enumerate(kinds)]],
-            ["rows", "block", "dims", "top", "low", "starts", "at", "value"])
+    held, number = None, TaskContext.get().partitionId() << 32
+    kinds = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.float64()]
+
+    def packed_blocks(table: pa.Table, cuts: list[tuple[int, int]]):
+        nonlocal number
+        for some in (cuts[n:n + SENT_BLOCKS] for n in range(0, len(cuts), SENT_BLOCKS)):
+            made = [_block(table.slice(lo, hi - lo)) for lo, hi in some]
+            own = table.slice(some[0][0], some[-1][1] - some[0][0])
+            keys = own.select(own.column_names[:-1]).to_struct_array()
+            keys = keys.combine_chunks() if isinstance(keys, pa.ChunkedArray) else keys
+            ends = np.array([some[0][0]] + [hi for _, hi in some]) - some[0][0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys), pa.array(number + np.arange(len(some))),
+                 *[_listed([m[i] for m in made], k) for i, k in enumerate(kinds)]],
+                ["rows", "block", "dims", "top", "low", "starts", "at", "value"])
+            number += len(some)
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        held.append(table.filter(table.column(table.num_columns - 1).is_valid()))
-        size += held[-1].num_rows
-        if size >= 16 * BLOCK_ROWS:
-            whole = pa.concat_tables(held)
-            cut = size - size % BLOCK_ROWS
-            yield from blocks(whole.slice(0, cut))
-            held, size = [whole.slice(cut)], size - cut
-    if size:
-        yield from blocks(pa.concat_tables(held))
+        table = table.filter(table.column(table.num_columns - 1).is_valid())
+        held = table if held is None else pa.concat_tables([held, table])
+        cuts = _cuts(held)
+        if len(cuts) > 1:
+            yield from packed_blocks(held, cuts[:-1])
+            held = held.slice(cuts[-1][0])
+    if held is not None and held.num_rows:
+        yield from packed_blocks(held, _cuts(held))
+
+
+def _cuts(table: pa.Table) -> list[tuple[int, int]]:
+    """Ranges of rows that make a block each."""
+    sizes = pc.list_value_length(table.column(table.num_columns - 1)).to_numpy()
+    return list(row_groups(sizes, BLOCK_ENTRIES, BLOCK_ROWS))
 
 
 def packed(rows: DataFrame, keys: list[str], vec: str) -> DataFrame:
@@ -80,6 +91,10 @@ def packed(rows: DataFrame, keys: list[str], vec: str) -> DataFrame:
     return rows.select(*keys, vec).mapInArrow(_pack, f"rows array<{kinds}>, {ENTRY_TYPES}")
 
 
+def write(blocks: DataFrame, path: str) -> None:
+    blocks.write.option("maxRecordsPerFile", FILE_BLOCKS).parquet(path)
+
+
 def unpacked(index: DataFrame, vec: str) -> DataFrame:
     """The stored rows with their sparse vectors, for queries that need the plain table."""
     entries = F.arrays_zip(F.flatten(F.transform("dims", lambda d, i: F.array_repeat(
@@ -94,7 +109,11 @@ class _Asked:
     """Query parts with what their bounds need."""
 
     def __init__(self, queries: Queries):
-        self.parts = [(part, at, codec.dims, np.maximum(part.matrix, 0), np.minimum(part.matrix, 0)) for part, at, codec in queries.parts()]
+        self.parts = []
+        for part, at, codec in queries.parts():
+            signed = (part.matrix < 0).any()
+            self.parts.append((part, at, codec.dims, np.maximum(part.matrix, 0) if signed else part.matrix,
+                               np.minimum(part.matrix, 0) if signed else None))
 
     def meet(self, dims: np.ndarray, top: np.ndarray, low: np.ndarray):
         """(part, positions, bound, columns of the part, dimensions of the block) of the queries that share a dimension."""
@@ -106,7 +125,9 @@ class _Asked:
             columns = place[mine]
             asks = part.seen[:, columns].any(axis=1) if len(mine) else np.zeros(len(at), bool)
             if asks.any():
-                bound = positive[:, columns] @ np.maximum(top[mine], 0) + negative[:, columns] @ np.minimum(low[mine], 0)
+                bound = positive[:, columns] @ np.maximum(top[mine], 0)
+                if negative is not None:
+                    bound += negative[:, columns] @ np.minimum(low[mine], 0)
                 yield part, at, np.where(asks, bound, -np.inf), columns, mine
 
 
@@ -154,6 +175,7 @@ def _scan(table: pa.Table, qid: str, qvec: str, spec: Spec, names: list[str], fi
                 best.merge()
                 if first is not None:
                     best.limit = np.minimum(best.limit, first)
+            del batch, lists, keys  # before the next one arrives
         if skipped is not None:
             skipped.add(left_out)
         yield from best.batches(queries.ids, names)
