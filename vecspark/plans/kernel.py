@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 CELLS = 4 << 20  # elements of one decoded block
+SPARSE_CELLS = 1 << 19  # the same for sparse rows, which are held with flags and marks of their entries
 TILE = 1 << 20  # scores computed at once
 ROWS = 8192  # rows of one block
 
@@ -445,18 +446,19 @@ def settled_scores(v, q, i, j, metric):
     return out
 
 
-def row_slices(table: pa.Table, dim: int):
-    width = min(ROWS, max(64, CELLS // max(1, dim)))
+def row_slices(table: pa.Table, dim: int, cells: int | None = None):
+    width = min(ROWS, max(64, (cells or CELLS) // max(1, dim)))
     for start in range(0, table.num_rows, width):
         yield table.slice(start, width)
 
 
 def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None, cell=None) -> None:
     """Offer a batch of rows to all queries, or with ``probes`` only to those probing the row's cell."""
-    table = table.filter(table[vec].is_valid())
+    if table[vec].null_count:
+        table = table.filter(table[vec].is_valid())
     kept = list(dict.fromkeys([best.spec.pk, best.spec.key, *best.spec.carry]))
     for part, at, codec in queries.parts():
-        for piece in row_slices(table, part.matrix.shape[1]):
+        for piece in row_slices(table, part.matrix.shape[1], SPARSE_CELLS if codec.kind == "sparse" else None):
             v, seen = decode_rows(piece[vec].combine_chunks(), codec)
             if not len(v):
                 continue
