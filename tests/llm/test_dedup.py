@@ -271,3 +271,20 @@ def test_crowded_families_of_short_templates(spark, monkeypatch, percent):
     got = {r["doc_id"]: r["component_id"] for r in near_dup.find_near_copies(frame(spark, rows), percent=percent).collect()}
     assert got == want and want[1000] == want[7] and (len(set(want.values())) < 5) == (percent == 55)
     assert max(want[i] for i in range(200)) == (0 if percent == 55 else 199)
+
+
+def test_crowded_lists_are_not_joined_posting_by_posting(spark, monkeypatch):
+    rows = [(i, f"order {i} has been shipped to the usual customer again today") for i in range(200)]
+    rows += [(1000 + i, f"{i} cats sat on {i} mats and looked at {i % 9} dogs") for i in range(90)]
+    monkeypatch.setattr(near_dup, "CROWDED", 8)
+    want = {r["doc_id"]: r["component_id"] for r in near_dup.find_near_copies(frame(spark, rows), percent=55).collect()}
+    met, joined = [], near_dup.with_groups
+
+    def watched(members, groups, key, size, total):
+        met.append((key, joined(members, groups, key, size, total).count()))
+        return joined(members, groups, key, size, total)
+
+    monkeypatch.setattr(near_dup, "with_groups", watched)
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.find_near_copies(frame(spark, rows), percent=55).collect()}
+    assert got == want and {got[i] for i in range(200)} == {0}
+    assert len(met) >= 4 and all(n <= len(rows) for key, n in met[1:]), met  # the first joins the shared values

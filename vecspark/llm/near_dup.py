@@ -225,16 +225,58 @@ def block_links(rows: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
     return pd.DataFrame({"a": [nodes[i] for i, _ in out], "b": [nodes[j] for _, j in out]}, dtype=object)
 
 
-def _postings(classes: DataFrame, matches: int) -> DataFrame:
-    """(token, node) prefixes: the rarest shared values of every class that can have a partner."""
+def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
+    """(node, tokens): the rarest shared values of every class that can have a partner."""
     tokens = classes.select("node", F.posexplode("signature")).select(
         "node", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2"), "shared-values")
     met = with_groups(tokens, shared, "token", "df", classes.count() * K)
     by_class = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
     prefix = F.slice("s", F.lit(1), F.size("s") - (matches - 1))
-    return materialize(by_class.filter(F.size("s") >= matches).select("node", F.explode(prefix).alias("p"))
-                       .select(F.col("p.token").alias("token"), "node"), "postings")
+    return materialize(by_class.filter(F.size("s") >= matches).select(
+        "node", F.transform(prefix, lambda p: p["token"]).alias("tokens")), "prefixes")
+
+
+def _token_hashes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
+
+
+def _head_tasks(crowded, pairs: bool):
+    """From (node, tokens): the smallest crowded token of every class that has one (node, head), or the distinct (a, b) of
+    crowded tokens and such heads."""
+    def run(batches):
+        for batch in batches:
+            tokens, sizes = batch.column(1).flatten().to_numpy(), batch.column(1).value_lengths().to_numpy()
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            use = crowded.test(mix(tokens.view(np.uint64)).view(np.int64)) if len(tokens) else np.zeros(0, bool)
+            tokens, owner = tokens[use], owner[use]
+            order = np.lexsort((tokens, owner))
+            tokens, owner = tokens[order], owner[order]
+            some, first, times = np.unique(owner, return_index=True, return_counts=True)
+            if pairs:
+                both = np.unique(np.stack([tokens, np.repeat(tokens[first], times)], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), pa.array(tokens[first])], ["node", "head"])
+
+    return run
+
+
+def _families(prefixes: DataFrame, lists: DataFrame) -> DataFrame:
+    """(node, family) of the classes on crowded lists; classes that share such a list have one family.
+
+    Tokens are linked, not classes: each with the smallest crowded token of every class that posts it, so a list counts by
+    its distinct neighbours.  False alarms of the filter join families, which adds comparisons and loses none.
+    """
+    hashes = materialize(lists.filter(F.col("m") > CROWDED).select("token").mapInArrow(_token_hashes, "h long"), "crowded-tokens")
+    crowded = Bloom(hashes, hashes.count(), 1).probe
+    heads = materialize(prefixes.mapInArrow(_head_tasks(crowded, False), "node binary, head long"), "heads")
+    linked_tokens = components(prefixes.mapInArrow(_head_tasks(crowded, True), "a long, b long").distinct())
+    uses = heads.groupBy("head").agg(F.count(F.lit(1)).alias("uses"))
+    groups = materialize(uses.join(linked_tokens.select(F.col("node").alias("head"), "label"), "head", "left").select(
+        "head", F.coalesce("label", "head").alias("family"), "uses"), "families")
+    return with_groups(heads, groups, "head", "uses", heads.count()).select("node", "family")
 
 
 def _list_pairs(postings: DataFrame, lists: DataFrame) -> DataFrame:
@@ -246,15 +288,10 @@ def _list_pairs(postings: DataFrame, lists: DataFrame) -> DataFrame:
     return merged.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
 
 
-def _crowded_links(postings: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame,
+def _crowded_links(prefixes: DataFrame, lists: DataFrame, classes: DataFrame, sets: DataFrame, labels: DataFrame,
                    percent: int) -> DataFrame:
     """Links between components inside the families of crowded lists."""
-    rows = postings.count()
-    crowded = materialize(with_groups(postings, materialize(lists.filter(F.col("m") > CROWDED), "crowded-lists"), "token", "m", rows)
-                          .select("token", "node"), "crowded")
-    pivots = materialize(crowded.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("m")), "pivots")
-    stars = with_groups(crowded, pivots, "token", "m", rows).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    family = components(stars).withColumnRenamed("label", "family")
+    family = _families(prefixes, lists)
     own = classes.select("node", "n_shingles")
     nodes = family.join(own, "node").join(labels, "node", "left").select(
         "family", "node", "n_shingles", F.coalesce("label", "node").alias("component"))
@@ -296,10 +333,10 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     classes = materialize(profiles.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min(id_col).alias("first"), F.count(F.lit(1)).alias("size"), F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature")), "classes")
-    postings = _postings(classes, matches_for(percent))
+    prefixes = _prefixes(classes, matches_for(percent))
+    postings = prefixes.select(F.explode("tokens").alias("token"), "node")
     lists = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m >= 2"), "lists")
-    posted = postings.select("node").distinct()
-    posted = materialize(posted.mapInArrow(_node_hashes, "h long"), "posted")
+    posted = materialize(prefixes.select("node").mapInArrow(_node_hashes, "h long"), "posted")
     wanted = Bloom(posted, posted.count(), 1).probe
     sets = docs.select(F.col(text)).mapInArrow(_set_tasks(wanted), "node binary, members binary")
     sets = materialize(sets.groupBy("node").agg(F.first("members").alias("members_")), "sets")
@@ -315,7 +352,7 @@ def find_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     links = materialize(candidates.select("a", "b", "sa", "sb", "ma", "mb").mapInArrow(_confirm_tasks(percent), "a binary, b binary"), "links")
     labels = components(links)
     if lists.filter(F.col("m") > CROWDED).limit(1).count():
-        more = materialize(_crowded_links(postings, lists, classes, sets, labels, percent), "crowded-links")
+        more = materialize(_crowded_links(prefixes, lists, classes, sets, labels, percent), "crowded-links")
         labels = components(links.unionByName(more))
     named = classes.join(labels, "node", "left").select("node", "first", "size", F.coalesce("label", "node").alias("label"))
     named = materialize(named, "named-classes")
