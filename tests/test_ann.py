@@ -119,3 +119,14 @@ def test_late_changes_are_ignored(spark, folder):
     change((1, 11, 9, "u"), (2, 20, 0, "d"), (3, 4, 9, "u"))
     change((2, 15, 9, "u"), (4, 1, 4, "u"))
     assert sorted((r.id, r.n) for r in streams.current_rows(t).collect()) == [(1, 2), (4, 4)]
+
+
+def test_query_blocks_grow_with_the_queries(spark, monkeypatch):
+    monkeypatch.setattr(knn, "GRID_QUERIES", 10)
+    rows = spark.range(6000).selectExpr("id", "array(float(id % 7), float(id % 11)) AS vec")
+    queries = rows.selectExpr("id AS qid", "vec AS qvec")
+    most = knn.GRID_ROUNDS * spark.sparkContext.defaultParallelism
+    copies = lambda **kw: knn.grid(rows, queries, vec="vec", qvec="qvec", k=10, **kw)[0].count() / 6000
+    assert copies(grow=True) <= most < copies() == 600
+    monkeypatch.setattr(knn, "STATE_ROWS", 4000)  # best lists of a task stay bounded
+    assert copies(grow=True) == 60

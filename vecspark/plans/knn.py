@@ -20,7 +20,9 @@ from vecspark import session
 from vecspark.plans import kernel
 from vecspark.plans.kernel import Codec, Queries, Spec
 
-GRID_QUERIES = 2048  # rows of one query block
+GRID_QUERIES = 2048  # rows of one query block, more where a grid has more than GRID_ROUNDS blocks a core
+MOST_QUERIES = 1 << 16
+GRID_ROUNDS = 2
 GRID_ROWS = 1 << 16  # rows of one row block
 BLOCK_BYTES = 64 << 20  # stored bytes of one row block
 STATE_ROWS = 4 << 20  # best-list entries one task may hold
@@ -56,12 +58,15 @@ def _width(df: DataFrame, name: str) -> Column:
     return F.length(name) if isinstance(df.schema[name].dataType, T.BinaryType) else F.size(name)
 
 
-def block_sizes(queries: DataFrame, qvec: str, kind: str, k: int = 1) -> tuple[int, int]:
-    """(rows, queries) per grid block such that decoded blocks and best lists stay bounded."""
+def block_sizes(queries: DataFrame, qvec: str, kind: str, k: int = 1, wanted: int = 0) -> tuple[int, int]:
+    """(rows, queries) per grid block such that decoded blocks and best lists stay bounded.
+
+    A block has ``wanted`` queries if those are more than GRID_QUERIES and within the bounds.
+    """
     entries = max(1, queries.agg(F.max(_width(queries, qvec))).first()[0] or 1)
     decoded = entries * (64 if kind == "bits" else 1)
     rows = min(GRID_ROWS, BLOCK_BYTES // (entries * 8))
-    asked = min(GRID_QUERIES, STATE_ROWS // k, 2 * kernel.CELLS // decoded)
+    asked = min(max(GRID_QUERIES, min(wanted, MOST_QUERIES, STATE_ROWS // (4 * k))), STATE_ROWS // k, 2 * kernel.CELLS // decoded)
     return max(1, rows), max(1, asked)
 
 
@@ -98,19 +103,22 @@ def scan_candidates(
 
 def grid(
     rows: DataFrame, queries: DataFrame, *, vec: str, qvec: str, cell: str | None = None,
-    query_cells: str | None = None, kind: str = "dense", k: int = 1,
+    query_cells: str | None = None, kind: str = "dense", k: int = 1, grow: bool = False,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides cut into bounded blocks, and the columns on which the blocks meet.
 
     Rows are dealt round-robin, so no key, cell or group of copies decides a block's size, and dealing
     is repeatable, so a lost task recomputes the same blocks.  With ``cell`` only rows and queries of
-    one cell meet; a cell is spread over as many blocks as its row count asks for.
+    one cell meet; a cell is spread over as many blocks as its row count asks for.  Every row is sent once per query block;
+    with ``grow`` these grow with the queries until they reach their bounds, for plans that keep a few rows per query.
     """
-    block_rows, query_rows = block_sizes(queries, qvec, kind, k)
     base = rows.where(F.col(vec).isNotNull())
-    row_blocks = max(1, -(-base.count() // block_rows))
     asked = queries.where(F.col(qvec).isNotNull())
-    q_blocks = max(1, -(-asked.count() // query_rows))
+    many = asked.count()
+    most = GRID_ROUNDS * rows.sparkSession.sparkContext.defaultParallelism
+    block_rows, query_rows = block_sizes(queries, qvec, kind, k, -(-many // most) if grow else 0)
+    row_blocks = max(1, -(-base.count() // block_rows))
+    q_blocks = max(1, -(-many // query_rows))
     dealt = base.repartition(row_blocks).withColumn("_rb", F.spark_partition_id())
     asked = asked.repartition(q_blocks).withColumn("_qb", F.spark_partition_id())
     on, blocks = ["_qb", "_rb"], F.lit(row_blocks)
@@ -132,7 +140,7 @@ def grid_candidates(
     """Block grid for query sets too large to broadcast."""
     rows = rows.select(*dict.fromkeys([*kept_columns(spec), vec, *([cell] if cell else [])]))
     queries = queries.select(qid, qvec, *([query_cells] if query_cells else []))
-    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k)
+    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k, grow=True)
     return met_blocks(dealt, asked, on, rows, queries, vec=vec, qid=qid, qvec=qvec, score=score, codec=codec, spec=spec)
 
 

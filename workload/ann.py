@@ -54,11 +54,12 @@ def judged(hits, rows, queries, k, *, tolerance, **options):
     all queries, of the k hits of the exact search (with ``options``) that are among the hits is at least RECALL.
     """
     near = search(rows, queries, k, metric="L2", vec="embedding", pk="vec_id", **options).select("qid", "vec_id").withColumn("true_hit", F.lit(1))
-    pairs = hits.join(rows.select("vec_id", "embedding"), "vec_id").join(queries, "qid").join(near, ["qid", "vec_id"], "left")
     off = F.abs(F.col("score") - distance.l2("qvec", "embedding"))
+    pairs = hits.join(rows.select("vec_id", "embedding"), "vec_id").join(queries, "qid").select("qid", "vec_id", "rank", "score", off.alias("off"))
+    pairs = pairs.join(near, ["qid", "vec_id"], "left")  # without the vectors of a pair
     listed = F.array_sort(F.collect_list(F.struct("rank", "score")))
     per = pairs.groupBy("qid").agg(F.count("*").alias("hits"), F.count_distinct("vec_id").alias("distinct"), listed.alias("l"),
-                                   F.max(off).alias("off"), F.count("true_hit").alias("found"))
+                                   F.max("off").alias("off"), F.count("true_hit").alias("found"))
     rising = F.forall(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.col("l")[i]["score"] >= F.col("l")[i - 1]["score"])
     per = materialize(per.select("qid", "hits", "distinct", F.when(F.size("l") > 1, rising).otherwise(True).alias("ordered"),
                                  (F.col("off") <= tolerance).alias("exact_scores"), "found"), "judged")
