@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecspark.llm.components import components
-from vecspark.llm.exact_dedup import Bloom, drop_rows, row_key, with_groups
+from vecspark.llm.exact_dedup import HEAVY, Bloom, drop_rows, row_key, with_groups
 from vecspark.llm.words import BLANK_BYTES, flat_text, groups_of, mix, word_hashes, word_spans
 from vecspark.llm.registry import free_name
 from vecspark.session import materialize
@@ -230,13 +230,31 @@ def _prefixes(classes: DataFrame, matches: int) -> DataFrame:
     tokens = classes.select("node", F.posexplode("signature")).select(
         "node", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("token"))
     shared = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df >= 2"), "shared-values")
-    met = with_groups(tokens, shared, "token", "df", classes.count() * K)
+    met = _counted(tokens, shared, classes.count() * K)
     by_class = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
     prefix = F.slice("s", F.lit(1), F.size("s") - (matches - 1))
     return materialize(by_class.filter(F.size("s") >= matches).select(
         "node", F.transform(prefix, lambda p: p["token"]).alias("tokens")), "prefixes")
 
 
+def _counted(tokens: DataFrame, shared: DataFrame, rows: int) -> DataFrame:
+    """(node, token, df) of the shared tokens.  The fewer than HEAVY most frequent ones are looked up in place, the others joined."""
+    most = sorted(tuple(r) for r in shared.filter(F.col("df") * HEAVY > rows).select("token", "df").collect())
+    if not most:
+        return tokens.join(shared, "token").select("node", "token", "df")
+    keys, counts = (np.array(x, np.int64) for x in zip(*most))
+
+    @F.arrow_udf("long")
+    def known(token: pa.Array) -> pa.Array:
+        wanted = token.to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return pa.array(counts[at], mask=keys[at] != wanted)
+
+    looked_up = tokens.withColumn("df", known("token"))
+    others = looked_up.filter(F.col("df").isNull()).drop("df").join(shared, "token")
+    return looked_up.filter(F.col("df").isNotNull()).select("node", "token", "df").unionByName(others.select("node", "token", "df"))
+
+
 def _token_hashes(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))], ["h"])
