@@ -3,7 +3,8 @@
 A task sees its rows batch by batch and keeps only the k best distinct keys per query, so a plan
 never emits row x query pairs.  A batch is scored with one matrix product; rows that can still be
 among the best are then re-scored one pair at a time in a fixed summation order, so equal vectors
-always get equal scores and ties fall to the primary key.
+always get equal scores and ties fall to the primary key.  Dense vectors are first judged by lower bounds
+of their costs in single precision; where that tells too few rows apart, double precision judges them.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ CELLS = 4 << 20  # elements of one decoded block
 SPARSE_CELLS = 1 << 19  # the same for sparse rows, which are held with flags and marks of their entries
 TILE = 1 << 20  # scores computed at once
 ROWS = 8192  # rows of one block
+ASKED = 256  # queries that bounds in single precision are computed for at once
+FIRST_ROWS, MOST_ROWS = 512, 4096  # rows met at once, from the first ones on
+GROUP_ROWS = 64  # mean rows of a key from which keys are met one after the other
+SINGLE_DIMS = 2048  # beyond, single precision loses too much
 
 DISTANCES = ("L2", "HAMMING", "JACCARD", "TANIMOTO", "SUBSTRUCTURE", "SUPERSTRUCTURE")
 SIMILARITIES = ("IP", "COSINE")
@@ -346,6 +351,21 @@ def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, see
 
     With ``books`` the block holds product codes.
     """
+    done, left = 0, None
+    if best.spec.metric not in BINARY and books is None and seen is None:
+        done, left = _scan_single(best, rows, v, q, at)
+    if done and left is not None:
+        some = np.arange(done)
+        _scan_double(best, rows.take(pa.array(left)), v[left], q.take(some), at[some])
+    if done < len(at):
+        some = np.arange(done, len(at))
+        rest = q.take(some) if done else q
+        for lo in range(0, len(v), ROWS):
+            _scan_double(best, rows.slice(lo, ROWS), v[lo:lo + ROWS], rest, at[some], None if seen is None else seen[lo:lo + ROWS], books)
+
+
+def _scan_double(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, seen=None, books=None) -> None:
+    """``scan_block`` by scores in double precision."""
     spec = best.spec
     keys = _KeyGroups(_codes(rows[spec.key]))
     vsq = np.einsum("ij,ij->i", v, v) if books is None else None
@@ -371,6 +391,189 @@ def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, see
             best.add(rows.take(pa.array(i)), at[pick][j], exact)
 
 
+class _LowerBounds:
+    """Lower bounds of the costs of a block's rows, less what depends on the query alone, by one product in single precision.
+
+    A row's last entry takes off what its length can lose, so a long row loosens no bound but its own.  Squared
+    distances are taken from the mean row.
+    """
+
+    def __init__(self, v, vsq, metric: str):
+        n, dim = v.shape
+        self.metric, self.unit = metric, 4 * (dim + 16) * float(np.finfo(np.float32).eps)
+        self.middle = v.mean(axis=0) if metric == "L2" else None
+        self.rows = np.empty((n, dim + 1), np.float32)
+        if metric == "L2":
+            own = v - self.middle
+            self.square = np.einsum("ij,ij->i", own, own)
+            self.rows[:, :dim], self.rows[:, dim] = own, self.square * (1 - self.unit)
+        elif metric == "IP":
+            self.square = vsq
+            self.rows[:, :dim], self.rows[:, dim] = v, np.sqrt(vsq)
+        else:
+            self.square = np.ones(n)
+            self.rows[:, :dim], self.rows[:, dim] = v / np.sqrt(vsq)[:, None], 1
+
+    def asked(self, q: QueryBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(factors, what a query adds to its bounds, its squared length)."""
+        dim = q.matrix.shape[1]
+        out, nothing = np.empty((len(q.sq), dim + 1), np.float32), np.zeros(len(q.sq))
+        if self.metric == "L2":
+            own = q.matrix - self.middle
+            square = np.einsum("ij,ij->i", own, own)
+            out[:, :dim], out[:, dim] = -2 * own, 1
+            return out, square * (1 - self.unit), square
+        if self.metric == "IP":
+            out[:, :dim], out[:, dim] = -q.matrix, -self.unit * np.sqrt(q.sq)
+            return out, nothing, q.sq
+        out[:, :dim], out[:, dim] = -q.matrix / np.sqrt(np.where(q.sq > 0, q.sq, 1))[:, None], -self.unit
+        return out, nothing, np.ones(len(q.sq))
+
+    def gap(self, square: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """How far above its bound a cost can be, per query."""
+        top = self.square[lo:hi].max()
+        return 2 * self.unit * (top + square if self.metric == "L2" else np.sqrt(top * square))
+
+
+def _single_fits(v, vsq, q: QueryBlock, metric: str) -> bool:
+    """Whether single precision holds the block and the queries without losing small or large numbers."""
+    top, most = vsq.max(initial=0.0), q.sq.max(initial=0.0)
+    if v.shape[1] > SINGLE_DIMS or not 1e-20 < top < 1e30 or not most < 1e30:  # also without any NaN
+        return False
+    if metric == "L2":  # the mean row must not lie so far away that little is left of the differences
+        return (v.max(axis=0) - v.min(axis=0)).max() ** 2 > 1e-14 * top
+    if metric == "COSINE":
+        return vsq.min() > 1e-30 and (q.sq[q.sq > 0].min(initial=1.0) > 1e-30)
+    return True
+
+
+def _rounded_up(limit: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.nextafter(limit.astype(np.float32), np.float32(np.inf))
+
+
+def _cost_range(spec: Spec) -> tuple[float | None, float | None]:
+    lower, upper = (spec.lower, spec.upper) if spec.sign > 0 else (spec.upper, spec.lower)
+    return None if lower is None else lower * spec.sign, None if upper is None else upper * spec.sign
+
+
+def _growing(lo: int, hi: int, most: int):
+    """Ranges of rows that double from FIRST_ROWS to ``most``, as the first ones are met without a limit."""
+    size = min(FIRST_ROWS, most)
+    while lo < hi:
+        yield lo, min(lo + size, hi)
+        lo, size = lo + size, min(most, 2 * size)
+
+
+def _scan_single(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray) -> tuple[int, np.ndarray | None]:
+    """Offer a block by bounds in single precision: (queries served, rows that those have still to meet).
+
+    Every query keeps the k smallest upper bounds of distinct keys, the largest of which is its limit; rows whose
+    lower bound is beyond it are out.  What is left in the end is scored pair by pair.  Queries are served until one tile
+    keeps many more rows than k.
+    """
+    spec = best.spec
+    vsq = np.einsum("ij,ij->i", v, v)
+    if not len(at) or not _single_fits(v, vsq, q, spec.metric):
+        return 0, None
+    groups = _KeyGroups(_codes(rows[spec.key]))
+    sizes = np.diff(np.r_[groups.heads, len(v)])
+    grouped, left = not groups.unique and len(sizes) * GROUP_ROWS <= len(v), None
+    order = groups.order if grouped else groups.order[groups.heads[sizes == 1]]
+    if not grouped and len(order) < len(v):  # keys that repeat now and then
+        left = groups.order[np.repeat(sizes > 1, sizes)]
+        if not len(order):
+            return 0, None
+    order = order if grouped else np.sort(order)
+    segments = list(zip(groups.heads.tolist(), (groups.heads + sizes).tolist())) if grouped else [(0, len(order))]
+    segment = np.repeat(np.arange(len(sizes)), sizes) if grouped else None
+    bounds = _LowerBounds(v[order], vsq[order], spec.metric)
+    kept = 1 if grouped else spec.k
+    least, most = _cost_range(spec)
+    tile = max(16, min(ASKED, TILE // (4 * max(spec.k, len(segments)))))
+    room = np.empty(tile * MOST_ROWS, np.float32)
+    for start in range(0, len(at), tile):
+        own, part = at[start:start + tile], QueryBlock(q.matrix[start:start + tile])
+        n = len(own)
+        factors, base, square = bounds.asked(part)
+        limit = best.limit[own] if most is None else np.minimum(best.limit[own], most)
+        if spec.metric == "COSINE":
+            limit = np.where(part.sq > 0, limit, -np.inf)  # no direction, no hits
+        top = np.full((n, len(segments) if grouped else spec.k), np.inf)
+        found, held, enough = [], 0, n * (16 * top.shape[1] + 64)
+
+        def in_reach(j, i, low):
+            near = low <= (np.minimum(limit[j], top[j, segment[i]]) if grouped else limit[j])
+            return j[near], i[near], low[near]
+
+        for number, (first, last) in enumerate(segments):
+            for lo, hi in _growing(first, last, MOST_ROWS):
+                width, gap = hi - lo, bounds.gap(square, lo, hi)
+                score = np.matmul(factors, bounds.rows[lo:hi].T, out=room[:n * width].reshape(n, width))
+                reach = np.minimum(limit, top[:, number]) if grouped else limit
+                keep = score <= _rounded_up(reach - base)[:, None]
+                if least is not None:
+                    keep &= score >= -_rounded_up(base + gap - least)[:, None]
+                flat = np.flatnonzero(keep)
+                j, i = np.divmod(flat, width)
+                low = score.ravel()[flat].astype(np.float64)
+                crowded = np.flatnonzero(np.bincount(j, minlength=n) > 4 * kept)
+                if len(crowded):
+                    some = score[crowded]
+                    if least is not None:
+                        some[some <= _rounded_up(least - base[crowded])[:, None]] = np.inf
+                    if most is not None:
+                        some[some >= -_rounded_up((base + gap)[crowded] - most)[:, None]] = np.inf
+                    nearest = some.min(axis=1) if kept == 1 else np.partition(some, kept - 1, axis=1)[:, kept - 1]
+                    cut = np.full(n, np.inf)
+                    cut[crowded] = nearest.astype(np.float64) + gap[crowded]
+                    near = low <= cut[j]
+                    j, i, low = j[near], i[near], low[near]
+                if not len(j):
+                    continue
+                low += base[j]
+                found.append((j, i + lo, low))
+                held += len(j)
+                high = low + gap[j]
+                if least is not None or most is not None:
+                    sure = (low > (-np.inf if least is None else least)) & (high < (np.inf if most is None else most))
+                    j, high = j[sure], high[sure]
+                if len(j):
+                    heads = np.flatnonzero(np.r_[True, np.diff(j) != 0])
+                    who = j[heads]
+                    if grouped:
+                        top[who, number] = np.minimum(top[who, number], np.minimum.reduceat(high, heads))
+                        if len(segments) >= spec.k:
+                            limit[who] = np.minimum(limit[who], np.partition(top[who], spec.k - 1, axis=1)[:, spec.k - 1])
+                    else:
+                        counts = np.diff(np.r_[heads, len(j)])
+                        wide = np.full((len(who), spec.k + counts.max()), np.inf)
+                        wide[:, :spec.k] = top[who]
+                        wide[np.repeat(np.arange(len(who)), counts), spec.k + np.arange(len(j)) - np.repeat(heads, counts)] = high
+                        wide.partition(spec.k - 1, axis=1)
+                        top[who] = wide[:, :spec.k]
+                        limit[who] = np.minimum(limit[who], wide[:, spec.k - 1])
+                if held > enough:
+                    found = [in_reach(*(np.concatenate(x) for x in zip(*found)))]
+                    held = len(found[0][0])
+                    if held > enough:
+                        return start, left
+        if not found:
+            continue
+        j, i, _ = in_reach(*(np.concatenate(x) for x in zip(*found)))
+        i = order[i]
+        cost = settled_scores(v, part.matrix, i, j, spec.metric) * spec.sign
+        near = cost <= limit[j]  # never true for NaN
+        if spec.lower is not None:
+            near &= cost * spec.sign >= spec.lower
+        if spec.upper is not None:
+            near &= cost * spec.sign < spec.upper
+        j, i, cost = j[near], i[near], cost[near]
+        best.add(rows.take(pa.array(i)), own[j], cost)
+        best.limit[own] = np.minimum(best.limit[own], limit)
+    return len(at), left
+
+
 def _keep_range(score, v, q: QueryBlock, slack, spec: Spec) -> None:
     """Blank scores outside the range; those too close to a bound to call are settled pair by pair."""
     for bound in (spec.lower, spec.upper):
@@ -446,8 +649,8 @@ def settled_scores(v, q, i, j, metric):
     return out
 
 
-def row_slices(table: pa.Table, dim: int, cells: int | None = None):
-    width = min(ROWS, max(64, (cells or CELLS) // max(1, dim)))
+def row_slices(table: pa.Table, dim: int, cells: int | None = None, rows: int | None = None):
+    width = min(rows or ROWS, max(64, (cells or CELLS) // max(1, dim)))
     for start in range(0, table.num_rows, width):
         yield table.slice(start, width)
 
@@ -458,7 +661,9 @@ def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None,
         table = table.filter(table[vec].is_valid())
     kept = list(dict.fromkeys([best.spec.pk, best.spec.key, *best.spec.carry]))
     for part, at, codec in queries.parts():
-        for piece in row_slices(table, part.matrix.shape[1], SPARSE_CELLS if codec.kind == "sparse" else None):
+        dim = part.matrix.shape[1]
+        single = best.spec.metric not in BINARY and codec.kind not in ("sparse", "pq")
+        for piece in row_slices(table, dim, SPARSE_CELLS if codec.kind == "sparse" else None, CELLS if single else ROWS):
             v, seen = decode_rows(piece[vec].combine_chunks(), codec)
             if not len(v):
                 continue
