@@ -121,6 +121,14 @@ def test_late_changes_are_ignored(spark, folder):
     assert sorted((r.id, r.n) for r in streams.current_rows(t).collect()) == [(1, 2), (4, 4)]
 
 
+def test_few_blocks_are_dealt_evenly(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n in (1, 3, 5 * parts + 1):
+        keys = spark.range(n).select(knn.dealt_evenly(spark, F.col("id"), n).alias("key")).distinct()
+        at = [r[0] for r in keys.select(F.expr(f"pmod(hash(key), {parts})")).collect()]
+        assert len(at) == n and max(at.count(p) for p in range(parts)) == -(-n // parts)
+
+
 def test_query_blocks_grow_with_the_queries(spark, monkeypatch):
     monkeypatch.setattr(knn, "GRID_QUERIES", 10)
     rows = spark.range(6000).selectExpr("id", "array(float(id % 7), float(id % 11)) AS vec")

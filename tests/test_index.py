@@ -2,10 +2,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vecspark import session
 from vecspark.functions import packing
 from vecspark.operators import ann
 from vecspark.operators.search import search
-from vecspark.plans import kernel
+from vecspark.plans import kernel, knn
 from vecspark.plans.kernel import QueryBlock, Tables
 
 
@@ -85,6 +86,41 @@ def test_product_codes_reach_the_exact_lists_after_reranking(data, spark, folder
     assert moved and not any("vec#" in line for line in moved)
 
 
+def test_blocks_of_codes_hold_all_cells(data, folder, monkeypatch):
+    rows, asked = data
+    index = ann.ivf_build(rows, f"{folder}/i", pk="id", vec="vec", nlist=8, coding="pq", m=4, nbits=6)
+    want = lists(ann.ivf_search(index, asked, 20, metric="L2", nprobe=8))
+    monkeypatch.setattr(knn, "fetch_bounded", lambda *args: None)  # as with a large query set
+    met, rank = [], knn.rank_best
+    monkeypatch.setattr(knn, "rank_best", lambda found, **kw: met.append(found.count()) or rank(found, **kw))
+    assert lists(ann.ivf_search(index, asked, 20, metric="L2", nprobe=8)) == want and len(want) == 2000
+    assert met == [2000]  # a list of every query, not of every query and cell
+
+
+@pytest.mark.parametrize("metric, ends", [("L2", {}), ("IP", {}), ("COSINE", {}), ("L2", {"radius": 9.0, "range_filter": 2.0})])
+def test_candidates_too_many_to_be_broadcast_are_met_in_blocks(spark, monkeypatch, metric, ends):
+    rng = np.random.default_rng(5)
+    vectors = np.rint(rng.normal(size=(60, 4))).astype(np.float32)  # many equal scores, some zero vectors
+    key = lambda i: None if i % 20 == 19 else f"k{i % 50}"
+    rows = spark.createDataFrame([(key(i), i % 3, i, None if i == 7 else v.tolist()) for i, v in enumerate(vectors)], "id string, cell int, n int, vec array<float>")
+    asked = spark.createDataFrame([(None if i == 3 else i % 30, (vectors[i] + 0.5).tolist()) for i in range(33)], "qid long, qvec array<float>")
+    pairs = spark.createDataFrame([(q, key(i), i % 3) for q in range(30) for i in range(q % 2, 60, 2)], "qid long, id string, cell int").distinct()
+    got = lambda df: sorted(tuple(r) for r in df.withColumn("score", F.round("score", 9)).collect())
+    for cells in (pairs, pairs.drop("cell").distinct()):
+        call = lambda: ann.rerank(cells, rows, asked, 6, metric=metric, pk="id", vec="vec", offset=2, **ends)
+        want = got(call())
+        with monkeypatch.context() as m:
+            m.setattr(session, "BROADCAST_BYTES", 1 << 10)
+            m.setattr(knn, "GRID_ROWS", 25)
+            m.setattr(knn, "STATE_ROWS", 400)
+            blocks = call()
+            assert got(blocks) == want and len(want) > 20
+            plan = blocks._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan
+        joined = plan[plan.index("SortMergeJoin"):].split("\n")[0] if "SortMergeJoin" in plan else ""
+        assert "id#" not in joined.replace("qid#", "")  # keys of pairs meet vectors inside the blocks only
+
+
 def test_recall_estimate_covers_the_exact_value(data, folder):
     rows, asked = data
     index = ann.ivf_build(rows, f"{folder}/i", pk="id", vec="vec", nlist=12)

@@ -76,6 +76,51 @@ def test_bounds_in_single_precision_give_the_lists_of_double_precision(monkeypat
         assert repr(found[0]) == repr(want) and repr(found[1]) == repr(want)
 
 
+def coded(vectors, codes=16):
+    """The rows as product codes of 4 sub-spaces, with code books of some of the rows."""
+    books = np.unique(vectors, axis=0)[:codes].reshape(-1, 4, DIM // 4).transpose(1, 0, 2).copy()
+    own = vectors.reshape(len(vectors), 4, 1, DIM // 4)
+    return ((own - books[None]) ** 2).sum(axis=3).argmin(axis=2).astype(np.uint8), books
+
+
+def code_lists(rows, vectors, asked, spec, pieces=1):
+    codes, books = coded(vectors)
+    rows = rows.set_column(rows.column_names.index("vec"), "vec", pa.array([c.tobytes() for c in codes]))
+    queries = Queries(asked, "qid", "qvec", Codec("pq", books=books))
+    best = Best(spec, queries.count)
+    for lo in range(0, rows.num_rows, -(-rows.num_rows // pieces)):
+        kernel.offer(best, rows.slice(lo, -(-rows.num_rows // pieces)), "vec", queries)
+    return [tuple(r.values()) for b in best.batches(queries.ids, ["qid", "score", "pk"]) for r in b.to_pylist()]
+
+
+@pytest.mark.filterwarnings("ignore::RuntimeWarning")
+@pytest.mark.parametrize("kind", ["plain", "copies", "grid points", "far away", "long rows", "not numbers", "zeros"])
+@pytest.mark.parametrize("metric, key, lower, upper", [CASES[i] for i in (0, 1, 2, 3, 6, 8)])
+def test_bounds_of_product_codes_give_the_lists_of_the_tables(monkeypatch, kind, metric, key, lower, upper):
+    rows, asked = data(kind)
+    vectors = np.array(rows["vec"].to_pylist())
+    monkeypatch.setattr(kernel, "ASKED", 32)
+    monkeypatch.setattr(kernel, "FIRST_ROWS", 64)
+    for k in (1, 30):
+        spec = Spec(metric, k, "pk", key, [], lower, upper)
+        found = [code_lists(rows, vectors, asked, spec), code_lists(rows, vectors, asked, spec, pieces=3)]
+        with monkeypatch.context() as m:
+            m.setattr(kernel, "_single_fits", lambda *args: False)
+            want = code_lists(rows, vectors, asked, spec)
+        assert repr(found[0]) == repr(want) and repr(found[1]) == repr(want)
+
+
+@pytest.mark.parametrize("metric", ["L2", "IP", "COSINE"])
+def test_few_coded_rows_are_looked_up(monkeypatch, metric):
+    rng = np.random.default_rng(8)
+    vectors, asked = rng.normal(size=(30_000, DIM)), pa.table({"qid": np.arange(40), "qvec": pa.array(rng.normal(size=(40, DIM)).tolist())})
+    scored, settle = [], kernel.code_scores
+    monkeypatch.setattr(kernel, "code_scores", lambda books, v, q, i, j, m: scored.append(len(i)) or settle(books, v, q, i, j, m))
+    monkeypatch.setattr(kernel.Tables, "scores", lambda *args: pytest.fail("all pairs were looked up"))
+    assert len(code_lists(table(vectors), vectors, asked, Spec(metric, 5, "pk", "pk", []))) == 200
+    assert sum(scored) < 40 * 5 * 16, scored
+
+
 @pytest.mark.parametrize("metric, key, lower, upper", [c for c in CASES if c[1] != "twice"])
 def test_few_pairs_are_scored_in_double_precision(monkeypatch, metric, key, lower, upper):
     rng = np.random.default_rng(8)

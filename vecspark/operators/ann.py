@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vecspark import session
 from vecspark.functions import distance
 from vecspark.operators.search import check_group, check_metric, check_paging, check_range, search, vector_kind
 from vecspark.plans import kernel, knn
-from vecspark.plans.kernel import SIMILARITIES, Codec, Spec
+from vecspark.plans.kernel import SIMILARITIES, Codec, Queries, Spec
 from vecspark.plans.pruning import is_wanted
 
 CELL = "cell"
@@ -401,6 +402,8 @@ def ivf_search(
         if len(found) < index.nlist:
             source = source.where(is_wanted(CELL, found.tolist()))
         candidates = knn.scan_candidates(source, queries, table, probes=probes, **opts)
+    elif index.coding == "pq" and nprobe >= index.nlist:  # all cells: blocks of codes may be larger than a cell, with one list a query
+        candidates = knn.grid_candidates(source, queries, **{**opts, "cell": None})
     else:
         asked = queries.withColumn("_cells", _prober(index, metric, nprobe)(qvec))
         candidates = knn.grid_candidates(source, asked, query_cells="_cells", **opts)
@@ -435,14 +438,21 @@ def rerank(
     radius: float | None = None, range_filter: float | None = None,
 ) -> DataFrame:
     """Exact top-k of approximate candidates: their stored vectors are joined by key, or by (cell, key) if both sides
-    have cells, and re-scored."""
+    have cells, and re-scored.  Candidates too many to be broadcast are met in blocks of rows and queries."""
     metric = metric.upper()
     lower, upper = check_range(metric, radius, range_filter)
     pair = {"L2": distance.l2, "IP": distance.ip, "COSINE": distance.cosine}[metric]
     asked = queries.select(qid, qvec)
     if knn.fetch_bounded(queries, qid, qvec) is not None:
         asked = F.broadcast(asked)  # its decoded size has been checked
-    best = _met(candidates, rows, pk, vec, qid, fields).join(asked, qid)
+    on, pairs, rows, few = _pairs(candidates, rows, pk, qid)
+    plain = all(isinstance(t, T.ArrayType) and not isinstance(t.elementType, T.StructType) for t in (rows.schema[vec].dataType, queries.schema[qvec].dataType))
+    if not few and plain and all(pairs.schema[c].dataType == rows.schema[c].dataType for c in on):
+        spec = Spec(metric, k + offset, pk, pk, [f for f in fields if f != pk], lower, upper)
+        found = _rescored(pairs, rows, queries.select(qid, qvec), on, vec=vec, qid=qid, qvec=qvec, score=score, spec=spec)
+        hits = knn.rank_best(found, qid=qid, score=score, pk=pk, key=pk, k=k, offset=offset, similarity=metric in SIMILARITIES)
+        return hits.select(qid, "rank", pk, score, *fields)
+    best = rows.select(*dict.fromkeys([*on, vec, *fields])).join(F.broadcast(pairs) if few else pairs, on).join(asked, qid)
     scored = best.select(qid, pk, pair(qvec, vec).alias(score), *fields).where(F.col(score).isNotNull())
     if lower is not None:
         scored = scored.where(F.col(score) >= lower)
@@ -452,18 +462,68 @@ def rerank(
     return hits.select(qid, "rank", pk, score, *fields)
 
 
-def _met(candidates: DataFrame, rows: DataFrame, pk: str, vec: str, qid: str, fields: Sequence[str]) -> DataFrame:
-    """The candidates with their stored vectors.  Only row groups of their cells are read, and as long as the candidates
-    are few enough to be broadcast the stored vectors stay where they are."""
+def _pairs(candidates: DataFrame, rows: DataFrame, pk: str, qid: str) -> tuple[list[str], DataFrame, DataFrame, bool]:
+    """(key columns, written candidates, the rows of their cells, whether the candidates are few enough to be broadcast, so
+    that stored vectors stay where they are)."""
     on = [CELL, pk] if CELL in candidates.columns and CELL in rows.columns else [pk]
     asked = session.materialize(candidates.select(qid, *on), "candidates")
     if len(on) == 2:
         cells = [r[0] for r in asked.select(CELL).distinct().collect()]  # at most MAX_LIST
         rows = rows.where(is_wanted(CELL, cells))
     width = 64 + (asked.agg(F.max(F.length(pk))).first()[0] or 0 if isinstance(asked.schema[pk].dataType, T.StringType) else 0)
-    if asked.count() * width <= session.BROADCAST_BYTES:
-        asked = F.broadcast(asked)
-    return rows.select(*dict.fromkeys([*on, vec, *fields])).join(asked, on)
+    return on, asked, rows, asked.count() * width <= session.BROADCAST_BYTES
+
+
+def _rescored(pairs: DataFrame, rows: DataFrame, queries: DataFrame, on: list[str], *, vec: str, qid: str, qvec: str, score: str,
+              spec: Spec) -> DataFrame:
+    """The best of every query's candidates in every block of rows, by exact scores.
+
+    A block of rows meets a block of queries, each with the keys of its candidates in the block: a vector travels once per
+    block of the other side, not once per pair.
+    """
+    kept, names = knn.kept_columns(spec), list(on)
+    base = rows.where(F.col(vec).isNotNull()).select(*dict.fromkeys([*on, *kept, vec]))
+    asked = queries.where(F.col(qvec).isNotNull())
+    many, cores = max(1, asked.count()), rows.sparkSession.sparkContext.defaultParallelism
+    listed = -(-pairs.count() // many)  # keys of a query; best lists are shorter
+    _, query_rows = knn.block_sizes(asked, qvec, "dense", max(listed, spec.k), -(-many // (knn.GRID_ROUNDS * cores)))
+    row_rows, _ = knn.block_sizes(asked, qvec, "dense")
+    q_blocks, row_blocks = -(-many // query_rows), max(1, -(-base.count() // row_rows))
+    block = F.pmod(F.xxhash64(*on), F.lit(row_blocks)).alias("_rb")
+    keys = pairs.select(qid, F.struct(*on).alias("_key"), block).repartition(F.col(qid)).groupBy(qid, "_rb").agg(
+        F.collect_list("_key").alias("_keys"))
+    query_side = keys.join(asked, qid).withColumn("_qb", F.pmod(F.xxhash64(qid, qvec), F.lit(q_blocks)))
+    row_side = base.select("*", block, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))).alias("_qb"))
+    schema = knn._output_schema(rows, queries, qid, score, kept)
+    nothing, out = to_arrow_schema(schema).empty_table(), schema.names
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return nothing
+        keys = right["_keys"].combine_chunks()
+        keys = keys.chunk(0) if isinstance(keys, pa.ChunkedArray) else keys
+        flat, owner = keys.flatten(), np.repeat(np.arange(len(keys)), keys.value_lengths().to_numpy(zero_copy_only=False))
+        wanted = pa.table([*[flat.field(c) for c in names], pa.array(owner)], names=[*names, "_j"])
+        stored = left.select(names).append_column("_i", pa.array(np.arange(left.num_rows)))
+        both = wanted.join(stored, names, join_type="inner", use_threads=False)
+        j, i = both["_j"].to_numpy(), both["_i"].to_numpy()
+        asked, dense = Queries(right, qid, qvec, Codec("dense")), kernel.decode(left[vec].combine_chunks(), Codec("dense"))
+        if asked.block.matrix.shape[1] != dense.shape[1]:
+            raise ValueError("vector dimension does not match the field")
+        cost = kernel.settled_scores(dense, asked.block.matrix, i, j, spec.metric)
+        known = ~np.isnan(cost) if spec.metric == "COSINE" else np.ones(len(cost), bool)  # no direction, no hits
+        if spec.lower is not None:
+            known &= cost >= spec.lower
+        if spec.upper is not None:
+            known &= cost < spec.upper
+        best = kernel.Best(spec, asked.count)
+        best.add(left.select(kept).take(pa.array(i[known])), j[known], cost[known] * spec.sign)
+        found = list(best.batches(asked.ids, out))
+        return pa.Table.from_batches(found) if found else nothing
+
+    block = knn.dealt_evenly(rows.sparkSession, F.col("_qb") * row_blocks + F.col("_rb"), q_blocks * row_blocks)
+    row_side, query_side = (side.withColumn("_block", block).drop("_qb", "_rb") for side in (row_side, query_side))
+    return row_side.groupBy("_block").cogroup(query_side.groupBy("_block")).applyInArrow(meet, schema)
 
 
 def scann_search(

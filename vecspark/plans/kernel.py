@@ -97,7 +97,7 @@ def decode(arr, codec: Codec) -> np.ndarray:
         return wide.view(np.float32).astype(np.float64)
     if codec.kind == "sq8":
         return codec.lo + _byte_block(arr, np.uint8).astype(np.float64) * codec.step
-    if codec.kind == "pq":  # the codes themselves; scores are looked up, vectors never rebuilt
+    if codec.kind == "pq":  # the codes themselves; scores are looked up
         return _byte_block(arr, code_type(codec.books)).astype(np.uint32)
     raise ValueError(f"unknown vector encoding {codec.kind}")
 
@@ -215,17 +215,25 @@ def block_scores(v, vsq, q: QueryBlock, metric: str) -> np.ndarray:
     return score
 
 
+def _summed(left, right):
+    """Products summed over the last axis, one after the other, so that a sum does not depend on what is summed beside it."""
+    total = left[..., 0] * right[..., 0]
+    for w in range(1, left.shape[-1]):
+        total = total + left[..., w] * right[..., w]
+    return total
+
+
 class Tables:
     """What every code adds to a score: one table per query and sub-space, summed up over a row's codes."""
 
     def __init__(self, books: np.ndarray, q: QueryBlock, metric: str):
         m, codes, width = books.shape
-        own = q.matrix.reshape(len(q.matrix), m, width)
+        own = q.matrix.reshape(len(q.matrix), m, width).transpose(1, 0, 2)
         self.metric, self.lengths = metric, np.sqrt(q.sq)
-        dot = np.einsum("smw,qsw->smq", books, own)
-        self.squares = np.einsum("smw,smw->sm", books, books)
+        dot = _summed(books[:, :, None, :], own[:, None, :, :])
+        self.squares = _summed(books, books)
         if metric == "L2":
-            dot = self.squares[:, :, None] - 2 * dot + np.einsum("qsw,qsw->sq", own, own)[:, None, :]
+            dot = self.squares[:, :, None] - 2 * dot + _summed(own, own)[:, None, :]
         self.tables = np.ascontiguousarray(dot)  # (sub-space, code, query): a code is one contiguous row
 
     def scores(self, codes: np.ndarray) -> np.ndarray:
@@ -242,6 +250,31 @@ class Tables:
         return total.T
 
 
+def rebuilt(codes, books: np.ndarray) -> np.ndarray:
+    """The vectors that product codes stand for."""
+    return np.concatenate([book[codes[:, s]] for s, book in enumerate(books)], axis=1)
+
+
+def code_scores(books: np.ndarray, codes, q: QueryBlock, i, j, metric: str) -> np.ndarray:
+    """Scores of single pairs of a coded row and a query, to the last bit those of ``Tables``."""
+    m, _, width = books.shape
+    own, sub = q.matrix.reshape(len(q.matrix), m, width), np.arange(m)
+    out, step = np.empty(len(i)), max(1, TILE // (m * width))
+    for lo in range(0, len(i), step):
+        some, who = books[sub, codes[i[lo:lo + step]]], j[lo:lo + step]
+        dot, square = _summed(some, own[who]), _summed(some, some)
+        if metric == "L2":
+            dot = square - 2 * dot + _summed(own, own)[who]
+        total, length = dot[:, 0], square[:, 0]
+        for s in range(1, m):
+            total, length = total + dot[:, s], length + square[:, s]
+        if metric == "COSINE":
+            with np.errstate(divide="ignore", invalid="ignore"):
+                total = total / np.sqrt(length) / np.sqrt(q.sq)[who]
+        out[lo:lo + step] = total
+    return out
+
+
 def pair_scores(v, q, metric: str) -> np.ndarray:
     """Scores of aligned rows, summed in one fixed order."""
     if metric == "L2":
@@ -352,11 +385,11 @@ def scan_block(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, see
     With ``books`` the block holds product codes.
     """
     done, left = 0, None
-    if best.spec.metric not in BINARY and books is None and seen is None:
-        done, left = _scan_single(best, rows, v, q, at)
+    if best.spec.metric not in BINARY and seen is None:
+        done, left = _scan_single(best, rows, v, q, at, books)
     if done and left is not None:
         some = np.arange(done)
-        _scan_double(best, rows.take(pa.array(left)), v[left], q.take(some), at[some])
+        _scan_double(best, rows.take(pa.array(left)), v[left], q.take(some), at[some], books=books)
     if done < len(at):
         some = np.arange(done, len(at))
         rest = q.take(some) if done else q
@@ -435,13 +468,14 @@ class _LowerBounds:
         return 2 * self.unit * (top + square if self.metric == "L2" else np.sqrt(top * square))
 
 
-def _single_fits(v, vsq, q: QueryBlock, metric: str) -> bool:
+def _single_fits(v, vsq, q: QueryBlock, metric: str, coded: bool = False) -> bool:
     """Whether single precision holds the block and the queries without losing small or large numbers."""
     top, most = vsq.max(initial=0.0), q.sq.max(initial=0.0)
     if v.shape[1] > SINGLE_DIMS or not 1e-20 < top < 1e30 or not most < 1e30:  # also without any NaN
         return False
     if metric == "L2":  # the mean row must not lie so far away that little is left of the differences
-        return (v.max(axis=0) - v.min(axis=0)).max() ** 2 > 1e-14 * top
+        # tables add up squared lengths, so they lose more than differences do
+        return (v.max(axis=0) - v.min(axis=0)).max() ** 2 > (1e-6 if coded else 1e-14) * top
     if metric == "COSINE":
         return vsq.min() > 1e-30 and (q.sq[q.sq > 0].min(initial=1.0) > 1e-30)
     return True
@@ -465,16 +499,17 @@ def _growing(lo: int, hi: int, most: int):
         lo, size = lo + size, min(most, 2 * size)
 
 
-def _scan_single(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray) -> tuple[int, np.ndarray | None]:
+def _scan_single(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray, books=None) -> tuple[int, np.ndarray | None]:
     """Offer a block by bounds in single precision: (queries served, rows that those have still to meet).
 
     Every query keeps the k smallest upper bounds of distinct keys, the largest of which is its limit; rows whose
     lower bound is beyond it are out.  What is left in the end is scored pair by pair.  Queries are served until one tile
-    keeps many more rows than k.
+    keeps many more rows than k.  Product codes are bounded by the vectors they stand for and scored as their tables do.
     """
     spec = best.spec
-    vsq = np.einsum("ij,ij->i", v, v)
-    if not len(at) or not _single_fits(v, vsq, q, spec.metric):
+    whole = v if books is None else rebuilt(v, books)
+    vsq = np.einsum("ij,ij->i", whole, whole)
+    if not len(at) or not _single_fits(whole, vsq, q, spec.metric, books is not None):
         return 0, None
     groups = _KeyGroups(_codes(rows[spec.key]))
     sizes = np.diff(np.r_[groups.heads, len(v)])
@@ -487,7 +522,7 @@ def _scan_single(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray) -
     order = order if grouped else np.sort(order)
     segments = list(zip(groups.heads.tolist(), (groups.heads + sizes).tolist())) if grouped else [(0, len(order))]
     segment = np.repeat(np.arange(len(sizes)), sizes) if grouped else None
-    bounds = _LowerBounds(v[order], vsq[order], spec.metric)
+    bounds = _LowerBounds(whole[order], vsq[order], spec.metric)
     kept = 1 if grouped else spec.k
     least, most = _cost_range(spec)
     tile = max(16, min(ASKED, TILE // (4 * max(spec.k, len(segments)))))
@@ -562,7 +597,8 @@ def _scan_single(best: Best, rows: pa.Table, v, q: QueryBlock, at: np.ndarray) -
             continue
         j, i, _ = in_reach(*(np.concatenate(x) for x in zip(*found)))
         i = order[i]
-        cost = settled_scores(v, part.matrix, i, j, spec.metric) * spec.sign
+        cost = settled_scores(v, part.matrix, i, j, spec.metric) if books is None else code_scores(books, v, part, i, j, spec.metric)
+        cost = cost * spec.sign
         near = cost <= limit[j]  # never true for NaN
         if spec.lower is not None:
             near &= cost * spec.sign >= spec.lower
@@ -662,7 +698,7 @@ def offer(best: Best, table: pa.Table, vec: str, queries: Queries, probes=None,
     kept = list(dict.fromkeys([best.spec.pk, best.spec.key, *best.spec.carry]))
     for part, at, codec in queries.parts():
         dim = part.matrix.shape[1]
-        single = best.spec.metric not in BINARY and codec.kind not in ("sparse", "pq")
+        single = best.spec.metric not in BINARY and codec.kind != "sparse"
         for piece in row_slices(table, dim, SPARSE_CELLS if codec.kind == "sparse" else None, CELLS if single else ROWS):
             v, seen = decode_rows(piece[vec].combine_chunks(), codec)
             if not len(v):

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,6 +27,7 @@ GRID_ROWS = 1 << 16  # rows of one row block
 BLOCK_BYTES = 64 << 20  # stored bytes of one row block
 STATE_ROWS = 4 << 20  # best-list entries one task may hold
 SALT_ABOVE = 1 << 20  # candidates of one query that one task ranks
+DEALT_KEYS = 4096  # more blocks even out by themselves
 
 
 # ---------------------------------------------------------------- query side
@@ -58,18 +59,33 @@ def _width(df: DataFrame, name: str) -> Column:
     return F.length(name) if isinstance(df.schema[name].dataType, T.BinaryType) else F.size(name)
 
 
-def block_sizes(queries: DataFrame, qvec: str, kind: str, k: int = 1, wanted: int = 0) -> tuple[int, int]:
+def block_sizes(queries: DataFrame, qvec: str, kind: str, k: int = 1, wanted: int = 0, stored: int = 0) -> tuple[int, int]:
     """(rows, queries) per grid block such that decoded blocks and best lists stay bounded.
 
-    A block has ``wanted`` queries if those are more than GRID_QUERIES and within the bounds.
+    A block has ``wanted`` queries if those are more than GRID_QUERIES and within the bounds.  ``stored`` are the bytes of a
+    row that is decoded in pieces only.
     """
     entries = max(1, queries.agg(F.max(_width(queries, qvec))).first()[0] or 1)
     decoded = entries * (64 if kind == "bits" else 1)
-    rows = min(GRID_ROWS, BLOCK_BYTES // (entries * 8))
+    rows = BLOCK_BYTES // stored if stored else min(GRID_ROWS, BLOCK_BYTES // (entries * 8))
     asked = min(max(GRID_QUERIES, min(wanted, MOST_QUERIES, STATE_ROWS // (4 * k))), STATE_ROWS // k, 2 * kernel.CELLS // decoded)
     return max(1, rows), max(1, asked)
 
 
+def dealt_evenly(spark: SparkSession, number: Column, n: int) -> Column:
+    """``number``, from 0 to n - 1, as a key that a shuffle deals evenly over its partitions, which hashes of few keys do not."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > DEALT_KEYS or parts > DEALT_KEYS:
+        return number.cast("long")
+    each = -(-n // parts)
+    drawn = spark.range(parts * (8 * each + 32)).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part")).toArrow()
+    ids, part = drawn["id"].to_numpy(), drawn["part"].to_numpy()
+    order = np.argsort(part, kind="stable")
+    turn = np.arange(len(ids)) - np.searchsorted(part[order], part[order])  # place of a key among those of its partition
+    keys = ids[order][np.lexsort((part[order], turn))][:n]
+    return F.element_at(F.expr(f"array({', '.join(f'{k}L' for k in keys)})"), number.cast("int") + 1)
+
+
 # ---------------------------------------------------------------- candidate generation
 
 def _output_schema(rows: DataFrame, queries: DataFrame, qid: str, score: str, kept: list[str]) -> T.StructType:
@@ -103,7 +119,7 @@ def scan_candidates(
 
 def grid(
     rows: DataFrame, queries: DataFrame, *, vec: str, qvec: str, cell: str | None = None,
-    query_cells: str | None = None, kind: str = "dense", k: int = 1, grow: bool = False,
+    query_cells: str | None = None, kind: str = "dense", k: int = 1, grow: bool = False, stored: int = 0,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides cut into bounded blocks, and the columns on which the blocks meet.
 
@@ -115,21 +131,25 @@ def grid(
     base = rows.where(F.col(vec).isNotNull())
     asked = queries.where(F.col(qvec).isNotNull())
     many = asked.count()
-    most = GRID_ROUNDS * rows.sparkSession.sparkContext.defaultParallelism
-    block_rows, query_rows = block_sizes(queries, qvec, kind, k, -(-many // most) if grow else 0)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    block_rows, query_rows = block_sizes(queries, qvec, kind, k, -(-many // (GRID_ROUNDS * cores)) if grow else 0, stored)
     row_blocks = max(1, -(-base.count() // block_rows))
     q_blocks = max(1, -(-many // query_rows))
-    dealt = base.repartition(row_blocks).withColumn("_rb", F.spark_partition_id())
+    # fewer blocks than cores are dealt by as many tasks as there are cores
+    dealt = base.repartition(row_blocks * -(-cores // row_blocks)).withColumn("_rb", F.pmod(F.spark_partition_id(), F.lit(row_blocks)))
     asked = asked.repartition(q_blocks).withColumn("_qb", F.spark_partition_id())
-    on, blocks = ["_qb", "_rb"], F.lit(row_blocks)
+    on, blocks = ["_block"], F.lit(row_blocks)
     if cell:
-        on = [cell, *on]
+        on = [cell, "_qb", "_rb"]
         sizes = base.groupBy(cell).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks"))
         dealt = dealt.join(sizes, cell).withColumn("_rb", F.pmod("_rb", "_blocks")).drop("_blocks")
         asked = asked.withColumn(cell, F.explode(query_cells)).drop(query_cells).join(sizes, cell)
         blocks = F.col("_blocks")
     dealt = dealt.withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
     asked = asked.withColumn("_rb", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("_blocks")
+    if not cell:
+        block = dealt_evenly(rows.sparkSession, F.col("_qb") * row_blocks + F.col("_rb"), q_blocks * row_blocks)
+        dealt, asked = (side.withColumn("_block", block).drop("_qb", "_rb") for side in (dealt, asked))
     return dealt, asked, on
 
 
@@ -140,7 +160,10 @@ def grid_candidates(
     """Block grid for query sets too large to broadcast."""
     rows = rows.select(*dict.fromkeys([*kept_columns(spec), vec, *([cell] if cell else [])]))
     queries = queries.select(qid, qvec, *([query_cells] if query_cells else []))
-    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k, grow=True)
+    narrow = codec.kind == "pq" and all(isinstance(rows.schema[c].dataType, T.NumericType) for c in kept_columns(spec))
+    stored = 64 + 8 * len(kept_columns(spec)) + codec.books.shape[0] * np.dtype(kernel.code_type(codec.books)).itemsize if narrow else 0
+    dealt, asked, on = grid(rows, queries, vec=vec, qvec=qvec, cell=cell, query_cells=query_cells, kind=codec.kind, k=spec.k, grow=True,
+                            stored=stored)
     return met_blocks(dealt, asked, on, rows, queries, vec=vec, qid=qid, qvec=qvec, score=score, codec=codec, spec=spec)
 
 

@@ -53,7 +53,8 @@ def judged(hits, rows, queries, k, *, tolerance, **options):
     ``exact_scores``: every score is within ``tolerance`` of the pair's exact distance; ``good_recall``: the mean share, over
     all queries, of the k hits of the exact search (with ``options``) that are among the hits is at least RECALL.
     """
-    near = search(rows, queries, k, metric="L2", vec="embedding", pk="vec_id", **options).select("qid", "vec_id").withColumn("true_hit", F.lit(1))
+    near = search(rows, queries, k, metric="L2", vec="embedding", pk="vec_id", **options).select("qid", "vec_id")
+    near = materialize(near, "near").withColumn("true_hit", F.lit(1))  # joined and counted
     off = F.abs(F.col("score") - distance.l2("qvec", "embedding"))
     pairs = hits.join(rows.select("vec_id", "embedding"), "vec_id").join(queries, "qid").select("qid", "vec_id", "rank", "score", off.alias("off"))
     pairs = pairs.join(near, ["qid", "vec_id"], "left")  # without the vectors of a pair
